@@ -1,0 +1,913 @@
+"""Queries for sources, scalar expressions, joins, aggregates, windows,
+top-k and set operations (SURVEY 2.A-2.G) with their DuckDB oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from souk.functions import scalar as S
+from souk.operators import aggregates as A
+from souk.operators import joins as J
+from souk.operators import windows as W
+from souk.plans.registry import query
+from souk.plans.tables import (NESTED_ORDERS_SQL, SALES_SQL, SKEWED_ORDERS_SQL, nested_orders,
+                               sales, skewed_orders, with_views)
+from souk.session import scratch_path
+from souk.sources import io
+
+DEC = "decimal(22,2)"
+
+# ------------------------------------------------------------------ 2.A
+
+
+@query("scan_count", """
+SELECT 'lineitem' AS table_name, COUNT(*) AS n_rows FROM lineitem
+UNION ALL SELECT 'orders', COUNT(*) FROM orders
+UNION ALL SELECT 'part', COUNT(*) FROM part
+UNION ALL SELECT 'events', COUNT(*) FROM events
+""")
+def scan_count(spark: SparkSession, sf: str) -> DataFrame:
+    frames = [io.load(spark, sf, t).agg(F.count("*").alias("n_rows"))
+              .select(F.lit(t).alias("table_name"), "n_rows")
+              for t in ("lineitem", "orders", "part", "events")]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+SALES_COLS_SCHEMA = T.StructType([
+    T.StructField("category_name", T.StringType()),
+    T.StructField("seller_id", T.LongType()),
+    T.StructField("amount", T.DecimalType(12, 2)),
+    T.StructField("qty", T.IntegerType()),
+])
+
+ROUNDTRIP_SQL = with_views("""
+SELECT category_name, CAST(COALESCE(SUM(amount * qty), 0) AS DECIMAL(22,2)) AS revenue,
+       COUNT(*) AS n_lines
+FROM sales GROUP BY category_name
+""", sales=SALES_SQL)
+
+
+def _roundtrip(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
+    """sales -> ``fmt`` files -> typed read -> revenue per category."""
+    src = sales(spark, sf).select([f.name for f in SALES_COLS_SCHEMA.fields])
+    out = scratch_path(spark, f"roundtrip-{fmt}")
+    path = io.write_formats(src, out, [fmt])[fmt]
+    if fmt in io.TEXT_FORMATS:
+        # text formats carry no types: read as strings, then cast (normalise)
+        raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in SALES_COLS_SCHEMA])
+        back = io.normalise_types(io.read_table(spark, path, fmt, raw_schema), SALES_COLS_SCHEMA)
+    else:
+        back = io.read_table(spark, path, fmt)
+    return revenue_per_category_of(back, "amount", "qty").withColumn(
+        "n_lines", F.col("n_lines"))
+
+
+def revenue_per_category_of(df: DataFrame, price: str, qty: str) -> DataFrame:
+    """coalesce(sum(price * qty), 0) per category (D1)."""
+    return (df.groupBy("category_name")
+              .agg(F.coalesce(F.sum(F.col(price) * F.col(qty)), F.lit(0)).cast(DEC).alias("revenue"),
+                   F.count("*").alias("n_lines")))
+
+
+query("csv_roundtrip_agg", ROUNDTRIP_SQL)(lambda spark, sf: _roundtrip(spark, sf, "csv"))
+query("json_roundtrip_agg", ROUNDTRIP_SQL)(lambda spark, sf: _roundtrip(spark, sf, "json"))
+query("orc_roundtrip_agg", ROUNDTRIP_SQL)(lambda spark, sf: _roundtrip(spark, sf, "orc"))
+query("revenue_per_category", ROUNDTRIP_SQL)(
+    lambda spark, sf: revenue_per_category_of(sales(spark, sf), "amount", "qty"))
+
+
+@query("format_inventory")
+def format_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Write sales to every available format, then bytes/files per format."""
+    src = sales(spark, sf)
+    out = scratch_path(spark, "formats")
+    written = io.write_formats(src, out, ["parquet", "orc", "csv", "json", "avro"])
+    return io.storage_inventory(spark, written)
+
+
+@query("partitioned_read_filter", with_views("""
+SELECT brand, COUNT(*) AS n_lines, CAST(SUM(amount) AS DECIMAL(22,2)) AS revenue
+FROM sales WHERE category_name = 'ECONOMY' AND dt >= DATE '1998-01-01'
+GROUP BY brand
+""", sales=SALES_SQL))
+def partitioned_read_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Write sales partitioned by category, read back with a partition filter
+    (PartitionFilters prunes directories) and a pushed data filter."""
+    path = scratch_path(spark, "sales-by-category")
+    io.write_partitioned(sales(spark, sf), path, ["category_name"])
+    back = spark.read.parquet(path)
+    return (back.where((F.col("category_name") == "ECONOMY") & (F.col("dt") >= F.lit("1998-01-01").cast("date")))
+                .groupBy("brand").agg(F.count("*").alias("n_lines"),
+                                      F.sum("amount").cast(DEC).alias("revenue")))
+
+
+@query("append_two_writers", """
+SELECT version, COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_keys,
+       CAST(SUM(amount) AS DECIMAL(22,2)) AS total
+FROM (SELECT o_orderkey, v AS version,
+             CAST(CAST(o_totalprice AS DECIMAL(12,2)) * (1 + 0.1 * v) AS DECIMAL(14,2)) AS amount
+      FROM orders, (VALUES (0), (1), (2)) t(v))
+GROUP BY version
+""")
+def append_two_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """Seed with overwrite, then two writers append to the same directory;
+    every batch survives (append never replaces)."""
+    o = io.load(spark, sf, "orders")
+    path = scratch_path(spark, "appends")
+
+    def batch(v: int) -> DataFrame:
+        amt = (F.col("o_totalprice").cast("decimal(12,2)") * F.lit(1 + 0.1 * v).cast("decimal(3,1)"))
+        return o.select("o_orderkey", F.lit(v).alias("version"), amt.cast("decimal(14,2)").alias("amount"))
+
+    batch(0).write.mode("overwrite").parquet(path)
+    batch(1).write.mode("append").parquet(path)
+    batch(2).write.mode("append").parquet(path)
+    back = spark.read.parquet(path)
+    return (back.groupBy("version")
+                .agg(F.count("*").alias("n_rows"), F.count_distinct("o_orderkey").alias("n_keys"),
+                     F.sum("amount").cast(DEC).alias("total")))
+
+
+@query("key_skew_profile", with_views("""
+SELECT seller_id, n_rows, ROUND(CAST(n_rows AS DOUBLE) * 100.0 / (SELECT COUNT(*) FROM so), 2) AS share_pct
+FROM (SELECT seller_id, COUNT(*) AS n_rows FROM so GROUP BY seller_id)
+ORDER BY n_rows DESC, seller_id LIMIT 5
+""", so=SKEWED_ORDERS_SQL))
+def key_skew_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return io.key_skew_profile(skewed_orders(spark, sf), "seller_id", 5).withColumnRenamed("rows", "n_rows")
+
+
+# fixture for broken input (FIXTURES 4): every 37th payload is cut short
+BROKEN_PROPS = "CASE WHEN event_id % 37 = 0 THEN substr(props, 1, 4) ELSE props END"
+
+
+def broken_events(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events")
+    return ev.withColumn("props", F.expr(BROKEN_PROPS))
+
+
+@query("quarantine_split", f"""
+SELECT CASE WHEN json_valid(props) THEN 'ok' ELSE 'quarantine' END AS status,
+       CASE WHEN json_valid(props) THEN NULL ELSE 'malformed_json' END AS reason,
+       COUNT(*) AS n_rows
+FROM (SELECT event_id, {BROKEN_PROPS} AS props FROM events)
+GROUP BY ALL
+""")
+def quarantine_split(spark: SparkSession, sf: str) -> DataFrame:
+    ev = broken_events(spark, sf)
+    good, bad = io.split_quarantine(ev, F.try_parse_json("props").isNotNull(),
+                                    F.lit("malformed_json"))
+    g = good.groupBy().agg(F.count("*").alias("n_rows")).select(
+        F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"), "n_rows")
+    b = bad.groupBy("reason").agg(F.count("*").alias("n_rows")).select(
+        F.lit("quarantine").alias("status"), "reason", "n_rows")
+    return g.unionByName(b).where(F.col("n_rows") > 0)
+
+
+# ------------------------------------------------------------------ 2.B
+
+
+@query("filter_select", """
+SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase'
+""")
+def filter_select(spark: SparkSession, sf: str) -> DataFrame:
+    return (io.load(spark, sf, "events").where(F.col("event_type") == "purchase")
+              .select("event_id", "user_id", "ts", "value"))
+
+
+@query("filter_by_day", with_views("""
+SELECT order_id, line_no, category_name, seller_id, amount FROM sales WHERE dt = DATE '1998-08-23'
+""", sales=SALES_SQL))
+def filter_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    return (sales(spark, sf).where(F.col("dt") == F.lit("1998-08-23").cast("date"))
+              .select("order_id", "line_no", "category_name", "seller_id", "amount"))
+
+
+# Value bands and device labels of the bucketing example.
+VALUE_BANDS = [(10.0, "low"), (50.0, "mid"), (200.0, "high")]
+DEVICES = ["mobile", "web", "tablet"]
+
+
+@query("conditional_bucket", """
+SELECT CASE WHEN value < 10.0 THEN 'low' WHEN value < 50.0 THEN 'mid'
+            WHEN value < 200.0 THEN 'high' ELSE 'premium' END AS band,
+       CASE WHEN user_id % 3 = 0 THEN 'mobile' WHEN user_id % 3 = 1 THEN 'web' ELSE 'tablet' END AS device,
+       COUNT(*) AS n_events
+FROM events GROUP BY ALL
+""")
+def conditional_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events")
+    m = F.pmod(F.col("user_id"), F.lit(3))
+    device = F.when(m == 0, DEVICES[0]).when(m == 1, DEVICES[1]).otherwise(DEVICES[2])
+    return (ev.select(S.bucket(F.col("value"), VALUE_BANDS, "premium").alias("band"),
+                      device.alias("device"))
+              .groupBy("band", "device").agg(F.count("*").alias("n_events")))
+
+
+@query("conditional_agg_vs_union", """
+SELECT CAST(ts AS DATE) AS day,
+       COUNT(*) FILTER (WHERE event_type = 'view') AS views,
+       COUNT(*) FILTER (WHERE event_type = 'click') AS clicks,
+       COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+       CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(12,2)) ELSE 0 END) AS DECIMAL(22,2)) AS purchase_value
+FROM events GROUP BY 1
+""")
+def conditional_agg_vs_union(spark: SparkSession, sf: str) -> DataFrame:
+    """One conditional pass (one Exchange) instead of three filters + union."""
+    ev = io.load(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    is_ = lambda t: F.col("event_type") == t
+    return ev.groupBy("day").agg(
+        F.count(F.when(is_("view"), 1)).alias("views"),
+        F.count(F.when(is_("click"), 1)).alias("clicks"),
+        F.count(F.when(is_("purchase"), 1)).alias("purchases"),
+        F.sum(F.when(is_("purchase"), F.col("value").cast("decimal(12,2)")).otherwise(0))
+         .cast(DEC).alias("purchase_value"))
+
+
+@query("string_key_ops", """
+SELECT event_id, 'evt-' || CAST(event_id AS VARCHAR) AS event_key,
+       concat_ws('_', CAST(user_id AS VARCHAR), CAST(event_id % 10 AS VARCHAR)) AS salted_key,
+       split_part(concat_ws('_', CAST(user_id AS VARCHAR), CAST(event_id % 10 AS VARCHAR)), '_', 1) AS user_part,
+       upper(event_type) || ':' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS label
+FROM events
+""")
+def string_key_ops(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events")
+    salted = F.concat_ws("_", F.col("user_id").cast("string"), F.pmod("event_id", F.lit(10)).cast("string"))
+    return ev.select("event_id",
+                     F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("event_key"),
+                     salted.alias("salted_key"),
+                     F.split(salted, "_")[0].alias("user_part"),
+                     F.concat(F.upper("event_type"), F.lit(":"),
+                              F.lpad(F.col("user_id").cast("string"), 5, "0")).alias("label"))
+
+
+@query("math_scalar", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(22,4)) AS net_price,
+       CAST(ceil(l_quantity / 7) AS BIGINT) AS packs,
+       CAST(floor(l_tax * 100 + 0.5) AS BIGINT) AS tax_pct,
+       ROUND(exp(l_discount), 6) AS growth,
+       l_orderkey % 7 AS mod7
+FROM lineitem
+""")
+def math_scalar(spark: SparkSession, sf: str) -> DataFrame:
+    li = io.load(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     (F.col("l_extendedprice").cast("decimal(12,2)")
+                      * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(22,4)").alias("net_price"),
+                     F.ceil(F.col("l_quantity") / 7).cast("bigint").alias("packs"),
+                     F.floor(F.col("l_tax") * 100 + 0.5).cast("bigint").alias("tax_pct"),
+                     F.round(F.exp("l_discount"), 6).alias("growth"),
+                     (F.col("l_orderkey") % 7).alias("mod7"))
+
+
+@query("date_scalar", """
+SELECT event_id,
+       CAST(ts AS DATE) AS day,
+       strftime(ts, '%d.%m.%Y_%H:%M:%S') AS log_stamp,
+       regexp_replace(strftime(ts, '%d.%m.%Y_%H:%M:%S'), '^(\\d{2})\\.(\\d{2})\\.(\\d{4})_.*$', '\\3-\\2-\\1') AS iso_day,
+       CAST(strptime(strftime(ts, '%d.%m.%Y_%H:%M:%S'), '%d.%m.%Y_%H:%M:%S') AS TIMESTAMP) AS parsed_ts,
+       CAST(ts AS DATE) + INTERVAL 7 DAY AS week_later,
+       date_trunc('hour', ts) AS hour_start,
+       CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day_index
+FROM events
+""")
+def date_scalar(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events")
+    stamp = F.date_format("ts", "dd.MM.yyyy_HH:mm:ss")
+    return ev.select("event_id",
+                     F.col("ts").cast("date").alias("day"),
+                     stamp.alias("log_stamp"),
+                     F.regexp_replace(stamp, r"^(\d{2})\.(\d{2})\.(\d{4})_.*$", "$3-$2-$1").alias("iso_day"),
+                     F.to_timestamp_ntz(stamp, F.lit("dd.MM.yyyy_HH:mm:ss")).alias("parsed_ts"),
+                     F.date_add(F.col("ts").cast("date"), 7).cast("timestamp_ntz").alias("week_later"),
+                     F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"),
+                     F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).alias("day_index"))
+
+
+@query("nested_build_slice", with_views("""
+SELECT order_id, user_id, it.line AS line, it.unit_cents AS unit_cents, it.qty AS qty,
+       len(items) AS n_items
+FROM (SELECT order_id, user_id, items, unnest(items[1:2]) AS it FROM nested)
+""", nested=NESTED_ORDERS_SQL))
+def nested_build_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Build the nested orders, cut each array to two items, explode, read fields."""
+    n = nested_orders(spark, sf)
+    return (n.select("order_id", "user_id", F.size("items").alias("n_items"),
+                     F.explode(F.slice("items", 1, 2)).alias("it"))
+              .select("order_id", "user_id", F.col("it.line").alias("line"),
+                      F.col("it.unit_cents").alias("unit_cents"), F.col("it.qty").alias("qty"),
+                      "n_items"))
+
+
+@query("json_payload_by_type", f"""
+SELECT event_type,
+       COUNT(*) AS n_events,
+       COUNT(k) AS n_with_k,
+       CAST(SUM(k) AS BIGINT) AS sum_k,
+       COUNT(*) FILTER (WHERE event_type = 'purchase' AND k >= 50) AS big_purchases
+FROM (SELECT event_type,
+             CASE WHEN json_valid(p) THEN TRY_CAST(json_extract(p, '$.k') AS INTEGER) END AS k
+      FROM (SELECT event_type, {BROKEN_PROPS} AS p FROM events))
+GROUP BY event_type
+""")
+def json_payload_by_type(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed payload fields via VARIANT; malformed payloads give NULL fields."""
+    ev = broken_events(spark, sf).withColumn("k", S.payload_field(F.col("props"), "$.k", "int"))
+    return ev.groupBy("event_type").agg(
+        F.count("*").alias("n_events"), F.count("k").alias("n_with_k"),
+        F.sum("k").cast("bigint").alias("sum_k"),
+        F.count(F.when((F.col("event_type") == "purchase") & (F.col("k") >= 50), 1)).alias("big_purchases"))
+
+
+@query("hash_sample", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE (c_custkey * 2654435761) % 10000 < 1000
+""")
+def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
+    c = io.load(spark, sf, "customer")
+    return S.hash_sample(c, "c_custkey", 0.10).select("c_custkey", "c_name", "c_mktsegment")
+
+
+LINE_ORDER = ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate"]
+LINE_ORDER_SQL = ("l_extendedprice DESC, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, "
+                  "l_returnflag, l_linestatus, l_shipdate")
+
+
+@query("dedup_by_key", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER_SQL}) AS rn
+      FROM lineitem) WHERE rn = 1
+""")
+def dedup_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    li = io.load(spark, sf, "lineitem")
+    order = [F.col(LINE_ORDER[0]).desc()] + [F.col(c) for c in LINE_ORDER[1:]]
+    return (S.dedup_by_key(li, ["l_orderkey", "l_linenumber"], order)
+              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+
+
+# Fixed value: salt of the pseudonymisation examples.
+PII_SALT = "souk-salt"
+
+
+@query("pseudonymise", f"""
+SELECT sha256('{PII_SALT}' || CAST(c_custkey AS VARCHAR)) AS cust_token,
+       regexp_replace(c_name, '[0-9]', '*', 'g') AS masked_name,
+       c_nationkey, c_mktsegment
+FROM customer
+""")
+def pseudonymise(spark: SparkSession, sf: str) -> DataFrame:
+    c = io.load(spark, sf, "customer")
+    return c.select(S.pseudonymise(F.col("c_custkey"), PII_SALT).alias("cust_token"),
+                    S.mask_digits(F.col("c_name")).alias("masked_name"),
+                    "c_nationkey", "c_mktsegment")
+
+
+# What each role may see of the customer table.
+ROLE_POLICY = {
+    "analyst": (["c_nationkey", "c_mktsegment", "c_acctbal"], "c_acctbal >= 0"),
+    "bi": (["c_nationkey", "c_mktsegment"], "true"),
+}
+
+
+def role_view(df: DataFrame, role: str, policy: dict, token_col: str, salt: str) -> DataFrame:
+    """Column list + row predicate per role; identifiers only as tokens."""
+    cols, pred = policy[role]
+    return df.where(F.expr(pred)).select(S.pseudonymise(F.col(token_col), salt).alias("cust_token"), *cols)
+
+
+@query("role_view", f"""
+SELECT sha256('{PII_SALT}' || CAST(c_custkey AS VARCHAR)) AS cust_token, c_nationkey, c_mktsegment, c_acctbal
+FROM customer WHERE c_acctbal >= 0
+""")
+def role_view_q(spark: SparkSession, sf: str) -> DataFrame:
+    return role_view(io.load(spark, sf, "customer"), "analyst", ROLE_POLICY, "c_custkey", PII_SALT)
+
+
+# ------------------------------------------------------------------ 2.C
+
+JOIN_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_type, p_brand
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+"""
+
+
+def _join(strategy: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        li = io.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        p = io.load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
+        return J.join_dim(li, p, "l_partkey", "left", strategy)
+    return run
+
+
+query("join_sort_merge", JOIN_SQL)(_join("merge"))
+query("join_broadcast", JOIN_SQL)(_join("broadcast"))
+query("join_adaptive", JOIN_SQL)(_join("adaptive"))
+
+
+@query("revenue_by_category", with_views("""
+SELECT category_name, CAST(SUM(amount) AS DECIMAL(22,2)) AS revenue, COUNT(*) AS n_lines
+FROM sales GROUP BY category_name ORDER BY revenue DESC
+""", sales=SALES_SQL))
+def revenue_by_category(spark: SparkSession, sf: str) -> DataFrame:
+    return (sales(spark, sf).groupBy("category_name")
+              .agg(F.sum("amount").cast(DEC).alias("revenue"), F.count("*").alias("n_lines"))
+              .orderBy(F.col("revenue").desc()))
+
+
+@query("enrich_star", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_type, s_name, n_name, o_custkey
+FROM lineitem
+LEFT JOIN part ON l_partkey = p_partkey
+LEFT JOIN supplier ON l_suppkey = s_suppkey
+LEFT JOIN nation ON s_nationkey = n_nationkey
+LEFT JOIN orders ON l_orderkey = o_orderkey
+""")
+def enrich_star(spark: SparkSession, sf: str) -> DataFrame:
+    li = io.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    part = io.load(spark, sf, "part").withColumnRenamed("p_partkey", "l_partkey")
+    supp = (io.load(spark, sf, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
+              .join(io.load(spark, sf, "nation").withColumnRenamed("n_nationkey", "s_nationkey"),
+                    "s_nationkey", "left"))
+    orders = io.load(spark, sf, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    return J.enrich_star(li, [(part, "l_partkey", ["p_type"]),
+                              (supp, "l_suppkey", ["s_name", "n_name"]),
+                              (orders, "l_orderkey", ["o_custkey"])])
+
+
+# As-of price fixture: each part changes price every 30 + partkey % 60 days
+# from 1992-01-01 until the end of 2002 (FIXTURES 4); change n adds n % 10.
+PRICE_CHANGES_SQL = """
+SELECT p_partkey AS partkey,
+       CAST(DATE '1992-01-01' + CAST(n * (30 + p_partkey % 60) AS INTEGER) AS DATE) AS eff_dt,
+       CAST(CAST(p_retailprice AS DECIMAL(12,2)) + n % 10 AS DECIMAL(12,2)) AS price
+FROM part, LATERAL (SELECT unnest(range(0, CAST(floor(4017 / (30 + p_partkey % 60)) AS BIGINT) + 1)) AS n)
+"""
+
+
+def price_changes(spark: SparkSession, sf: str) -> DataFrame:
+    p = io.load(spark, sf, "part")
+    period = F.lit(30) + F.pmod("p_partkey", F.lit(60))
+    n = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.lit(4017) / period)))
+    return (p.select("p_partkey", "p_retailprice", period.alias("_per"), n.alias("n"))
+             .select(F.col("p_partkey").alias("partkey"),
+                     F.date_add(F.lit("1992-01-01").cast("date"), (F.col("n") * F.col("_per")).cast("int")).alias("eff_dt"),
+                     (F.col("p_retailprice").cast("decimal(12,2)") + F.col("n") % 10)
+                      .cast("decimal(12,2)").alias("price")))
+
+
+@query("asof_price", with_views("""
+SELECT l.order_id, l.line_no, l.partkey, l.order_dt, c.eff_dt, c.price
+FROM lines l ASOF LEFT JOIN changes c ON l.partkey = c.partkey AND l.order_dt >= c.eff_dt
+""", changes=PRICE_CHANGES_SQL, lines="""
+SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS partkey, CAST(o_orderdate AS DATE) AS order_dt
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""))
+def asof_price(spark: SparkSession, sf: str) -> DataFrame:
+    li = io.load(spark, sf, "lineitem")
+    o = io.load(spark, sf, "orders")
+    lines = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+               .select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+                       F.col("l_partkey").alias("partkey"), F.col("o_orderdate").cast("date").alias("order_dt")))
+    return (J.asof_join(lines, price_changes(spark, sf), "partkey", "order_dt", "eff_dt", ["price"])
+              .select("order_id", "line_no", "partkey", "order_dt", "eff_dt", "price"))
+
+
+# IP fixture: 64 ranges of 2^26 addresses, each only partly used (gaps),
+# owned by nation (range % 25); customer ip = (custkey * 2654435761) % 2^32.
+IP_RANGES_SQL = """
+SELECT r AS range_id, r % 25 AS nationkey,
+       CAST(r * 67108864 AS BIGINT) AS lo,
+       CAST(r * 67108864 + 33554432 + (r * 1000003) % 16777216 AS BIGINT) AS hi
+FROM range(0, 64) t(r)
+"""
+
+
+def ip_ranges(spark: SparkSession) -> DataFrame:
+    r = F.col("id")
+    return spark.range(0, 64).select(r.alias("range_id"), (r % 25).alias("nationkey"),
+                                     (r * 67108864).alias("lo"),
+                                     (r * 67108864 + 33554432 + (r * 1000003) % 16777216).alias("hi"))
+
+
+@query("ip_range_join", with_views("""
+SELECT c_custkey, ip, range_id, nationkey
+FROM (SELECT c_custkey, (c_custkey * 2654435761) % 4294967296 AS ip FROM customer) c
+LEFT JOIN ranges ON ip BETWEEN lo AND hi
+""", ranges=IP_RANGES_SQL))
+def ip_range_join(spark: SparkSession, sf: str) -> DataFrame:
+    c = io.load(spark, sf, "customer").select(
+        "c_custkey", F.pmod(F.col("c_custkey") * F.lit(S.KNUTH), F.lit(4294967296)).alias("ip"))
+    out = J.interval_join(c, ip_ranges(spark), [], "ip", "lo", "hi", 1 << 22, "left")
+    return out.select("c_custkey", "ip", "range_id", "nationkey")
+
+
+@query("fk_violations", """
+SELECT 'lineitem.l_partkey' AS check_name, COUNT(*) AS violations FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'lineitem.l_orderkey', COUNT(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'orders.o_custkey', COUNT(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'orders.without_lines', COUNT(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+""")
+def fk_violations(spark: SparkSession, sf: str) -> DataFrame:
+    li, o = io.load(spark, sf, "lineitem"), io.load(spark, sf, "orders")
+    p, c = io.load(spark, sf, "part"), io.load(spark, sf, "customer")
+    checks = [
+        ("lineitem.l_partkey", J.fk_violations(li, p, F.col("l_partkey") == F.col("p_partkey"))),
+        ("lineitem.l_orderkey", J.fk_violations(li, o, F.col("l_orderkey") == F.col("o_orderkey"))),
+        ("orders.o_custkey", J.fk_violations(o, c, F.col("o_custkey") == F.col("c_custkey"))),
+        ("orders.without_lines", J.fk_violations(o, li, F.col("o_orderkey") == F.col("l_orderkey"))),
+    ]
+    frames = [df.agg(F.count("*").alias("violations")).select(F.lit(n).alias("check_name"), "violations")
+              for n, df in checks]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@query("order_lifecycle", """
+SELECT o_orderkey AS order_id, o_orderdate AS purchase_ts, o_totalprice,
+       r.first_refund_ts, COALESCE(r.refund_lines, 0) AS refund_lines,
+       d.last_delivery_ts, d.last_delivery_status
+FROM orders
+LEFT JOIN (SELECT l_orderkey, MIN(l_shipdate) AS first_refund_ts, COUNT(*) AS refund_lines
+           FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey) r ON r.l_orderkey = o_orderkey
+LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_delivery_ts,
+                  max(l_linestatus) FILTER (WHERE l_shipdate = mx) AS last_delivery_status
+           FROM (SELECT *, max(l_shipdate) OVER (PARTITION BY l_orderkey) AS mx FROM lineitem)
+           GROUP BY l_orderkey) d ON d.l_orderkey = o_orderkey
+""")
+def order_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
+    o = io.load(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"),
+                                           F.col("o_orderdate").alias("purchase_ts"), "o_totalprice")
+    li = io.load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_id"),
+                                              F.col("l_shipdate").alias("ts"),
+                                              F.col("l_linestatus").alias("status"), "l_returnflag")
+    out = J.order_lifecycle(o, li.where(F.col("l_returnflag") == "R"), li, "order_id", "ts")
+    return out.withColumn("refund_lines", F.coalesce("refund_lines", F.lit(0).cast("bigint")))
+
+
+# ------------------------------------------------------------------ 2.D
+
+MULTI_AGG_SQL = with_views("""
+SELECT user_id, CAST(SUM(amount) AS DECIMAL(22,2)) AS total,
+       MIN(amount) AS min_value, MAX(amount) AS max_value, COUNT(qty) AS n_counted,
+       CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_value
+FROM sales GROUP BY user_id
+""", sales=SALES_SQL)
+
+
+def _fix_multi(df: DataFrame) -> DataFrame:
+    return df.withColumn("total", F.col("total").cast(DEC))
+
+
+query("multi_agg", MULTI_AGG_SQL)(
+    lambda spark, sf: _fix_multi(A.multi_agg(sales(spark, sf), ["user_id"], "amount", "qty")))
+query("multi_agg_split", MULTI_AGG_SQL)(
+    lambda spark, sf: _fix_multi(A.multi_agg_split(sales(spark, sf), ["user_id"], "amount", "qty")))
+
+
+@query("multi_agg_sql", MULTI_AGG_SQL)
+def multi_agg_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The same aggregate as SQL text over a temp view (same optimised plan)."""
+    sales(spark, sf).createOrReplaceTempView("souk_sales")
+    return spark.sql("""
+        SELECT user_id, CAST(SUM(amount) AS DECIMAL(22,2)) AS total,
+               MIN(amount) AS min_value, MAX(amount) AS max_value, COUNT(qty) AS n_counted,
+               CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_value
+        FROM souk_sales GROUP BY user_id""")
+
+
+# Versioned fact: orders x versions 1..3; versions 2 and 3 exist only where
+# (o_orderkey * 7 + v) % 5 < 2 (FIXTURES 4); amount grows 10 % per version.
+VERSIONED_SQL = """
+SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS dt, o_orderpriority AS category,
+       o_custkey AS seller_id, v AS version,
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) * (1 + 0.1 * (v - 1)) AS DECIMAL(14,2)) AS amount
+FROM orders, (VALUES (1), (2), (3)) t(v)
+WHERE v = 1 OR (o_orderkey * 7 + v) % 5 < 2
+"""
+
+
+def versioned_fact(spark: SparkSession, sf: str) -> DataFrame:
+    o = io.load(spark, sf, "orders")
+    v = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("version")
+    rows = o.select("*", v).where((F.col("version") == 1)
+                                  | (F.pmod(F.col("o_orderkey") * 7 + F.col("version"), F.lit(5)) < 2))
+    amt = F.col("o_totalprice").cast("decimal(12,2)") * (F.lit(1) + F.lit(0.1).cast("decimal(2,1)") * (F.col("version") - 1))
+    return rows.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("dt"),
+                       F.col("o_orderpriority").alias("category"), F.col("o_custkey").alias("seller_id"),
+                       F.col("version").cast("int").alias("version"), amt.cast("decimal(14,2)").alias("amount"))
+
+
+@query("amount_per_category", with_views("""
+SELECT category, CAST(SUM(amount) AS DECIMAL(22,2)) AS amount, COUNT(*) AS n_ids
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY version DESC) AS rn FROM vf) WHERE rn = 1
+GROUP BY category
+""", vf=VERSIONED_SQL))
+def amount_per_category(spark: SparkSession, sf: str) -> DataFrame:
+    """sum(amount) per category over the latest version of every id."""
+    latest = S.dedup_by_key(versioned_fact(spark, sf), ["id"], [F.col("version").desc()])
+    return latest.groupBy("category").agg(F.sum("amount").cast(DEC).alias("amount"),
+                                          F.count("*").alias("n_ids"))
+
+
+@query("daily_revenue_by_category", with_views("""
+SELECT category_name, CAST(SUM(amount) AS DECIMAL(22,2)) AS revenue, COUNT(*) AS n_lines
+FROM sales WHERE dt = DATE '1996-11-01' GROUP BY category_name ORDER BY revenue DESC
+""", sales=SALES_SQL))
+def daily_revenue_by_category(spark: SparkSession, sf: str) -> DataFrame:
+    return (sales(spark, sf).where(F.col("dt") == F.lit("1996-11-01").cast("date"))
+              .groupBy("category_name").agg(F.sum("amount").cast(DEC).alias("revenue"),
+                                            F.count("*").alias("n_lines"))
+              .orderBy(F.col("revenue").desc()))
+
+
+@query("daily_kpis", with_views("""
+SELECT order_dt, COUNT(*) AS orders, COUNT(DISTINCT user_id) AS users,
+       CAST(SUM(amount) AS DECIMAL(22,2)) AS revenue, CAST(SUM(qty) AS BIGINT) AS qty,
+       CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_amount
+FROM sales GROUP BY order_dt ORDER BY order_dt
+""", sales=SALES_SQL))
+def daily_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    return (A.daily_kpis(sales(spark, sf), "order_dt", "user_id", "amount", "qty")
+              .withColumn("revenue", F.col("revenue").cast(DEC))
+              .withColumn("qty", F.col("qty").cast("bigint")).orderBy("order_dt"))
+
+
+SKEW_AGG_SQL = with_views("""
+SELECT seller_id, CAST(SUM(amount) AS DECIMAL(22,2)) AS total, COUNT(amount) AS n,
+       MIN(amount) AS min_value, MAX(amount) AS max_value
+FROM so GROUP BY seller_id
+""", so=SKEWED_ORDERS_SQL)
+
+
+@query("salted_agg", SKEW_AGG_SQL)
+def salted_agg(spark: SparkSession, sf: str) -> DataFrame:
+    out = A.salted_agg(skewed_orders(spark, sf), ["seller_id"], ["order_id", "line_no", "category_id"],
+                       "amount", salts=16)
+    return out.withColumn("total", F.col("total").cast(DEC))
+
+
+@query("skew_agg_naive", SKEW_AGG_SQL)
+def skew_agg_naive(spark: SparkSession, sf: str) -> DataFrame:
+    out = A.plain_agg(skewed_orders(spark, sf), ["seller_id"], "amount")
+    return out.withColumn("total", F.col("total").cast(DEC))
+
+
+@query("nested_total", with_views("""
+SELECT user_id, CAST(SUM(it.unit_cents * it.qty) AS BIGINT) AS total_cents
+FROM (SELECT user_id, unnest(items) AS it FROM nested) GROUP BY user_id
+""", nested=NESTED_ORDERS_SQL))
+def nested_total(spark: SparkSession, sf: str) -> DataFrame:
+    """explode semantics: users whose orders have no lines disappear."""
+    return A.nested_total(nested_orders(spark, sf), ["user_id"], "items", "unit_cents", "qty",
+                          out="total_cents")
+
+
+@query("nested_total_hof", with_views("""
+SELECT user_id, CAST(COALESCE(SUM(t), 0) AS BIGINT) AS total_cents
+FROM (SELECT user_id, (SELECT COALESCE(SUM(x.unit_cents * x.qty), 0) FROM (SELECT unnest(COALESCE(items, [])) AS x)) AS t
+      FROM nested) GROUP BY user_id
+""", nested=NESTED_ORDERS_SQL))
+def nested_total_hof(spark: SparkSession, sf: str) -> DataFrame:
+    """aggregate() fold: every user kept, empty arrays give 0."""
+    return A.nested_total_hof(nested_orders(spark, sf), ["user_id"], "items", "unit_cents", "qty",
+                              out="total_cents")
+
+
+@query("sales_mart_hourly", """
+SELECT date_trunc('hour', ts) AS period, event_type, COUNT(*) AS lines,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS revenue,
+       COUNT(DISTINCT user_id) AS users
+FROM events GROUP BY ALL
+""")
+def sales_mart_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events").withColumn("amount", F.col("value").cast("decimal(12,2)"))
+    return (ev.withColumn("period", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+              .groupBy("period", "event_type")
+              .agg(F.count("*").alias("lines"), F.sum("amount").cast(DEC).alias("revenue"),
+                   F.count_distinct("user_id").alias("users")))
+
+
+# The funnel steps (event kinds of the events table).
+FUNNEL_STEPS = ["view", "click", "purchase"]
+
+
+@query("purchase_funnel", """
+WITH s1 AS (
+  SELECT user_id, arg_min(struct_pack(ts := ts, id := event_id), struct_pack(ts := ts, id := event_id)) AS at
+  FROM events WHERE event_type = 'view' GROUP BY user_id),
+s2 AS (
+  SELECT e.user_id, arg_min(struct_pack(ts := e.ts, id := e.event_id), struct_pack(ts := e.ts, id := e.event_id)) AS at
+  FROM events e JOIN s1 ON e.user_id = s1.user_id
+  WHERE e.event_type = 'click' AND (e.ts > s1.at.ts OR (e.ts = s1.at.ts AND e.event_id > s1.at.id))
+  GROUP BY e.user_id),
+s3 AS (
+  SELECT e.user_id
+  FROM events e JOIN s2 ON e.user_id = s2.user_id
+  WHERE e.event_type = 'purchase' AND (e.ts > s2.at.ts OR (e.ts = s2.at.ts AND e.event_id > s2.at.id))
+  GROUP BY e.user_id)
+SELECT 1 AS step, 'view' AS name, (SELECT COUNT(*) FROM s1) AS users
+UNION ALL SELECT 2, 'click', (SELECT COUNT(*) FROM s2)
+UNION ALL SELECT 3, 'purchase', (SELECT COUNT(*) FROM s3)
+""")
+def purchase_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    out = A.purchase_funnel(io.load(spark, sf, "events"), "user_id", "ts", "event_type", "event_id",
+                            FUNNEL_STEPS)
+    return out.withColumn("step", F.col("step").cast("int"))
+
+
+@query("ltv_by_cohort", with_views("""
+SELECT cohort_month, period, cohort_users, revenue,
+       CAST(SUM(revenue) OVER (PARTITION BY cohort_month ORDER BY period) AS DECIMAL(22,2)) AS cum_revenue,
+       CAST(SUM(revenue) OVER (PARTITION BY cohort_month ORDER BY period) AS DOUBLE) / cohort_users AS ltv_per_user
+FROM (
+  SELECT c.cohort_month, CAST(date_diff('month', c.cohort_month, date_trunc('month', s.order_dt)) AS INTEGER) AS period,
+         CAST(SUM(s.amount) AS DECIMAL(22,2)) AS revenue, ANY_VALUE(c.cohort_users) AS cohort_users
+  FROM sales s JOIN (
+      SELECT user_id, cohort_month, COUNT(*) OVER (PARTITION BY cohort_month) AS cohort_users
+      FROM (SELECT user_id, CAST(date_trunc('month', MIN(order_dt)) AS DATE) AS cohort_month FROM sales GROUP BY user_id)
+  ) c ON s.user_id = c.user_id
+  GROUP BY 1, 2)
+""", sales=SALES_SQL))
+def ltv_by_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    from souk.operators.marts import ltv_by_cohort as ltv
+    return ltv(sales(spark, sf), "user_id", "order_dt", "amount")
+
+
+@query("cohort_retention", """
+WITH act AS (SELECT DISTINCT o_custkey AS user_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders),
+coh AS (SELECT user_id, MIN(m) AS cohort_month FROM act GROUP BY user_id),
+size AS (SELECT cohort_month, COUNT(*) AS cohort_size FROM coh GROUP BY cohort_month)
+SELECT coh.cohort_month, CAST(date_diff('month', coh.cohort_month, act.m) AS INTEGER) AS period,
+       COUNT(*) AS active_users, ANY_VALUE(size.cohort_size) AS cohort_size,
+       CAST(COUNT(*) AS DOUBLE) / ANY_VALUE(size.cohort_size) AS retention
+FROM act JOIN coh USING (user_id) JOIN size USING (cohort_month)
+GROUP BY 1, 2
+""")
+def cohort_retention(spark: SparkSession, sf: str) -> DataFrame:
+    from souk.operators.marts import cohort_retention as ret
+    o = io.load(spark, sf, "orders")
+    return ret(o, "o_custkey", "o_orderdate")
+
+
+@query("seller_scorecard", """
+SELECT l_suppkey AS seller_id, s_nationkey AS nationkey,
+       COUNT(DISTINCT l_orderkey) AS orders, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS revenue,
+       CAST(COUNT(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) / COUNT(*) AS return_share,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) / COUNT(*) AS mean_price,
+       CAST(RANK() OVER (PARTITION BY s_nationkey ORDER BY SUM(CAST(l_extendedprice AS DECIMAL(12,2))) DESC) AS BIGINT) AS rank_in_nation
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+GROUP BY l_suppkey, s_nationkey
+""")
+def seller_scorecard(spark: SparkSession, sf: str) -> DataFrame:
+    from souk.operators.marts import seller_scorecard as sc
+    li = io.load(spark, sf, "lineitem")
+    s = io.load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
+                                             F.col("s_nationkey").alias("nationkey"))
+    return sc(li.join(s, "l_suppkey"))
+
+
+@query("metrics_agg", """
+SELECT event_type || ':' || strftime(ts, '%Y-%m-%d') AS metric_key, COUNT(*) AS n,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total,
+       MAX(value) AS max_value
+FROM events GROUP BY 1
+""")
+def metrics_agg(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events")
+    key = F.concat(F.col("event_type"), F.lit(":"), F.date_format("ts", "yyyy-MM-dd"))
+    return (ev.groupBy(key.alias("metric_key"))
+              .agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).cast(DEC).alias("total"),
+                   F.max("value").alias("max_value")))
+
+
+# ------------------------------------------------------------- 2.E - 2.G
+
+def sales_order():
+    return [F.col("amount").desc(), F.col("order_id"), F.col("line_no"), F.col("seller_id"),
+            F.col("qty"), F.col("dt"), F.col("category_name"), F.col("brand")]
+SALES_ORDER_SQL = "amount DESC, order_id, line_no, seller_id, qty, dt, category_name, brand"
+
+
+@query("topn_per_user", with_views(f"""
+SELECT user_id, order_id, line_no, amount, rn FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {SALES_ORDER_SQL}) AS rn FROM sales)
+WHERE rn <= 3
+""", sales=SALES_SQL))
+def topn_per_user(spark: SparkSession, sf: str) -> DataFrame:
+    return (W.topn_per_group(sales(spark, sf), ["user_id"], sales_order(), 3)
+              .select("user_id", "order_id", "line_no", "amount", "rn"))
+
+
+MULTI_WINDOW_SQL = """
+SELECT event_id, user_id, value,
+       ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id) AS DECIMAL(22,2)) AS group_total,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id) AS DOUBLE)
+         / COUNT(value) OVER (PARTITION BY user_id) AS group_avg
+FROM events
+"""
+
+
+@query("multi_window", MULTI_WINDOW_SQL)
+def multi_window(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events").select("event_id", "user_id", "value",
+                                            F.col("value").cast("decimal(12,2)").alias("v"))
+    out = W.multi_window(ev, ["user_id"], "v", [F.col("value").desc(), F.col("event_id")])
+    return out.withColumn("group_total", F.col("group_total").cast(DEC)).drop("v")
+
+
+@query("multi_window_sql", MULTI_WINDOW_SQL)
+def multi_window_sql(spark: SparkSession, sf: str) -> DataFrame:
+    io.load(spark, sf, "events").createOrReplaceTempView("souk_events")
+    return spark.sql("""
+        SELECT event_id, user_id, value,
+               CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS BIGINT) AS rn,
+               CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id) AS DECIMAL(22,2)) AS group_total,
+               CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id) AS DOUBLE)
+                 / COUNT(value) OVER (PARTITION BY user_id) AS group_avg
+        FROM souk_events""")
+
+
+@query("topn_sellers_per_category", with_views("""
+SELECT category_name, seller_id, total, rn FROM (
+  SELECT category_name, seller_id, CAST(SUM(amount) AS DECIMAL(22,2)) AS total,
+         ROW_NUMBER() OVER (PARTITION BY category_name ORDER BY SUM(amount) DESC, seller_id) AS rn
+  FROM sales GROUP BY category_name, seller_id)
+WHERE rn <= 5
+""", sales=SALES_SQL))
+def topn_sellers_per_category(spark: SparkSession, sf: str) -> DataFrame:
+    out = W.topn_groups(sales(spark, sf), ["category_name"], ["seller_id"], "amount", 5)
+    return out.withColumn("total", F.col("total").cast(DEC))
+
+
+SESSIONIZE_SQL = """
+SELECT event_id, user_id, ts,
+       SUM(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session_no
+FROM (SELECT *, CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                       OR ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE
+                     THEN 1 ELSE 0 END AS new FROM events)
+"""
+
+
+@query("sessionize", SESSIONIZE_SQL)
+def sessionize(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events")
+    return (W.sessionize(ev, "user_id", "ts", "event_id", 1800)
+              .select("event_id", "user_id", "ts", F.col("session_no").cast("bigint")))
+
+
+@query("session_window_agg", f"""
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS events
+FROM ({SESSIONIZE_SQL}) GROUP BY user_id, session_no
+""")
+def session_window_agg(spark: SparkSession, sf: str) -> DataFrame:
+    """Built-in session_window: same sessions as the lag + running-sum form."""
+    ev = io.load(spark, sf, "events")
+    g = ev.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s")).agg(F.count("*").alias("events"))
+    return g.select("user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
+                    F.col("s.end").cast("timestamp_ntz").alias("session_end"), "events")
+
+
+@query("topk_sellers", with_views("""
+SELECT seller_id, CAST(SUM(amount) AS DECIMAL(22,2)) AS revenue FROM sales
+GROUP BY seller_id ORDER BY revenue DESC, seller_id LIMIT 5
+""", sales=SALES_SQL))
+def topk_sellers(spark: SparkSession, sf: str) -> DataFrame:
+    agg = sales(spark, sf).groupBy("seller_id").agg(F.sum("amount").cast(DEC).alias("revenue"))
+    return W.topk(agg, [F.col("revenue").desc(), F.col("seller_id")], 5)
+
+
+@query("reconcile", f"""
+WITH a AS (SELECT year(l_shipdate) AS ship_year, COUNT(*) AS actual_rows,
+                  CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS actual_sum
+           FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER_SQL}) AS rn
+                 FROM lineitem) WHERE rn = 1 GROUP BY 1),
+c AS (SELECT year(l_shipdate) AS ship_year, COUNT(*) AS control_rows,
+             CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS control_sum
+      FROM lineitem GROUP BY 1)
+SELECT COALESCE(a.ship_year, c.ship_year) AS ship_year, actual_rows, actual_sum, control_rows, control_sum,
+       CASE WHEN actual_rows IS NULL THEN 'missing' WHEN control_rows IS NULL THEN 'extra'
+            WHEN actual_rows <> control_rows
+              OR CAST(abs(COALESCE(actual_sum, 0) - COALESCE(control_sum, 0)) AS DOUBLE) / abs(CAST(control_sum AS DOUBLE)) > 0.001
+            THEN 'mismatch' ELSE 'ok' END AS status
+FROM a FULL OUTER JOIN c ON a.ship_year = c.ship_year
+""")
+def reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Deduplicated (silver) lines against the raw control, per ship year."""
+    li = io.load(spark, sf, "lineitem")
+    order = [F.col(LINE_ORDER[0]).desc()] + [F.col(c) for c in LINE_ORDER[1:]]
+    silver = S.dedup_by_key(li, ["l_orderkey", "l_linenumber"], order)
+    prep = lambda d: d.select(F.year("l_shipdate").alias("ship_year"),
+                              F.col("l_extendedprice").cast("decimal(12,2)").alias("m"))
+    out = W.reconcile(prep(silver), prep(li), ["ship_year"], "m")
+    return out.select("ship_year", "actual_rows", F.col("actual_sum").cast(DEC).alias("actual_sum"),
+                      "control_rows", F.col("control_sum").cast(DEC).alias("control_sum"), "status")
