@@ -33,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from souk.operators.windows import prefix_scan, time_block
+
 # Line grammar of the session logs.
 DAY_RE = r"(\d{2})\.(\d{2})\.(\d{4})_"
 DOC_RE = r"[A-Za-z][A-Za-z0-9]{1,19}_\d+"
@@ -100,101 +102,105 @@ def day_of(line: Column) -> Column:
                               F.regexp_extract(line, DAY_RE, 1))).otherwise(F.lit(""))
 
 
-def classify(lines: DataFrame) -> DataFrame:
+# Lines per block of the blocked scan in :func:`classify` (bounds the size
+# of every window group, however long a session is).
+LINES_PER_BLOCK = 50_000
+
+
+def classify(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) -> DataFrame:
     """Add ``kind``, ``prev`` and ``head_kind``/``head_lineno`` per line.
 
-    One Exchange on ``session``; the frame is sorted once by line number.
+    ``prev`` and ``head`` are "last earlier value" scans per session in line
+    order, computed as a blocked prefix scan (blocks of ``lines_per_block``
+    lines), so even a session holding a large share of all lines is spread
+    over many tasks.
     """
-    w = Window.partitionBy("session").orderBy("lineno")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     k = lines.withColumn("kind", line_kind(F.col("line")))
     is_head = ~F.col("kind").isin("P", "p", "E")
-    head = F.last(F.when(is_head, F.struct(F.col("kind").alias("k"), F.col("lineno").alias("n"))),
-                  ignorenulls=True).over(before)
-    return (k.withColumn("prev", F.lag("kind").over(w))
-             .withColumn("_head", head)
-             .select("session", "lineno", "line", "kind", "prev",
-                     F.col("_head.k").alias("head_kind"), F.col("_head.n").alias("head_lineno")))
+    head = F.when(is_head, F.struct(F.col("kind").alias("k"), F.col("lineno").alias("n")))
+    block = F.floor(F.col("lineno") / lines_per_block).cast("bigint")
+    scanned = prefix_scan(k, ["session"], block, ["lineno"],
+                          lasts={"prev": F.col("kind"), "_head": head})
+    return scanned.select("session", "lineno", "line", "kind", "prev",
+                          F.col("_head.k").alias("head_kind"), F.col("_head.n").alias("head_lineno"))
 
 
-def _attached(c: DataFrame) -> Column:
+def _attached() -> Column:
     return (F.col("kind") == "R") & ((F.col("head_kind") == "C")
                                     | ((F.col("head_kind") == "Q") & (F.col("prev") == "Q")))
 
 
 # ------------------------------------------------------------------ events
 
-def parse_sessions(lines: DataFrame) -> DataFrame:
+def parse_sessions(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) -> DataFrame:
     """Events ``(session, lineno, kind, day, search_id, docs, params, doc)``.
 
-    kind is ``QS``, ``CARD`` or ``OPEN``. Results and parameters are joined
-    to their search by ``(session, head line)``: both sides are keyed by the
-    same columns, so the joins reuse the partitioning by session.
+    kind is ``QS``, ``CARD`` or ``OPEN``. Every line that contributes to an
+    event gets the line number of the event's head line (its own for
+    QS/CARD/OPEN, ``head_lineno`` for an attached result or a card
+    parameter); one aggregation by ``(session, event line)`` then builds
+    the events in a single pass over the classified lines. A group holds
+    the lines of one event only (partial aggregation applies).
     """
-    c = classify(lines)
-    results = (c.where(_attached(c))
-                .select("session", F.col("head_lineno").alias("lineno"),
-                        F.regexp_extract("line", r"^(-?\d+)", 1).alias("search_id"),
-                        F.regexp_extract_all(F.regexp_extract("line", r"^-?\d+(.*)$", 1),
-                                             F.lit(DOC_RE), 0).alias("docs")))
-    params = (c.where((F.col("kind") == "P") & (F.col("head_kind") == "C"))
-               .select("session", F.col("head_lineno").alias("lineno"), F.col("lineno").alias("pline"),
-                       F.regexp_extract("line", PARAM_RE, 1).alias("pid"),
-                       F.trim(F.regexp_extract("line", PARAM_RE, 2)).alias("pval"))
-               .groupBy("session", "lineno", "pid")
-               .agg(F.max_by("pval", "pline").alias("pval"))
-               .groupBy("session", "lineno")
-               .agg(F.map_from_entries(F.collect_list(F.struct("pid", "pval"))).alias("params")))
-    searches = (c.where(F.col("kind").isin("Q", "C"))
-                 .select("session", "lineno", F.when(F.col("kind") == "Q", "QS").otherwise("CARD").alias("kind"),
-                         day_of(F.col("line")).alias("day"))
-                 .join(results, ["session", "lineno"], "left")
-                 .join(params, ["session", "lineno"], "left")
-                 .select("session", "lineno", "kind", "day", "search_id",
-                         F.coalesce("docs", F.array().cast("array<string>")).alias("docs"),
-                         F.coalesce("params", F.create_map().cast("map<string,string>")).alias("params"),
-                         F.lit(None).cast("string").alias("doc")))
-    opens = _opens(c).where("valid").select(
-        "session", "lineno", F.lit("OPEN").alias("kind"), day_of(F.col("line")).alias("day"),
-        F.col("sid").alias("search_id"), F.array().cast("array<string>").alias("docs"),
-        F.create_map().cast("map<string,string>").alias("params"), F.col("odoc").alias("doc"))
-    return searches.unionByName(opens)
-
-
-def _opens(c: DataFrame) -> DataFrame:
+    c = classify(lines, lines_per_block)
+    k = F.col("kind")
+    att = _attached()
+    is_param = (k == "P") & (F.col("head_kind") == "C")
     tok = F.split(F.col("line"), r"\s+")
     n = F.size(tok)
-    sid = F.when(n >= 4, tok[2]).when(n >= 3, tok[1]).otherwise(F.lit(""))
-    doc = F.when(n >= 4, tok[3]).when(n >= 3, tok[2]).otherwise(F.lit(""))
-    return (c.where(F.col("kind") == "O")
-             .withColumn("sid", sid).withColumn("odoc", doc)
-             .withColumn("valid", F.col("sid").rlike(INT_RE) & F.col("odoc").rlike(f"^{DOC_RE}$")))
-
-
-def parse_warnings(lines: DataFrame) -> DataFrame:
+    o_sid = F.when(n >= 4, tok[2]).when(n >= 3, tok[1]).otherwise(F.lit(""))
+    o_doc = F.when(n >= 4, tok[3]).when(n >= 3, tok[2]).otherwise(F.lit(""))
+    o_valid = (k == "O") & o_sid.rlike(INT_RE) & o_doc.rlike(f"^{DOC_RE}$")
+    event_line = (F.when(k.isin("Q", "C") | o_valid, F.col("lineno"))
+                   .when(att | is_param, F.col("head_lineno")))
+    rows = c.select(
+        "session", event_line.alias("ev"), "lineno",
+        F.when(k == "Q", "QS").when(k == "C", "CARD").when(o_valid, "OPEN").alias("ekind"),
+        F.when(k.isin("Q", "C", "O"), day_of(F.col("line"))).alias("eday"),
+        F.when(att, F.regexp_extract("line", r"^(-?\d+)", 1)).when(o_valid, o_sid).alias("sid"),
+        F.when(att, F.regexp_extract_all(F.regexp_extract("line", r"^-?\d+(.*)$", 1), F.lit(DOC_RE), 0)).alias("rdocs"),
+        F.when(is_param, F.struct(F.regexp_extract("line", PARAM_RE, 1).alias("pid"), F.col("lineno").alias("pline"),
+                                  F.trim(F.regexp_extract("line", PARAM_RE, 2)).alias("pval"))).alias("param"),
+        F.when(o_valid, o_doc).alias("odoc")).where(F.col("ev").isNotNull())
+    g = rows.groupBy("session", "ev").agg(
+        F.max("ekind").alias("kind"), F.max("eday").alias("day"), F.max("sid").alias("search_id"),
+        F.first("rdocs", ignorenulls=True).alias("docs"),
+        F.array_sort(F.collect_list("param")).alias("_params"), F.max("odoc").alias("doc"))
+    ps = F.col("_params")
+    # last value per parameter id: sorted by (pid, line), keep the last entry of each pid
+    last_per_id = F.filter(ps, lambda x, i: (i + 1 == F.size(ps)) | (F.element_at(ps, i + 2)["pid"] != x["pid"]))
+    params = F.map_from_entries(F.transform(last_per_id, lambda x: F.struct(x["pid"], x["pval"])))
+    return g.select("session", F.col("ev").alias("lineno"), "kind", "day", "search_id",
+                    F.coalesce("docs", F.array().cast("array<string>")).alias("docs"),
+                    params.alias("params"), "doc")
+
+
+def parse_warnings(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) -> DataFrame:
     """Warnings ``(session, line, reason, text)``; texts cut at 80 characters
-    (120 for DOC_OPEN lines). A line can carry two warnings."""
-    c = classify(lines)
-    cut80, cut120 = F.substring("line", 1, 80), F.substring("line", 1, 120)
+    (120 for DOC_OPEN lines). A line can carry two warnings; all rules are
+    evaluated in one projection and exploded (one pass over the lines)."""
+    c = classify(lines, lines_per_block)
     k, head = F.col("kind"), F.col("head_kind")
-    frames = [
-        c.where((F.col("prev") == "Q") & (k != "R")).select("session", "lineno", F.lit(W_QS).alias("reason"),
-                                                            F.lit(None).cast("string").alias("text")),
-        c.where(k.isin("S", "Q", "C", "O", "X") & (head == "C"))
-         .select("session", "lineno", F.lit(W_IN_CARD).alias("reason"), cut80.alias("text")),
-        c.where((k == "p") & (head == "C"))
-         .select("session", "lineno", F.lit(W_BAD_PARAM).alias("reason"), F.col("line").alias("text")),
-        c.where((k == "R") & ~_attached(c))
-         .select("session", "lineno", F.lit(W_UNATTACHED).alias("reason"), cut80.alias("text")),
-        c.where((k == "X") | (k.isin("P", "p", "E") & (F.coalesce(head, F.lit("")) != "C")))
-         .select("session", "lineno", F.lit(W_UNKNOWN).alias("reason"), cut80.alias("text")),
-        _opens(c).where(~F.col("valid"))
-         .select("session", "lineno", F.lit(W_BAD_OPEN).alias("reason"), cut120.alias("text")),
+    cut80, cut120 = F.substring("line", 1, 80), F.substring("line", 1, 120)
+    tok = F.split(F.col("line"), r"\s+")
+    n = F.size(tok)
+    o_sid = F.when(n >= 4, tok[2]).when(n >= 3, tok[1]).otherwise(F.lit(""))
+    o_doc = F.when(n >= 4, tok[3]).when(n >= 3, tok[2]).otherwise(F.lit(""))
+    bad_open = (k == "O") & ~(o_sid.rlike(INT_RE) & o_doc.rlike(f"^{DOC_RE}$"))
+    none = F.lit(None).cast("string")
+    rules = [
+        ((F.col("prev") == "Q") & (k != "R"), W_QS, none),
+        (k.isin("S", "Q", "C", "O", "X") & (head == "C"), W_IN_CARD, cut80),
+        ((k == "p") & (head == "C"), W_BAD_PARAM, F.col("line")),
+        ((k == "R") & ~_attached(), W_UNATTACHED, cut80),
+        ((k == "X") | (k.isin("P", "p", "E") & (F.coalesce(head, F.lit("")) != "C")), W_UNKNOWN, cut80),
+        (bad_open, W_BAD_OPEN, cut120),
     ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.withColumnRenamed("lineno", "line")
+    found = F.array(*[F.when(cond, F.struct(F.lit(r).alias("reason"), txt.alias("text")))
+                      for cond, r, txt in rules])
+    return (c.select("session", F.col("lineno").alias("line"),
+                     F.explode(F.filter(found, lambda x: x.isNotNull())).alias("w"))
+             .select("session", "line", "w.reason", "w.text"))
 
 
 # ----------------------------------------------------------------- metrics
@@ -209,20 +215,30 @@ def quick_search_opens(events: DataFrame) -> DataFrame:
     """Metric 2: dated opens of documents found by the quick search they
     reference, counted per (day, doc).
 
-    Hits are deduplicated ``(session, search_id, doc)``; opens are not. Keys
-    of the join include the session, because search ids are only unique
-    inside a session. Both sides are aggregated/filtered before the join.
+    Hits are deduplicated ``(session, search_id, doc)``; opens are not. The
+    key includes the session because search ids are only unique inside a
+    session. One scan of the events, no join: hits and opens become items
+    of one frame, counted per ``(session, search_id, doc, day)`` (a hit is
+    the row with day NULL), then per ``(session, search_id, doc)`` the open
+    counts per day are kept when a hit exists. Every group is bounded by the
+    number of distinct days, whatever the number of opens.
     """
-    hits = (events.where(F.col("kind") == "QS")
-                  .select("session", F.coalesce("search_id", F.lit("")).alias("search_id"),
-                          F.explode("docs").alias("doc"))
-                  .distinct())
-    opens = (events.where((F.col("kind") == "OPEN") & (F.col("day") != "")
-                          & F.col("search_id").isNotNull() & F.col("doc").isNotNull())
-                   .select("session", "search_id", "doc", "day"))
-    return (opens.join(hits, ["session", "search_id", "doc"])
-                 .groupBy("day", "doc").agg(F.count("*").alias("count"))
-                 .orderBy("day", "doc"))
+    k = F.col("kind")
+    hit_items = F.transform("docs", lambda d: F.struct(F.coalesce(F.col("search_id"), F.lit("")).alias("sid"),
+                                                       d.alias("doc"), F.lit(None).cast("string").alias("day")))
+    open_item = F.array(F.struct(F.col("search_id").alias("sid"), F.col("doc").alias("doc"),
+                                 F.col("day").alias("day")))
+    is_open = ((k == "OPEN") & (F.col("day") != "") & F.col("search_id").isNotNull()
+               & F.col("doc").isNotNull())
+    items = F.when(k == "QS", hit_items).when(is_open, open_item)
+    x = events.select("session", F.explode(items).alias("i")).select("session", "i.sid", "i.doc", "i.day")
+    per_day = x.groupBy("session", "sid", "doc", "day").agg(F.count("*").alias("n"))
+    per_key = per_day.groupBy("session", "sid", "doc").agg(
+        F.max(F.col("day").isNull()).alias("hit"),
+        F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "n"))).alias("opens"))
+    return (per_key.where("hit").select("doc", F.explode("opens").alias("o"))
+                   .groupBy(F.col("o.day").alias("day"), "doc").agg(F.sum("o.n").alias("count"))
+                   .orderBy("day", "doc"))
 
 
 def session_diagnostics(lines: DataFrame, events: DataFrame, warnings: DataFrame) -> DataFrame:
@@ -267,12 +283,16 @@ def _k(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
 
-def synthetic_session_lines(events: DataFrame) -> DataFrame:
+def synthetic_session_lines(events: DataFrame, block_seconds: int = 86400) -> DataFrame:
     """Session logs derived from the ``events`` table (FIXTURES recipe):
     session = user, events in ``(ts, event_id)`` order, each event emits
     lines by its type. Returns ``(session, lineno, line)`` with contiguous
-    line numbers per session."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    line numbers per session.
+
+    The two sequential values (the last view's search id before an event,
+    and the running line count) are blocked prefix scans over day blocks,
+    so a very active user does not end up sorted in one task.
+    """
     k = _k(F.col("props"))
     sid = F.col("event_id") % 50
     t = F.col("event_type")
@@ -280,11 +300,19 @@ def synthetic_session_lines(events: DataFrame) -> DataFrame:
     s = F.col("sid").cast("string")
     law = lambda x: F.concat(F.lit("LAW_"), x.cast("string"))
     acc = lambda x: F.concat(F.lit("ACC_"), x.cast("string"))
-    last_view = F.last(F.when(t == "view", sid), ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, -1))
+    order = ["ts", "event_id"]
     ev = events.select("user_id", "event_id", "ts", "event_type", k.alias("k"), sid.alias("sid"),
-                       F.coalesce(last_view, F.lit(0)).alias("view_sid"), stamp.alias("stamp"))
+                       stamp.alias("stamp"))
     kk = F.col("k")
+    n_lines = (F.when(t == "view", F.when(kk % 10 != 0, 2).otherwise(1))
+                .when(t == "signup", 5)
+                .when(t == "error", F.when(kk % 2 == 1, 2).otherwise(1))
+                .otherwise(1))
+    # one scan: search id of the last earlier view, and lines before this event
+    ev = prefix_scan(ev.withColumn("n_lines", n_lines), ["user_id"], time_block("ts", block_seconds), order,
+                     sums={"_before": F.col("n_lines")},
+                     lasts={"_last_view": F.when(t == "view", F.col("sid"))})
+    ev = ev.withColumn("view_sid", F.coalesce("_last_view", F.lit(0))).drop("_last_view")
     text = (F.when(t == "view", F.concat_ws("\n", F.concat(F.lit("QS "), F.col("stamp"), F.lit(" {q"), kk.cast("string"), F.lit("}")),
                                            F.when(kk % 10 != 0, F.concat_ws(" ", s, law(kk % 7), acc(kk % 5), law((kk + 1) % 7)))))
              .when(t == "click", F.concat_ws(" ", F.lit("DOC_OPEN"), F.col("stamp"), F.col("view_sid").cast("string"), law(kk % 7)))
@@ -293,8 +321,7 @@ def synthetic_session_lines(events: DataFrame) -> DataFrame:
                                              F.lit("$134 text"), F.concat(F.lit("$0 "), acc(kk % 5)),
                                              F.lit("CARD_SEARCH_END"), F.concat_ws(" ", s, acc(kk % 5))))
              .otherwise(F.concat_ws("\n", F.lit("?? junk"), F.when(kk % 2 == 1, F.concat_ws(" ", s, law(F.lit(1)))))))
-    chunks = ev.select("user_id", "event_id", "ts", F.split(text, "\n").alias("lines"))
-    first = (F.sum(F.size("lines")).over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.size("lines") + 1)
-    numbered = chunks.select(F.col("user_id").cast("string").alias("session"), first.alias("first"), "lines")
+    numbered = ev.select(F.col("user_id").cast("string").alias("session"),
+                         (F.col("_before") + 1).alias("first"), F.split(text, "\n").alias("lines"))
     return (numbered.select("session", "first", F.posexplode("lines").alias("pos", "line"))
-                  .select("session", (F.col("first") + F.col("pos")).cast("int").alias("lineno"), "line"))
+                    .select("session", (F.col("first") + F.col("pos")).cast("int").alias("lineno"), "line"))

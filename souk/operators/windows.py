@@ -42,19 +42,72 @@ def multi_window(df: DataFrame, by: Sequence[str], value: str, order: Sequence[C
                       / F.count(value).over(w_all)).alias("group_avg"))
 
 
-def sessionize(df: DataFrame, user: str, t: str, tie: str, gap_seconds: int = 1800) -> DataFrame:
+def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str],
+                sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None,
+                inclusive: bool = False) -> DataFrame:
+    """Running sums and last non-NULL values per key in ``order``, computed
+    in bounded blocks so that no task has to sort a whole (possibly hot) key.
+
+    ``block`` must be monotone in ``order`` (e.g. ``lineno div 100000`` or an
+    hour bucket of the time). Three steps:
+
+    1. the scan inside every ``(key, block)`` window (bounded groups);
+    2. one summary row per block (block sum, block's last non-NULL value)
+       and a carry per block: the scan over the summaries of the earlier
+       blocks of the key (one row per block, small);
+    3. the carry joined back on ``(key, block)`` - the same columns the
+       in-block window is partitioned by, so the big side is not reshuffled.
+
+    ``inclusive`` includes the current row. Sums over no row are 0.
+    """
+    sums, lasts = sums or {}, lasts or {}
+    b = "_blk"
+    d = df.withColumn(b, block)
+    w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                  0 if inclusive else -1)
+    for o, c in sums.items():
+        d = d.withColumn(f"_v_{o}", c).withColumn(f"_s_{o}", F.sum(f"_v_{o}").over(w))
+    for o, c in lasts.items():
+        d = d.withColumn(f"_v_{o}", c).withColumn(f"_l_{o}", F.last(f"_v_{o}", ignorenulls=True).over(w))
+    pos = F.struct(*[F.col(c) for c in order])
+    summary = d.groupBy(*keys, b).agg(
+        *[F.sum(f"_v_{o}").alias(f"_bs_{o}") for o in sums],
+        *[F.max_by(F.col(f"_v_{o}"), F.when(F.col(f"_v_{o}").isNotNull(), pos)).alias(f"_bl_{o}") for o in lasts])
+    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, b,
+                           *[F.sum(f"_bs_{o}").over(wb).alias(f"_cs_{o}") for o in sums],
+                           *[F.last(f"_bl_{o}", ignorenulls=True).over(wb).alias(f"_cl_{o}") for o in lasts])
+    j = d.join(carry, [*keys, b], "left")
+    outs = ([(F.coalesce(F.col(f"_s_{o}"), F.lit(0)) + F.coalesce(F.col(f"_cs_{o}"), F.lit(0))).alias(o)
+             for o in sums]
+            + [F.coalesce(F.col(f"_l_{o}"), F.col(f"_cl_{o}")).alias(o) for o in lasts])
+    helper = [c for c in j.columns if c.startswith(("_v_", "_s_", "_l_", "_cs_", "_cl_")) or c == b]
+    return j.select(*[c for c in j.columns if c not in helper], *outs)
+
+
+def time_block(t: str, seconds: int = 3600) -> Column:
+    """Monotone block id from a timestamp: whole ``seconds`` since the epoch."""
+    return F.floor(F.unix_seconds(F.col(t).cast("timestamp")) / seconds).cast("bigint")
+
+
+def sessionize(df: DataFrame, user: str, t: str, tie: str, gap_seconds: int = 1800,
+               block_seconds: int = 86400) -> DataFrame:
     """Session number per user: a new session starts when the silence since
     the previous event exceeds ``gap_seconds`` (exactly the gap stays in).
 
-    ``lag`` + running ``sum`` over one partitioning by user; the session id
-    is ``(user, session_no)``.
+    Two blocked prefix scans (previous time, then the running count of
+    session starts), so a very active user is spread over day blocks instead
+    of being sorted in one task. The session id is ``(user, session_no)``.
     """
-    w = Window.partitionBy(user).orderBy(F.col(t), F.col(tie))
-    gap = F.unix_micros(F.col(t).cast("timestamp")) - F.unix_micros(F.lag(F.col(t)).over(w).cast("timestamp"))
-    new = F.when(gap.isNull() | (gap > F.lit(gap_seconds * 1_000_000)), 1).otherwise(0)
-    return (df.withColumn("_new", new)
-              .withColumn("session_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .drop("_new"))
+    order = [t, tie]
+    blk = time_block(t, block_seconds)
+    prev = prefix_scan(df, [user], blk, order, lasts={"_prev_t": F.col(t)})
+    gap = F.unix_micros(F.col(t).cast("timestamp")) - F.unix_micros(F.col("_prev_t").cast("timestamp"))
+    flagged = prev.withColumn("_new", F.when(gap.isNull() | (gap > F.lit(gap_seconds * 1_000_000)), 1)
+                              .otherwise(0)).drop("_prev_t")
+    out = prefix_scan(flagged, [user], time_block(t, block_seconds), order,
+                      sums={"session_no": F.col("_new")}, inclusive=True)
+    return out.drop("_new")
 
 
 def topk(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
