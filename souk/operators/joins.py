@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions.scalar import dedup_by_key
+from souk.operators.windows import prefix_scan
 
 # Largest dimension (rows) we broadcast on request; beyond it we shuffle.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -85,17 +86,16 @@ def asof_join(facts: DataFrame, changes: DataFrame, key: str, t: str, eff: str,
     greatest ``eff <= t`` for the same key (left semantics: NULL if none).
 
     Changes are turned into validity intervals ``[eff, next_eff)`` by a
-    window over the change log only (partitioned by key; the log is the
-    small side), then :func:`interval_join` on epoch days matches each fact
+    reversed blocked prefix scan over the change log, then :func:`interval_join` on epoch days matches each fact
     to exactly one interval. No non-equi join, no per-key sort of the facts.
     """
-    w = Window.partitionBy(key).orderBy(F.col(eff))
     day = lambda c: F.datediff(F.col(c).cast("date"), F.lit("1970-01-01").cast("date"))
-    intervals = (changes
-                 .withColumn("_next", F.lead(F.col(eff)).over(w))
-                 .select(key, *values, F.col(eff),
-                         day(eff).alias("_lo"),
-                         (day("_next") - 1).alias("_hi")))
+    # next change of the same key = last value of a scan in reverse order,
+    # blocked by time so a key with a very long change log is not one task
+    rev = changes.withColumn("_lo", day(eff)).withColumn("_neg", -F.col("_lo"))
+    nxt = prefix_scan(rev, [key], F.floor(F.col("_neg") / bucket_days), ["_neg"],
+                      lasts={"_next_lo": F.col("_lo")})
+    intervals = nxt.select(key, *values, F.col(eff), "_lo", (F.col("_next_lo") - 1).alias("_hi"))
     points = facts.withColumn("_t", day(t))
     # the open end of the last interval stops at the latest fact (scalar subquery)
     last_day = facts.agg(F.max(day(t))).scalar()

@@ -52,12 +52,19 @@ def dedup_events(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def dedup_colocated(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
-    """Repartition by the key once; the dedup's window then reuses that
-    partitioning (no second Exchange) and is exact across the whole input,
-    unlike a per-partition pre-dedup."""
-    parted = df.repartition(n, key) if n else df.repartition(key)
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in df.columns])
-    return parted.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Exact dedup by ``key`` with one Exchange on the key.
+
+    The aggregation's map-side partial step is the bounded-memory
+    "pre-dedup inside partitions"; the final step after the shuffle makes
+    it exact across partitions. A hot key crosses the shuffle as at most one
+    row per map partition. The survivor is the smallest row (deterministic),
+    and the output is hash-partitioned by ``key``, so later work keyed on it
+    reuses the partitioning.
+    """
+    others = [c for c in df.columns if c != key]
+    row = F.struct(*[F.col(c) for c in others])
+    g = df.groupBy(key) if n is None else df.repartition(n, key).groupBy(key)
+    return g.agg(F.min(row).alias("_r")).select(key, *[F.col("_r")[c].alias(c) for c in others])
 
 
 def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_date: str) -> DataFrame:

@@ -214,15 +214,19 @@ def stream_order_join(left: DataFrame, right: DataFrame, key: str, lt: str, rt:
     return l.join(r, cond, "inner").drop("_rkey")
 
 
-def co_viewed_pairs(df: DataFrame, session: Sequence[str], item: str, t: str, tie: str) -> DataFrame:
+def co_viewed_pairs(df: DataFrame, session: Sequence[str], item: str, t: str, tie: str,
+                    block_seconds: int = 86400) -> DataFrame:
     """Products viewed one right after the other in the same session,
-    counted as unordered pairs. Adjacent pairs only (``lead``), so the
-    output is bounded by the number of views - never all pairs of a group."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*session).orderBy(t, tie)
-    nxt = F.lead(item).over(w)
-    pairs = (df.select(F.col(item).alias("_a"), nxt.alias("_b"))
-               .where(F.col("_b").isNotNull() & (F.col("_a") != F.col("_b"))))
+    counted as unordered pairs. Adjacent pairs only (the next view), so the
+    output is bounded by the number of views - never all pairs of a group.
+    The next view is a reversed blocked prefix scan (no per-session sort of
+    a whole session in one task)."""
+    from souk.operators.windows import prefix_scan
+    micros = F.unix_micros(F.col(t).cast("timestamp"))
+    rev = df.select(*session, F.col(item).alias("_a"), (-micros).alias("_nt"), (-F.col(tie)).alias("_ntie"))
+    nxt = prefix_scan(rev, list(session), F.floor(F.col("_nt") / (block_seconds * 1_000_000)),
+                      ["_nt", "_ntie"], lasts={"_b": F.col("_a")})
+    pairs = nxt.where(F.col("_b").isNotNull() & (F.col("_a") != F.col("_b")))
     return (pairs.select(F.least("_a", "_b").alias("item_a"), F.greatest("_a", "_b").alias("item_b"))
                  .groupBy("item_a", "item_b").agg(F.count("*").alias("co_views")))
 
