@@ -35,6 +35,14 @@ def hash_sample(df: DataFrame, key: str, fraction: float, buckets: int = 10000)
     return df.where(knuth_bucket(F.col(key), buckets) < int(round(fraction * buckets)))
 
 
+def limit_fraction(df: DataFrame, order: Sequence[Column], fraction: float) -> DataFrame:
+    """The first ``floor(count * fraction)`` rows in a total ``order`` (a
+    sampling operator: the limit is the feature). The count is one scalar
+    job; the limit after a sort runs as a distributed top-k."""
+    n = int(df.count() * fraction)
+    return df.orderBy(*order).limit(n)
+
+
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first by ``order`` (which must end in a unique tie-break).
 

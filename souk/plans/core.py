@@ -299,7 +299,7 @@ FROM (SELECT order_id, user_id, items, unnest(items[1:2]) AS it FROM nested)
 def nested_build_slice(spark: SparkSession, sf: str) -> DataFrame:
     """Build the nested orders, cut each array to two items, explode, read fields."""
     n = nested_orders(spark, sf)
-    return (n.select("order_id", "user_id", F.size("items").alias("n_items"),
+    return (n.select("order_id", "user_id", F.size("items").cast("bigint").alias("n_items"),
                      F.explode(F.slice("items", 1, 2)).alias("it"))
               .select("order_id", "user_id", F.col("it.line").alias("line"),
                       F.col("it.unit_cents").alias("unit_cents"), F.col("it.qty").alias("qty"),
@@ -335,6 +335,15 @@ def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     return S.hash_sample(c, "c_custkey", 0.10).select("c_custkey", "c_name", "c_mktsegment")
 
 
+@query("limit_fraction", """
+SELECT c_custkey, c_name FROM customer ORDER BY c_custkey
+LIMIT CAST(floor((SELECT COUNT(*) FROM customer) * 0.1) AS BIGINT)
+""")
+def limit_fraction(spark: SparkSession, sf: str) -> DataFrame:
+    c = io.load(spark, sf, "customer").select("c_custkey", "c_name")
+    return S.limit_fraction(c, [F.col("c_custkey")], 0.1)
+
+
 LINE_ORDER = ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
               "l_returnflag", "l_linestatus", "l_shipdate"]
 LINE_ORDER_SQL = ("l_extendedprice DESC, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, "
@@ -851,7 +860,7 @@ def topn_sellers_per_category(spark: SparkSession, sf: str) -> DataFrame:
 
 SESSIONIZE_SQL = """
 SELECT event_id, user_id, ts,
-       SUM(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session_no
+       CAST(SUM(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no
 FROM (SELECT *, CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
                        OR ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE
                      THEN 1 ELSE 0 END AS new FROM events)
@@ -887,11 +896,11 @@ def topk_sellers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("reconcile", f"""
-WITH a AS (SELECT year(l_shipdate) AS ship_year, COUNT(*) AS actual_rows,
+WITH a AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, COUNT(*) AS actual_rows,
                   CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS actual_sum
            FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER_SQL}) AS rn
                  FROM lineitem) WHERE rn = 1 GROUP BY 1),
-c AS (SELECT year(l_shipdate) AS ship_year, COUNT(*) AS control_rows,
+c AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, COUNT(*) AS control_rows,
              CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS control_sum
       FROM lineitem GROUP BY 1)
 SELECT COALESCE(a.ship_year, c.ship_year) AS ship_year, actual_rows, actual_sum, control_rows, control_sum,
