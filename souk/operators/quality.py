@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from souk.functions.scalar import dedup_by_key
 
-REPORT_COLS = ["check_name", "item", "value", "threshold", "passed"]
-
-
 class QualityGateFailed(RuntimeError):
     pass
 
@@ -169,6 +166,14 @@ def dq_gate(report: DataFrame, fail_on_error: bool = True) -> tuple[DataFrame, s
     return report, status
 
 
+def with_gate_status(report: DataFrame) -> DataFrame:
+    """The report with the gate outcome on every row ('passed' when all
+    checks passed). A window over the report itself - one row per check,
+    small by construction - so no extra job is needed."""
+    ok = F.min(F.coalesce(F.col("passed"), F.lit(False)).cast("int")).over(Window.partitionBy())
+    return report.withColumn("gate", F.when(ok == 1, "passed").otherwise("failed"))
+
+
 def lineage_rows(job: str, inputs: dict[str, DataFrame], outputs: dict[str, DataFrame],
                  version: str) -> DataFrame:
     """One row per (job run, dataset): role, name and row count. The counts

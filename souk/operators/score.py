@@ -111,6 +111,3 @@ def score_history(df: DataFrame, entity: Sequence[str], period: str, score: str,
     w = Window.partitionBy(*entity).orderBy(period)
     return df.withColumn("change", _round(F.col(score) - F.lag(score).over(w), digits))
 
-
-def lit_weights(weights: dict[str, float]) -> dict[str, Column]:
-    return {k: F.lit(v) for k, v in weights.items()}

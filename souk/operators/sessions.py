@@ -67,6 +67,14 @@ def read_session_files(spark: SparkSession, path: str, charset: str = "windows-1
     return raw
 
 
+def write_session_files(lines: DataFrame, path: str) -> None:
+    """Write ``(session, lineno, line)`` as one text file per session
+    (``path/session=<id>/part-*``), lines in order: rows are clustered by
+    session and sorted by line number inside each task before the write."""
+    (lines.repartition("session").sortWithinPartitions("session", "lineno")
+          .select("session", "line").write.mode("overwrite").partitionBy("session").text(path))
+
+
 def session_lines(files: DataFrame, session: str = "session", content: str = "content") -> DataFrame:
     """Split texts on ``\\r?\\n`` into ``(session, lineno, line)``.
 

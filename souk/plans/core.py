@@ -63,8 +63,7 @@ def _roundtrip(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
         back = io.normalise_types(io.read_table(spark, path, fmt, raw_schema), SALES_COLS_SCHEMA)
     else:
         back = io.read_table(spark, path, fmt)
-    return revenue_per_category_of(back, "amount", "qty").withColumn(
-        "n_lines", F.col("n_lines"))
+    return revenue_per_category_of(back, "amount", "qty")
 
 
 def revenue_per_category_of(df: DataFrame, price: str, qty: str) -> DataFrame:

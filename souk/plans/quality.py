@@ -247,9 +247,7 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     not raised)."""
     report = (completeness(spark, sf).unionByName(integrity(spark, sf))
               .unionByName(uniqueness(spark, sf)).unionByName(validity(spark, sf)))
-    report = report.persist()
-    _, status = Q.dq_gate(report, fail_on_error=False)
-    return report.withColumn("gate", F.lit(status))
+    return Q.with_gate_status(report)
 
 
 @query("lineage_rows")

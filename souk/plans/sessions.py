@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.operators import sessions as SL
 from souk.plans.registry import query
+from souk.session import scratch_path
 from souk.sources import io
 
 # Fixed value: document searched for by metric 1 on the derived logs.
@@ -102,6 +103,28 @@ def quick_search_opens(spark: SparkSession, sf: str) -> DataFrame:
     return SL.quick_search_opens(derived_events(spark, sf))
 
 
+@query("session_job_files", DERIVED_SQL + """,
+hits AS (SELECT DISTINCT session, search_id, doc FROM (
+  SELECT session, CAST(sid AS VARCHAR) AS search_id,
+         unnest(['LAW_' || (k % 7), 'ACC_' || (k % 5), 'LAW_' || ((k + 1) % 7)]) AS doc
+  FROM lin2 WHERE event_type = 'view' AND k % 10 <> 0)),
+opens AS (SELECT session, CAST(view_sid AS VARCHAR) AS search_id, 'LAW_' || (k % 7) AS doc,
+                 strftime(ts, '%Y-%m-%d') AS day
+          FROM lin2 WHERE event_type = 'click')
+SELECT day, doc, COUNT(*) AS count FROM opens JOIN hits USING (session, search_id, doc)
+GROUP BY day, doc
+""")
+def session_job_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job on files: derived logs are written one text file per
+    session, then read -> parse -> metric files (metric 1 as one text line,
+    metric 2 as one CSV with header), and metric 2 is read back."""
+    root = scratch_path(spark, "session-job")
+    SL.write_session_files(derived_lines(spark, sf), f"{root}/logs")
+    out = SL.session_job(spark, f"{root}/logs", f"{root}/out", DERIVED_TARGET)
+    return (spark.read.schema("day string, doc string, count bigint").option("header", "true")
+                 .csv(out["metric2"]))
+
+
 @query("session_diagnostics", f"""
 WITH w AS ({WARNINGS_SQL})
 SELECT (SELECT COUNT(DISTINCT user_id) FROM events) AS sessions,
