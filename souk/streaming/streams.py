@@ -30,6 +30,32 @@ def kafka_available(spark: SparkSession) -> bool:
 
 # ------------------------------------------------------------------ input
 
+def topic_stream(spark: SparkSession, topic: str, schema, bootstrap: str | None = None,
+                 root: str | None = None, files_per_trigger: int = 1) -> DataFrame:
+    """Read a topic as a stream of typed rows.
+
+    With a bootstrap server and the Kafka connector on the classpath the
+    topic is read from Kafka and the JSON value parsed with ``schema``;
+    otherwise the topic is the directory ``root/topic`` of Parquet files."""
+    if bootstrap and kafka_available(spark):
+        raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+               .option("subscribe", topic).option("startingOffsets", "earliest").load())
+        return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("v")).select("v.*")
+    return file_stream(spark, f"{root.rstrip('/')}/{topic}", schema, files_per_trigger)
+
+
+def write_topic(df: DataFrame, topic: str, key: str, ckpt: str, bootstrap: str | None = None,
+                root: str | None = None) -> StreamingQuery:
+    """Write a stream to a topic (Kafka JSON values keyed by ``key`` when
+    available, else Parquet files under ``root/topic``)."""
+    if bootstrap and kafka_available(df.sparkSession):
+        out = df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+        w = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+             .option("topic", topic).option("checkpointLocation", ckpt).trigger(availableNow=True))
+        return run_to_end(w.start())
+    return run_to_end(start_available_now(df, ckpt, path=f"{root.rstrip('/')}/{topic}"))
+
+
 def stage_stream_input(df: DataFrame, path: str, t: str, chunks: int) -> str:
     """Write ``df`` as ``chunks`` time-ordered appends (oldest first), so a
     file stream with ``maxFilesPerTrigger`` replays it in event-time order.
