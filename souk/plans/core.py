@@ -487,21 +487,26 @@ def asof_price(spark: SparkSession, sf: str) -> DataFrame:
               .select("order_id", "line_no", "partkey", "order_dt", "eff_dt", "price"))
 
 
-# IP fixture: 64 ranges of 2^26 addresses, each only partly used (gaps),
-# owned by nation (range % 25); customer ip = (custkey * 2654435761) % 2^32.
+# IP fixture (FIXTURES 4): every nation owns three consecutive blocks of
+# 2^26 addresses (range id = nationkey * 3 + j, the first 64 kept), each only
+# partly used (gaps); customer ip = (custkey * 2654435761) % 2^32.
 IP_RANGES_SQL = """
-SELECT r AS range_id, r % 25 AS nationkey,
-       CAST(r * 67108864 AS BIGINT) AS lo,
-       CAST(r * 67108864 + 33554432 + (r * 1000003) % 16777216 AS BIGINT) AS hi
-FROM range(0, 64) t(r)
+SELECT idx AS range_id, n_nationkey AS nationkey,
+       CAST(idx * 67108864 AS BIGINT) AS lo,
+       CAST(idx * 67108864 + 33554432 + (idx * 1000003) % 16777216 AS BIGINT) AS hi
+FROM (SELECT n_nationkey, CAST(n_nationkey AS BIGINT) * 3 + j AS idx FROM nation, range(0, 3) t(j))
+WHERE idx < 64
 """
 
 
-def ip_ranges(spark: SparkSession) -> DataFrame:
-    r = F.col("id")
-    return spark.range(0, 64).select(r.alias("range_id"), (r % 25).alias("nationkey"),
-                                     (r * 67108864).alias("lo"),
-                                     (r * 67108864 + 33554432 + (r * 1000003) % 16777216).alias("hi"))
+def ip_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    n = io.load(spark, sf, "nation")
+    idx = (F.col("n_nationkey").cast("bigint") * 3 + F.col("j")).alias("idx")
+    r = (n.select("n_nationkey", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))).alias("j"))
+          .select("n_nationkey", idx).where(F.col("idx") < 64))
+    i = F.col("idx")
+    return r.select(i.alias("range_id"), F.col("n_nationkey").alias("nationkey"), (i * 67108864).alias("lo"),
+                    (i * 67108864 + 33554432 + (i * 1000003) % 16777216).alias("hi"))
 
 
 @query("ip_range_join", with_views("""
@@ -512,7 +517,7 @@ LEFT JOIN ranges ON ip BETWEEN lo AND hi
 def ip_range_join(spark: SparkSession, sf: str) -> DataFrame:
     c = io.load(spark, sf, "customer").select(
         "c_custkey", F.pmod(F.col("c_custkey") * F.lit(S.KNUTH), F.lit(4294967296)).alias("ip"))
-    out = J.interval_join(c, ip_ranges(spark), [], "ip", "lo", "hi", 1 << 22, "left")
+    out = J.interval_join(c, ip_ranges(spark, sf), [], "ip", "lo", "hi", 1 << 22, "left")
     return out.select("c_custkey", "ip", "range_id", "nationkey")
 
 

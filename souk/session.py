@@ -19,6 +19,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # partitions sized to fit executor memory: scans split at 128 MB, AQE
+    # coalesces / splits shuffle partitions towards 128 MB
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # cp1251 session logs are decoded with decode(..., 'windows-1251').
@@ -48,6 +52,19 @@ def get_spark(master: str | None = None, app: str = "souk",
     return spark
 
 
+def sizing_conf(total_cores: int, shuffle_bytes: int, target_bytes: int = 128 << 20) -> dict:
+    """Initial shuffle partitions for a cluster: enough for ~``target_bytes``
+    per partition of the largest shuffle and at least two waves of tasks.
+    AQE then coalesces small partitions and splits skewed ones at runtime.
+
+    >>> sizing_conf(4000, 100 << 40)["spark.sql.shuffle.partitions"]
+    '819200'
+    """
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_bytes))
+    return {"spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts)}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
