@@ -134,8 +134,10 @@ def classify(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) -> DataFr
 
 
 def _attached() -> Column:
-    return (F.col("kind") == "R") & ((F.col("head_kind") == "C")
-                                    | ((F.col("head_kind") == "Q") & (F.col("prev") == "Q")))
+    """A result line that belongs to the search at its head (NULL-safe: a
+    line without head or previous line is never attached)."""
+    head, prev = F.coalesce(F.col("head_kind"), F.lit("")), F.coalesce(F.col("prev"), F.lit(""))
+    return (F.col("kind") == "R") & ((head == "C") | ((head == "Q") & (prev == "Q")))
 
 
 # ------------------------------------------------------------------ events
