@@ -140,6 +140,36 @@ def _attached() -> Column:
     return (F.col("kind") == "R") & ((head == "C") | ((head == "Q") & (prev == "Q")))
 
 
+def _open_parts() -> tuple[Column, Column, Column]:
+    """(search id, doc, valid) of a DOC_OPEN line: tokens by whitespace; 4+
+    tokens -> (3rd, 4th), 3 tokens -> (2nd, 3rd)."""
+    tok = F.split(F.col("line"), r"\s+")
+    n = F.size(tok)
+    sid = F.when(n >= 4, tok[2]).when(n >= 3, tok[1]).otherwise(F.lit(""))
+    doc = F.when(n >= 4, tok[3]).when(n >= 3, tok[2]).otherwise(F.lit(""))
+    valid = (F.col("kind") == "O") & sid.rlike(INT_RE) & doc.rlike(f"^{DOC_RE}$")
+    return sid, doc, valid
+
+
+def _warning_items() -> Column:
+    """All warnings of a classified line as ``array<struct<reason, text>>``."""
+    k, head = F.col("kind"), F.col("head_kind")
+    cut80, cut120 = F.substring("line", 1, 80), F.substring("line", 1, 120)
+    _, _, o_valid = _open_parts()
+    none = F.lit(None).cast("string")
+    rules = [
+        ((F.col("prev") == "Q") & (k != "R"), W_QS, none),
+        (k.isin("S", "Q", "C", "O", "X") & (head == "C"), W_IN_CARD, cut80),
+        ((k == "p") & (head == "C"), W_BAD_PARAM, F.col("line")),
+        ((k == "R") & ~_attached(), W_UNATTACHED, cut80),
+        ((k == "X") | (k.isin("P", "p", "E") & (F.coalesce(head, F.lit("")) != "C")), W_UNKNOWN, cut80),
+        ((k == "O") & ~o_valid, W_BAD_OPEN, cut120),
+    ]
+    found = F.array(*[F.when(cond, F.struct(F.lit(r).alias("reason"), txt.alias("text")))
+                      for cond, r, txt in rules])
+    return F.filter(found, lambda x: x.isNotNull())
+
+
 # ------------------------------------------------------------------ events
 
 def parse_sessions(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) -> DataFrame:
@@ -156,11 +186,7 @@ def parse_sessions(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) ->
     k = F.col("kind")
     att = _attached()
     is_param = (k == "P") & (F.col("head_kind") == "C")
-    tok = F.split(F.col("line"), r"\s+")
-    n = F.size(tok)
-    o_sid = F.when(n >= 4, tok[2]).when(n >= 3, tok[1]).otherwise(F.lit(""))
-    o_doc = F.when(n >= 4, tok[3]).when(n >= 3, tok[2]).otherwise(F.lit(""))
-    o_valid = (k == "O") & o_sid.rlike(INT_RE) & o_doc.rlike(f"^{DOC_RE}$")
+    o_sid, o_doc, o_valid = _open_parts()
     event_line = (F.when(k.isin("Q", "C") | o_valid, F.col("lineno"))
                    .when(att | is_param, F.col("head_lineno")))
     rows = c.select(
@@ -190,26 +216,7 @@ def parse_warnings(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) ->
     (120 for DOC_OPEN lines). A line can carry two warnings; all rules are
     evaluated in one projection and exploded (one pass over the lines)."""
     c = classify(lines, lines_per_block)
-    k, head = F.col("kind"), F.col("head_kind")
-    cut80, cut120 = F.substring("line", 1, 80), F.substring("line", 1, 120)
-    tok = F.split(F.col("line"), r"\s+")
-    n = F.size(tok)
-    o_sid = F.when(n >= 4, tok[2]).when(n >= 3, tok[1]).otherwise(F.lit(""))
-    o_doc = F.when(n >= 4, tok[3]).when(n >= 3, tok[2]).otherwise(F.lit(""))
-    bad_open = (k == "O") & ~(o_sid.rlike(INT_RE) & o_doc.rlike(f"^{DOC_RE}$"))
-    none = F.lit(None).cast("string")
-    rules = [
-        ((F.col("prev") == "Q") & (k != "R"), W_QS, none),
-        (k.isin("S", "Q", "C", "O", "X") & (head == "C"), W_IN_CARD, cut80),
-        ((k == "p") & (head == "C"), W_BAD_PARAM, F.col("line")),
-        ((k == "R") & ~_attached(), W_UNATTACHED, cut80),
-        ((k == "X") | (k.isin("P", "p", "E") & (F.coalesce(head, F.lit("")) != "C")), W_UNKNOWN, cut80),
-        (bad_open, W_BAD_OPEN, cut120),
-    ]
-    found = F.array(*[F.when(cond, F.struct(F.lit(r).alias("reason"), txt.alias("text")))
-                      for cond, r, txt in rules])
-    return (c.select("session", F.col("lineno").alias("line"),
-                     F.explode(F.filter(found, lambda x: x.isNotNull())).alias("w"))
+    return (c.select("session", F.col("lineno").alias("line"), F.explode(_warning_items()).alias("w"))
              .select("session", "line", "w.reason", "w.text"))
 
 
@@ -251,12 +258,15 @@ def quick_search_opens(events: DataFrame) -> DataFrame:
                    .orderBy("day", "doc"))
 
 
-def session_diagnostics(lines: DataFrame, events: DataFrame, warnings: DataFrame) -> DataFrame:
-    """One row: sessions, events and warnings of the run."""
-    s = lines.agg(F.count_distinct("session").alias("sessions"))
-    e = events.agg(F.count("*").alias("events"))
-    w = warnings.agg(F.count("*").alias("warnings"))
-    return s.select("sessions", e.scalar().alias("events"), w.scalar().alias("warnings"))
+def session_diagnostics(lines: DataFrame, lines_per_block: int = LINES_PER_BLOCK) -> DataFrame:
+    """One row: sessions, events and warnings of the run, from a single
+    aggregate over the classified lines (same rules as the parser)."""
+    c = classify(lines, lines_per_block)
+    _, _, o_valid = _open_parts()
+    is_event = F.col("kind").isin("Q", "C") | o_valid
+    return c.agg(F.count_distinct("session").alias("sessions"),
+                 F.count(F.when(is_event, 1)).alias("events"),
+                 F.sum(F.size(_warning_items())).cast("bigint").alias("warnings"))
 
 
 def warning_sample(warnings: DataFrame, per_session: int = 3, total: int = 10) -> DataFrame:

@@ -132,5 +132,4 @@ SELECT (SELECT COUNT(DISTINCT user_id) FROM events) AS sessions,
        (SELECT COUNT(*) FROM w) AS warnings
 """)
 def session_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
-    lines = derived_lines(spark, sf)
-    return SL.session_diagnostics(lines, SL.parse_sessions(lines), SL.parse_warnings(lines))
+    return SL.session_diagnostics(derived_lines(spark, sf))
