@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.operators.windows import rank_in_groups
+
 DEC = "decimal(22,2)"
 
 
@@ -64,5 +66,6 @@ def seller_scorecard(lines: DataFrame) -> DataFrame:
                      F.sum(price).cast(DEC).alias("revenue"),
                      (F.count(F.when(F.col("l_returnflag") == "R", 1)).cast("double") / F.count("*")).alias("return_share"),
                      (F.sum(price).cast("double") / F.count("*")).alias("mean_price")))
-    w = Window.partitionBy("nationkey").orderBy(F.col("revenue").desc())
-    return agg.withColumn("rank_in_nation", F.rank().over(w).cast("bigint"))
+    # rank inside the nation; a nation with very many sellers is ranked in
+    # revenue blocks instead of one sorted window (see rank_in_groups)
+    return rank_in_groups(agg, ["nationkey"], "revenue", [], "rank_in_nation", fn="rank")

@@ -85,6 +85,59 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequen
     return j.select(*[c for c in j.columns if c not in helper], *outs)
 
 
+def hot_group_blocks(df: DataFrame, keys: Sequence[str], value: Column, blocks: int = 1024,
+                     max_group_rows: int = 5_000_000, max_hot_groups: int = 10_000) -> DataFrame:
+    """Add ``_blk``: 0 for ordinary groups; for hot groups (more than
+    ``max(max_group_rows, total / max_hot_groups)`` rows) the index of the
+    value range the row falls in, counted from the largest value down.
+
+    Ranges come from ``percentile_approx`` (``blocks - 1`` cut points, a
+    mergeable sketch, so the hot group itself is reduced map-side). At most
+    ``max_hot_groups`` groups can exceed the bound, so the cut table that is
+    broadcast has a proven size bound. Equal values always share a block,
+    which keeps ranks with ties exact.
+    """
+    total = df.count()
+    bound = max(max_group_rows, total // max_hot_groups)
+    v = value.cast("double")
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > bound).select(*keys)
+    pcts = [i / blocks for i in range(1, blocks)]
+    cuts = (df.join(F.broadcast(hot), list(keys))
+              .groupBy(*keys).agg(F.percentile_approx(v, pcts, 100 * blocks).alias("_cuts")))
+    tagged = df.join(F.broadcast(cuts), list(keys), "left")
+    blk = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c > v)), F.lit(0))
+    return tagged.withColumn("_blk", blk.cast("int")).drop("_cuts")
+
+
+def rank_in_groups(df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str],
+                   out: str = "rn", fn: str = "row_number", **block_args) -> DataFrame:
+    """``row_number`` / ``rank`` by ``value`` descending (then ``tie``) per
+    group, without sorting a hot group in one task: the window runs per
+    ``(group, value block)`` and adds the row count of the earlier blocks."""
+    d = hot_group_blocks(df, keys, F.col(value), **block_args)
+    w = Window.partitionBy(*keys, "_blk").orderBy(F.col(value).desc(), *[F.col(c) for c in tie])
+    local = (F.row_number() if fn == "row_number" else F.rank()).over(w)
+    sizes = d.groupBy(*keys, "_blk").agg(F.count("*").alias("_size"))
+    wb = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sizes.select(*keys, "_blk", F.coalesce(F.sum("_size").over(wb), F.lit(0)).alias("_carry"))
+    return (d.withColumn("_local", local).join(carry, [*keys, "_blk"])
+             .withColumn(out, (F.col("_local") + F.col("_carry")).cast("bigint"))
+             .drop("_local", "_carry", "_blk"))
+
+
+def multi_window_skew_safe(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str],
+                           **block_args) -> DataFrame:
+    """:func:`multi_window` for groups of any size: the group total and
+    average come from an aggregate joined back (partial aggregation, AQE
+    splits a hot group on the join) and the row number from
+    :func:`rank_in_groups`."""
+    totals = df.groupBy(*by).agg(F.sum(value).alias("group_total"), F.count(value).alias("_cnt"))
+    ranked = rank_in_groups(df, by, value, tie, "rn", **block_args)
+    return (ranked.join(totals, list(by))
+                  .withColumn("group_avg", F.col("group_total").cast("double") / F.col("_cnt"))
+                  .drop("_cnt"))
+
+
 def time_block(t: str, seconds: int = 3600) -> Column:
     """Monotone block id from a timestamp: whole ``seconds`` since the epoch."""
     return F.floor(F.unix_seconds(F.col(t).cast("timestamp")) / seconds).cast("bigint")

@@ -83,3 +83,20 @@ def test_alert_sustained_islands(spark):
     df = spark.createDataFrame([("m", t0 + dt.timedelta(hours=h), 9) for h in hours], "metric string, ts timestamp_ntz, n int")
     got = sorted((r.hours, r.start.hour) for r in N.alert_sustained(df, ["metric"], "ts", F.col("n") > 5, 2).collect())
     assert got == [(2, 4), (3, 0)]
+
+
+def test_rank_in_groups_matches_window_with_ties(spark):
+    from pyspark.sql import Window
+
+    from souk.operators.windows import rank_in_groups
+    rnd = random.Random(5)
+    rows = [(g, i, float(rnd.randrange(0, 12))) for g in ("hot", "cold") for i in range(300 if g == "hot" else 20)]
+    df = spark.createDataFrame(rows, "g string, i int, v double")
+    for fn in ("row_number", "rank"):
+        got = rank_in_groups(df, ["g"], "v", ["i"] if fn == "row_number" else [], "r", fn=fn,
+                             blocks=7, max_group_rows=50)
+        w = Window.partitionBy("g").orderBy(F.col("v").desc(), *([F.col("i")] if fn == "row_number" else []))
+        ref = df.withColumn("r", (F.row_number() if fn == "row_number" else F.rank()).over(w).cast("bigint"))
+        key = lambda r: (r.g, r.i)
+        assert sorted(((r.g, r.i, r.r) for r in got.collect()), key=lambda t: t[:2]) == \
+            sorted(((r.g, r.i, r.r) for r in ref.collect()), key=lambda t: t[:2])
