@@ -250,7 +250,11 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return Q.with_gate_status(report)
 
 
-@query("lineage_rows")
+@query("lineage_rows", CANON_SQL + """
+SELECT 'build_silver' AS job, 'v1' AS version, 'input' AS role, 'raw_events' AS dataset, COUNT(*) AS rows FROM raw
+UNION ALL SELECT 'build_silver', 'v1', 'output', 'silver', COUNT(*) FROM clean
+UNION ALL SELECT 'build_silver', 'v1', 'output', 'quarantine', COUNT(*) FROM canon WHERE NOT json_valid(payload)
+""")
 def lineage_rows(spark: SparkSession, sf: str) -> DataFrame:
     raw = raw_events(spark, sf)
     clean, bad = Q.silver_clean(Q.canonical_events(raw))
