@@ -106,9 +106,39 @@ def versioned_batch_sink(path: str, transform: Callable[[DataFrame], DataFrame]
     return write
 
 
+def _snapshots(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{path}_snapshots")
+    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return None
+
+
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Final state of a versioned sink: latest batch per key."""
-    return latest_by_key(spark.read.parquet(path), keys, "batch_id").drop("batch_id")
+    """Final state of a versioned sink: latest batch per key. With a
+    compacted snapshot (:func:`compact_versioned_sink`) only the newest
+    snapshot and the batches after it are read."""
+    batches = spark.read.parquet(path)
+    snaps = _snapshots(spark, path)
+    if snaps is not None:
+        upto = snaps.agg(F.max("upto")).scalar()
+        newest = snaps.where(F.col("upto") == upto).drop("upto")
+        batches = newest.unionByName(batches.where(F.col("batch_id") > upto))
+    return latest_by_key(batches, keys, "batch_id").drop("batch_id")
+
+
+def compact_versioned_sink(spark: SparkSession, path: str, keys: Sequence[str], upto: int) -> None:
+    """Fold batches ``<= upto`` (and the previous snapshot) into a new
+    snapshot folder ``<path>_snapshots/upto=<upto>``; later readers skip the
+    folded batches. Written to a new folder, so a failed compaction leaves
+    the previous state readable."""
+    batches = spark.read.parquet(path)
+    snaps = _snapshots(spark, path)
+    src = batches.where(F.col("batch_id") <= upto)
+    if snaps is not None:
+        last = snaps.agg(F.max("upto")).scalar()
+        src = (snaps.where(F.col("upto") == last).drop("upto")
+                    .unionByName(batches.where((F.col("batch_id") > last) & (F.col("batch_id") <= upto))))
+    latest_by_key(src, keys, "batch_id").write.mode("overwrite").parquet(f"{path}_snapshots/upto={upto}")
 
 
 def run_to_end(query: StreamingQuery) -> StreamingQuery:

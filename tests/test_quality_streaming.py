@@ -83,3 +83,19 @@ def test_topic_routing_is_deterministic(spark):
     bad = r.where((F.col("partition") < 0) | F.col("topic").isNull()).count()
     assert bad == 0
     assert r.where("topic = 'orders'").select(F.max("partition")).first()[0] < 24
+
+
+def test_versioned_sink_compaction(spark):
+    ev = io.load(spark, SF001, "events")
+    path = K.stage_stream_input(ev, scratch_path(spark, "cmp-in"), "ts", 5)
+    m = K.stream_metrics(K.file_stream(spark, path, ev.schema, 1), "ts", ["event_type"], "1 day")
+    root = scratch_path(spark, "cmp-out")
+    K.run_to_end(K.start_available_now(m, f"{root}/_ckpt", sink=K.versioned_batch_sink(f"{root}/d"),
+                                       mode="update"))
+    keys = ["window_start", "event_type"]
+    before = sorted(tuple(r) for r in K.read_latest(spark, f"{root}/d", keys).collect())
+    K.compact_versioned_sink(spark, f"{root}/d", keys, 2)
+    K.compact_versioned_sink(spark, f"{root}/d", keys, 3)
+    after = sorted(tuple(r) for r in K.read_latest(spark, f"{root}/d", keys).collect())
+    assert after == before
+    assert sum(r[3] for r in after) == ev.count()
