@@ -115,8 +115,8 @@ def purchase_funnel(df: DataFrame, user: str, t: str, kind: str, tie: str,
     Per-user reductions only (``min`` of structs over the user's events
     after the previous step): one pass per step over the rows of that step
     joined to the per-user frontier, no window over a whole user history.
-    Result: one row per step with users reaching it and conversion from
-    the previous step and from step 1.
+    Result: one row per step with users reaching it and the conversion
+    from the previous step and from step 1.
     """
     ev = df.select(F.col(user).alias("_u"), F.struct(F.col(t), F.col(tie)).alias("_k"),
                    F.col(kind).alias("_kind"))
@@ -135,4 +135,9 @@ def purchase_funnel(df: DataFrame, user: str, t: str, kind: str, tie: str,
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
-    return out
+    # conversion on the per-step counts (one row per step: a tiny frame)
+    from pyspark.sql import Window
+    w = Window.orderBy("step")
+    prev, first = F.lag("users").over(w), F.first("users").over(w)
+    return (out.withColumn("conv_from_prev", F.when(prev > 0, F.col("users") / prev))
+               .withColumn("conv_from_first", F.when(first > 0, F.col("users") / first)))

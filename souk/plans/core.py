@@ -726,10 +726,15 @@ s3 AS (
   SELECT e.user_id
   FROM events e JOIN s2 ON e.user_id = s2.user_id
   WHERE e.event_type = 'purchase' AND (e.ts > s2.at.ts OR (e.ts = s2.at.ts AND e.event_id > s2.at.id))
-  GROUP BY e.user_id)
+  GROUP BY e.user_id),
+c AS (
 SELECT 1 AS step, 'view' AS name, (SELECT COUNT(*) FROM s1) AS users
 UNION ALL SELECT 2, 'click', (SELECT COUNT(*) FROM s2)
-UNION ALL SELECT 3, 'purchase', (SELECT COUNT(*) FROM s3)
+UNION ALL SELECT 3, 'purchase', (SELECT COUNT(*) FROM s3))
+SELECT step, name, users,
+       CASE WHEN LAG(users) OVER w > 0 THEN CAST(users AS DOUBLE) / LAG(users) OVER w END AS conv_from_prev,
+       CASE WHEN FIRST_VALUE(users) OVER w > 0 THEN CAST(users AS DOUBLE) / FIRST_VALUE(users) OVER w END AS conv_from_first
+FROM c WINDOW w AS (ORDER BY step)
 """)
 def purchase_funnel(spark: SparkSession, sf: str) -> DataFrame:
     out = A.purchase_funnel(io.load(spark, sf, "events"), "user_id", "ts", "event_type", "event_id",

@@ -125,6 +125,16 @@ def session_job_files(spark: SparkSession, sf: str) -> DataFrame:
                  .csv(out["metric2"]))
 
 
+@query("session_warning_sample", f"""
+WITH w AS ({WARNINGS_SQL}),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY session ORDER BY line, reason) AS rn FROM w)
+SELECT session, line, reason, text FROM r WHERE rn <= 3 ORDER BY session, line, reason LIMIT 10
+""")
+def session_warning_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """At most three warnings per session and ten overall (a bounded report)."""
+    return SL.warning_sample(session_warnings(spark, sf), 3, 10)
+
+
 @query("session_diagnostics", f"""
 WITH w AS ({WARNINGS_SQL})
 SELECT (SELECT COUNT(DISTINCT user_id) FROM events) AS sessions,
