@@ -97,10 +97,13 @@ def hot_group_blocks(df: DataFrame, keys: Sequence[str], value: Column, blocks:
     broadcast has a proven size bound. Equal values always share a block,
     which keeps ranks with ties exact.
     """
-    total = df.count()
-    bound = max(max_group_rows, total // max_hot_groups)
     v = value.cast("double")
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > bound).select(*keys)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    # bound = max(max_group_rows, total / max_hot_groups); the total is a lazy
+    # scalar subquery over the same per-group counts (no separate eager job)
+    total = counts.agg(F.sum("_n")).scalar()
+    bound = F.greatest(F.lit(max_group_rows).cast("bigint"), F.floor(total / max_hot_groups).cast("bigint"))
+    hot = counts.where(F.col("_n") > bound).select(*keys)
     pcts = [i / blocks for i in range(1, blocks)]
     cuts = (df.join(F.broadcast(hot), list(keys))
               .groupBy(*keys).agg(F.percentile_approx(v, pcts, 100 * blocks).alias("_cuts")))
