@@ -52,7 +52,7 @@ def _writers(spark, sf_dir):
     """Write-only benchmarks: sales in each format (8 files), and a growing
     share of the versioned fact (deterministic hash sample) as Parquet."""
     from souk.functions.scalar import hash_sample
-    from souk.plans.core import versioned_fact
+    from souk.plans.aggregates import versioned_fact
     from souk.plans.tables import sales
     from souk.session import scratch_path
     from souk.sources import io

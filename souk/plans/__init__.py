@@ -6,7 +6,7 @@ import importlib
 
 from souk.plans.registry import ORACLES, QUERIES
 
-_MODULES = ["core", "sessions", "incremental", "quality", "streams", "score", "series"]
+_MODULES = ["sources", "scalar", "joins", "aggregates", "windows", "sessions", "incremental", "quality", "streams", "score", "series"]
 
 
 def load_all() -> None:

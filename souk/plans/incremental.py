@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.operators import incremental as I
-from souk.plans.core import VERSIONED_SQL, versioned_fact
+from souk.plans.aggregates import VERSIONED_SQL, versioned_fact
 from souk.plans.registry import query
 from souk.plans.tables import with_views
 from souk.session import scratch_path

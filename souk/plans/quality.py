@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.scalar import payload_field
 from souk.operators import quality as Q
-from souk.plans.core import BROKEN_PROPS, broken_events
+from souk.plans.sources import BROKEN_PROPS, broken_events
 from souk.plans.registry import query
 from souk.session import scratch_path
 from souk.sources import io

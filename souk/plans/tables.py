@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from souk.sources.io import load
 
+# money results are exact decimals with this type in Spark and in the oracles
+DEC = "decimal(22,2)"
+
 # ---------------------------------------------------------------- sales
 SALES_SQL = """
 SELECT l_orderkey AS order_id, l_linenumber AS line_no, CAST(l_shipdate AS DATE) AS dt,
