@@ -108,10 +108,14 @@ def storage_inventory(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite",
-                      fmt: str = "parquet") -> None:
-    """Partitioned write; rows are clustered by the partition columns first
-    so each task writes few files (no small-file explosion)."""
-    (df.repartition(*[F.col(c) for c in by])
+                      fmt: str = "parquet", writers_per_value: int = 8) -> None:
+    """Partitioned write, rows clustered by the partition columns first so
+    each partition directory gets few files. A deterministic salt (hash of
+    the row, so a retried task writes the same rows) spreads every partition
+    value over up to ``writers_per_value`` tasks: a hot value is not written
+    by one task."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(writers_per_value))
+    (df.repartition(*[F.col(c) for c in by], salt)
        .write.mode(mode).format(fmt).partitionBy(*by).save(path))
 
 
