@@ -50,12 +50,12 @@ def full_rewrite(base: DataFrame, changes: DataFrame, keys: Sequence[str], cols:
                  op: str = "op") -> DataFrame:
     """Write the merged table to a *new* path (never the input path) and
     return it read back."""
+    from souk.sources.io import write_partitioned
     merged = merge_on_read(base, changes, keys, cols, version, op)
-    w = merged.repartition(*[F.col(c) for c in partition_by]) if partition_by else merged
-    w = w.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        write_partitioned(merged, path, list(partition_by))
+    else:
+        merged.write.mode("overwrite").parquet(path)
     return merged.sparkSession.read.parquet(path)
 
 
