@@ -66,3 +66,13 @@ def test_cdc_and_changes_between(spark):
     log = spark.createDataFrame([(1, "a", 1, "c"), (1, "b", 2, "u"), (2, "c", 1, "c"), (2, None, 2, "d")],
                                 "k int, v string, lsn int, op string")
     assert [tuple(r) for r in I.cdc_apply(log, ["k"], "lsn", "op").collect()] == [(1, "b", 2)]
+
+
+def test_daily_kpis_approx_distinct_close_to_exact(spark):
+    from souk.operators.aggregates import daily_kpis
+    from souk.plans.tables import sales
+    s = sales(spark, SF001)
+    exact = {r.order_dt: r.users for r in daily_kpis(s, "order_dt", "user_id", "amount", "qty").collect()}
+    approx = {r.order_dt: r.users for r in daily_kpis(s, "order_dt", "user_id", "amount", "qty", exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(1, 0.1 * exact[d]) for d in exact)
