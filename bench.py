@@ -83,7 +83,22 @@ def _prepared(spark, sf_dir):
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
+    from souk.operators import sessions as SL
+    from souk.sources import io
+    from souk.streaming import streams as K
+
     s = mat(sales(spark, sf_dir), "sales")
+    lines = mat(SL.synthetic_session_lines(io.load(spark, sf_dir, "events")), "lines")
+    ev = io.load(spark, sf_dir, "events")
+    staged = K.stage_stream_input(ev, scratch_path(spark, "bench-stream-in"), "ts", 6)
+
+    def stream_metrics_run():
+        root = scratch_path(spark, "bench-stream")
+        m = K.stream_metrics(K.file_stream(spark, staged, ev.schema, 1), "ts", ["event_type"], "1 hour",
+                             value="value")
+        K.run_to_end(K.start_available_now(m, f"{root}/_ckpt", sink=K.versioned_batch_sink(f"{root}/d"),
+                                           mode="update"))
+        return K.read_latest(spark, f"{root}/d", ["window_start", "event_type"])
     k = mat(skewed_orders(spark, sf_dir), "skewed")
     n = mat(nested_orders(spark, sf_dir), "nested")
     order = [F.col("amount").desc(), F.col("order_id"), F.col("line_no")]
@@ -95,6 +110,9 @@ def _prepared(spark, sf_dir):
         "op_s1_one_groupby": lambda: A.multi_agg(s, ["user_id"], "amount", "qty"),
         "op_s1_split_join": lambda: A.multi_agg_split(s, ["user_id"], "amount", "qty"),
         "op_s2_windows": lambda: W.multi_window(s, ["user_id"], "amount", order),
+        "op_session_metric2": lambda: SL.quick_search_opens(SL.parse_sessions(lines)),
+        "op_session_warnings": lambda: SL.parse_warnings(lines),
+        "op_stream_metrics": stream_metrics_run,
         "op_skew_sum_naive": lambda: A.plain_agg(k, ["seller_id"], "amount"),
         "op_skew_sum_salted": lambda: A.salted_agg(k, ["seller_id"], ["order_id", "line_no", "category_id"],
                                                    "amount"),
