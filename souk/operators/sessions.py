@@ -58,10 +58,15 @@ W_UNKNOWN = "unknown_line"
 def read_session_files(spark: SparkSession, path: str, charset: str = "windows-1251") -> DataFrame:
     """One row per file: ``(session = file path, content)``.
 
-    ``binaryFile`` + ``decode`` so the cp1251 text is decoded properly (the
-    session must have ``spark.sql.legacy.javaCharsets=true`` for that
-    charset). Every file is read by one task; files spread over tasks.
+    ``binaryFile`` + ``decode`` so the cp1251 text is decoded properly
+    (non-standard charsets need ``spark.sql.legacy.javaCharsets``, which is
+    switched on here). Every file is read by one task; files spread over
+    tasks.
     """
+    standard = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
+    if charset.lower() not in standard:
+        # Spark 4 only accepts the standard charsets unless this is enabled
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
            .select(F.col("path").alias("session"), F.decode("content", charset).alias("content")))
     return raw
