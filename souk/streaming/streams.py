@@ -149,15 +149,36 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def default_state_partitions(spark: SparkSession) -> int:
+    """State-store partitions for a new stateful query: the cluster's total
+    cores (every task slot holds one state partition)."""
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
 def start_available_now(df: DataFrame, ckpt: str, sink=None, mode: str = "append",
                         path: str | None = None, fmt: str = "parquet",
-                        partition_by: Sequence[str] = ()) -> StreamingQuery:
-    w = df.writeStream.option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True)
-    if sink is not None:
-        return w.foreachBatch(sink).start()
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w.format(fmt).start(path)
+                        partition_by: Sequence[str] = (),
+                        state_partitions: int | None = None) -> StreamingQuery:
+    """Start a query that drains the available input and stops.
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    stateful query (it is recorded in the checkpoint at the first start).
+    The stream runs on a clone of the session taken at ``start()``, so the
+    setting is applied only around the start and restored afterwards.
+    """
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        w = df.writeStream.option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True)
+        if sink is not None:
+            return w.foreachBatch(sink).start()
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        return w.format(fmt).start(path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
 
 
 # -------------------------------------------------------------- operators
