@@ -199,35 +199,33 @@ def stream_ingest(stream: DataFrame, ok: Column, reason: Column, bronze: str, ba
     return run_to_end(start_available_now(stream, ckpt, sink=write))
 
 
-def stream_ingest_late_policy(stream: DataFrame, t: str, delay_seconds: int, bronze: str, late: str,
+def stream_ingest_late_policy(stream: DataFrame, t: str, delay_seconds: int, out: str,
                               hwm: str, ckpt: str) -> StreamingQuery:
     """Explicit late-data policy: a row is late when its event time is more
     than ``delay_seconds`` behind the high-water mark (max event time of all
-    earlier batches). On-time rows go to ``bronze``, late rows to ``late``
-    (quarantine, never silently lost). The high-water mark is one row per
-    batch in ``hwm``; everything is written per batch id, so a retried batch
+    earlier batches). Every batch is written once to
+    ``out/batch_id=<n>/status=on_time|late`` (late rows are quarantined,
+    never silently lost). The high-water mark is one cumulative row per
+    batch in ``hwm``; everything is keyed by batch id, so a retried batch
     reproduces the same split."""
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        prev = None
         try:
             prev = (spark.read.parquet(hwm).where(F.col("batch_id") < batch_id)
                     .agg(F.max("max_ts")).first()[0])
         except Exception:  # noqa: BLE001 - no earlier batch yet
             prev = None
+        if prev is None:
+            is_late = F.lit(False)
+        else:
+            cutoff = F.lit(prev).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_seconds))
+            is_late = F.col(t).cast("timestamp") < cutoff
         b = batch.persist()
         try:
-            if prev is None:
-                is_late = F.lit(False)
-            else:
-                cutoff = F.lit(prev).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_seconds))
-                is_late = F.col(t).cast("timestamp") < cutoff
-            tagged = b.withColumn("_late", is_late)
-            tagged.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
-            (tagged.where("_late").drop("_late").withColumn("reason", F.lit("late"))
-                   .write.mode("overwrite").parquet(f"{late}/batch_id={batch_id}"))
-            cur = b.agg(F.max(F.col(t).cast("timestamp")).alias("m")).first()[0]
+            (b.withColumn("status", F.when(is_late, "late").otherwise("on_time"))
+              .write.mode("overwrite").partitionBy("status").parquet(f"{out}/batch_id={batch_id}"))
+            cur = b.agg(F.max(F.col(t).cast("timestamp"))).first()[0]
             top = max([x for x in (prev, cur) if x is not None], default=None)
             (spark.range(1).select(F.lit(top).cast("timestamp").alias("max_ts"))
                   .write.mode("overwrite").parquet(f"{hwm}/batch_id={batch_id}"))

@@ -42,10 +42,9 @@ def test_late_rows_are_quarantined(spark):
     ev, n_late = _events_with_late_rows(spark, path)
     stream = K.file_stream(spark, path, ev.schema, 1)
     root = scratch_path(spark, "late-out")
-    K.stream_ingest_late_policy(stream, "ts", 3600, f"{root}/bronze", f"{root}/late", f"{root}/hwm",
-                                f"{root}/_ckpt")
-    bronze = spark.read.parquet(f"{root}/bronze")
-    late = spark.read.parquet(f"{root}/late")
+    K.stream_ingest_late_policy(stream, "ts", 3600, f"{root}/out", f"{root}/hwm", f"{root}/_ckpt")
+    out = spark.read.parquet(f"{root}/out")
+    bronze, late = out.where("status = 'on_time'"), out.where("status = 'late'")
     assert late.count() == n_late
     assert late.where(F.pmod("event_id", F.lit(50)) != 0).count() == 0
     assert bronze.count() + late.count() == ev.count()
