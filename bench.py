@@ -102,7 +102,29 @@ def _prepared(spark, sf_dir):
     k = mat(skewed_orders(spark, sf_dir), "skewed")
     n = mat(nested_orders(spark, sf_dir), "nested")
     order = [F.col("amount").desc(), F.col("order_id"), F.col("line_no")]
+
+    # format reads on files written once: scan / select / aggregate per format
+    from pyspark.sql import types as T
+    typed = T.StructType([T.StructField(f.name, f.dataType) for f in s.schema.fields])
+    written = io.write_formats(s, scratch_path(spark, "bench-formats"), ["parquet", "orc", "csv", "json"], files=8)
+
+    def reader(fmt):
+        if fmt in io.TEXT_FORMATS:
+            raw = T.StructType([T.StructField(f.name, T.StringType()) for f in typed.fields])
+            return lambda: io.normalise_types(io.read_table(spark, written[fmt], fmt, raw), typed)
+        return lambda: io.read_table(spark, written[fmt], fmt)
+
+    reads = {}
+    for fmt in written:
+        r = reader(fmt)
+        reads[f"read_{fmt}_scan"] = (lambda r=r: r())
+        reads[f"read_{fmt}_select"] = (lambda r=r: r().where(F.col("category_name") == "PROMO")
+                                       .select("order_id", "seller_id", "amount", "qty"))
+        reads[f"read_{fmt}_aggregate"] = (lambda r=r: r().groupBy("category_name")
+                                          .agg(F.coalesce(F.sum(F.col("amount") * F.col("qty")), F.lit(0))
+                                               .alias("revenue")))
     return {
+        **reads,
         "op_c1_many_aggregates": lambda: A.multi_agg(s, ["user_id"], "amount", "qty"),
         "op_c2_top3_per_user": lambda: W.topn_per_group(s, ["user_id"], order, 3),
         "op_c3_nested_total": lambda: A.nested_total(n, ["user_id"], "items", "unit_cents", "qty"),
@@ -170,7 +192,10 @@ def main() -> None:
              "s1_split_vs_one_groupby": ("op_s1_split_join", "op_s1_one_groupby"),
              "write_csv_vs_parquet": ("write_csv", "write_parquet"),
              "write_json_vs_parquet": ("write_json", "write_parquet"),
-             "write_orc_vs_parquet": ("write_orc", "write_parquet")}
+             "write_orc_vs_parquet": ("write_orc", "write_parquet"),
+             "read_csv_vs_parquet_aggregate": ("read_csv_aggregate", "read_parquet_aggregate"),
+             "read_json_vs_parquet_aggregate": ("read_json_aggregate", "read_parquet_aggregate"),
+             "read_orc_vs_parquet_aggregate": ("read_orc_aggregate", "read_parquet_aggregate")}
     ratios = {k: round(timings[a] / timings[b], 3) for k, (a, b) in pairs.items()
               if timings.get(a) and timings.get(b)}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
