@@ -199,7 +199,10 @@ def main() -> None:
     ratios = {k: round(timings[a] / timings[b], 3) for k, (a, b) in pairs.items()
               if timings.get(a) and timings.get(b)}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_sec", "value": round(sum(timings.values()), 3),
+    headline = [n for n, _ in HEADLINE if n in timings]
+    total = round(sum(timings[n] for n in headline), 3)
+    print(json.dumps({"metric": "headline_total_sec", "value": total,
+                      "all_total_sec": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "ratios": ratios, "sf": sf, "cpus": cpus}))
     spark.stop()
 
