@@ -15,29 +15,53 @@ from pyspark.sql import functions as F
 from souk.functions.scalar import dedup_by_key
 from souk.operators.windows import prefix_scan
 
-# Largest dimension (rows) we broadcast on request; beyond it we shuffle.
+# Largest dimension we broadcast on request; beyond it we shuffle.
 MAX_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Bounded size check: counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Estimated in-memory bytes of a row: string/binary lengths plus
+    8 bytes for every other (fixed-width or nested) column."""
+    parts = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if t in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 8)
+        else:
+            parts.append(F.lit(8))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out + p
+    return out.cast("bigint")
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Bounded size check in one job over at most ``max_rows + 1`` rows:
+    the dimension qualifies if it has at most ``max_rows`` rows and an
+    estimated size of at most ``max_bytes``."""
+    rows, size = (df.limit(max_rows + 1)
+                  .agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first())
+    return rows <= max_rows and size <= max_bytes
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
              how: str = "left", strategy: str = "adaptive",
-             max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+             max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+             max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join a fact to a dimension.
 
     * ``merge``     - force a shuffled sort-merge join (hint ``merge``);
     * ``broadcast`` - broadcast ``dim`` if it has at most ``max_broadcast_rows``
-      rows, otherwise fall back to the adaptive plan;
+      rows and an estimated ``max_broadcast_bytes``, otherwise fall back to
+      the adaptive plan;
     * ``adaptive``  - no hint: static size threshold plus AQE's runtime
       conversion to broadcast / skew splitting decide.
     """
     if strategy == "merge":
         return fact.join(dim.hint("merge"), on, how)
-    if strategy == "broadcast" and fits_broadcast(dim, max_broadcast_rows):
+    if strategy == "broadcast" and fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
         return fact.join(F.broadcast(dim), on, how)
     if strategy not in {"merge", "broadcast", "adaptive", "auto"}:
         raise ValueError(f"unknown join strategy {strategy}")

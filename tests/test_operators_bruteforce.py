@@ -100,3 +100,17 @@ def test_rank_in_groups_matches_window_with_ties(spark):
         key = lambda r: (r.g, r.i)
         assert sorted(((r.g, r.i, r.r) for r in got.collect()), key=lambda t: t[:2]) == \
             sorted(((r.g, r.i, r.r) for r in ref.collect()), key=lambda t: t[:2])
+
+
+def test_broadcast_guard_checks_rows_and_bytes(spark):
+    from souk.operators.joins import fits_broadcast, join_dim
+    from helpers import plan_text
+    dim = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "k int, s string")
+    assert fits_broadcast(dim, 50, 10_000)
+    assert not fits_broadcast(dim, 49, 10_000)          # too many rows
+    assert not fits_broadcast(dim, 50, 1_000)           # too many bytes (~50 * 116)
+    fact = spark.range(200).select((F.col("id") % 60).cast("int").alias("k"))
+    big = join_dim(fact, dim, "k", "left", "broadcast", max_broadcast_rows=10)   # falls back
+    small = join_dim(fact, dim, "k", "left", "broadcast", max_broadcast_rows=100)
+    assert "BroadcastHashJoin" in plan_text(small, "simple")
+    assert big.count() == small.count() == 200
