@@ -9,6 +9,7 @@ from souk.functions import scalar as S
 from souk.operators import joins as J
 from souk.plans.registry import query
 from souk.plans.tables import DEC, SALES_SQL, sales, with_views
+from souk.session import scratch_path
 from souk.sources import io
 
 
@@ -175,3 +176,32 @@ def order_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
                                               F.col("l_linestatus").alias("status"), "l_returnflag")
     out = J.order_lifecycle(o, li.where(F.col("l_returnflag") == "R"), li, "order_id", "ts")
     return out.withColumn("refund_lines", F.coalesce("refund_lines", F.lit(0).cast("bigint")))
+
+
+# Bucket count of the co-located tables (both sides must use the same).
+JOIN_BUCKETS = 16
+
+
+@query("bucketed_join", """
+SELECT o_orderpriority, COUNT(*) AS n_lines,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+GROUP BY o_orderpriority
+""")
+def bucketed_join(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem and orders written bucketed by order key into the same
+    number of buckets; their join needs no shuffle of either side."""
+    import uuid
+    tag = uuid.uuid4().hex[:8]
+    li = io.load(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    o = io.load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    lb = io.write_bucketed(li, f"souk_lineitem_{tag}", ["l_orderkey"], JOIN_BUCKETS,
+                           scratch_path(spark, "bucketed-lineitem"))
+    ob = io.write_bucketed(o, f"souk_orders_{tag}", ["o_orderkey"], JOIN_BUCKETS,
+                           scratch_path(spark, "bucketed-orders"))
+    # sort-merge join on the buckets (what two large tables get): no
+    # Exchange below the join on either side
+    return (lb.join(ob.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+              .groupBy("o_orderpriority")
+              .agg(F.count("*").alias("n_lines"),
+                   F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast(DEC).alias("revenue")))

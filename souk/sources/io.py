@@ -119,6 +119,19 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
        .write.mode(mode).format(fmt).partitionBy(*by).save(path))
 
 
+def write_bucketed(df: DataFrame, name: str, by: list[str], buckets: int, path: str) -> DataFrame:
+    """Write ``df`` as an external table bucketed (and sorted) by ``by``.
+
+    Two tables bucketed by the same keys into the same number of buckets are
+    joined / aggregated on those keys without an Exchange on either side
+    (co-located). The files live at ``path`` (a shared folder); the session
+    catalog only holds the bucket spec. Returns the table.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
+       .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def split_quarantine(df: DataFrame, ok: Column, reason: Column) -> tuple[DataFrame, DataFrame]:
     """Split rows into (good, quarantined); bad rows keep a reason, none dropped.
 

@@ -76,3 +76,10 @@ def test_asof_join_is_an_equi_join(spark):
 def test_no_cross_join(spark, name):
     text = plan_text(QUERIES[name](spark, SF001), "simple")
     assert "CartesianProduct" not in text
+
+
+def test_bucketed_join_has_no_shuffle_below_the_join(spark):
+    text = plan_text(QUERIES["bucketed_join"](spark, SF001), "simple")
+    assert "SortMergeJoin" in text
+    below = text.split("SortMergeJoin", 1)[1]
+    assert "Exchange" not in below
