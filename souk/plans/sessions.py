@@ -33,6 +33,20 @@ lin2 AS (
 """
 
 
+# metric 2 expected from the recipe: distinct hits of views with results,
+# dated opens (clicks) joined on (session, search id, doc)
+METRIC2_SQL = DERIVED_SQL + """,
+hits AS (SELECT DISTINCT session, search_id, doc FROM (
+  SELECT session, CAST(sid AS VARCHAR) AS search_id,
+         unnest(['LAW_' || (k % 7), 'ACC_' || (k % 5), 'LAW_' || ((k + 1) % 7)]) AS doc
+  FROM lin2 WHERE event_type = 'view' AND k % 10 <> 0)),
+opens AS (SELECT session, CAST(view_sid AS VARCHAR) AS search_id, 'LAW_' || (k % 7) AS doc,
+                 strftime(ts, '%Y-%m-%d') AS day
+          FROM lin2 WHERE event_type = 'click')
+SELECT day, doc, COUNT(*) AS count FROM opens JOIN hits USING (session, search_id, doc)
+GROUP BY day, doc"""
+
+
 def derived_lines(spark: SparkSession, sf: str) -> DataFrame:
     return SL.synthetic_session_lines(io.load(spark, sf, "events"))
 
@@ -88,32 +102,12 @@ def card_search_count(spark: SparkSession, sf: str) -> DataFrame:
     return SL.card_search_count(derived_events(spark, sf), DERIVED_TARGET)
 
 
-@query("quick_search_opens", DERIVED_SQL + """,
-hits AS (SELECT DISTINCT session, search_id, doc FROM (
-  SELECT session, CAST(sid AS VARCHAR) AS search_id,
-         unnest(['LAW_' || (k % 7), 'ACC_' || (k % 5), 'LAW_' || ((k + 1) % 7)]) AS doc
-  FROM lin2 WHERE event_type = 'view' AND k % 10 <> 0)),
-opens AS (SELECT session, CAST(view_sid AS VARCHAR) AS search_id, 'LAW_' || (k % 7) AS doc,
-                 strftime(ts, '%Y-%m-%d') AS day
-          FROM lin2 WHERE event_type = 'click')
-SELECT day, doc, COUNT(*) AS count FROM opens JOIN hits USING (session, search_id, doc)
-GROUP BY day, doc ORDER BY day, doc
-""")
+@query("quick_search_opens", METRIC2_SQL + " ORDER BY day, doc")
 def quick_search_opens(spark: SparkSession, sf: str) -> DataFrame:
     return SL.quick_search_opens(derived_events(spark, sf))
 
 
-@query("session_job_files", DERIVED_SQL + """,
-hits AS (SELECT DISTINCT session, search_id, doc FROM (
-  SELECT session, CAST(sid AS VARCHAR) AS search_id,
-         unnest(['LAW_' || (k % 7), 'ACC_' || (k % 5), 'LAW_' || ((k + 1) % 7)]) AS doc
-  FROM lin2 WHERE event_type = 'view' AND k % 10 <> 0)),
-opens AS (SELECT session, CAST(view_sid AS VARCHAR) AS search_id, 'LAW_' || (k % 7) AS doc,
-                 strftime(ts, '%Y-%m-%d') AS day
-          FROM lin2 WHERE event_type = 'click')
-SELECT day, doc, COUNT(*) AS count FROM opens JOIN hits USING (session, search_id, doc)
-GROUP BY day, doc
-""")
+@query("session_job_files", METRIC2_SQL)
 def session_job_files(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job on files: derived logs are written one text file per
     session, then read -> parse -> metric files (metric 1 as one text line,
