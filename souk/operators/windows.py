@@ -61,27 +61,30 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequen
     ``inclusive`` includes the current row. Sums over no row are 0.
     """
     sums, lasts = sums or {}, lasts or {}
-    b = "_blk"
-    d = df.withColumn(b, block)
-    w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                  0 if inclusive else -1)
+    b, gk = "_blk", "_gk"
+    # the key as one struct column: struct equality treats NULL fields as
+    # equal, so a NULL key is one group in the window, the summaries and the
+    # join alike, and all three use the same (struct, block) partitioning
+    d = df.withColumn(gk, F.struct(*[F.col(k) for k in keys])).withColumn(b, block)
+    w = Window.partitionBy(gk, b).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                               0 if inclusive else -1)
     for o, c in sums.items():
         d = d.withColumn(f"_v_{o}", c).withColumn(f"_s_{o}", F.sum(f"_v_{o}").over(w))
     for o, c in lasts.items():
         d = d.withColumn(f"_v_{o}", c).withColumn(f"_l_{o}", F.last(f"_v_{o}", ignorenulls=True).over(w))
     pos = F.struct(*[F.col(c) for c in order])
-    summary = d.groupBy(*keys, b).agg(
+    summary = d.groupBy(gk, b).agg(
         *[F.sum(f"_v_{o}").alias(f"_bs_{o}") for o in sums],
         *[F.max_by(F.col(f"_v_{o}"), F.when(F.col(f"_v_{o}").isNotNull(), pos)).alias(f"_bl_{o}") for o in lasts])
-    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, b,
+    wb = Window.partitionBy(gk).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(gk, b,
                            *[F.sum(f"_bs_{o}").over(wb).alias(f"_cs_{o}") for o in sums],
                            *[F.last(f"_bl_{o}", ignorenulls=True).over(wb).alias(f"_cl_{o}") for o in lasts])
-    j = d.join(carry, [*keys, b], "left")
+    j = d.join(carry, [gk, b], "left")
     outs = ([(F.coalesce(F.col(f"_s_{o}"), F.lit(0)) + F.coalesce(F.col(f"_cs_{o}"), F.lit(0))).alias(o)
              for o in sums]
             + [F.coalesce(F.col(f"_l_{o}"), F.col(f"_cl_{o}")).alias(o) for o in lasts])
-    helper = [c for c in j.columns if c.startswith(("_v_", "_s_", "_l_", "_cs_", "_cl_")) or c == b]
+    helper = [c for c in j.columns if c.startswith(("_v_", "_s_", "_l_", "_cs_", "_cl_")) or c in (b, gk)]
     return j.select(*[c for c in j.columns if c not in helper], *outs)
 
 
