@@ -72,6 +72,29 @@ def read_session_files(spark: SparkSession, path: str, charset: str = "windows-1
     return raw
 
 
+def read_session_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(session, lineno, line)`` straight from the files, split-parallel.
+
+    ``read.text`` splits large files across tasks; inside one split rows
+    keep file order, so ``(file_block_start, monotonically_increasing_id)``
+    orders a file's lines, and the 1-based line number is a blocked prefix
+    count with the split as the block. A single huge session file is thus
+    read, numbered and parsed by many tasks. Lines end at ``\n`` only
+    (a ``\r`` before it is trimmed like any control character). Text is
+    decoded as UTF-8; use :func:`read_session_files` for cp1251 values
+    (the structure and the metrics are ASCII either way).
+    """
+    raw = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+           .select(F.col("_metadata.file_path").alias("session"),
+                   F.col("_metadata.file_block_start").alias("_split"),
+                   F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("raw")))
+    numbered = prefix_scan(raw, ["session"], F.col("_split"), ["_split", "_pos"],
+                           sums={"lineno": F.lit(1)}, inclusive=True)
+    line = F.regexp_replace("raw", r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return (numbered.select("session", F.col("lineno").cast("int").alias("lineno"), line.alias("line"))
+                    .where(F.length("line") > 0))
+
+
 def write_session_files(lines: DataFrame, path: str) -> None:
     """Write ``(session, lineno, line)`` as one text file per session
     (``path/session=<id>/part-*``), lines in order: rows are clustered by
@@ -283,13 +306,16 @@ def warning_sample(warnings: DataFrame, per_session: int = 3, total: int = 10) -
 
 
 def session_job(spark: SparkSession, input_path: str, out: str, doc: str = TARGET_DOC,
-                charset: str = "windows-1251") -> dict:
+                charset: str = "windows-1251", split_files: bool = False) -> dict:
     """read -> parse -> metrics -> write ``metric1.txt`` and ``metric2/`` CSV.
 
+    ``split_files`` reads lines split-parallel (:func:`read_session_lines`,
+    for very large session files) instead of one decoded text per file.
     The parsed events are persisted once (two metrics read them); metric 2
     is computed once and written as one CSV file with a header.
     """
-    lines = session_lines(read_session_files(spark, input_path, charset))
+    lines = (read_session_lines(spark, input_path) if split_files
+             else session_lines(read_session_files(spark, input_path, charset)))
     events = parse_sessions(lines).persist()
     try:
         m1 = card_search_count(events, doc)

@@ -119,6 +119,17 @@ def session_job_files(spark: SparkSession, sf: str) -> DataFrame:
                  .csv(out["metric2"]))
 
 
+@query("session_job_split_files", METRIC2_SQL)
+def session_job_split_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job on files read split-parallel (for very large session
+    files): lines numbered by split and position, then parsed as usual."""
+    root = scratch_path(spark, "session-job-split")
+    SL.write_session_files(derived_lines(spark, sf), f"{root}/logs")
+    out = SL.session_job(spark, f"{root}/logs", f"{root}/out", DERIVED_TARGET, split_files=True)
+    return (spark.read.schema("day string, doc string, count bigint").option("header", "true")
+                 .csv(out["metric2"]))
+
+
 @query("session_warning_sample", f"""
 WITH w AS ({WARNINGS_SQL}),
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY session ORDER BY line, reason) AS rn FROM w)

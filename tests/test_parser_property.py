@@ -144,3 +144,23 @@ def test_rules_equal_sequential_loop(spark):
         ev, w = loop_parse(text)
         assert sorted(got_ev.get(s, [])) == sorted(ev), (s, text)
         assert sorted(got_w.get(s, [])) == sorted(w), (s, text)
+
+
+def test_split_reader_numbers_lines_like_whole_file_reader(spark, tmp_path):
+    """Random sessions written as files (small splits forced), read both
+    ways: identical (session, lineno, line) rows."""
+    rnd = random.Random(99)
+    d = tmp_path / "logs"
+    d.mkdir()
+    for i in range(40):
+        text = "\n".join(random_session(rnd) for _ in range(rnd.randrange(1, 30)))
+        (d / f"s{i}").write_bytes(text.encode("utf-8"))
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")     # many splits per file
+    try:
+        split = SL.read_session_lines(spark, str(d)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    whole = SL.session_lines(SL.read_session_files(spark, str(d), "utf-8")).collect()
+    norm = lambda rows: sorted((r.session.rsplit("/", 1)[-1], r.lineno, r.line) for r in rows)
+    assert norm(split) == norm(whole)
