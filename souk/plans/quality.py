@@ -218,19 +218,22 @@ LAG_SLA_DAYS = 120
 
 
 @query("freshness_lag_p95", f"""
-SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
-       quantile_cont(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)), 0.95) AS lag_p95_days,
-       CAST(MAX(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS BIGINT) AS lag_max_days,
-       quantile_cont(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)), 0.95) <= {LAG_SLA_DAYS} AS sla_met
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1
+SELECT order_month, lag_p95_days, lag_max_days, lag_p95_days <= {LAG_SLA_DAYS} AS sla_met FROM (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
+         ROUND(quantile_cont(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)), 0.95), 6) AS lag_p95_days,
+         CAST(MAX(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS BIGINT) AS lag_max_days
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1)
 """)
 def freshness_lag_p95(spark: SparkSession, sf: str) -> DataFrame:
-    """p95 of ship lag per order month against the SLA (exact percentile)."""
+    """p95 of ship lag per order month against the SLA (exact percentile,
+    rounded to 6 decimals: interpolation differs in the last bits between
+    engines; the SLA flag is taken from the rounded value)."""
     li, o = io.load(spark, sf, "lineitem"), io.load(spark, sf, "orders")
     lag = F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
     g = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
            .groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("order_month"))
-           .agg(F.percentile(lag, 0.95).alias("lag_p95_days"), F.max(lag).cast("bigint").alias("lag_max_days")))
+           .agg(F.round(F.percentile(lag, 0.95), 6).alias("lag_p95_days"),
+                F.max(lag).cast("bigint").alias("lag_max_days")))
     return g.withColumn("sla_met", F.col("lag_p95_days") <= LAG_SLA_DAYS)
 
 
