@@ -87,6 +87,24 @@ def _prepared(spark, sf_dir):
     from souk.sources import io
     from souk.streaming import streams as K
 
+    from souk.operators import incremental as I
+    from souk.plans.incremental import COLS as UP_COLS
+    from souk.plans.incremental import KEYS as UP_KEYS
+    from souk.plans.incremental import base_layer, change_layer
+
+    base = mat(base_layer(spark, sf_dir), "up-base")
+    changes_df = change_layer(spark, sf_dir)
+    changes = mat(changes_df, "up-changes")
+
+    def upsert_rewrite():
+        out = scratch_path(spark, "bench-rewrite")
+        return I.full_rewrite(base, changes, UP_KEYS, UP_COLS, out, ["p_type"])
+
+    def write_changes():
+        out = scratch_path(spark, "bench-changes")
+        I.write_changes(changes_df, out)
+        return spark.read.parquet(out)
+
     s = mat(sales(spark, sf_dir), "sales")
     lines = mat(SL.synthetic_session_lines(io.load(spark, sf_dir, "events")), "lines")
     ev = io.load(spark, sf_dir, "events")
@@ -132,6 +150,9 @@ def _prepared(spark, sf_dir):
         "op_s1_one_groupby": lambda: A.multi_agg(s, ["user_id"], "amount", "qty"),
         "op_s1_split_join": lambda: A.multi_agg_split(s, ["user_id"], "amount", "qty"),
         "op_s2_windows": lambda: W.multi_window(s, ["user_id"], "amount", order),
+        "op_upsert_rewrite": upsert_rewrite,
+        "op_upsert_write_changes": write_changes,
+        "op_upsert_merge_read": lambda: I.merge_on_read(base, changes, UP_KEYS, UP_COLS),
         "op_session_metric2": lambda: SL.quick_search_opens(SL.parse_sessions(lines)),
         "op_session_warnings": lambda: SL.parse_warnings(lines),
         "op_stream_metrics": stream_metrics_run,
@@ -192,7 +213,8 @@ def main() -> None:
     pairs = {"join_broadcast_vs_sort_merge": ("join_broadcast", "join_sort_merge"),
              "join_adaptive_vs_sort_merge": ("join_adaptive", "join_sort_merge"),
              "skew_salted_vs_naive": ("op_skew_sum_salted", "op_skew_sum_naive"),
-             "upsert_rewrite_vs_merge_read": ("upsert_full_rewrite", "upsert_merge_on_read"),
+             "upsert_rewrite_vs_merge_read": ("op_upsert_rewrite", "op_upsert_merge_read"),
+             "upsert_write_changes_vs_merge_read": ("op_upsert_write_changes", "op_upsert_merge_read"),
              "s1_split_vs_one_groupby": ("op_s1_split_join", "op_s1_one_groupby"),
              "write_csv_vs_parquet": ("write_csv", "write_parquet"),
              "write_json_vs_parquet": ("write_json", "write_parquet"),
