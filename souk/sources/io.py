@@ -42,8 +42,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def normalise_types(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast every column named in ``schema`` to its type (after CSV/JSON reads)."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Cast every column named in ``schema`` to its type (after CSV/JSON reads).
+
+    ``try_cast``: a malformed value becomes NULL (for the completeness /
+    validity checks to report) instead of failing the whole job under ANSI.
+    """
+    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def format_available(spark: SparkSession, fmt: str) -> bool:

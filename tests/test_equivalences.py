@@ -76,3 +76,14 @@ def test_daily_kpis_approx_distinct_close_to_exact(spark):
     approx = {r.order_dt: r.users for r in daily_kpis(s, "order_dt", "user_id", "amount", "qty", exact=False).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[d] - exact[d]) <= max(1, 0.1 * exact[d]) for d in exact)
+
+
+def test_normalise_types_turns_bad_values_into_nulls(spark):
+    from pyspark.sql import types as T
+
+    from souk.sources.io import normalise_types
+    raw = spark.createDataFrame([("12.50", "3"), ("oops", "x"), (None, "7")], "amount string, qty string")
+    schema = T.StructType([T.StructField("amount", T.DecimalType(12, 2)), T.StructField("qty", T.IntegerType())])
+    got = [tuple(r) for r in normalise_types(raw, schema).collect()]
+    import decimal
+    assert got == [(decimal.Decimal("12.50"), 3), (None, None), (None, 7)]
