@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _avg(total: Column, n: Column) -> Column:
+    """sum / count as double; NULL for an empty (all-NULL) group instead of a
+    division-by-zero error under ANSI."""
+    return F.when(n > 0, total.cast("double") / n)
+
+
 def multi_agg(df: DataFrame, by: Sequence[str], value: str, counted: str) -> DataFrame:
     """sum / avg / min / max of ``value`` and ``count(counted)`` (NULLs skipped)
     per group in one pass. ``avg`` is sum/count so it is exact for decimals."""
@@ -22,7 +28,7 @@ def multi_agg(df: DataFrame, by: Sequence[str], value: str, counted: str) -> Dat
                    F.min(value).alias("min_value"),
                    F.max(value).alias("max_value"),
                    F.count(counted).alias("n_counted"))
-              .withColumn("avg_value", F.col("total").cast("double") / F.col("_n"))
+              .withColumn("avg_value", _avg(F.col("total"), F.col("_n")))
               .drop("_n"))
 
 
@@ -31,7 +37,7 @@ def multi_agg_split(df: DataFrame, by: Sequence[str], value: str, counted: str)
     Kept only to prove equality and to show the extra Exchanges."""
     a = (df.groupBy(*by).agg(F.sum(value).alias("total"), F.count(value).alias("_n"),
                              F.count(counted).alias("n_counted"))
-           .withColumn("avg_value", F.col("total").cast("double") / F.col("_n")).drop("_n"))
+           .withColumn("avg_value", _avg(F.col("total"), F.col("_n"))).drop("_n"))
     b = df.groupBy(*by).agg(F.min(value).alias("min_value"), F.max(value).alias("max_value"))
     return a.join(b, list(by))
 
@@ -95,7 +101,7 @@ def daily_kpis(df: DataFrame, day: str, user: str, amount: str, qty: str,
     return (df.groupBy(day)
               .agg(F.count("*").alias("orders"), users.alias("users"),
                    F.sum(amount).alias("revenue"), F.sum(qty).alias("qty"),
-                   (F.sum(amount).cast("double") / F.count(amount)).alias("avg_amount")))
+                   _avg(F.sum(amount), F.count(amount)).alias("avg_amount")))
 
 
 def sales_mart(df: DataFrame, t: Column, grain: str, by: Sequence[str], amount: str,

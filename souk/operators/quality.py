@@ -98,7 +98,7 @@ def check_completeness(df: DataFrame, cols: Sequence[str], min_share: float = 0.
     row = df.agg(*aggs)
     stacked = row.select("_n", F.explode(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).alias("ok"))
                                                    for c in cols])).alias("s"))
-    share = F.col("s.ok") / F.col("_n")
+    share = F.when(F.col("_n") > 0, F.col("s.ok") / F.col("_n"))
     return _report(stacked, "completeness", F.col("s.item"), share, min_share, share >= min_share)
 
 
@@ -128,7 +128,7 @@ def check_validity(df: DataFrame, rules: dict[str, Column], group: str | None =
     stacked = row.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("ok"))
                                                         for n in rules])).alias("s"))
     item = F.concat_ws(":", F.col("s.rule"), *(F.col(group).cast("string") for group in by))
-    share = F.col("s.ok") / F.col("_n")
+    share = F.when(F.col("_n") > 0, F.col("s.ok") / F.col("_n"))
     return _report(stacked, "validity", item, share, min_share, share >= min_share)
 
 

@@ -331,7 +331,7 @@ def session_job(spark: SparkSession, input_path: str, out: str, doc: str = TARGE
 # ------------------------------------------------- logs derived from events
 
 def _k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("int")
+    return F.get_json_object(props, "$.k").try_cast("int")
 
 
 def synthetic_session_lines(events: DataFrame, block_seconds: int = 86400) -> DataFrame:

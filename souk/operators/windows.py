@@ -38,8 +38,9 @@ def multi_window(df: DataFrame, by: Sequence[str], value: str, order: Sequence[C
     return df.select("*",
                      F.row_number().over(w_ord).cast("bigint").alias("rn"),
                      F.sum(value).over(w_all).alias("group_total"),
-                     (F.sum(value).over(w_all).cast("double")
-                      / F.count(value).over(w_all)).alias("group_avg"))
+                     F.when(F.count(value).over(w_all) > 0,
+                            F.sum(value).over(w_all).cast("double") / F.count(value).over(w_all))
+                      .alias("group_avg"))
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str],
@@ -140,7 +141,8 @@ def multi_window_skew_safe(df: DataFrame, by: Sequence[str], value: str, tie: Se
     totals = df.groupBy(*by).agg(F.sum(value).alias("group_total"), F.count(value).alias("_cnt"))
     ranked = rank_in_groups(df, by, value, tie, "rn", **block_args)
     return (ranked.join(totals, list(by))
-                  .withColumn("group_avg", F.col("group_total").cast("double") / F.col("_cnt"))
+                  .withColumn("group_avg", F.when(F.col("_cnt") > 0,
+                                                  F.col("group_total").cast("double") / F.col("_cnt")))
                   .drop("_cnt"))
 
 

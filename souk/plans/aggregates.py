@@ -38,7 +38,7 @@ def multi_agg_sql(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql("""
         SELECT user_id, CAST(SUM(amount) AS DECIMAL(22,2)) AS total,
                MIN(amount) AS min_value, MAX(amount) AS max_value, COUNT(qty) AS n_counted,
-               CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_value
+               try_divide(CAST(SUM(amount) AS DOUBLE), COUNT(amount)) AS avg_value
         FROM souk_sales GROUP BY user_id""")
 
 

@@ -65,8 +65,8 @@ def multi_window_sql(spark: SparkSession, sf: str) -> DataFrame:
         SELECT event_id, user_id, value,
                CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS BIGINT) AS rn,
                CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id) AS DECIMAL(22,2)) AS group_total,
-               CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id) AS DOUBLE)
-                 / COUNT(value) OVER (PARTITION BY user_id) AS group_avg
+               try_divide(CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id) AS DOUBLE),
+                          COUNT(value) OVER (PARTITION BY user_id)) AS group_avg
         FROM souk_events""")
 
 
