@@ -98,3 +98,15 @@ def test_versioned_sink_compaction(spark):
     after = sorted(tuple(r) for r in K.read_latest(spark, f"{root}/d", keys).collect())
     assert after == before
     assert sum(r[3] for r in after) == ev.count()
+
+
+def test_canonical_events_quarantine_bad_raw_values(spark):
+    raw = spark.createDataFrame([("1", "2024-01-01 10:00:00", "7", "view", '{"k": 1}'),
+                                 ("2", "not a time", "8", "view", '{"k": 2}'),
+                                 ("3", "2024-01-01 11:00:00", "x9", "click", '{"k": 3}'),
+                                 ("4", "2024-01-01 12:00:00", "9", "click", '{"k"')],
+                                "event_id string, ts string, user_id string, event_type string, props string")
+    clean, bad = Q.silver_clean(Q.canonical_events(raw))
+    assert [r.event_id for r in clean.collect()] == ["1"]
+    assert sorted((r.event_id, r.reason) for r in bad.collect()) == [
+        ("2", "missing_ts"), ("3", "missing_user"), ("4", "malformed_payload")]
