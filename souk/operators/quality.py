@@ -23,12 +23,13 @@ class QualityGateFailed(RuntimeError):
 def canonical_events(raw: DataFrame) -> DataFrame:
     """Six canonical fields + payload. Types by ``try_cast`` (bad values
     become NULL, never an error); ``ts`` is interpreted as UTC."""
+    ts = F.col("ts").try_cast("timestamp_ntz")
     return raw.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.lower(F.trim(F.col("event_type"))).alias("event_type"),
-        F.col("ts").try_cast("timestamp_ntz").alias("ts"),
+        ts.alias("ts"),
         F.col("user_id").try_cast("bigint").alias("user_id"),
-        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
+        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
         F.col("props").alias("payload"))
 
 
