@@ -246,7 +246,7 @@ def route_topics(df: DataFrame, rules: dict[str, tuple[str, str, int]], kind: st
         parts = F.when(cond, n) if parts is None else parts.when(cond, n)
     topic, key, parts = (topic.otherwise(default[0]), key.otherwise(F.col(default[1])),
                          parts.otherwise(default[2]))
-    return (df.withColumn("topic", topic).withColumn("key", key.cast("bigint"))
+    return (df.withColumn("topic", topic).withColumn("key", key.try_cast("bigint"))
               .withColumn("partition", F.pmod(F.col("key") * F.lit(KNUTH), parts.cast("bigint"))))
 
 
