@@ -21,9 +21,20 @@ def bucket(value: Column, bounds: Sequence[tuple[float, str]], default: str) ->
     return F.lit(default) if expr is None else expr.otherwise(default)
 
 
-def knuth_bucket(key: Column, n: int) -> Column:
-    """``(key * 2654435761) mod n`` in BIGINT arithmetic (reproducible in SQL)."""
-    return F.pmod(key.cast("bigint") * F.lit(KNUTH), F.lit(n))
+def knuth_bucket(key: Column, n: int | Column) -> Column:
+    """``(key * 2654435761) mod n`` for non-negative integer keys, computed as
+    ``((key mod n) * (2654435761 mod n)) mod n`` so that no intermediate
+    overflows BIGINT for any key (``n`` below 2^31); equal to the plain SQL
+    expression wherever that one does not overflow."""
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.pmod(F.pmod(key.cast("bigint"), n) * F.pmod(F.lit(KNUTH), n), n)
+
+
+def knuth_mod_2_32(key: Column) -> Column:
+    """``(key * 2654435761) mod 2^32`` exactly, via DECIMAL(38,0) (the plain
+    BIGINT product overflows for keys above ~3.5e9)."""
+    prod = key.cast("decimal(38,0)") * F.lit(KNUTH).cast("decimal(38,0)")
+    return F.pmod(prod, F.lit(4294967296).cast("decimal(38,0)")).cast("bigint")
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, buckets: int = 10000) -> DataFrame:

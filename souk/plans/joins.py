@@ -127,8 +127,7 @@ FROM (SELECT c_custkey, (c_custkey * 2654435761) % 4294967296 AS ip FROM custome
 LEFT JOIN ranges ON ip BETWEEN lo AND hi
 """, ranges=IP_RANGES_SQL))
 def ip_range_join(spark: SparkSession, sf: str) -> DataFrame:
-    c = io.load(spark, sf, "customer").select(
-        "c_custkey", F.pmod(F.col("c_custkey") * F.lit(S.KNUTH), F.lit(4294967296)).alias("ip"))
+    c = io.load(spark, sf, "customer").select("c_custkey", S.knuth_mod_2_32(F.col("c_custkey")).alias("ip"))
     out = J.interval_join(c, ip_ranges(spark, sf), [], "ip", "lo", "hi", 1 << 22, "left")
     return out.select("c_custkey", "ip", "range_id", "nationkey")
 

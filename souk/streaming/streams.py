@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from souk.functions.scalar import KNUTH
+from souk.functions.scalar import knuth_bucket
 from souk.operators.incremental import latest_by_key
 
 
@@ -247,7 +247,7 @@ def route_topics(df: DataFrame, rules: dict[str, tuple[str, str, int]], kind: st
     topic, key, parts = (topic.otherwise(default[0]), key.otherwise(F.col(default[1])),
                          parts.otherwise(default[2]))
     return (df.withColumn("topic", topic).withColumn("key", key.try_cast("bigint"))
-              .withColumn("partition", F.pmod(F.col("key") * F.lit(KNUTH), parts.cast("bigint"))))
+              .withColumn("partition", knuth_bucket(F.col("key"), parts.cast("bigint"))))
 
 
 def stream_dedup(stream: DataFrame, keys: Sequence[str], t: str, delay: str) -> DataFrame:

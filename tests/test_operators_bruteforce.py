@@ -114,3 +114,15 @@ def test_broadcast_guard_checks_rows_and_bytes(spark):
     small = join_dim(fact, dim, "k", "left", "broadcast", max_broadcast_rows=100)
     assert "BroadcastHashJoin" in plan_text(small, "simple")
     assert big.count() == small.count() == 200
+
+
+def test_knuth_hash_no_overflow_for_large_keys(spark):
+    from souk.functions.scalar import KNUTH, knuth_bucket, knuth_mod_2_32
+    keys = [0, 1, 3_500_000_000, 15_000_000_000, 9_000_000_000_000_000_000, 2**62 + 12345]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = df.select("k", knuth_bucket(F.col("k"), 10000).alias("b"), knuth_bucket(F.col("k"), 24).alias("p"),
+                    knuth_mod_2_32(F.col("k")).alias("ip")).collect()
+    for r in got:
+        assert r.b == (r.k * KNUTH) % 10000
+        assert r.p == (r.k * KNUTH) % 24
+        assert r.ip == (r.k * KNUTH) % 2**32
