@@ -76,7 +76,8 @@ def nested_total(df: DataFrame, by: Sequence[str], items: str, price: str = "uni
     empty/NULL survive with total 0 (the RDD twin's semantics)."""
     ex = F.explode_outer(items) if keep_empty else F.explode(items)
     rows = df.select(*by, ex.alias("_it"))
-    line = (F.col("_it")[price] * F.col("_it")[qty]).cast(acc_type)
+    line = (F.col("_it")[price] * F.col("_it")[qty]).cast("decimal(38,0)" if acc_type == "bigint" else acc_type)
+    # summed in DECIMAL(38,0): only a final total beyond the output type could fail
     return (rows.groupBy(*by)
                 .agg(F.coalesce(F.sum(line), F.lit(0)).cast(acc_type).alias(out)))
 
@@ -89,8 +90,9 @@ def nested_total_hof(df: DataFrame, by: Sequence[str], items: str, price: str =
     zero = F.lit(0).cast(acc_type)
     fold = F.aggregate(F.coalesce(F.col(items), F.array()), zero,
                        lambda acc, it: (acc + it[price] * it[qty]).cast(acc_type))
+    wide = "decimal(38,0)" if acc_type == "bigint" else acc_type
     return (df.select(*by, fold.alias("_t"))
-              .groupBy(*by).agg(F.sum("_t").cast(acc_type).alias(out)))
+              .groupBy(*by).agg(F.sum(F.col("_t").cast(wide)).cast(acc_type).alias(out)))
 
 
 def daily_kpis(df: DataFrame, day: str, user: str, amount: str, qty: str,
