@@ -35,3 +35,17 @@ def test_gate_blocks_gold(spark):
     assert any(r["item"] == "k" and not r["passed"] for r in out["report"])
     import os
     assert not os.path.exists(f"{root}/gold")
+
+
+def test_cli_entry_points(spark, tmp_path, capsys):
+    from souk.pipeline import main
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "s1").write_bytes("QS 01.07.2020_13:42:01 {налог}\n155 ACC_45616\n"
+                              "DOC_OPEN 01.07.2020_13:43:21 155 ACC_45616\n".encode("cp1251"))
+    main(["sessions", "--input", str(logs), "--out", str(tmp_path / "out")])
+    m2 = spark.read.option("header", "true").csv(str(tmp_path / "out" / "metric2")).collect()
+    assert [tuple(r) for r in m2] == [("2020-07-01", "ACC_45616", "1")]
+    main(["nightly", "--raw", f"{SF001}/events.parquet", "--silver", str(tmp_path / "silver"),
+          "--gold", str(tmp_path / "gold"), "--date", "2024-01-03"])
+    assert capsys.readouterr().out.strip().endswith("passed")
