@@ -87,3 +87,16 @@ def test_normalise_types_turns_bad_values_into_nulls(spark):
     got = [tuple(r) for r in normalise_types(raw, schema).collect()]
     import decimal
     assert got == [(decimal.Decimal("12.50"), 3), (None, None), (None, 7)]
+
+
+def test_partitioned_write_spreads_hot_value(spark, tmp_path):
+    import os
+
+    from souk.sources.io import write_partitioned
+    df = spark.range(20000).select((F.col("id") % 10 == 0).cast("int").alias("cold"), F.col("id"))
+    path = str(tmp_path / "p")
+    write_partitioned(df, path, ["cold"], writers_per_value=4)
+    back = spark.read.parquet(path)
+    assert back.count() == 20000 and back.agg(F.sum("id")).first()[0] == sum(range(20000))
+    hot_files = [f for f in os.listdir(os.path.join(path, "cold=0")) if f.endswith(".parquet")]
+    assert 1 < len(hot_files) <= 4            # the hot value is written by several tasks
