@@ -65,16 +65,23 @@ def sizing_conf(total_cores: int, shuffle_bytes: int, target_bytes: int = 128 <<
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts)}
 
 
+# Session key remembering the fallback folder of local runs. Spark refuses
+# runtime changes of ``spark.checkpoint.dir`` itself, so it is only read.
+_SCRATCH_KEY = "souk.scratch.dir"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is only read here.
-    When it is unset (local runs, tests) a private folder is created once.
+    When it is unset (local runs, tests) a private folder is created once,
+    remembered in the session under ``souk.scratch.dir`` and registered as
+    the checkpoint folder of the context.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_SCRATCH_KEY, None)
     if not d:
         d = tempfile.mkdtemp(prefix="souk-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.conf.set(_SCRATCH_KEY, d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
