@@ -121,15 +121,17 @@ def rank_in_groups(df: DataFrame, keys: Sequence[str], value: str, tie: Sequence
     """``row_number`` / ``rank`` by ``value`` descending (then ``tie``) per
     group, without sorting a hot group in one task: the window runs per
     ``(group, value block)`` and adds the row count of the earlier blocks."""
-    d = hot_group_blocks(df, keys, F.col(value), **block_args)
-    w = Window.partitionBy(*keys, "_blk").orderBy(F.col(value).desc(), *[F.col(c) for c in tie])
+    # the group key as one struct: NULL keys form one group here as in a window
+    d = hot_group_blocks(df, keys, F.col(value), **block_args).withColumn(
+        "_gk", F.struct(*[F.col(k) for k in keys]))
+    w = Window.partitionBy("_gk", "_blk").orderBy(F.col(value).desc(), *[F.col(c) for c in tie])
     local = (F.row_number() if fn == "row_number" else F.rank()).over(w)
-    sizes = d.groupBy(*keys, "_blk").agg(F.count("*").alias("_size"))
-    wb = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = sizes.select(*keys, "_blk", F.coalesce(F.sum("_size").over(wb), F.lit(0)).alias("_carry"))
-    return (d.withColumn("_local", local).join(carry, [*keys, "_blk"])
+    sizes = d.groupBy("_gk", "_blk").agg(F.count("*").alias("_size"))
+    wb = Window.partitionBy("_gk").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sizes.select("_gk", "_blk", F.coalesce(F.sum("_size").over(wb), F.lit(0)).alias("_carry"))
+    return (d.withColumn("_local", local).join(carry, ["_gk", "_blk"])
              .withColumn(out, (F.col("_local") + F.col("_carry")).cast("bigint"))
-             .drop("_local", "_carry", "_blk"))
+             .drop("_local", "_carry", "_blk", "_gk"))
 
 
 def multi_window_skew_safe(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str],
@@ -138,9 +140,11 @@ def multi_window_skew_safe(df: DataFrame, by: Sequence[str], value: str, tie: Se
     average come from an aggregate joined back (partial aggregation, AQE
     splits a hot group on the join) and the row number from
     :func:`rank_in_groups`."""
-    totals = df.groupBy(*by).agg(F.sum(value).alias("group_total"), F.count(value).alias("_cnt"))
-    ranked = rank_in_groups(df, by, value, tie, "rn", **block_args)
-    return (ranked.join(totals, list(by))
+    gk = F.struct(*[F.col(k) for k in by]).alias("_tk")     # NULL-safe group key
+    totals = df.groupBy(gk).agg(F.sum(value).alias("group_total"), F.count(value).alias("_cnt"))
+    ranked = rank_in_groups(df, by, value, tie, "rn", **block_args).withColumn(
+        "_tk", F.struct(*[F.col(k) for k in by]))
+    return (ranked.join(totals, "_tk").drop("_tk")
                   .withColumn("group_avg", F.when(F.col("_cnt") > 0,
                                                   F.col("group_total").cast("double") / F.col("_cnt")))
                   .drop("_cnt"))

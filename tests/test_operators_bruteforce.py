@@ -126,3 +126,23 @@ def test_knuth_hash_no_overflow_for_large_keys(spark):
         assert r.b == (r.k * KNUTH) % 10000
         assert r.p == (r.k * KNUTH) % 24
         assert r.ip == (r.k * KNUTH) % 2**32
+
+
+def test_rank_in_groups_keeps_null_group(spark):
+    from souk.operators.windows import rank_in_groups
+    df = spark.createDataFrame([(None, i, float(i)) for i in range(30)] + [("a", i, float(i)) for i in range(5)],
+                               "g string, i int, v double")
+    got = rank_in_groups(df, ["g"], "v", ["i"], "r", blocks=4, max_group_rows=10).collect()
+    assert len(got) == 35
+    assert sorted(r.r for r in got if r.g is None) == list(range(1, 31))
+
+
+def test_multi_window_skew_safe_keeps_null_group(spark):
+    from souk.operators.windows import multi_window, multi_window_skew_safe
+    df = spark.createDataFrame([(None, i, float(i % 7)) for i in range(40)] + [("a", i, 1.0) for i in range(5)],
+                               "g string, i int, v double")
+    a = multi_window_skew_safe(df, ["g"], "v", ["i"], blocks=4, max_group_rows=10)
+    b = multi_window(df, ["g"], "v", [F.col("v").desc(), F.col("i")])
+    key = lambda r: (str(r.g), r.i)
+    assert sorted(((str(r.g), r.i, r.rn, r.group_total) for r in a.collect())) == \
+        sorted(((str(r.g), r.i, r.rn, r.group_total) for r in b.collect()))
