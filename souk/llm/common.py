@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from souk.session import scratch_path
 
@@ -70,3 +73,43 @@ def unpack(df: DataFrame, added: Sequence[str], alias: str = "_row") -> DataFram
     taken = {a.lower() for a in added}
     names = [f.name for f in df.schema[alias].dataType.fields if f.name.lower() not in taken]
     return df.select(*[F.col(f"{alias}.`{c}`").alias(c) for c in names], *[F.col(a) for a in added])
+
+
+#: characters of text that one slice of a batch holds at most (or one text)
+SLICE_CHARS = 4_000_000
+
+
+def map_texts(df: DataFrame, text_col: str, fields, make) -> DataFrame:
+    """``df`` with columns that Python computes from whole texts, in slices.
+
+    ``make()`` is called once per task and returns ``texts -> arrow arrays``,
+    one per field of ``fields``. Only a slice of texts is in Python at a time;
+    a text is never cut. NULL texts arrive as empty texts.
+    """
+    importable(df.sparkSession)
+    added = T.StructType(fields)
+    names = {f.name.lower() for f in added}
+    kept = [c for c in df.columns if c.lower() not in names]
+    d = df.select(*[F.col(f"`{c}`") for c in kept], text_or_empty(f"`{text_col}`").alias("_text_in"))
+
+    def run(batches):
+        fn = make()
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            sizes = pc.binary_length(texts).to_pylist()
+            start, held = 0, 0
+            for i, n in enumerate(sizes):
+                if held and held + n > SLICE_CHARS:
+                    yield from part(fn, batch, start, i)
+                    start, held = i, 0
+                held += n
+            if start < len(sizes):
+                yield from part(fn, batch, start, len(sizes))
+
+    def part(fn, batch, start, end):
+        b = batch.slice(start, end - start)
+        arrays = fn(b.column(b.num_columns - 1).to_pylist())
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], *arrays], names=[*kept, *[f.name for f in added]])
+
+    schema = T.StructType([*[df.schema[c] for c in kept], *added])
+    return d.mapInArrow(run, schema)
