@@ -5,7 +5,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -249,14 +249,16 @@ def _loaded(spec: str) -> tuple[Merges, Remembered]:
     return _LOADED[key]
 
 
-def bpe_encode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
+def bpe_encode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "token_ids",
+               keep: Sequence[str] | None = None) -> DataFrame:
     """Append ``ids_col`` (array<int>): the byte-level BPE tokens of the text.
 
     ``vocabulary`` is the path of a tokenizer JSON file on the driver; its
     text (a few MB, whatever the input) is broadcast. Special tokens written
     in a text get their id. NULL and empty texts have no tokens. Texts are
     never cut: a text of any length streams through :class:`Encoder`. A
-    column of the input named ``ids_col`` is replaced.
+    column of the input named ``ids_col`` is replaced; ``keep`` names the
+    columns to keep (default: all).
     """
     with open(vocabulary, encoding="utf-8") as f:
         spec = df.sparkSession.sparkContext.broadcast(f.read())
@@ -271,7 +273,7 @@ def bpe_encode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col:
                                              pa.array(np.concatenate(ids) if ids else [], pa.int32()))]
         return run
 
-    return map_texts(df, text_col, [T.StructField(ids_col, T.ArrayType(T.IntegerType(), True))], make)
+    return map_texts(df, text_col, [T.StructField(ids_col, T.ArrayType(T.IntegerType(), True))], make, keep)
 
 
 def bpe_decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
@@ -305,8 +307,8 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text, for whole texts."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe_encode(docs, vocabulary_path()).select("doc_id", "token_ids")
+    docs = table(spark, sf_dir, "documents")
+    ids = bpe_encode(docs, vocabulary_path(), keep=["doc_id"])
     back = bpe_decode(ids, vocabulary_path())
     return back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),

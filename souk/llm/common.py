@@ -79,8 +79,9 @@ def unpack(df: DataFrame, added: Sequence[str], alias: str = "_row") -> DataFram
 SLICE_CHARS = 4_000_000
 
 
-def map_texts(df: DataFrame, text_col: str, fields, make) -> DataFrame:
-    """``df`` with columns that Python computes from whole texts, in slices.
+def map_texts(df: DataFrame, text_col: str, fields, make, keep: Sequence[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with columns that Python computes
+    from whole texts, in slices.
 
     ``make()`` is called once per task and returns ``texts -> arrow arrays``,
     one per field of ``fields``. Only a slice of texts is in Python at a time;
@@ -89,7 +90,7 @@ def map_texts(df: DataFrame, text_col: str, fields, make) -> DataFrame:
     importable(df.sparkSession)
     added = T.StructType(fields)
     names = {f.name.lower() for f in added}
-    kept = [c for c in df.columns if c.lower() not in names]
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
     d = df.select(*[F.col(f"`{c}`") for c in kept], text_or_empty(f"`{text_col}`").alias("_text_in"))
 
     def run(batches):

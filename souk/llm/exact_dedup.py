@@ -51,14 +51,17 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # length and prefix: which groups have more than one row
     again = (rows.groupBy("_len", "_pre").agg(F.count(F.lit(1)).alias("_n"))
                  .where("_n > 1").select("_len", "_pre", F.lit(True).alias("_more")))
+    # a table of its own, so that the join below is a plain join of two
+    # exchanges, whose hot keys adaptive execution can split
+    again = materialise(again, "exact-dedup-groups")
     # full content only for those
     hashed = (rows.join(again, ["_len", "_pre"], "left")
                   .select("_row", "_id", "_len", "_pre",
                           F.when(F.col("_more"), F.unhex(F.sha2("_text", 256))).alias("_full")))
     hashed = materialise(hashed, "exact-dedup")
-    groups = (hashed.where(F.col("_full").isNotNull()).groupBy("_full")
-                    .agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
-                    .withColumnRenamed("_full", "_key"))
+    groups = materialise(hashed.where(F.col("_full").isNotNull()).groupBy("_full")
+                         .agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
+                         .withColumnRenamed("_full", "_key"), "exact-dedup-kept")
     # rows of no group get a key of their own instead of one common NULL
     own = F.coalesce(F.col("_full"), F.encode(F.concat_ws(",", "_len", "_pre"), "utf-8"))
     out = (hashed.withColumn("_key", own).join(groups, "_key", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -196,8 +197,10 @@ def _parser(sample: list[tuple[str, str]]) -> Parser:
     return _PARSERS[key]
 
 
-def predict_language(df: DataFrame, sample: list[tuple[str, str]], text_col: str = "text") -> DataFrame:
-    """Append ``lang_pred`` and ``score`` (0 to 1) to every row.
+def predict_language(df: DataFrame, sample: list[tuple[str, str]], text_col: str = "text",
+                     keep: Sequence[str] | None = None) -> DataFrame:
+    """Append ``lang_pred`` and ``score`` (0 to 1) to every row (of the
+    columns ``keep``; default: all).
 
     ``sample`` comes from :func:`labelled_sample` and is broadcast (its bound
     holds whatever the input); each worker builds the automata once. Texts
@@ -215,7 +218,8 @@ def predict_language(df: DataFrame, sample: list[tuple[str, str]], text_col: str
             return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
         return run
 
-    return map_texts(df, text_col, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make)
+    return map_texts(df, text_col, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())],
+                     make, keep)
 
 
 def fold(id_col: str, of: int) -> Column:
@@ -229,5 +233,5 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold("doc_id", 4) == 2
     sample = labelled_sample(docs.where(~held_out))
-    out = predict_language(docs.select("doc_id", held_out.alias("held_out"), "text"), sample)
+    out = predict_language(docs.withColumn("held_out", held_out), sample, keep=["doc_id", "held_out"])
     return out.select("doc_id", "held_out", "lang_pred", "score")
