@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from souk.llm import bpe, exact_dedup, fingerprints, language_id, mixing, near_dedup, quality  # noqa: F401  (they register their queries)
+from souk.llm import bpe, exact_dedup, fingerprints, html_text, language_id, mixing, near_dedup, quality  # noqa: F401  (they register their queries)
 from souk.llm.common import ORACLES, QUERIES, importable
 
 __all__ = ["ORACLES", "QUERIES", "importable"]
