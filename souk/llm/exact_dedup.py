@@ -75,7 +75,7 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows that :func:`exact_dedup` keeps, with all columns of ``df``.
 
     The decisions travel without text; the rows that stay are found again by
-    id and text hash, and rows repeating both are reduced to the smallest.
+    id and text hash, and rows repeating both are reduced to one (by the hash of the raw text).
     """
     mark = F.xxhash64(normalised(text_col))
     d = df.select(row_struct(df), F.col(id_col).alias("_id"), mark.alias("_mark"))
@@ -84,7 +84,8 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     stay = (exact_dedup(marked, "_i", "_t", carry=["_i", "_mark"]).where("kept")
             .select("_i", F.col("_mark").alias("_m")))
     d = d.join(stay, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")), "left_semi")
-    return d.groupBy("_id", "_mark").agg(F.min("_row").alias("_row")).select("_row.*")
+    first = F.min_by("_row", F.xxhash64(F.col(f"_row.`{text_col}`")))
+    return d.groupBy("_id", "_mark").agg(first.alias("_row")).select("_row.*")
 
 
 OP8_SQL = r"""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk.llm.common import map_texts, materialise, query, table, text_or_empty
+from souk.llm.graph import components
 
 #: MinHash samples: BANDS bands of ROWS; at a similarity of 0.85 a pair
 #: misses every band with probability (1 - 0.85^5)^32 < 1e-8, at 0.8 < 1e-5
@@ -177,26 +178,6 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return d.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, label``: the smallest node that each node of ``edges`` (a, b)
-    reaches. Labels go over the edges and then jump to their label's label,
-    so the rounds grow with the logarithm of a component's width; each
-    round's table is written, and a hub's edges are combined before the
-    shuffle and may be split by adaptive execution."""
-    both = materialise(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-                         .select("node", F.least("node", "least").alias("label")), "labels")
-    while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-                    .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        step = materialise(step.join(jump, "label").select("node", "old", F.least("label", "next").alias("label")), "labels")
-        labels = step.select("node", "label")
-        if step.where("label < old").isEmpty():
-            return labels
-
-
 def _near(odd_a: str, odd_b: str, bits: int):
     xor = [F.bit_count(F.col(f"{odd_a}.{o}").bitwiseXOR(F.col(f"{odd_b}.{o}"))) for o in ODD]
     return sum(xor[1:], xor[0]) <= bits
