@@ -116,8 +116,9 @@ class Suffixes:
         for s, to in enumerate(nexts):
             step[s, list(to.keys())] = list(to.values())
         new = step < 0
+        new[0] = True  # at the beginning, and after a class unseen in the sample
         root = np.maximum(step[0], 0)  # a class unseen in the sample is a phrase of its own
-        step = np.where(new, root[None, :], step)
+        step = np.where(step < 0, root[None, :], step)
         # one number per edge: target state, and in the lowest bit whether a phrase begins
         self.edges = (step * size << 1 | new).astype(np.int32).ravel()
         self.letters = len(classes)
@@ -164,7 +165,7 @@ class Parser:
                 edge = machine.edges.take(at[:n] + grid[row, :n])
                 count[:n] += edge & 1
                 np.right_shift(edge, 1, out=at[:n])
-            np.add.at(out[:, m], owner, count + 1)
+            np.add.at(out[:, m], owner, count)
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
