@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.session import written
+
 # Multiplicative hash constant (Knuth) used wherever a deterministic,
 # engine-independent pseudo-random number is derived from an integer key.
 KNUTH = 2654435761
@@ -48,10 +50,19 @@ def hash_sample(df: DataFrame, key: str, fraction: float, buckets: int = 10000)
 
 def limit_fraction(df: DataFrame, order: Sequence[Column], fraction: float) -> DataFrame:
     """The first ``floor(count * fraction)`` rows in a total ``order`` (a
-    sampling operator: the limit is the feature). The count is one scalar
-    job; the limit after a sort runs as a distributed top-k."""
-    n = int(df.count() * fraction)
-    return df.orderBy(*order).limit(n)
+    sampling operator: the limit is the feature).
+
+    The rows are dealt out by ranges of ``order`` and written; the ranges are
+    counted (one row each), and every row is numbered inside its range, so no
+    task holds more than a range and nothing is merged in one place."""
+    names = df.columns
+    d = written(df.repartitionByRange(*order).withColumn("_blk", F.spark_partition_id()), "ranges")
+    sizes = d.groupBy("_blk").agg(F.count("*").alias("_n"))
+    upto = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_blk", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"),
+                         F.floor(F.sum("_n").over(Window.partitionBy()).cast("double") * F.lit(float(fraction))).alias("_most"))
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy("_blk").orderBy(*order)))
+    return d.join(sizes, "_blk").where(F.col("_before") + F.col("_rn") <= F.col("_most")).select(*names)
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -97,13 +97,14 @@ def nested_total_hof(df: DataFrame, by: Sequence[str], items: str, price: str =
 
 def daily_kpis(df: DataFrame, day: str, user: str, amount: str, qty: str,
                exact: bool = True) -> DataFrame:
-    """count(*), distinct users, sum and avg per day. ``exact=False`` swaps
+    """count(*), distinct users, sums and averages per day. ``exact=False`` swaps
     the distinct count for HyperLogLog (no Expand, bounded state)."""
     users = F.count_distinct(user) if exact else F.approx_count_distinct(user)
     return (df.groupBy(day)
               .agg(F.count("*").alias("orders"), users.alias("users"),
                    F.sum(amount).alias("revenue"), F.sum(qty).alias("qty"),
-                   _avg(F.sum(amount), F.count(amount)).alias("avg_amount")))
+                   _avg(F.sum(amount), F.count(amount)).alias("avg_amount"),
+                   _avg(F.sum(qty), F.count(qty)).alias("avg_qty")))
 
 
 def sales_mart(df: DataFrame, t: Column, grain: str, by: Sequence[str], amount: str,
@@ -121,28 +122,25 @@ def purchase_funnel(df: DataFrame, user: str, t: str, kind: str, tie: str,
     of step k strictly after (by ``(t, tie)``) the reached step k-1.
 
     Per-user reductions only (``min`` of structs over the user's events
-    after the previous step): one pass per step over the rows of that step
-    joined to the per-user frontier, no window over a whole user history.
+    after the previous step), chained by left joins into one row per user
+    with the time of every step reached; all steps are then counted in one
+    aggregate. No window over a whole user history.
     Result: one row per step with users reaching it and the conversion
     from the previous step and from step 1.
     """
     ev = df.select(F.col(user).alias("_u"), F.struct(F.col(t), F.col(tie)).alias("_k"),
                    F.col(kind).alias("_kind"))
-    reached = (ev.where(F.col("_kind") == steps[0]).groupBy("_u")
-                 .agg(F.min("_k").alias("_at")))
-    counts = [reached.agg(F.count("*").alias("users")).select(F.lit(1).alias("step"),
-                                                              F.lit(steps[0]).alias("name"),
-                                                              "users")]
+    chain = (ev.where(F.col("_kind") == steps[0]).groupBy("_u")
+               .agg(F.min("_k").alias("_at1")))
     for i, s in enumerate(steps[1:], start=2):
-        nxt = (ev.where(F.col("_kind") == s).join(reached, "_u")
-                 .where(F.col("_k") > F.col("_at"))
-                 .groupBy("_u").agg(F.min("_k").alias("_at")))
-        counts.append(nxt.agg(F.count("*").alias("users"))
-                         .select(F.lit(i).alias("step"), F.lit(s).alias("name"), "users"))
-        reached = nxt
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+        after = ev.where(F.col("_kind") == s).select("_u", F.col("_k").alias("_next"))
+        chain = (chain.join(after, (chain["_u"] == after["_u"]) & (F.col("_next") > F.col(f"_at{i - 1}")), "left")
+                      .groupBy(chain["_u"]).agg(*[F.min(f"_at{j}").alias(f"_at{j}") for j in range(1, i)],
+                                                F.min("_next").alias(f"_at{i}")))
+    reached = [F.struct(F.lit(i).alias("step"), F.lit(s).alias("name"), F.col(f"_n{i}").alias("users"))
+               for i, s in enumerate(steps, start=1)]
+    out = (chain.agg(*[F.count(f"_at{i}").alias(f"_n{i}") for i in range(1, len(steps) + 1)])
+                .select(F.explode(F.array(*reached)).alias("r")).select("r.*"))
     # conversion on the per-step counts (one row per step: a tiny frame)
     from pyspark.sql import Window
     w = Window.orderBy("step")

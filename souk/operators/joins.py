@@ -1,12 +1,12 @@
 """Join operators.
 
 Strategy is Catalyst's to choose unless asked otherwise; an explicit
-broadcast is only issued behind a bounded row-count check, with the
-shuffled join as the fallback beyond it.
+broadcast is only issued behind a check of the plan's size estimate.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,56 +15,36 @@ from pyspark.sql import functions as F
 from souk.functions.scalar import dedup_by_key
 from souk.operators.windows import prefix_scan
 
-# Largest dimension we broadcast on request; beyond it we shuffle.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest dimension we broadcast on request, by the plan's own size estimate.
 MAX_BROADCAST_BYTES = 256 << 20
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """Estimated in-memory bytes of a row: string/binary lengths plus
-    8 bytes for every other (fixed-width or nested) column."""
-    parts = []
-    for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        if t in ("string", "binary"):
-            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 8)
-        else:
-            parts.append(F.lit(8))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out.cast("bigint")
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Bounded size check in one job over at most ``max_rows + 1`` rows:
-    the dimension qualifies if it has at most ``max_rows`` rows and an
-    estimated size of at most ``max_bytes``."""
-    rows, size = (df.limit(max_rows + 1)
-                  .agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first())
-    return rows <= max_rows and size <= max_bytes
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimised plan (no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
              how: str = "left", strategy: str = "adaptive",
-             max_broadcast_rows: int = MAX_BROADCAST_ROWS,
              max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join a fact to a dimension.
 
     * ``merge``     - force a shuffled sort-merge join (hint ``merge``);
-    * ``broadcast`` - broadcast ``dim`` if it has at most ``max_broadcast_rows``
-      rows and an estimated ``max_broadcast_bytes``, otherwise fall back to
-      the adaptive plan;
+    * ``broadcast`` - broadcast ``dim`` if the plan's size estimate is at most
+      ``max_broadcast_bytes``; a larger one is joined by the adaptive plan,
+      with a warning;
     * ``adaptive``  - no hint: static size threshold plus AQE's runtime
       conversion to broadcast / skew splitting decide.
     """
-    if strategy == "merge":
-        return fact.join(dim.hint("merge"), on, how)
-    if strategy == "broadcast" and fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
-        return fact.join(F.broadcast(dim), on, how)
     if strategy not in {"merge", "broadcast", "adaptive", "auto"}:
         raise ValueError(f"unknown join strategy {strategy}")
+    if strategy == "merge":
+        return fact.join(dim.hint("merge"), on, how)
+    if strategy == "broadcast":
+        size = plan_bytes(dim)
+        if size <= max_broadcast_bytes:
+            return fact.join(F.broadcast(dim), on, how)
+        warnings.warn(f"dimension of about {size} bytes is not broadcast (limit {max_broadcast_bytes})", stacklevel=2)
     return fact.join(dim, on, how)
 
 
@@ -80,52 +60,73 @@ def enrich_star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[s
     return out
 
 
+# A range is spread over at most SPREAD + 1 buckets of its level; the buckets
+# of a level are SPREAD times as wide as those of the level below.
+SPREAD = 16
+
+
 def interval_join(points: DataFrame, ranges: DataFrame, point_key: Sequence[str],
                   value: str, lo: str, hi: str, bucket_width: int,
                   how: str = "left", hi_inclusive: bool = True) -> DataFrame:
     """Exact range join ``lo <= value <= hi`` (or ``< hi``) as an equi-join.
 
-    Every range is exploded into the fixed-width buckets it overlaps
-    (``floor(x / bucket_width)``), every point gets its one bucket, the two
-    are equi-joined on ``(point_key..., bucket)`` and the range predicate is
-    applied after. Exact for any overlap pattern; no cross product, and a hot
-    key is spread over its buckets (AQE splits what remains skewed).
-    The explode factor per range is ``width / bucket_width + 1``.
+    Every range gets the lowest level whose buckets (``bucket_width * 16^level``
+    wide) cover it with at most 17, and is exploded into those; every point is
+    looked up once per level up to the highest in use (a scalar subquery over
+    the ranges). The two are equi-joined on ``(point_key..., level, bucket)``
+    and the range predicate is applied after. Exact for any overlap pattern;
+    no cross product, a wide range is not multiplied without bound, and a hot
+    key is spread over its buckets (AQE splits what remains skewed). A left
+    join keeps each point without a range once.
     """
     b = F.lit(bucket_width)
-    r = (ranges.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / b),
-                                                       F.floor(F.col(hi) / b)))))
-    p = points.withColumn("_b", F.floor(F.col(value) / b))
-    cond = [p[k] == r[k] for k in point_key] + [p["_b"] == r["_b"]]
+    count = F.floor(F.col(hi) / b) - F.floor(F.col(lo) / b) + 1
+    level = F.greatest(F.lit(0), F.ceil(F.log(float(SPREAD), F.greatest(count, F.lit(1)).cast("double")) - F.lit(1.0 + 1e-9))).cast("int")
+    r = ranges.where(F.col(lo).isNotNull() & F.col(hi).isNotNull() & (F.col(lo) <= F.col(hi))).withColumn("_l", level)
+    top = r.agg(F.max("_l")).first()[0] or 0
+    wide = lambda n: F.pow(F.lit(float(SPREAD)), n).cast("bigint") * b
+    r = r.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / wide(F.col("_l"))), F.floor(F.col(hi) / wide(F.col("_l"))))))
+    p = points.withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(top)))) if top else points.withColumn("_l", F.lit(0))
+    p = p.withColumn("_b", F.floor(F.col(value) / wide(F.col("_l"))))
+    cond = [p[k] == r[k] for k in point_key] + [p["_l"] == r["_l"], p["_b"] == r["_b"]]
     upper = (p[value] <= r[hi]) if hi_inclusive else (p[value] < r[hi])
-    cond.append(p[value] >= r[lo])
-    cond.append(upper)
-    joined = p.join(r, cond, how)
-    return joined.drop(p["_b"]).drop(r["_b"]).drop(*[r[k] for k in point_key])
+    cond += [p[value] >= r[lo], upper]
+    own = [c for c in ranges.columns if c not in point_key]
+    joined = p.join(r, cond, how if top == 0 else "inner").select(*[p[c] for c in points.columns], *[r[c] for c in own])
+    if top == 0 or how != "left":
+        return joined
+    # with several levels a point has several rows, most without a partner: the
+    # points without any are those whose key and value never matched
+    key = F.struct(*[F.col(c) for c in [*point_key, value]])
+    seen = joined.select(key.alias("_seen")).distinct()
+    alone = points.join(seen, key.eqNullSafe(F.col("_seen")), "left_anti")
+    return joined.unionByName(alone, allowMissingColumns=True)
 
 
 def asof_join(facts: DataFrame, changes: DataFrame, key: str, t: str, eff: str,
-              values: Sequence[str], bucket_days: int = 366) -> DataFrame:
-    """Value of ``changes`` effective at each fact's time: the change with the
-    greatest ``eff <= t`` for the same key (left semantics: NULL if none).
-
-    Changes are turned into validity intervals ``[eff, next_eff)`` by a
-    reversed blocked prefix scan over the change log, then :func:`interval_join` on epoch days matches each fact
-    to exactly one interval. No non-equi join, no per-key sort of the facts.
+              values: Sequence[str], bucket_days: int = 366, tie: Sequence[str] = ()) -> DataFrame:
+    """Values of ``changes`` in effect at each fact's time: of the same key the
+    change with the greatest ``eff <= t``, to the microsecond (left semantics:
+    NULL if none). Of changes at the same time the one with the greatest
+    ``tie`` columns, then the greatest values, counts, so reruns agree.
+
+    Facts and changes are put into one sequence per key, by time, changes
+    first, and the last change before each fact is carried forward by a
+    blocked prefix scan: no interval table, no explode, facts are read once
+    and a hot key is spread over its time blocks. NULL keys and times match
+    nothing. Returns the fact's columns, ``values`` and ``eff``.
     """
-    day = lambda c: F.datediff(F.col(c).cast("date"), F.lit("1970-01-01").cast("date"))
-    # next change of the same key = last value of a scan in reverse order,
-    # blocked by time so a key with a very long change log is not one task
-    rev = changes.withColumn("_lo", day(eff)).withColumn("_neg", -F.col("_lo"))
-    nxt = prefix_scan(rev, [key], F.floor(F.col("_neg") / bucket_days), ["_neg"],
-                      lasts={"_next_lo": F.col("_lo")})
-    intervals = nxt.select(key, *values, F.col(eff), "_lo", (F.col("_next_lo") - 1).alias("_hi"))
-    points = facts.withColumn("_t", day(t))
-    # the open end of the last interval stops at the latest fact (scalar subquery)
-    last_day = facts.agg(F.max(day(t))).scalar()
-    intervals = intervals.withColumn("_hi", F.coalesce(F.col("_hi"), last_day))
-    out = interval_join(points, intervals, [key], "_t", "_lo", "_hi", bucket_days, "left")
-    return out.drop("_t", "_lo", "_hi")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    fact = F.struct(*[F.col(c) for c in facts.columns])
+    got = F.struct(*[F.col(c) for c in [*values, eff]])
+    order = F.struct(*[F.col(c) for c in [*tie, *values]])
+    c = changes.where(F.col(key).isNotNull() & F.col(eff).isNotNull()).select(
+        F.col(key).alias("_k"), micros(eff).alias("_t"), F.lit(0).alias("_fact"), order.alias("_tie"), got.alias("_got"))
+    f = facts.select(F.col(key).alias("_k"), micros(t).alias("_t"), F.lit(1).alias("_fact"), fact.alias("_row"))
+    both = c.unionByName(f, allowMissingColumns=True)
+    scanned = prefix_scan(both, ["_k"], F.floor(F.col("_t") / (bucket_days * 86_400_000_000)), ["_t", "_fact", "_tie"],
+                          lasts={"_now": F.col("_got")})
+    return scanned.where("_fact = 1").select("_row.*", "_now.*")
 
 
 def fk_violations(df: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column) -> DataFrame:

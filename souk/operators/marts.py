@@ -3,7 +3,7 @@ seller scorecard. Per-user reductions first, then small per-cohort frames."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.operators.windows import rank_in_groups
@@ -57,15 +57,17 @@ def cohort_retention(df: DataFrame, user: str, t: str) -> DataFrame:
                .withColumn("retention", F.col("active_users").cast("double") / F.col("cohort_size")))
 
 
-def seller_scorecard(lines: DataFrame) -> DataFrame:
-    """Orders, revenue, return share, mean price and rank inside the nation
-    (peer group) per seller. Input: lineitem rows with ``nationkey``."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    agg = (lines.groupBy(F.col("l_suppkey").alias("seller_id"), "nationkey")
-                .agg(F.count_distinct("l_orderkey").alias("orders"),
-                     F.sum(price).cast(DEC).alias("revenue"),
-                     (F.count(F.when(F.col("l_returnflag") == "R", 1)).cast("double") / F.count("*")).alias("return_share"),
-                     (F.sum(price).cast("double") / F.count("*")).alias("mean_price")))
-    # rank inside the nation; a nation with very many sellers is ranked in
-    # revenue blocks instead of one sorted window (see rank_in_groups)
-    return rank_in_groups(agg, ["nationkey"], "revenue", [], "rank_in_nation", fn="rank")
+def seller_scorecard(lines: DataFrame, seller: str, peers: str, order: str, price: str, returned: Column,
+                     rank: str = "rank_in_peers") -> DataFrame:
+    """Orders, revenue, return share, mean price and rank by revenue among the
+    peers (column ``peers``) per seller. ``returned`` says whether a line came
+    back. The mean is over the lines that have a price."""
+    p = F.col(price).cast("decimal(12,2)")
+    agg = (lines.groupBy(F.col(seller).alias("seller_id"), peers)
+                .agg(F.count_distinct(order).alias("orders"),
+                     F.sum(p).cast(DEC).alias("revenue"),
+                     (F.count(F.when(returned, 1)).cast("double") / F.count("*")).alias("return_share"),
+                     F.when(F.count(p) > 0, F.sum(p).cast("double") / F.count(p)).alias("mean_price")))
+    # one row per seller; very many sellers of one peer group are ranked over
+    # revenue ranges instead of one sorted window (see rank_in_groups)
+    return rank_in_groups(agg, [peers], "revenue", [], rank, fn="rank")

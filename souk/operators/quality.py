@@ -20,9 +20,10 @@ class QualityGateFailed(RuntimeError):
 
 # ------------------------------------------------------------ medallion
 
-def canonical_events(raw: DataFrame) -> DataFrame:
-    """Six canonical fields + payload. Types by ``try_cast`` (bad values
-    become NULL, never an error); ``ts`` is interpreted as UTC."""
+def canonical_events(raw: DataFrame, measures: Sequence[str] = ()) -> DataFrame:
+    """Six canonical fields + payload (+ ``measures``, raw columns kept as
+    they are). Types by ``try_cast`` (bad values become NULL, never an
+    error); ``ts`` is interpreted as UTC."""
     ts = F.col("ts").try_cast("timestamp_ntz")
     return raw.select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -30,7 +31,7 @@ def canonical_events(raw: DataFrame) -> DataFrame:
         ts.alias("ts"),
         F.col("user_id").try_cast("bigint").alias("user_id"),
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-        F.col("props").alias("payload"))
+        F.col("props").alias("payload"), *[F.col(m) for m in measures])
 
 
 def silver_clean(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,20 +66,32 @@ def dedup_colocated(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
     return g.agg(F.min(row).alias("_r")).select(key, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_date: str) -> DataFrame:
-    """raw -> silver for one day, written with dynamic partition overwrite
-    so a rerun (backfill) replaces exactly that day's partition."""
-    day = (canonical_events(raw.where(F.col("ts").cast("date") == F.lit(event_date).cast("date")))
-           .withColumn("dt", F.col("ts").cast("date")))
-    clean, _ = silver_clean(day)
-    silver = dedup_events(clean, ["event_id"], ["ts", "payload"])
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        silver.write.mode("overwrite").partitionBy("dt").parquet(silver_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return spark.read.parquet(silver_path)
+#: the folder of rows that belong to no day, as Spark names a NULL partition
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_date: str,
+                 quarantine_path: str | None = None, measures: Sequence[str] = ()) -> DataFrame:
+    """raw -> silver for one day: ``silver_path/dt=<day>``, one row per event.
+
+    Rows are made canonical first (no bad value can stop the job) and then
+    dealt out: clean rows of the day are deduplicated into silver, the day's
+    other rows go to ``quarantine_path/dt=<day>`` with a reason, and rows
+    whose time is missing or unreadable, which belong to no day, to the
+    quarantine's own folder for those. ``quarantine_path`` defaults to
+    ``<silver_path>_quarantine``. Each folder is overwritten as a whole, so a
+    rerun (backfill) replaces exactly the day, also when it has become empty.
+    """
+    quarantine_path = quarantine_path or f"{silver_path.rstrip('/')}_quarantine"
+    events = canonical_events(raw, measures).withColumn("dt", F.col("ts").cast("date"))
+    clean, bad = silver_clean(events)
+    today = F.col("dt") == F.lit(event_date).cast("date")
+    silver = dedup_events(clean.where(today), ["event_id"], ["ts", "payload"])
+    silver.drop("dt").write.mode("overwrite").parquet(f"{silver_path}/dt={event_date}")
+    bad.where(today).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={event_date}")
+    bad.where(F.col("dt").isNull()).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={NO_DAY}")
+    # the partition column is given, so that a table whose days are all empty reads too
+    return spark.read.schema(silver.schema).parquet(silver_path)
 
 
 # --------------------------------------------------------------- checks
@@ -114,9 +127,11 @@ def check_uniqueness(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame
     per = df.groupBy(*keys).agg(F.count("*").alias("c"))
     s = per.agg(F.count(F.when(F.col("c") > 1, 1)).alias("dup_keys"),
                 F.sum(F.col("c") - 1).alias("surplus"))
-    a = _report(s, "uniqueness", F.lit(f"{name}.duplicate_keys"), F.col("dup_keys"), 0.0, F.col("dup_keys") == 0)
-    b = _report(s, "uniqueness", F.lit(f"{name}.surplus_rows"), F.col("surplus"), 0.0, F.col("surplus") == 0)
-    return a.unionByName(b)
+    # both rows of the report come from the one aggregate
+    both = F.array(F.struct(F.lit(f"{name}.duplicate_keys").alias("item"), F.col("dup_keys").alias("v")),
+                   F.struct(F.lit(f"{name}.surplus_rows").alias("item"), F.col("surplus").alias("v")))
+    s = s.select(F.explode(both).alias("x"))
+    return _report(s, "uniqueness", F.col("x.item"), F.col("x.v"), 0.0, F.col("x.v") == 0)
 
 
 def check_validity(df: DataFrame, rules: dict[str, Column], group: str | None = None,

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.session import written
+
 
 def topn_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int,
                    rank_col: str = "rn") -> DataFrame:
@@ -89,60 +91,52 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequen
     return j.select(*[c for c in j.columns if c not in helper], *outs)
 
 
-def hot_group_blocks(df: DataFrame, keys: Sequence[str], value: Column, blocks: int = 1024,
-                     max_group_rows: int = 5_000_000, max_hot_groups: int = 10_000) -> DataFrame:
-    """Add ``_blk``: 0 for ordinary groups; for hot groups (more than
-    ``max(max_group_rows, total / max_hot_groups)`` rows) the index of the
-    value range the row falls in, counted from the largest value down.
-
-    Ranges come from ``percentile_approx`` (``blocks - 1`` cut points, a
-    mergeable sketch, so the hot group itself is reduced map-side). At most
-    ``max_hot_groups`` groups can exceed the bound, so the cut table that is
-    broadcast has a proven size bound. Equal values always share a block,
-    which keeps ranks with ties exact.
-    """
-    v = value.cast("double")
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    # bound = max(max_group_rows, total / max_hot_groups); the total is a lazy
-    # scalar subquery over the same per-group counts (no separate eager job)
-    total = counts.agg(F.sum("_n")).scalar()
-    bound = F.greatest(F.lit(max_group_rows).cast("bigint"), F.floor(total / max_hot_groups).cast("bigint"))
-    hot = counts.where(F.col("_n") > bound).select(*keys)
-    pcts = [i / blocks for i in range(1, blocks)]
-    cuts = (df.join(F.broadcast(hot), list(keys))
-              .groupBy(*keys).agg(F.percentile_approx(v, pcts, 100 * blocks).alias("_cuts")))
-    tagged = df.join(F.broadcast(cuts), list(keys), "left")
-    blk = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c > v)), F.lit(0))
-    return tagged.withColumn("_blk", blk.cast("int")).drop("_cuts")
+def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` dealt out by ranges of ``order`` and written, with ``_blk``: the
+    range's number. Every range is a bounded part of the rows, whatever its
+    keys; only rows equal in all of ``order`` must stay together."""
+    return written(df.repartitionByRange(*order).withColumn("_blk", F.spark_partition_id()), "in-order")
 
 
 def rank_in_groups(df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str],
-                   out: str = "rn", fn: str = "row_number", **block_args) -> DataFrame:
-    """``row_number`` / ``rank`` by ``value`` descending (then ``tie``) per
-    group, without sorting a hot group in one task: the window runs per
-    ``(group, value block)`` and adds the row count of the earlier blocks."""
-    # the group key as one struct: NULL keys form one group here as in a window
-    d = hot_group_blocks(df, keys, F.col(value), **block_args).withColumn(
-        "_gk", F.struct(*[F.col(k) for k in keys]))
-    w = Window.partitionBy("_gk", "_blk").orderBy(F.col(value).desc(), *[F.col(c) for c in tie])
-    local = (F.row_number() if fn == "row_number" else F.rank()).over(w)
+                   out: str = "rn", fn: str = "row_number") -> DataFrame:
+    """``row_number`` / ``rank`` by ``value`` descending, NULLs last (then
+    ``tie``) per group, NULL keys being one group, without sorting a hot group
+    in one task.
+
+    The rows are dealt out by ranges of (group, value, tie), so a large group,
+    a value that most of its rows share, or its NULLs lie in several ranges;
+    the window runs per group and range and adds the rows of the group's
+    earlier ranges. The same path is taken at every size. ``rank`` is the
+    least row number of the rows with the same value and ties.
+    """
+    names = df.columns
+    d = df.withColumn("_gk", F.struct(*[F.col(k) for k in keys]))
+    order = [F.col(value).desc_nulls_last(), *[F.col(c) for c in tie]]
+    # a rank's ties are split by the row's hash, so that they need not fit one range
+    spread = [F.xxhash64(*[F.col(c) for c in names])] if fn == "rank" else []
+    d = in_order(d, ["_gk", *order, *spread])
+    w = Window.partitionBy("_gk", "_blk").orderBy(*order, *spread)
     sizes = d.groupBy("_gk", "_blk").agg(F.count("*").alias("_size"))
     wb = Window.partitionBy("_gk").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     carry = sizes.select("_gk", "_blk", F.coalesce(F.sum("_size").over(wb), F.lit(0)).alias("_carry"))
-    return (d.withColumn("_local", local).join(carry, ["_gk", "_blk"])
-             .withColumn(out, (F.col("_local") + F.col("_carry")).cast("bigint"))
-             .drop("_local", "_carry", "_blk", "_gk"))
+    numbered = (d.withColumn("_local", F.row_number().over(w)).join(carry, ["_gk", "_blk"])
+                 .withColumn("_no", (F.col("_local") + F.col("_carry")).cast("bigint")))
+    if fn == "row_number":
+        return numbered.select(*names, F.col("_no").alias(out))
+    same = F.struct("_gk", *[F.col(c) for c in [value, *tie]])
+    first = numbered.groupBy(same.alias("_same")).agg(F.min("_no").alias(out))
+    return numbered.withColumn("_same", same).join(first, "_same").select(*names, out)
 
 
-def multi_window_skew_safe(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str],
-                           **block_args) -> DataFrame:
+def multi_window_skew_safe(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str]) -> DataFrame:
     """:func:`multi_window` for groups of any size: the group total and
     average come from an aggregate joined back (partial aggregation, AQE
     splits a hot group on the join) and the row number from
     :func:`rank_in_groups`."""
     gk = F.struct(*[F.col(k) for k in by]).alias("_tk")     # NULL-safe group key
     totals = df.groupBy(gk).agg(F.sum(value).alias("group_total"), F.count(value).alias("_cnt"))
-    ranked = rank_in_groups(df, by, value, tie, "rn", **block_args).withColumn(
+    ranked = rank_in_groups(df, by, value, tie, "rn").withColumn(
         "_tk", F.struct(*[F.col(k) for k in by]))
     return (ranked.join(totals, "_tk").drop("_tk")
                   .withColumn("group_avg", F.when(F.col("_cnt") > 0,

@@ -1,9 +1,9 @@
 """Parametrised jobs: the nightly medallion run and the session-log job.
 
-``nightly``: raw events of one day -> silver (clean, deduplicated) -> quality
-gate -> gold hourly mart. Every layer is written with dynamic partition
-overwrite by day, so a rerun for a date (backfill) replaces exactly that
-day. In strict mode a failed gate raises before gold is touched, so the last
+``nightly``: raw events of one day -> silver (clean, deduplicated) and
+quarantine -> quality gate -> gold mart of sales by category, seller and hour.
+Every layer is written by day, so a rerun for a date (backfill) replaces
+exactly that day, also when the day has become empty. In strict mode a failed gate raises before gold is touched, so the last
 good gold partition stays published.
 
 usage:
@@ -18,24 +18,26 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from souk.functions.scalar import payload_field
 from souk.operators import quality as Q
 from souk.operators.aggregates import sales_mart
 
 
-def _overwrite_days(df: DataFrame, path: str) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("dt").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def sales_measures(silver: DataFrame, amount: str = "value") -> DataFrame:
+    """The mart's columns of a silver event: category (the kind of event),
+    seller and quantity from the payload (a missing quantity is one piece),
+    and the amount as an exact decimal."""
+    return silver.select("ts", F.col("event_type").alias("category"),
+                         payload_field(F.col("payload"), "$.seller", "bigint").alias("seller"),
+                         F.col(amount).try_cast("decimal(12,2)").alias("amount"),
+                         F.coalesce(payload_field(F.col("payload"), "$.qty", "int"), F.lit(1)).alias("qty"))
 
 
 def nightly(spark: SparkSession, raw: DataFrame, silver_path: str, gold_path: str, event_date: str,
-            fail_on_error: bool = True, min_completeness: float = 0.99) -> dict:
-    """Run one day; returns the gate status and the quality report rows."""
-    silver = Q.build_silver(spark, raw, silver_path, event_date)
+            fail_on_error: bool = True, min_completeness: float = 0.99, amount: str = "value") -> dict:
+    """Run one day; returns the gate status and the quality report rows.
+    ``amount`` is the raw column that holds a sale's money."""
+    silver = Q.build_silver(spark, raw, silver_path, event_date, measures=[amount])
     day = silver.where(F.col("dt") == F.lit(event_date).cast("date"))
     report = Q.check_completeness(day.withColumn("k", F.get_json_object("payload", "$.k")),
                                   ["event_id", "ts", "user_id", "k"], min_completeness)
@@ -47,10 +49,8 @@ def nightly(spark: SparkSession, raw: DataFrame, silver_path: str, gold_path: st
     finally:
         report.unpersist()
     if status == "passed":
-        gold = (sales_mart(day.withColumn("amount", F.lit(1)).withColumn("qty", F.lit(1)),
-                           F.col("ts"), "hour", ["event_type"], "amount", "qty")
-                .withColumn("dt", F.lit(event_date).cast("date")))
-        _overwrite_days(gold, gold_path)
+        gold = sales_mart(sales_measures(day, amount), F.col("ts"), "hour", ["category", "seller"], "amount", "qty")
+        gold.write.mode("overwrite").parquet(f"{gold_path}/dt={event_date}")
     return {"status": status, "report": rows}
 
 

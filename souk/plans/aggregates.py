@@ -90,7 +90,8 @@ def daily_revenue_by_category(spark: SparkSession, sf: str) -> DataFrame:
 @query("daily_kpis", with_views("""
 SELECT order_dt, COUNT(*) AS orders, COUNT(DISTINCT user_id) AS users,
        CAST(SUM(amount) AS DECIMAL(22,2)) AS revenue, CAST(SUM(qty) AS BIGINT) AS qty,
-       CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_amount
+       CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_amount,
+       CAST(SUM(qty) AS DOUBLE) / COUNT(qty) AS avg_qty
 FROM sales GROUP BY order_dt ORDER BY order_dt
 """, sales=SALES_SQL))
 def daily_kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,6 +155,20 @@ def sales_mart_hourly(spark: SparkSession, sf: str) -> DataFrame:
                    F.count_distinct("user_id").alias("users")))
 
 
+@query("sales_mart_by_seller_hour", """
+SELECT CAST(date_trunc('hour', l_shipdate) AS TIMESTAMP) AS period, p_type AS category_name, l_suppkey AS seller_id, COUNT(*) AS lines,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS revenue, CAST(SUM(CAST(l_quantity AS INT)) AS BIGINT) AS qty
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL
+""")
+def sales_mart_by_seller_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """The sales mart by category, seller and hour."""
+    li = io.load(spark, sf, "lineitem").withColumn("amount", F.col("l_extendedprice").cast("decimal(12,2)"))
+    p = io.load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category_name"))
+    d = li.join(p, "l_partkey").withColumn("qty", F.col("l_quantity").cast("int")).withColumnRenamed("l_suppkey", "seller_id")
+    out = A.sales_mart(d, F.col("l_shipdate"), "hour", ["category_name", "seller_id"], "amount", "qty")
+    return out.withColumn("period", F.col("period").cast("timestamp_ntz")).withColumn("revenue", F.col("revenue").cast(DEC))
+
+
 # The funnel steps (event kinds of the events table).
 FUNNEL_STEPS = ["view", "click", "purchase"]
 
@@ -235,7 +250,8 @@ def seller_scorecard(spark: SparkSession, sf: str) -> DataFrame:
     li = io.load(spark, sf, "lineitem")
     s = io.load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
                                              F.col("s_nationkey").alias("nationkey"))
-    return sc(li.join(s, "l_suppkey"))
+    return sc(li.join(s, "l_suppkey"), "l_suppkey", "nationkey", "l_orderkey", "l_extendedprice",
+              F.col("l_returnflag") == "R", "rank_in_nation")
 
 
 @query("metrics_agg", """

@@ -91,7 +91,7 @@ def merge_on_read(spark: SparkSession, sf: str) -> DataFrame:
 @query("compacted_equals_merged", MERGED_SQL)
 def compacted_equals_merged(spark: SparkSession, sf: str) -> DataFrame:
     base, changes = _layers(spark, sf)
-    return I.compact(I.merge_on_read(base, changes, KEYS, COLS), scratch_path(spark, "compact"), 4)
+    return I.compact(I.merge_on_read(base, changes, KEYS, COLS), scratch_path(spark, "compact"))
 
 
 @query("changes_between", with_views("""
@@ -118,6 +118,19 @@ def upsert_latest_wins(spark: SparkSession, sf: str) -> DataFrame:
     return I.upsert_latest(vf.where("version = 1"), vf.where("version > 1"), ["id"], "version")
 
 
+@query("snapshot_with_deletes", with_views("""
+SELECT partkey, p_type, price, version FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY partkey ORDER BY version DESC) AS rn FROM log WHERE version <= 2)
+WHERE rn = 1 AND op <> 'D'
+""", changes=CHANGES_SQL, base=BASE_SQL, log="""
+SELECT partkey, p_type, price, 0 AS version, 'I' AS op FROM base UNION ALL SELECT partkey, p_type, price, version, op FROM changes"""))
+def snapshot_with_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    """Base and change layer as one log, read as of version 2: deleted keys
+    are gone."""
+    base = base_layer(spark, sf).select("*", F.lit(0).alias("version"), F.lit("I").alias("op"))
+    return I.snapshot_as_of(base.unionByName(change_layer(spark, sf)), KEYS, "version", 2, op="op")
+
+
 @query("snapshot_as_of", with_views("""
 SELECT id, version, category, amount FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY version DESC) AS rn FROM vf WHERE version <= 2)

@@ -99,15 +99,37 @@ def asof_price(spark: SparkSession, sf: str) -> DataFrame:
               .select("order_id", "line_no", "partkey", "order_dt", "eff_dt", "price"))
 
 
+# Intraday fixture: every event looks up its user's last click by the hour;
+# both times are cut to hours, so equal times and ties are common.
+@query("asof_last_click", """
+SELECT event_id, user_id, at, click_hour, click_value, click_id FROM (
+  SELECT *, LAST_VALUE(c IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY at, fact, event_id
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_c
+  FROM (SELECT event_id, user_id, ts AS at, 1 AS fact, NULL AS c FROM events
+        UNION ALL
+        SELECT event_id, user_id, date_trunc('hour', ts), 0,
+               struct_pack(h := date_trunc('hour', ts), v := value, i := event_id)
+        FROM events WHERE event_type = 'click')),
+  LATERAL (SELECT last_c.h AS click_hour, last_c.v AS click_value, last_c.i AS click_id)
+WHERE fact = 1
+""")
+def asof_last_click(spark: SparkSession, sf: str) -> DataFrame:
+    ev = io.load(spark, sf, "events")
+    clicks = ev.where(F.col("event_type") == "click").select(
+        "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("click_hour"),
+        F.col("value").alias("click_value"), F.col("event_id").alias("click_id"))
+    return J.asof_join(ev.select("event_id", "user_id", F.col("ts").alias("at")), clicks, "user_id", "at",
+                       "click_hour", ["click_value", "click_id"], tie=["click_id"])
+
+
 # IP fixture (FIXTURES 4): every nation owns three consecutive blocks of
-# 2^26 addresses (range id = nationkey * 3 + j, the first 64 kept), each only
-# partly used (gaps); customer ip = (custkey * 2654435761) % 2^32.
+# 2^25 addresses (range id = nationkey * 3 + j), each only partly used (gaps);
+# customer ip = (custkey * 2654435761) % 2^32.
 IP_RANGES_SQL = """
 SELECT idx AS range_id, n_nationkey AS nationkey,
-       CAST(idx * 67108864 AS BIGINT) AS lo,
-       CAST(idx * 67108864 + 33554432 + (idx * 1000003) % 16777216 AS BIGINT) AS hi
+       CAST(idx * 33554432 AS BIGINT) AS lo,
+       CAST(idx * 33554432 + 16777216 + (idx * 1000003) % 8388608 AS BIGINT) AS hi
 FROM (SELECT n_nationkey, CAST(n_nationkey AS BIGINT) * 3 + j AS idx FROM nation, range(0, 3) t(j))
-WHERE idx < 64
 """
 
 
@@ -115,10 +137,10 @@ def ip_ranges(spark: SparkSession, sf: str) -> DataFrame:
     n = io.load(spark, sf, "nation")
     idx = (F.col("n_nationkey").cast("bigint") * 3 + F.col("j")).alias("idx")
     r = (n.select("n_nationkey", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))).alias("j"))
-          .select("n_nationkey", idx).where(F.col("idx") < 64))
+          .select("n_nationkey", idx))
     i = F.col("idx")
-    return r.select(i.alias("range_id"), F.col("n_nationkey").alias("nationkey"), (i * 67108864).alias("lo"),
-                    (i * 67108864 + 33554432 + (i * 1000003) % 16777216).alias("hi"))
+    return r.select(i.alias("range_id"), F.col("n_nationkey").alias("nationkey"), (i * 33554432).alias("lo"),
+                    (i * 33554432 + 16777216 + (i * 1000003) % 8388608).alias("hi"))
 
 
 @query("ip_range_join", with_views("""

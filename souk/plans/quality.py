@@ -100,6 +100,52 @@ def silver_day(spark: SparkSession, sf: str) -> DataFrame:
     return s.groupBy("dt").agg(F.count("*").alias("n_rows"), F.count_distinct("user_id").alias("users"))
 
 
+# Bad input fixture: times that are missing or no times, cut payloads, missing
+# users, and every 11th row delivered twice.
+BAD_RAW_SQL = f"""
+b AS (SELECT event_id, event_type, value, {BROKEN_PROPS} AS props,
+             CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 43 = 0 THEN 'garbage'
+                  ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts,
+             CASE WHEN event_id % 47 = 0 THEN NULL ELSE user_id END AS user_id FROM events),
+raw AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE event_id % 11 = 0)
+"""
+
+
+def bad_raw_events(spark: SparkSession, sf: str) -> DataFrame:
+    b = broken_events(spark, sf)
+    at = lambda n: F.pmod("event_id", F.lit(n)) == 0
+    b = (b.withColumn("ts", F.when(at(41), F.lit(None)).when(at(43), "garbage")
+                      .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+          .withColumn("user_id", F.when(~at(47), F.col("user_id"))))
+    return b.unionByName(b.where(at(11)))
+
+
+@query("silver_and_quarantine", f"""
+WITH {BAD_RAW_SQL},
+t AS (SELECT *, TRY_CAST(ts AS TIMESTAMP) AS at FROM raw),
+r AS (SELECT *, CAST(at AS DATE) AS day,
+             CASE WHEN event_id IS NULL THEN 'missing_event_id' WHEN at IS NULL THEN 'missing_ts'
+                  WHEN user_id IS NULL THEN 'missing_user' WHEN NOT json_valid(props) THEN 'malformed_payload' END AS reason FROM t)
+SELECT 'silver' AS layer, CAST(day AS VARCHAR) AS dt, NULL AS reason, COUNT(DISTINCT event_id) AS n_rows, CAST(SUM(v) AS DECIMAL(22,2)) AS total
+FROM (SELECT day, event_id, MIN(CAST(value AS DECIMAL(12,2))) AS v FROM r
+      WHERE reason IS NULL AND day IN (DATE '2024-01-05', DATE '2024-01-06') GROUP BY ALL) GROUP BY ALL
+UNION ALL
+SELECT 'quarantine', CAST(day AS VARCHAR), reason, COUNT(*), CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) FROM r
+WHERE reason IS NOT NULL AND (day IS NULL OR day IN (DATE '2024-01-05', DATE '2024-01-06')) GROUP BY ALL
+""")
+def silver_and_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days of bad input built, the first one twice: what is not in silver
+    is in quarantine with its reason, rows without a day in a part of their own."""
+    path = scratch_path(spark, "silver-bad")
+    for d in SILVER_DAYS + SILVER_DAYS[:1]:
+        Q.build_silver(spark, bad_raw_events(spark, sf), path, d, measures=["value"])
+    money = F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(22,2)").alias("total")
+    s = spark.read.parquet(path).groupBy("dt").agg(F.count("*").alias("n_rows"), money)
+    q = spark.read.parquet(f"{path}_quarantine").groupBy("dt", "reason").agg(F.count("*").alias("n_rows"), money)
+    return (s.select(F.lit("silver").alias("layer"), F.col("dt").cast("string").alias("dt"), F.lit(None).cast("string").alias("reason"), "n_rows", "total")
+             .unionByName(q.select(F.lit("quarantine").alias("layer"), F.col("dt").cast("string").alias("dt"), "reason", "n_rows", "total")))
+
+
 def _completeness_sql(cols):
     parts = []
     for c in cols:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.functions import scalar as S
-from souk.plans.registry import query
+from souk.plans.registry import ORACLES, query
 from souk.plans.sources import BROKEN_PROPS, broken_events
 from souk.plans.tables import DEC, NESTED_ORDERS_SQL, SALES_SQL, nested_orders, sales, with_views
 from souk.sources import io
@@ -69,6 +69,25 @@ def conditional_agg_vs_union(spark: SparkSession, sf: str) -> DataFrame:
          .cast(DEC).alias("purchase_value"))
 
 
+@query("union_of_filters", ORACLES["conditional_agg_vs_union"])
+def union_of_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """The union twin of the conditional pass: one filtered aggregate per kind
+    of event, put together again by day."""
+    ev = io.load(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    zero, parts = F.lit(0).cast("bigint"), []
+    for kind, name in (("view", "views"), ("click", "clicks"), ("purchase", "purchases"), (None, None)):
+        rows = ev.where(F.col("event_type") == kind) if kind else ev
+        money = F.sum(F.col("value").cast("decimal(12,2)")) if kind == "purchase" else F.lit(0).cast("decimal(22,2)")
+        n = F.count("*") if kind else zero
+        parts.append(rows.groupBy("day").agg(*[(n if c == name else zero).alias(c) for c in ("views", "clicks", "purchases")],
+                                             money.cast(DEC).alias("purchase_value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("day").agg(F.sum("views").alias("views"), F.sum("clicks").alias("clicks"),
+                                  F.sum("purchases").alias("purchases"), F.sum("purchase_value").cast(DEC).alias("purchase_value"))
+
+
 @query("string_key_ops", """
 SELECT event_id, 'evt-' || CAST(event_id AS VARCHAR) AS event_key,
        concat_ws('_', CAST(user_id AS VARCHAR), CAST(event_id % 10 AS VARCHAR)) AS salted_key,

@@ -122,6 +122,44 @@ def append_two_writers(spark: SparkSession, sf: str) -> DataFrame:
                      F.sum("amount").cast(DEC).alias("total")))
 
 
+@query("append_overlapping_writers", """
+SELECT o_orderkey, COUNT(*) AS n_rows, COUNT(DISTINCT version) AS n_writers, CAST(MAX(amount) AS DECIMAL(14,2)) AS highest
+FROM (SELECT o_orderkey, 1 AS version, CAST(o_totalprice AS DECIMAL(14,2)) AS amount FROM orders WHERE o_orderkey % 3 <> 0
+      UNION ALL SELECT o_orderkey, 1, CAST(o_totalprice AS DECIMAL(14,2)) FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 = 0
+      UNION ALL SELECT o_orderkey, 2, CAST(CAST(o_totalprice AS DECIMAL(14,2)) + 1 AS DECIMAL(14,2)) FROM orders WHERE o_orderkey % 3 <> 1)
+GROUP BY o_orderkey
+""")
+def append_overlapping_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two writers with overlapping keys, one of them with duplicates in its
+    batch: appends keep every row; the reader sees who wrote a key how often."""
+    o = io.load(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(14,2)").alias("amount"))
+    third, path = F.pmod("o_orderkey", F.lit(3)), scratch_path(spark, "overlapping-appends")
+    one = o.where(third != 0).withColumn("version", F.lit(1))
+    one.unionByName(one.where(F.pmod("o_orderkey", F.lit(5)) == 0)).write.mode("append").parquet(path)
+    two = o.where(third != 1).select("o_orderkey", (F.col("amount") + 1).cast("decimal(14,2)").alias("amount"), F.lit(2).alias("version"))
+    two.write.mode("append").parquet(path)
+    return (spark.read.parquet(path).groupBy("o_orderkey")
+                 .agg(F.count("*").alias("n_rows"), F.count_distinct("version").alias("n_writers"), F.max("amount").alias("highest")))
+
+
+@query("format_row_counts", with_views("""
+SELECT f AS format, COUNT(*) AS n_rows, CAST(SUM(amount) AS DECIMAL(22,2)) AS revenue
+FROM sales, (VALUES ('parquet'), ('orc'), ('csv'), ('json')) t(f) GROUP BY f
+""", sales=SALES_SQL))
+def format_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What is found again in each format after writing sales to all of them."""
+    src = sales(spark, sf).select([f.name for f in SALES_COLS_SCHEMA.fields])
+    written = io.write_formats(src, scratch_path(spark, "counted-formats"), ["parquet", "orc", "csv", "json"])
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in SALES_COLS_SCHEMA])
+    out = None
+    for fmt, path in written.items():
+        back = io.normalise_types(io.read_table(spark, path, fmt, text if fmt in io.TEXT_FORMATS else None), SALES_COLS_SCHEMA)
+        n = back.agg(F.count("*").alias("n_rows"), F.sum("amount").cast(DEC).alias("revenue")).select(
+            F.lit(fmt).alias("format"), "n_rows", "revenue")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 @query("key_skew_profile", with_views("""
 SELECT seller_id, n_rows, ROUND(CAST(n_rows AS DOUBLE) * 100.0 / (SELECT COUNT(*) FROM so), 2) AS share_pct
 FROM (SELECT seller_id, COUNT(*) AS n_rows FROM so GROUP BY seller_id)

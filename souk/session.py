@@ -8,10 +8,11 @@ use for written intermediates (never a machine-local folder on a cluster).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on (UTC wall clock, adaptive execution).
 BASE_CONF = {
@@ -74,12 +75,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is only read here.
-    When it is unset (local runs, tests) a private folder is created once,
-    remembered in the session under ``souk.scratch.dir`` and registered as
-    the checkpoint folder of the context.
+    When it is unset in a ``local`` session (tests) a private folder is
+    created once, remembered in the session under ``souk.scratch.dir`` and
+    registered as the checkpoint folder of the context; on a cluster a
+    missing setting is an error, since executors share no local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_SCRATCH_KEY, None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="souk-ckpt-")
         spark.conf.set(_SCRATCH_KEY, d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -90,6 +94,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, "souk-work", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint folder and read back: later
+    steps share one result and no executor's loss costs more than its tasks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -66,11 +66,13 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
     return True
 
 
-def write_formats(df: DataFrame, outdir: str, formats: list[str], files: int = 8,
+def write_formats(df: DataFrame, outdir: str, formats: list[str], files: int | None = None,
                   mode: str = "overwrite") -> dict[str, str]:
-    """Write one source into several formats, ``files`` output files each.
+    """Write one source into several formats.
 
-    ``coalesce(files)`` narrows partitions without a shuffle; Parquet/ORC use
+    By default every task writes its own file, so the write is as parallel as
+    its input; ``files`` narrows it to so many (a choice for small tables: the
+    upstream work of a ``coalesce`` runs in as many tasks). Parquet/ORC use
     snappy, CSV is tab-separated with a header. Unavailable formats are skipped.
     Returns ``{format: path}`` of what was written.
     """
@@ -80,7 +82,7 @@ def write_formats(df: DataFrame, outdir: str, formats: list[str], files: int = 8
         if not format_available(spark, fmt):
             continue
         path = f"{outdir.rstrip('/')}/{fmt}"
-        w = df.coalesce(files).write.mode(mode).format(fmt)
+        w = (df if files is None else df.coalesce(files)).write.mode(mode).format(fmt)
         if fmt in {"parquet", "orc"}:
             w = w.option("compression", "snappy")
         if fmt == "csv":

@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from souk.functions.scalar import knuth_bucket
 from souk.operators.incremental import latest_by_key
+from souk.session import scratch_path
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -56,18 +57,28 @@ def write_topic(df: DataFrame, topic: str, key: str, ckpt: str, bootstrap: str |
     return run_to_end(start_available_now(df, ckpt, path=f"{root.rstrip('/')}/{topic}"))
 
 
+def stage_chunks(df: DataFrame, path: str, chunk: Column, chunks: int) -> str:
+    """Write ``df`` as ordered appends, rows of ``chunk`` 0 first (NULL counts
+    as 0, so no row is lost), for a file stream with ``maxFilesPerTrigger``
+    to replay. The table is read once and written by chunk; each append then
+    reads its own chunk's folder only. Every append is one file, since the
+    replay's batches are files: staging for local runs, on a cluster the
+    input is a topic."""
+    parts = scratch_path(df.sparkSession, "stream-chunks")
+    df.withColumn("_chunk", F.coalesce(chunk, F.lit(0)).cast("int")).write.partitionBy("_chunk").parquet(parts)
+    staged = df.sparkSession.read.parquet(parts)
+    for i in range(chunks):
+        staged.where(F.col("_chunk") == i).select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def stage_stream_input(df: DataFrame, path: str, t: str, chunks: int) -> str:
-    """Write ``df`` as ``chunks`` time-ordered appends (oldest first), so a
-    file stream with ``maxFilesPerTrigger`` replays it in event-time order.
-    Fixture staging for local runs; on a cluster the input is a topic."""
+    """:func:`stage_chunks` by time: ``chunks`` equal spans of days, rows
+    without a time in the first."""
     day = F.col(t).cast("date")
     lo, hi = df.agg(F.min(day), F.max(day)).first()
-    span = (hi - lo).days + 1
-    chunk = F.floor(F.datediff(day, F.lit(lo)) * chunks / span)
-    staged = df.withColumn("_chunk", chunk)
-    for i in range(chunks):
-        staged.where(F.col("_chunk") == i).drop("_chunk").coalesce(1).write.mode("append").parquet(path)
-    return path
+    span = (hi - lo).days + 1 if lo else 1
+    return stage_chunks(df, path, F.floor(F.datediff(day, F.lit(lo).cast("date")) * chunks / span), chunks)
 
 
 def close_stream_input(spark: SparkSession, path: str, schema, t: str, key: str, key_value,
@@ -106,13 +117,21 @@ def versioned_batch_sink(path: str, transform: Callable[[DataFrame], DataFrame]
     return write
 
 
-def _snapshots(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None if nothing was written there yet; any other
+    failure is raised."""
     try:
-        return spark.read.parquet(f"{path}_snapshots")
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
+def _snapshots(spark: SparkSession, path: str) -> DataFrame | None:
+    return _read_if_there(spark, f"{path}_snapshots")
+
+
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Final state of a versioned sink: latest batch per key. With a
     compacted snapshot (:func:`compact_versioned_sink`) only the newest
@@ -211,11 +230,8 @@ def stream_ingest_late_policy(stream: DataFrame, t: str, delay_seconds: int, out
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        try:
-            prev = (spark.read.parquet(hwm).where(F.col("batch_id") < batch_id)
-                    .agg(F.max("max_ts")).first()[0])
-        except Exception:  # noqa: BLE001 - no earlier batch yet
-            prev = None
+        marks = _read_if_there(spark, hwm)
+        prev = marks.where(F.col("batch_id") < batch_id).agg(F.max("max_ts")).first()[0] if marks else None
         if prev is None:
             is_late = F.lit(False)
         else:
@@ -234,20 +250,17 @@ def stream_ingest_late_policy(stream: DataFrame, t: str, delay_seconds: int, out
     return run_to_end(start_available_now(stream, ckpt, sink=write))
 
 
-def route_topics(df: DataFrame, rules: dict[str, tuple[str, str, int]], kind: str,
-                 default: tuple[str, str, int]) -> DataFrame:
-    """Event kind -> (topic, key column, partitions). Adds ``topic``,
-    ``key`` and ``partition = pmod(key * 2654435761, partitions)``."""
-    topic = key = parts = None
-    for k, (tp, kc, n) in rules.items():
+def route_topics(df: DataFrame, rules: dict[str, tuple[str, str]], kind: str,
+                 default: tuple[str, str]) -> DataFrame:
+    """Event kind -> (topic, key column). Adds ``topic`` and ``key``; which
+    partition of the topic a key goes to is the broker's business."""
+    topic = key = None
+    for k, (tp, kc) in rules.items():
         cond = F.col(kind) == k
         topic = F.when(cond, tp) if topic is None else topic.when(cond, tp)
         key = F.when(cond, F.col(kc)) if key is None else key.when(cond, F.col(kc))
-        parts = F.when(cond, n) if parts is None else parts.when(cond, n)
-    topic, key, parts = (topic.otherwise(default[0]), key.otherwise(F.col(default[1])),
-                         parts.otherwise(default[2]))
-    return (df.withColumn("topic", topic).withColumn("key", key.try_cast("bigint"))
-              .withColumn("partition", knuth_bucket(F.col("key"), parts.cast("bigint"))))
+    topic, key = topic.otherwise(default[0]), key.otherwise(F.col(default[1]))
+    return df.withColumn("topic", topic).withColumn("key", key.try_cast("bigint"))
 
 
 def stream_dedup(stream: DataFrame, keys: Sequence[str], t: str, delay: str) -> DataFrame:
