@@ -102,15 +102,14 @@ def asof_price(spark: SparkSession, sf: str) -> DataFrame:
 # Intraday fixture: every event looks up its user's last click by the hour;
 # both times are cut to hours, so equal times and ties are common.
 @query("asof_last_click", """
-SELECT event_id, user_id, at, click_hour, click_value, click_id FROM (
-  SELECT *, LAST_VALUE(c IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY at, fact, event_id
+SELECT event_id, user_id, event_ts, CAST(last_c.h AS TIMESTAMP) AS click_hour, last_c.v AS click_value, last_c.i AS click_id FROM (
+  SELECT *, LAST_VALUE(c IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_ts, fact, event_id
                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_c
-  FROM (SELECT event_id, user_id, ts AS at, 1 AS fact, NULL AS c FROM events
+  FROM (SELECT event_id, user_id, ts AS event_ts, 1 AS fact, NULL AS c FROM events
         UNION ALL
         SELECT event_id, user_id, date_trunc('hour', ts), 0,
                struct_pack(h := date_trunc('hour', ts), v := value, i := event_id)
-        FROM events WHERE event_type = 'click')),
-  LATERAL (SELECT last_c.h AS click_hour, last_c.v AS click_value, last_c.i AS click_id)
+        FROM events WHERE event_type = 'click'))
 WHERE fact = 1
 """)
 def asof_last_click(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,7 +117,7 @@ def asof_last_click(spark: SparkSession, sf: str) -> DataFrame:
     clicks = ev.where(F.col("event_type") == "click").select(
         "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("click_hour"),
         F.col("value").alias("click_value"), F.col("event_id").alias("click_id"))
-    return J.asof_join(ev.select("event_id", "user_id", F.col("ts").alias("at")), clicks, "user_id", "at",
+    return J.asof_join(ev.select("event_id", "user_id", F.col("ts").alias("event_ts")), clicks, "user_id", "event_ts",
                        "click_hour", ["click_value", "click_id"], tie=["click_id"])
 
 

@@ -122,9 +122,9 @@ def bad_raw_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("silver_and_quarantine", f"""
 WITH {BAD_RAW_SQL},
-t AS (SELECT *, TRY_CAST(ts AS TIMESTAMP) AS at FROM raw),
-r AS (SELECT *, CAST(at AS DATE) AS day,
-             CASE WHEN event_id IS NULL THEN 'missing_event_id' WHEN at IS NULL THEN 'missing_ts'
+t AS (SELECT *, TRY_CAST(ts AS TIMESTAMP) AS event_ts FROM raw),
+r AS (SELECT *, CAST(event_ts AS DATE) AS day,
+             CASE WHEN event_id IS NULL THEN 'missing_event_id' WHEN event_ts IS NULL THEN 'missing_ts'
                   WHEN user_id IS NULL THEN 'missing_user' WHEN NOT json_valid(props) THEN 'malformed_payload' END AS reason FROM t)
 SELECT 'silver' AS layer, CAST(day AS VARCHAR) AS dt, NULL AS reason, COUNT(DISTINCT event_id) AS n_rows, CAST(SUM(v) AS DECIMAL(22,2)) AS total
 FROM (SELECT day, event_id, MIN(CAST(value AS DECIMAL(12,2))) AS v FROM r
