@@ -29,16 +29,22 @@ def labelled_sample(df: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     The texts are those with the smallest hashes, so the sample is the same
     on every run, and copies of a text count once: texts are first reduced
-    to hashes (combined before the shuffle), the window keeps ``texts`` of
-    them per task and language, and only their rows are read again. Rows
-    without label, text or letters are no examples. The result is bounded by
+    to hashes (combined before the shuffle) and counted by language, those
+    hashes that are surely too great go, the window keeps ``texts`` of the
+    rest, and only their rows are read again. Rows without label, text or
+    letters are no examples. The result is bounded by
     ``chars`` times the number of languages, not by the corpus.
     """
     d = (df.select(F.col(lang_col).cast("string").alias("lang"), text_or_empty(text_col).alias("text"))
            .where(F.col("lang").isNotNull() & has_letter("text")).withColumn("h", F.xxhash64("text")))
     w = Window.partitionBy("lang").orderBy("h")
-    few = (d.select("lang", "h").distinct().withColumn("n", F.row_number().over(w))
-            .where(F.col("n") <= texts).select("lang", "h"))
+    hashes = materialise(d.select("lang", "h").distinct(), "language-hashes")
+    sizes = materialise(hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "language-sizes")
+    # hashes are spread evenly: twice the share that is wanted, and some more,
+    # holds the smallest of a language, in rows that do not grow with it
+    share = (F.col("h").cast("double") / F.lit(2.0 ** 64) + 0.5) * F.col("size")
+    few = (hashes.join(sizes, "lang").where(share <= 2 * texts + 50).withColumn("n", F.row_number().over(w))
+                 .where(F.col("n") <= texts).select("lang", "h"))
     few = materialise(few, "language-sample")
     rows = (d.join(F.broadcast(few), ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.substring("text", 1, chars)).alias("text")))
     upto = w.rowsBetween(Window.unboundedPreceding, -1)
