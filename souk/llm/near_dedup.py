@@ -21,8 +21,8 @@ BANDS, ROWS = 32, 5
 #: lie before a pair is dropped unseen (over five standard deviations)
 BITS, MARGIN = 256, 0.2
 WORDS = 5
-#: members that one tile of a bucket compares in one task
-TILE = 1024
+#: members that one tile of a bucket has, and shingles that a task remembers
+TILE, HELD = 512, 4_000_000
 #: rows of samples hashed at once; words remembered per worker at most
 PIECE, KNOWN_WORDS = 8192, 1_000_000
 
@@ -183,53 +183,111 @@ def _near(odd_a: str, odd_b: str, bits: int):
     return sum(xor[1:], xor[0]) <= bits
 
 
-def tile_pairs(members: DataFrame, bits: int, tile: int = TILE) -> DataFrame:
-    """Pairs ``(a, b)`` of different components that share a bucket and whose
-    odd sketches differ in at most ``bits`` bits.
-
-    ``members``: ``bucket, n`` (its size), ``id, comp``, sketch. A bucket is
-    cut into tiles of about ``tile`` members; each pair of tiles is a group
-    of its own, compared in numpy, so no task holds a whole large bucket and
-    only pairs that pass leave it. Rows stream in sorted by group.
-    """
+def _tiles(members: DataFrame, tile: int) -> DataFrame:
+    """The members of each bucket, cut into tiles of about ``tile`` members;
+    each pair of tiles ``lo <= hi`` is a group of its own."""
     tiles = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     d = (members.withColumn("t", F.pmod(F.xxhash64("id"), tiles).cast("int"))
-                .withColumn("o", F.explode(F.sequence(F.lit(0), tiles - 1)))
-                .select("bucket", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "t", "id", "comp", *ODD))
-    d = d.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-
-    def pairs(g):
-        if len(g["id"]) < 2:
-            return
-        left, right = np.flatnonzero(g["t"] == g["lo"][0]), np.flatnonzero(g["t"] == g["hi"][0])
-        odd = np.stack([g[o] for o in ODD], 1).view(_U64)
-        for at in range(0, len(left), 256):
-            rows = left[at:at + 256]
-            apart = sum(np.bitwise_count(odd[rows, None, k] ^ odd[None, right, k]).astype(np.int32) for k in range(len(ODD)))
-            a, b = np.nonzero((apart <= bits) & (g["comp"][rows][:, None] != g["comp"][right][None, :]))
-            a, b = g["id"][rows[a]], g["id"][right[b]]
-            yield np.minimum(a, b), np.maximum(a, b)
-
-    def run(batches):
-        names, held = None, None
-        for batch in batches:
-            names = names or batch.schema.names
-            new = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
-            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in names}
-            change = np.flatnonzero((np.diff(held["bucket"]) != 0) | (np.diff(held["lo"]) != 0) | (np.diff(held["hi"]) != 0)) + 1
-            cuts = [0, *change.tolist()]
-            yield from out({c: v[s:e] for c, v in held.items()} for s, e in zip(cuts, cuts[1:], strict=False))
-            held = {c: v[cuts[-1]:] for c, v in held.items()}
-        if held is not None:
-            yield from out([held])
-
-    def out(groups):
-        got = [p for g in groups for p in pairs(g)]
-        a, b = ([p[i] for p in got] for i in (0, 1))
-        if got:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-    return d.mapInArrow(run, "a long, b long").distinct()
+                .withColumn("o", F.explode(F.sequence(F.lit(0), tiles - 1))))
+    return d.select("bucket", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "t", "id", "comp", "bands", *ODD)
+
+
+def _by_group(batches):
+    """Rows that come sorted by (bucket, lo, hi) -> one table per group; only
+    the group that a batch breaks off is kept over."""
+    held = None
+    for batch in batches:
+        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        key = [held.column(c).to_numpy() for c in ("bucket", "lo", "hi")]
+        cuts = [0, *(np.flatnonzero(sum(np.diff(k) != 0 for k in key)) + 1).tolist()]
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            yield held.slice(s, e - s)
+        held = held.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
+def tile_candidates(g: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers ``(a, b)`` and differing bits of the pairs of a group that
+    are of different components, whose odd sketches differ in at most ``bits``
+    bits, and of whose common buckets this is the first (so every pair of
+    documents is looked at once, not once per band)."""
+    col = {c: g.column(c).to_numpy() for c in ("t", "comp", *ODD)}
+    left, right = np.flatnonzero(col["t"] == g.column("lo")[0].as_py()), np.flatnonzero(col["t"] == g.column("hi")[0].as_py())
+    same = g.column("lo")[0].as_py() == g.column("hi")[0].as_py()
+    odd = np.stack([col[o] for o in ODD], 1).view(_U64)
+    bands = g.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    bucket, found = g.column("bucket")[0].as_py(), []
+    for at in range(0, len(left), 256):
+        rows = left[at:at + 256]
+        apart = sum(np.bitwise_count(odd[rows, None, k] ^ odd[None, right, k]).astype(np.int32) for k in range(len(ODD)))
+        near = (apart <= bits) & (col["comp"][rows][:, None] != col["comp"][right][None, :])
+        if same:
+            near &= rows[:, None] < right[None, :]
+        a, b = np.nonzero(near)
+        apart, a, b = apart[a, b], rows[a], right[b]
+        for cut in range(0, len(a), 100_000):
+            x, y, z = a[cut:cut + 100_000], b[cut:cut + 100_000], apart[cut:cut + 100_000]
+            here = bands[x, (bands[x] == bands[y]).argmax(1)] == bucket
+            found.append((x[here], y[here], z[here]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
+
+
+def tile_links(members: DataFrame, texts: DataFrame, bits: int, percent: int, tile: int = TILE) -> DataFrame:
+    """Links ``(a, b)`` that join the components of documents sharing a bucket.
+
+    ``members``: ``bucket, n`` (its size), ``id, comp, bands``, sketch. First
+    the tiles are compared by sketches alone, and only the rows that are part
+    of some candidate pair go on, so what leaves a tile grows with its rows,
+    not with its pairs. Those rows then get their texts, and the candidates of
+    a tile, the likeliest first, are confirmed on full sets; a pair whose
+    components the tile has already joined needs no look. No task holds more
+    than two tiles of a bucket.
+    """
+    schema = _tiles(members, tile).schema
+
+    def candidates(batches):
+        for g in _by_group(batches):
+            a, b, _ = tile_candidates(g, bits)
+            if len(a):
+                yield from g.take(pa.array(np.unique(np.concatenate([a, b])))).to_batches()
+
+    def confirm(batches):
+        for g in _by_group(batches):
+            a, b, apart = tile_candidates(g, bits)
+            up, known, out = {}, {}, []
+            comp, ids, text = g.column("comp").to_pylist(), g.column("id").to_pylist(), g.column("text")
+
+            def find(x, up=up):
+                while up.get(x, x) != x:
+                    x = up[x]
+                return x
+
+            def full(i, known=known, text=text):
+                if i not in known:
+                    if sum(map(len, known.values())) > HELD:
+                        known.clear()
+                    known[i] = shingles(text[i].as_py())
+                return known[i]
+
+            for k in np.argsort(apart, kind="stable").tolist():
+                x, y = int(a[k]), int(b[k])
+                if (p := find(comp[x])) == (q := find(comp[y])):
+                    continue
+                mine, other = full(x), full(y)
+                both = len(np.intersect1d(mine, other, assume_unique=True))
+                if 100 * both >= percent * (len(mine) + len(other) - both):
+                    up[max(p, q)] = min(p, q)
+                    out.append((ids[x], ids[y]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out, strict=True)], names=["a", "b"])
+
+    order = ["bucket", "lo", "hi"]
+    some = _tiles(members, tile).repartition(*order).sortWithinPartitions(*order).mapInArrow(candidates, schema)
+    some = materialise(some, "tile-members").join(texts, "id").select(*schema.names, "text")
+    return some.repartition(*order).sortWithinPartitions(*order).mapInArrow(confirm, "a long, b long").distinct()
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -249,7 +307,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
        confirmed on full sets, and the confirmed links make components.
     4. Buckets whose members now all lie in one component can add nothing.
        In the others all members of different components are compared by
-       their odd sketches, tile by tile (:func:`tile_pairs`), and confirmed
+       their odd sketches, tile by tile (:func:`tile_links`), and confirmed
        as before. So apart from the (tiny) chance that a pair shares no band
        no link between different texts is lost, yet a large group of copies
        is never expanded into its pairs.
@@ -281,8 +339,8 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     shares = shared.groupBy("id").agg(F.sum("n").alias("shares"))
     shares = materialise(shares, "shares")
     texts = materialise(source.join(shares.select("id"), "id", "left_semi"), "candidate-texts")
-    odd = reps.select("id", *ODD).join(shares.select("id"), "id", "left_semi")
-    odd = materialise(odd, "sketches")
+    odd = reps.join(shares.select("id"), "id", "left_semi")
+    odd = materialise(odd.select("id", "bands", *ODD), "sketches")
 
     # the pivot of each bucket against its members
     pivots = shared.join(shares, "id").groupBy("bucket").agg(F.max_by("id", "shares").alias("b"))
@@ -298,7 +356,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     open_ = joined.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
     open_ = materialise(open_, "open-buckets")
     rest = joined.join(open_, "bucket").join(odd, "id")
-    links = verify(tile_pairs(rest, bits), texts, percent)
+    links = tile_links(rest, texts, bits, percent)
     comp = lambda name: first.select(F.col("node").alias(name), F.col("label").alias(f"comp_{name}"))
     links = (links.join(comp("a"), "a", "left").join(comp("b"), "b", "left")
                   .select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")))

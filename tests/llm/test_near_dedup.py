@@ -57,17 +57,30 @@ def test_hub_that_is_not_the_smallest(spark):
     assert {r.doc_id: r.component_id for r in near_dedup(documents(spark, rows), percent=85).collect()} == want
 
 
-def test_tiles_find_every_pair(spark):
-    rng = np.random.RandomState(3)
-    odd = rng.randint(-2 ** 62, 2 ** 62, (60, 4))
-    odd[30:] = odd[:30]
-    rows = [(7 + i % 2, 30, i, i // 4, *map(int, odd[i])) for i in range(60)]
-    df = spark.createDataFrame(rows, "bucket long, n long, id long, comp long, odd0 long, odd1 long, odd2 long, odd3 long")
+def test_tiles_join_what_is_linked(spark):
+    """Members of one bucket and of two: whatever the tiles' size, the links
+    found join exactly the components that links on full sets join."""
+    from llm_helpers import Groups
+    rng = random.Random(3)
+    rows = [r for f in range(3) for r in family(rng, 100 * f, 25, n_words=120, changes=4)]
+    source = documents(spark, rows)
+    sig = nd.signatures(source, "doc_id", "text").withColumn("comp", F.col("id"))
+    both = sig.select("id", "comp", "bands", *nd.ODD, F.explode(F.slice("bands", 1, 4)).alias("bucket"))
+    sizes = both.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    members = both.join(sizes.where("n > 1"), "bucket")
+    keys = {r.id: set(r.bands[:4]) for r in sig.collect()}
+    sets = {i: shingle_set(t) for i, t in rows}
+    want = Groups()
+    linked = [(i, j) for i in sets for j in sets if i < j and keys[i] & keys[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    for i, j in linked:
+        want.link(i, j)
     for tile in (4, 1000):
-        got = {(r.a, r.b) for r in nd.tile_pairs(df, 75, tile).collect()}
-        want = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 2 == b % 2 and a // 4 != b // 4
-                and sum(bin((int(x) ^ int(y)) & 2 ** 64 - 1).count("1") for x, y in zip(odd[a], odd[b], strict=True)) <= 75}
-        assert got == want and want
+        got = nd.tile_links(members, source.select(F.col("doc_id").alias("id"), "text"), nd.most_bits(0.65), 85, tile).collect()
+        mine = Groups()
+        for r in got:
+            assert (min(r.a, r.b), max(r.a, r.b)) in linked
+            mine.link(r.a, r.b)
+        assert linked and {i: mine.find(i) for i in sets} == {i: want.find(i) for i in sets}
 
 
 def test_signatures_estimate(spark):
