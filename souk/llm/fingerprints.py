@@ -7,28 +7,40 @@ from pyspark.sql import functions as F
 
 from souk.llm.common import WHITE, materialise, query, table, text_or_empty
 
-#: samples of a fingerprint; words are hashed to TERMS terms
-SAMPLES, TERMS = 32, 65536
+#: samples of a fingerprint, a multiple of GROUP; words are hashed to TERMS terms
+SAMPLES, GROUP, TERMS = 32, 8, 65536
 #: bits of a sample: the term and, above it, the low bits of its weight step
 STEP_BITS = 4
 #: ids that one task orders together, and blocks whose order one task finds
 BLOCK, SPAN = 64, 65536
 
 
+def _packed(k: int, log_weight: Column, terms: int) -> Column:
+    """Sample k's value and (term, step) as one long that orders by value."""
+    step = F.floor(log_weight / F.col(f"_r{k}") + F.col(f"_b{k}"))
+    value = F.col(f"_c{k}") - F.col(f"_r{k}") * (step - F.col(f"_b{k}") + F.lit(1.0))
+    rank = ((value + F.lit(1024.0)) * F.lit(2.0 ** 31)).cast("long")
+    return rank * F.lit(terms << STEP_BITS) + step.bitwiseAND(F.lit((1 << STEP_BITS) - 1)) * F.lit(terms) + F.col("_term")
+
+
 def term_samples(spark: SparkSession, samples: int = SAMPLES, terms: int = TERMS) -> DataFrame:
-    """``_term`` and, for each sample k, the random numbers that belong to
-    (term, k): ``_r`` and ``_c`` of Gamma(2, 1) (``_c`` as its logarithm) and
-    ``_b`` uniform in (0, 1). A fixed table of ``terms`` rows, whatever the
-    corpus, made by hashing, the same on every run."""
+    """``_term, _group`` and, for each of the group's samples k, the random
+    numbers that belong to (term, sample): ``_r`` and ``_c`` of Gamma(2, 1)
+    (``_c`` as its logarithm), ``_b`` uniform in (0, 1), and ``_one``, the
+    packed sample of a word that occurs once. A fixed table,
+    whatever the corpus, made by hashing, the same on every run."""
     def uniform(k: int, j: int) -> Column:
         return (F.pmod(F.xxhash64(F.col("id"), F.lit(k), F.lit(j)), F.lit(2 ** 31)) + F.lit(0.5)) / F.lit(2.0 ** 31)
 
     cols = []
-    for k in range(samples):
+    for k in range(GROUP):
         gamma = lambda j, k=k: -F.log(uniform(k, j) * uniform(k, j + 1))
         cols += [gamma(0).cast("float").alias(f"_r{k}"), F.log(gamma(2)).cast("float").alias(f"_c{k}"),
                  uniform(k, 4).cast("float").alias(f"_b{k}")]
-    return spark.range(terms).select(F.col("id").cast("int").alias("_term"), *cols)
+    groups = samples // GROUP
+    d = spark.range(terms * groups).select(
+        F.floor(F.col("id") / F.lit(groups)).cast("int").alias("_term"), F.pmod("id", F.lit(groups)).cast("int").alias("_group"), *cols)
+    return d.select("*", *[_packed(k, F.lit(0.0), terms).alias(f"_one{k}") for k in range(GROUP)])
 
 
 def sample_words(words: DataFrame, keys: list[str], samples: int = SAMPLES, terms: int = TERMS) -> DataFrame:
@@ -39,23 +51,21 @@ def sample_words(words: DataFrame, keys: list[str], samples: int = SAMPLES, term
     sample is the (term, t) of the least value. Two weighted sets have equal
     samples with the probability of their generalised Jaccard similarity.
     Value and (term, t) are packed into one long, so a sample is a ``min``:
-    nothing of a document is collected, and the aggregate is combined before
-    any shuffle.
+    nothing of a document but its samples is collected, and the aggregate is
+    combined before any shuffle. The samples go through in groups of GROUP,
+    a row each, which keeps the generated code small enough to be compiled.
+    Most words of a text occur once; their samples are looked up.
     """
-    spark = words.sparkSession
     counts = (words.groupBy(*keys, F.pmod(F.xxhash64("_word"), F.lit(terms)).cast("int").alias("_term"))
                    .agg(F.log(F.count(F.lit(1)).cast("double")).alias("_lw")))
-    d = counts.join(F.broadcast(term_samples(spark, samples, terms)), "_term")
+    d = counts.join(F.broadcast(term_samples(words.sparkSession, samples, terms)), "_term")
     low = terms << STEP_BITS
 
-    def packed(k: int) -> Column:
-        step = F.floor(F.col("_lw") / F.col(f"_r{k}") + F.col(f"_b{k}"))
-        value = F.col(f"_c{k}") - F.col(f"_r{k}") * (step - F.col(f"_b{k}") + F.lit(1.0))
-        rank = ((value + F.lit(1024.0)) * F.lit(2.0 ** 31)).cast("long")
-        return rank * F.lit(low) + step.bitwiseAND(F.lit((1 << STEP_BITS) - 1)) * F.lit(terms) + F.col("_term")
-
-    least = d.groupBy(*keys).agg(*[F.min(packed(k)).alias(f"_m{k}") for k in range(samples)])
-    return least.select(*keys, F.array(*[F.pmod(F.col(f"_m{k}"), F.lit(low)).cast("int") for k in range(samples)]).alias("_sample"))
+    least = d.groupBy(*keys, "_group").agg(*[
+        F.min(F.when(F.col("_lw") == 0, F.col(f"_one{k}")).otherwise(_packed(k, F.col("_lw"), terms))).alias(f"_m{k}") for k in range(GROUP)])
+    part = F.array(*[F.pmod(F.col(f"_m{k}"), F.lit(low)).cast("int") for k in range(GROUP)])
+    parts = least.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_group", part.alias("part")))).alias("_parts"))
+    return parts.select(*keys, F.flatten(F.transform("_parts", lambda x: x["part"])).alias("_sample"))
 
 
 def words_of(df: DataFrame, keys: list[str], text: Column) -> DataFrame:

@@ -27,11 +27,14 @@ def edited(texts):
 
 
 def test_collisions_estimate_generalised_jaccard(spark):
-    rng = random.Random(2)
-    rows, base = [], [rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(60)]
-    for i in range(300):
-        keep = rng.randint(0, 60)
-        rows.append((i, " ".join(base[:keep] + [f"n{rng.randint(0, 30)}" for _ in range(60 - keep)])))
+    rng, rows = random.Random(2), []
+    for i in range(0, 300, 2):
+        # words of the pair's own: all pairs draw on the same random numbers per
+        # term, so pairs over a common vocabulary would err together
+        words = [f"{i}x{k}" for k in range(60)]
+        common, own = rng.randint(0, 60), [rng.choice([1, 1, 1, 2, 5]) for _ in words]
+        rows.append((i, " ".join(w for w, n in zip(words, own, strict=True) for _ in range(n))))
+        rows.append((i + 1, " ".join(w if k < common else w + "y" for k, w in enumerate(words) for _ in range(rng.choice([own[k], own[k] + 1])))))
     got = {r.doc_id: r.fingerprint for r in fingerprint(documents(spark, rows)).collect()}
     errors = []
     for i in range(0, 300, 2):
