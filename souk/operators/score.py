@@ -17,16 +17,21 @@ from pyspark.sql import functions as F
 def normalise_component(df: DataFrame, col: str, peers: Sequence[str], out: str | None = None,
                         method: str = "z", digits: int = 6) -> DataFrame:
     """z-score (or min-max) of ``col`` inside its peer group; NULL when the
-    spread is 0 or undefined."""
-    w = Window.partitionBy(*peers)
+    spread is 0 or undefined.
+
+    The peers' statistics are an aggregate (combined before the shuffle),
+    joined back: a peer group of any size is never gathered in one task."""
+    out = out or f"z_{col}"
+    key = F.struct(*[F.col(p) for p in peers])      # NULL peers are one group
     x = F.col(col)
+    stats = df.groupBy(key.alias("_peers")).agg(F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_sd"),
+                                                F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     if method == "z":
-        mean, sd = F.avg(x).over(w), F.stddev_samp(x).over(w)
-        val = F.when(sd > 0, (x - mean) / sd)
+        val = F.when(F.col("_sd") > 0, (x - F.col("_mean")) / F.col("_sd"))
     else:
-        lo, hi = F.min(x).over(w), F.max(x).over(w)
-        val = F.when(hi > lo, (x - lo) / (hi - lo))
-    return df.withColumn(out or f"z_{col}", F.round(val, digits))
+        val = F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
+    names = [c for c in df.columns if c != out]
+    return df.withColumn("_peers", key).join(stats, "_peers").select(*names, F.round(val, digits).alias(out))
 
 
 def _round(c: Column, digits: int | None) -> Column:
