@@ -122,5 +122,5 @@ def with_quotes(df: DataFrame) -> DataFrame:
 def op7_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, first made to quote each other (the table has no
     quotes), linked, ordered and freed from quotes again."""
-    out = link_quotes(with_quotes(table(spark, sf_dir, "conversations")))
+    out = link_quotes(materialise(with_quotes(table(spark, sf_dir, "conversations")), "quoted-messages"))
     return out.select("conv_id", "turn", "role", "text", "parent_turn", "root_turn", "position", "quoted")
