@@ -57,6 +57,32 @@ def test_line_groups_brute_force(spark):
     assert left == {d: "\n".join(x for n, x in enumerate(t.split("\n")) if not say(x) or want[d, n][3]) for d, t in rows}
 
 
+def test_line_recall_over_edit_similarity(spark):
+    """Against brute force over edit similarity alone, down to 0.8."""
+    rng = random.Random(5)
+    rows, pairs = [], set()
+    for n in (4, 5, 8, 10, 20, 27, 58, 100):
+        for k in range(25):
+            a = [f"w{int(2000 * rng.random() ** 3)}" for _ in range(n)]
+            b = list(a)
+            for _ in range((n + (n == 4)) // 5):  # (one word more makes four words similar to five)
+                kind = 1 if n == 4 else rng.randrange(2)
+                i = rng.randrange(len(b))
+                b[i:i + 1] = [f"x{rng.randrange(10 ** 6)}"] + ([b[i]] if kind and len(b) < n + 1 else [])
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    words = [t.split() for _, t in rows]
+    for i, j in combinations(range(len(rows)), 2):
+        x, y = words[i], words[j]
+        if min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and edit_distance(x, y) <= 0.2 * max(len(x), len(y)):
+            pairs.add((i, j))
+    g = Groups()
+    for i, j in pairs:
+        g.link(i, j)
+    group = {r.doc_id: r.keep_id for r in line_groups(documents(spark, rows), distance=None).collect()}
+    assert all(g.find(i) == g.find(group[i]) for i in group)  # none too many
+    assert len(pairs) >= 180 and sum(group[i] == group[j] for i, j in pairs) >= 0.98 * len(pairs)
+
+
 def test_pigeonhole(spark):
     """Up to three bits apart, some key is equal."""
     rng = random.Random(1)
