@@ -131,17 +131,22 @@ def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                     label_col: str = "quality", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[int]]:
     """At most ``rows`` different labelled texts of at most ``chars``
     characters together, for the driver: those whose ids have the smallest
-    hashes, so every run learns from the same ones. Texts are taken whole or
-    not at all. Rows without id, text or label are no examples; labels count
+    hashes, so every run learns from the same ones. Texts are taken whole if
+    all together fit; otherwise each has an equal share of ``chars``, and one
+    longer than that gives a piece of this length from a hashed place, so a
+    long text takes no other's place. Rows without id, text or label are no examples; labels count
     as 1 if they are not 0; of repeated labels the greatest counts."""
     few = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
                  .groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("_label"))
                  .orderBy(F.xxhash64("_id"), "_id").limit(rows))
     d = (df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).where("_text <> ''")
            .join(F.broadcast(few), "_id").groupBy(F.xxhash64("_text").alias("_h")).agg(F.min(F.struct("_text", "_label")).alias("_x")))
-    before = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_sum", F.sum(F.length("_x._text")).over(before)).where(F.col("_sum") <= chars)
-    got = d.select("_x._text", "_x._label").orderBy("_h").collect()
+    # (over at most ``rows`` rows)
+    every, n = Window.partitionBy(), F.length("_x._text")
+    d = d.withColumn("_sum", F.sum(n).over(every)).withColumn("_share", F.floor(F.lit(chars) / F.count(F.lit(1)).over(every)).cast("int"))
+    place = (F.pmod("_h", F.greatest(n - F.col("_share"), F.lit(0)).cast("long") + 1) + 1).cast("int")
+    text = F.when(F.col("_sum") <= chars, F.col("_x._text")).otherwise(F.col("_x._text").substr(place, F.col("_share")))
+    got = d.select(text.alias("_text"), "_x._label", "_h").orderBy("_h").collect()
     return [r[0] for r in got], [r[1] for r in got]
 
 

@@ -134,3 +134,13 @@ def test_quality_needs_no_labels(spark):
 @pytest.mark.parametrize("text", ["", "a", "ééé", "word " * 10])
 def test_scores_are_probabilities(text):
     assert 0 <= quality.probability(train(["a", "b"], [0, 1]), text) <= 1
+
+
+def test_quality_sample_with_huge_texts(spark):
+    """A text longer than the whole bound costs no other its place."""
+    small = [(i, f"text number {i}") for i in range(40)]
+    huge = [(100 + i, f"huge {i} " * 2000) for i in range(8)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in small + huge], "doc_id long, quality int")
+    texts, ys = quality.labelled_sample(documents(spark, small + huge), labels, chars=4800)
+    assert len(texts) == len(ys) == 48 and {t for _, t in small} <= set(texts)
+    assert sum(map(len, texts)) <= 4800 and sum(len(t) == 100 for t in texts) == 8
