@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from souk.llm.bpe import bpe_encode, vocabulary_path
 from souk.llm.common import materialise, row_struct
 from souk.llm.exact_dedup import drop_copies
-from souk.llm.language_id import UNKNOWN, labelled_sample, predict_language
+from souk.llm.language_id import labelled_sample, with_language
 from souk.llm.mixing import emit_copies, mix_sources
 from souk.llm.near_dedup import drop_near_copies
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without any letter go."""
+    """Documents in a language of the labelled ones: those without a letter
+    go, and those beyond the phrases per symbol that the labelled sample
+    allows. Without labels only those without a letter go."""
     sample = labelled_sample(docs)
-    d = predict_language(docs.select(row_struct(docs), F.col("text").alias("_text")), sample, "_text", keep=["_row"])
-    return d.where(F.col("lang_pred") != UNKNOWN).select("_row.*")
+    d = with_language(docs.select(row_struct(docs), F.col("text").alias("_text")), sample, "_text", keep=["_row"])
+    return d.where("told").select("_row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

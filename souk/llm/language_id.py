@@ -20,6 +20,9 @@ ALPHABET = 120
 #: characters that are parsed on their own; longer texts are parsed in blocks
 BLOCK = 1024
 UNKNOWN = "und"
+#: a text is in a learned language if it needs at most so many times the
+#: phrases per symbol that the worst part of the sample needs, and SOME more
+MARGIN, SOME = 1.25, 8
 
 
 def labelled_sample(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -192,6 +195,49 @@ class Parser:
         return langs, scores
 
 
+    def rates(self, texts: list[str]) -> np.ndarray:
+        """Phrases and symbols of each text, in the language that needs the
+        fewest phrases."""
+        least = self.phrases(texts).min(axis=1, initial=np.iinfo(np.int64).max)
+        return np.column_stack([least, [len(self.alphabet.classes(t)) for t in texts]])
+
+
+def phrase_bound(sample: list[tuple[str, str]], part: int = BLOCK) -> float:
+    """Phrases per symbol up to which a text counts as one of a learned
+    language: MARGIN times what the worst part of ``part`` characters of the
+    sample's second halves needs of machines that know the first halves only
+    (the whole sample's machines need fewer). Infinite without a sample."""
+    halves = [(lang, t[:len(t) // 2], t[len(t) // 2:]) for lang, t in sample]
+    parts = [b[k:k + part] for _, _, b in halves for k in range(0, len(b), part)]
+    if not parts:
+        return math.inf
+    got = Parser([(lang, a) for lang, a, _ in halves]).rates(parts)
+    return MARGIN * float((got[:, 0] / got[:, 1]).max())
+
+
+def with_language(df: DataFrame, sample: list[tuple[str, str]], text_col: str = "text",
+                  keep: Sequence[str] | None = None) -> DataFrame:
+    """Append ``told`` to every row (of the columns ``keep``): whether the
+    text has a letter and needs at most :func:`phrase_bound` phrases per
+    symbol, and SOME more, which a short text may need, in its best language.
+    Without a sample a letter is enough."""
+    model = df.sparkSession.sparkContext.broadcast((sample, phrase_bound(sample)))
+
+    def make():
+        sample, bound = model.value
+        parser = _parser(sample)
+
+        def run(texts):
+            letter = np.array([any(map(str.isalpha, t)) for t in texts], bool)
+            if parser.langs:
+                phrases, symbols = parser.rates(texts).T
+                letter &= phrases <= bound * symbols + SOME
+            return [pa.array(letter)]
+        return run
+
+    return map_texts(df, text_col, [T.StructField("told", T.BooleanType())], make, keep)
+
+
 _PARSERS: dict[int, Parser] = {}
 
 

@@ -101,3 +101,19 @@ def test_native_plans_have_no_python(spark, name):
     from helpers import plan_text
     text = plan_text(QUERIES[name](spark, SF001), "formatted")
     assert not any(x in text for x in ("Python", "Pandas", "Arrow", "MapIn"))
+
+
+def test_language_stage_without_labels(spark):
+    rows = [(1, "the dog", None, "a"), (2, "12 !!", None, "a"), (3, None, None, "a"), (4, "1 2", "en", "a")]
+    assert [r.doc_id for r in corpus_pipeline.language(spark, documents(spark, rows), SF001).collect()] == [1]
+
+
+def test_language_stage_decides_by_phrases(spark):
+    """Junk and an unlearned script go; unlabelled clean texts stay."""
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, LANGUAGES[la], 150), la, "a") for i, la in enumerate(["en", "de", "fr"] * 40)]
+    clean = [(1000 + i, sentence(rng, LANGUAGES[la], n), None, "a") for i, (la, n) in enumerate((la, n) for la in LANGUAGES for n in (1, 3, 30, 300))]
+    junk = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)), "\u043f\u0440\u0438\u0432\u0435\u0442 \u043c\u0438\u0440 " * 60]
+    bad = [(2000 + i, t, None, "a") for i, t in enumerate(junk)]
+    got = {r.doc_id for r in corpus_pipeline.language(spark, documents(spark, rows + clean + bad), SF001).collect()}
+    assert got == {r[0] for r in rows + clean}
