@@ -265,25 +265,28 @@ def best_of_groups(df: DataFrame, top: int = TOP) -> DataFrame:
 
 
 OP12_SQL = rf"""
-WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
 p AS (SELECT lang, unnest(string_split_regex(body, '{PIECE_MARKS}')) AS piece FROM d),
 w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
-g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS ws
-      FROM w, range(1, 5) AS t(k) WHERE len(ws) >= k),
-f AS (SELECT lang, k, ws, count(*) AS f FROM g GROUP BY lang, k, ws),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, ws[i:i + 3] AS ws FROM i),
+h AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS k FROM g),
+f AS (SELECT lang, array_to_string(ws[1:k], ' ') AS phrase, k, count(*) AS f FROM h GROUP BY 1, 2, 3),
 n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
-c AS (SELECT lang, k, ws, f AS a FROM f WHERE k > 1 AND f >= {LEAST}),
-cut AS (SELECT c.lang, c.ws, c.k AS words, c.a, j, l.f AS l, r.f AS r, ({SCALE}::HUGEINT * c.a) // (l.f + r.f) AS score
-        FROM c, range(1, 4) AS t(j), f AS l, f AS r
-        WHERE j < c.k AND l.lang = c.lang AND l.k = j AND l.ws = c.ws[1:j] AND r.lang = c.lang AND r.k = c.k - j AND r.ws = c.ws[j + 1:c.k]),
-best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, j) = 1),
-sub AS (SELECT lang, ws[s:s + m - 1] AS ws, max(a) AS longer
-        FROM c, range(1, 4) AS t(s), range(2, 4) AS u(m) WHERE m < k AND s + m - 1 <= k GROUP BY ALL),
-kept AS (SELECT best.* FROM best LEFT JOIN sub ON best.lang = sub.lang AND best.ws = sub.ws
+c AS (SELECT lang, phrase, string_split(phrase, ' ') AS ws, k, f AS a FROM f WHERE k > 1 AND f >= {LEAST}),
+j AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+cut AS (SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS head, array_to_string(ws[j + 1:k], ' ') AS rest FROM j),
+scored AS (SELECT cut.*, l.f AS l, r.f AS r, ({SCALE}::HUGEINT * a) // (l.f + r.f) AS score
+           FROM cut JOIN f AS l ON l.lang = cut.lang AND l.phrase = head JOIN f AS r ON r.lang = cut.lang AND r.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ends AS (SELECT lang, ws, k, a, unnest(range(1, k)) AS s FROM c),
+parts AS (SELECT lang, ws, k, a, s, unnest(range(2, k)) AS m FROM ends),
+sub AS (SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(a) AS longer FROM parts WHERE s + m - 1 <= k GROUP BY 1, 2),
+kept AS (SELECT best.* FROM best LEFT JOIN sub ON best.lang = sub.lang AND best.phrase = sub.phrase
          WHERE sub.longer IS NULL OR 100 * sub.longer < {COVERED} * best.a),
-ranked AS (SELECT kept.lang, array_to_string(kept.ws, ' ') AS phrase, a, l, r, n, score,
-             row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, array_to_string(kept.ws, ' ')) AS rank
+ranked AS (SELECT kept.lang, phrase, a, l, r, n, score,
+             row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank
            FROM kept JOIN n ON kept.lang = n.lang)
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {TOP}
 """
