@@ -2,41 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import string
 from itertools import permutations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from souk.llm.common import WHITE, WORD, importable, query, table, text_or_empty
+from souk.llm.common import WORD, importable, map_texts, query, table
 
 #: the filters of the query, in bit order; the last one is the copy filter
 FILTERS = "ABCDE"
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 100, 80, 10
-MARKS = "[#$%&*|]"
+CAPITALS, MARKS = string.ascii_uppercase.encode(), b"#$%&*|"
 
 STEP_SCHEMA = ("part string, filter_order string, step int, kept long, removed long, redundant long, "
                "unique_fails long, good_lost long, toxic_lost long, shapley long")
 
 
-def text_conditions(text: Column) -> list[Column]:
-    """When a text fails A (few words), B (few distinct words), C (many
-    capitals) and D (marks), in this order."""
-    words = F.array_remove(F.split(text, WHITE), "")
-    n = F.size(words)
-    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
-    return [n < LEAST_WORDS, 100 * F.size(F.array_distinct(words)).cast("long") < LEAST_DISTINCT * n.cast("long"),
-            100 * capitals.cast("long") > MOST_CAPITALS * F.length(text).cast("long"), text.rlike(MARKS)]
-
-
-def mask_of(conditions: Sequence[Column]) -> Column:
-    """Bit i is set where condition i holds; an unknown condition does not."""
-    mask = F.lit(0)
-    for i, c in enumerate(conditions):
-        mask = mask + F.when(c, F.lit(1 << i)).otherwise(F.lit(0))
-    return mask
+def text_mask(text: str) -> tuple[int, bytes]:
+    """Bits of the filters A to D that a text fails, and the text's digest."""
+    raw = text.encode()
+    words = raw.split()  # at ASCII white space only, as these are bytes
+    n, points = len(words), len(text)
+    bad = (n < LEAST_WORDS, 100 * len(set(words)) < LEAST_DISTINCT * n,
+           100 * (len(raw) - len(raw.translate(None, CAPITALS))) > MOST_CAPITALS * points, len(raw) > len(raw.translate(None, MARKS)))
+    return sum(1 << i for i, b in enumerate(bad) if b), hashlib.sha256(raw).digest()
 
 
 def copy_cells(facts: DataFrame, copy_bit: int) -> DataFrame:
@@ -138,10 +133,15 @@ def document_cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
     once, as good (toxic) if any of them says so; labels without id belong to
     none. Other columns of either table are not looked at.
     """
-    text = text_or_empty("text")
-    facts = docs.select(
-        F.col("doc_id").alias("id"), F.coalesce(F.col("lang"), F.lit("")).alias("part"),
-        F.unhex(F.sha2(text, 256)).alias("key"), mask_of(text_conditions(text)).alias("mask"))
+    d = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("lang"), F.lit("")).alias("part"), "text")
+
+    def judge():
+        def of(texts):
+            masks, keys = zip(*map(text_mask, texts), strict=True)
+            return [pa.array(masks, pa.int32()), pa.array(keys, pa.binary())]
+        return of
+
+    facts = map_texts(d, "text", [T.StructField("mask", T.IntegerType()), T.StructField("key", T.BinaryType())], judge, keep=["id", "part"])
     one = lambda c: F.max(F.when(F.col(c) == 1, 1).otherwise(0)).alias(c)
     marks = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(one("quality"), one("toxic"))
     facts = facts.join(marks, "id", "left").select(
@@ -158,7 +158,7 @@ m AS (SELECT w.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
         CASE WHEN len(words) < {LEAST_WORDS} THEN 1 ELSE 0 END
         + CASE WHEN 100 * len(list_distinct(words)) < {LEAST_DISTINCT} * len(words) THEN 2 ELSE 0 END
         + CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]+', '', 'g')) > {MOST_CAPITALS} * length(body) THEN 4 ELSE 0 END
-        + CASE WHEN regexp_matches(body, '{MARKS}') THEN 8 ELSE 0 END
+        + CASE WHEN regexp_matches(body, '[{MARKS.decode()}]') THEN 8 ELSE 0 END
         + CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY body) THEN 16 ELSE 0 END AS mask
       FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
 cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),

@@ -16,7 +16,7 @@ from souk.llm.near_dedup import mix
 COSINE = 0.98
 #: turned copies of a code, filters that a vector passes of each on average,
 #: and how far below one a filter's expected number of unrelated vectors lies
-TURNS, FILTERS_PER_VECTOR, SPARSE = 8, 5, 4
+TURNS, FILTERS_PER_VECTOR, SPARSE = 12, 4, 4
 #: codewords of one block at most; balls of a bucket that are paired without
 #: a further code, and how many codes refine a bucket at most
 CODEWORDS, PAIRED, CODES = 4096, 64, 2

@@ -26,8 +26,8 @@ def fails(docs):
 
 
 def brute(docs, labels):
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, x in labels if x == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, x in labels if x == 1 and i is not None}
     bad, rows = fails(docs), {}
     for part in {la or "" for _, _, la in docs}:
         mine = [(docs[k][0], bad[k]) for k in range(len(docs)) if (docs[k][2] or "") == part]
