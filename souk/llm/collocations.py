@@ -216,9 +216,10 @@ def cuts(counts: DataFrame) -> DataFrame:
 
 
 def collocations(df: DataFrame, text_col: str = "text", group_col: str = "lang", words: int = WORDS,
-                 least: int = LEAST, covered: int = COVERED) -> DataFrame:
+                 least: int = LEAST, covered: int = COVERED, top: int | None = None) -> DataFrame:
     """``lang, phrase, a, l, r, n, score`` of the phrases that no longer
-    phrase stands for.
+    phrase stands for; with ``top`` only the first ones of each group, with
+    their ``rank``.
 
     The counts are kept as streams and merged in lockstep by sort-merge
     joins: candidates by what stands before each cut (prefix order) with the
@@ -249,7 +250,9 @@ def collocations(df: DataFrame, text_col: str = "text", group_col: str = "lang",
     longer = front.unionByName(behind).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     left = (best.join(longer.hint("merge"), ["lang", "phrase"], "left")
                 .where(F.col("longer").isNull() | (100 * F.col("longer").cast("decimal(20, 0)") < covered * F.col("a").cast("decimal(20, 0)"))))
-    return left.join(total, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
+    cols = ["lang", "phrase", "a", "l", "r", "n", "score"]
+    # the groups' totals come last: a join by group alone is kept to the rows asked for
+    return left.join(total, "lang").select(*cols) if top is None else best_of_groups(left, top).join(total, "lang").select(*cols, "rank")
 
 
 def best_of_groups(df: DataFrame, top: int = TOP) -> DataFrame:
@@ -295,5 +298,5 @@ SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT
 @query("op12_collocations", OP12_SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 phrases of each language."""
-    out = best_of_groups(collocations(table(spark, sf_dir, "documents")))
+    out = collocations(table(spark, sf_dir, "documents"), top=TOP)
     return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))

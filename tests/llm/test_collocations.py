@@ -70,7 +70,7 @@ def test_query_against_brute_force_and_its_sql(spark, tmp_path):
 
 def test_top_of_a_group_by_score_count_and_bytes(spark):
     rows = corpus(seed=4)
-    got = c.best_of_groups(c.collocations(documents(spark, rows), least=5), top=7)
+    got = c.collocations(documents(spark, rows), least=5, top=7)
     cols = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(tuple(r[x] for x in cols) for r in got.collect()) == brute(rows, least=5, top=7)
 
