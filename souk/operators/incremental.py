@@ -1,17 +1,18 @@
 """Incremental tables over plain Parquet layers.
 
 A table is a base layer plus a change layer ``(keys..., values..., version,
-op)`` with ``op`` in I / U / D. "Latest per key" is always an aggregate (the
-greatest ``(version, ...)``), so a hot key crosses the shuffle as one row per
-map task.
+op)`` with ``op`` in I / U / D. "Latest per key" is always ``row_number() = 1``, which
+Spark limits before the shuffle too (WindowGroupLimit), so a hot key crosses
+it as one row per map task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
@@ -23,9 +24,14 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], version: str,
     so the result is the same on every run."""
     others = [c for c in df.columns if c not in keys]
     order = [version, *tie, *[c for c in others if c != version and c not in tie]]
-    return (df.groupBy(*keys)
-              .agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_r"))
-              .select(*keys, *[F.col("_r")[c].alias(c) for c in others]))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order if orderable(df.schema[c].dataType)])
+    return (df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+              .select(*keys, *order))
+
+
+def orderable(t: T.DataType) -> bool:
+    """Whether rows can be put in order by a column of this type."""
+    return not isinstance(t, (T.MapType, T.VariantType))
 
 
 def merge_on_read(base: DataFrame, changes: DataFrame, keys: Sequence[str],

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souk.functions.scalar import dedup_by_key
+from souk.operators.incremental import orderable
 
 class QualityGateFailed(RuntimeError):
     pass
@@ -53,7 +54,7 @@ def dedup_events(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 def dedup_colocated(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
     """Exact dedup by ``key`` with one Exchange on the key.
 
-    The aggregation's map-side partial step is the bounded-memory
+    The limit of one row per key before the shuffle is the bounded-memory
     "pre-dedup inside partitions"; the final step after the shuffle makes
     it exact across partitions. A hot key crosses the shuffle as at most one
     row per map partition. The survivor is the smallest row (deterministic),
@@ -61,9 +62,9 @@ def dedup_colocated(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
     reuses the partitioning.
     """
     others = [c for c in df.columns if c != key]
-    row = F.struct(*[F.col(c) for c in others])
-    g = df.groupBy(key) if n is None else df.repartition(n, key).groupBy(key)
-    return g.agg(F.min(row).alias("_r")).select(key, *[F.col("_r")[c].alias(c) for c in others])
+    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in others if orderable(df.schema[c].dataType)])
+    d = df if n is None else df.repartition(n, key)
+    return d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(key, *others)
 
 
 #: the folder of rows that belong to no day, as Spark names a NULL partition
@@ -76,11 +77,13 @@ def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_da
 
     Rows are made canonical first (no bad value can stop the job) and then
     dealt out: clean rows of the day are deduplicated into silver, the day's
-    other rows go to ``quarantine_path/dt=<day>`` with a reason, and rows
-    whose time is missing or unreadable, which belong to no day, to the
-    quarantine's own folder for those. ``quarantine_path`` defaults to
-    ``<silver_path>_quarantine``. Each folder is overwritten as a whole, so a
-    rerun (backfill) replaces exactly the day, also when it has become empty.
+    other rows go to ``quarantine_path/dt=<day>/run=<day>`` with a reason, and
+    rows whose time is missing or unreadable, which belong to no day, to the
+    quarantine's own folder for those, below the day of the run that met
+    them: the undated rows of one day's input never replace another's.
+    ``quarantine_path`` defaults to ``<silver_path>_quarantine``. Each folder
+    is overwritten as a whole, so a rerun (backfill) replaces exactly what
+    that day's run wrote, also when it has become empty.
     """
     quarantine_path = quarantine_path or f"{silver_path.rstrip('/')}_quarantine"
     events = canonical_events(raw, measures).withColumn("dt", F.col("ts").cast("date"))
@@ -88,8 +91,8 @@ def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_da
     today = F.col("dt") == F.lit(event_date).cast("date")
     silver = dedup_events(clean.where(today), ["event_id"], ["ts", "payload"])
     silver.drop("dt").write.mode("overwrite").parquet(f"{silver_path}/dt={event_date}")
-    bad.where(today).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={event_date}")
-    bad.where(F.col("dt").isNull()).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={NO_DAY}")
+    bad.where(today).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={event_date}/run={event_date}")
+    bad.where(F.col("dt").isNull()).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={NO_DAY}/run={event_date}")
     # the partition column is given, so that a table whose days are all empty reads too
     return spark.read.schema(silver.schema).parquet(silver_path)
 

@@ -13,25 +13,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.operators.windows import group_quantiles, rank_in_groups
+from souk.session import written
 
-def normalise_component(df: DataFrame, col: str, peers: Sequence[str], out: str | None = None,
-                        method: str = "z", digits: int = 6) -> DataFrame:
-    """z-score (or min-max) of ``col`` inside its peer group; NULL when the
-    spread is 0 or undefined.
 
-    The peers' statistics are an aggregate (combined before the shuffle),
-    joined back: a peer group of any size is never gathered in one task."""
-    out = out or f"z_{col}"
+def normalise_components(df: DataFrame, cols: dict[str, str], peers: Sequence[str], method: str = "z",
+                         digits: int = 6) -> DataFrame:
+    """z-scores (or min-max) inside the peer group, ``cols`` being ``{new
+    column: raw column}``; NULL when the spread is 0 or undefined.
+
+    The peers' statistics of all columns are one aggregate (combined before
+    the shuffle) and one join, however many columns there are: a peer group
+    of any size is never gathered in one task."""
     key = F.struct(*[F.col(p) for p in peers])      # NULL peers are one group
-    x = F.col(col)
-    stats = df.groupBy(key.alias("_peers")).agg(F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_sd"),
-                                                F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    if method == "z":
-        val = F.when(F.col("_sd") > 0, (x - F.col("_mean")) / F.col("_sd"))
-    else:
-        val = F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
-    names = [c for c in df.columns if c != out]
-    return df.withColumn("_peers", key).join(stats, "_peers").select(*names, F.round(val, digits).alias(out))
+    aggs = []
+    for o, c in cols.items():
+        aggs += ([F.avg(c).alias(f"_a_{o}"), F.stddev_samp(c).alias(f"_b_{o}")] if method == "z"
+                 else [F.min(c).alias(f"_a_{o}"), F.max(c).alias(f"_b_{o}")])
+    stats = df.groupBy(key.alias("_peers")).agg(*aggs)
+
+    def val(o: str, c: str) -> Column:
+        x, a, b = F.col(c), F.col(f"_a_{o}"), F.col(f"_b_{o}")
+        return F.when(b > 0, (x - a) / b) if method == "z" else F.when(b > a, (x - a) / (b - a))
+
+    names = [c for c in df.columns if c not in cols]
+    return (df.withColumn("_peers", key).join(stats, "_peers")
+              .select(*names, *[F.round(val(o, c), digits).alias(o) for o, c in cols.items()]))
+
+
+def normalise_component(df: DataFrame, col: str, peers: Sequence[str], out: str | None = None,
+                        method: str = "z", digits: int = 6) -> DataFrame:
+    """:func:`normalise_components` of one column."""
+    return normalise_components(df, {out or f"z_{col}": col}, peers, method, digits)
 
 
 def _round(c: Column, digits: int | None) -> Column:
@@ -66,10 +79,13 @@ def valid_responses(df: DataFrame, group: Sequence[str], student: str, value: st
                     order: Sequence[str], lo: float, hi: float) -> DataFrame:
     """Per group: responses after one-per-student dedup, valid ones (inside
     ``[lo, hi]`` and inside quartiles +- 1.5 IQR of the group) and the share.
-    Quartiles are exact percentiles, computed by one aggregate per group."""
+    Quartiles are exact and found by :func:`group_quantiles`, so a group of
+    any size is counted, not gathered. The responses are written once: they
+    are read for the quartiles and again for the verdict."""
     w = Window.partitionBy(*group, student).orderBy(*order)
-    one = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    q = one.groupBy(*group).agg(F.percentile(value, 0.25).alias("_q1"), F.percentile(value, 0.75).alias("_q3"))
+    one = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*group, value)
+    one = written(one, "responses")
+    q = group_quantiles(one, group, value, {"_q1": 0.25, "_q3": 0.75})
     iqr = F.col("_q3") - F.col("_q1")
     ok = (F.col(value).between(lo, hi) & (F.col(value) >= F.col("_q1") - 1.5 * iqr)
           & (F.col(value) <= F.col("_q3") + 1.5 * iqr))
@@ -85,8 +101,7 @@ def score_ranking(df: DataFrame, peers: Sequence[str], score: str, share: str,
     responses are flagged and get no rank."""
     flagged = F.col(share) < min_share
     eligible = df.where(~flagged)
-    w = Window.partitionBy(*peers).orderBy(F.col(score).desc_nulls_last(), *[F.col(c) for c in tie])
-    ranked = eligible.withColumn("rank", F.rank().over(w).cast("bigint")).withColumn("flagged", F.lit(False))
+    ranked = rank_in_groups(eligible, peers, score, tie, "rank", fn="rank").withColumn("flagged", F.lit(False))
     rest = (df.where(flagged).withColumn("rank", F.lit(None).cast("bigint"))
               .withColumn("flagged", F.lit(True)))
     return ranked.unionByName(rest)
@@ -96,10 +111,9 @@ def score_explain(df: DataFrame, keys: Sequence[str], weights: dict[str, float],
                   raw: dict[str, str], peers: Sequence[str], digits: int = 6) -> DataFrame:
     """One row per component: weight, normalised value, contribution and the
     raw gap to the peer-group mean (unpivot via explode of a struct array)."""
-    w = Window.partitionBy(*peers)
-    withmeans = df
-    for comp, rcol in raw.items():
-        withmeans = withmeans.withColumn(f"_m_{comp}", F.avg(rcol).over(w))
+    key = F.struct(*[F.col(p) for p in peers])
+    means = df.groupBy(key.alias("_peers")).agg(*[F.avg(rcol).alias(f"_m_{comp}") for comp, rcol in raw.items()])
+    withmeans = df.withColumn("_peers", key).join(means, "_peers")
     items = F.array(*[F.struct(F.lit(comp).alias("component"), F.lit(wt).alias("weight"),
                                F.col(comp).alias("value"), F.col(raw[comp]).alias("raw"),
                                F.col(f"_m_{comp}").alias("peer_mean"))

@@ -149,24 +149,118 @@ def time_block(t: str, seconds: int = 3600) -> Column:
     return F.floor(F.unix_seconds(F.col(t).cast("timestamp")) / seconds).cast("bigint")
 
 
-def sessionize(df: DataFrame, user: str, t: str, tie: str, gap_seconds: int = 1800,
-               block_seconds: int = 86400) -> DataFrame:
+def sessionize(df: DataFrame, user: str, t: str, tie: str, gap_seconds: int = 1800) -> DataFrame:
     """Session number per user: a new session starts when the silence since
-    the previous event exceeds ``gap_seconds`` (exactly the gap stays in).
-
-    Two blocked prefix scans (previous time, then the running count of
-    session starts), so a very active user is spread over day blocks instead
-    of being sorted in one task. The session id is ``(user, session_no)``.
+    the previous event exceeds ``gap_seconds`` (exactly the gap stays in) or
+    is unknown because one of the two times is NULL.
+
+    A segmented scan over ranges of equal row count: the rows are dealt out
+    by ranges of (user, time, tie), so that a user with a third of all rows,
+    or a burst of them within one second, lies in many ranges. Each (user,
+    range) is numbered by itself and summed up in one row: its first and last
+    time and the sessions that begin inside it. Two such summaries compose
+    (does the gap between them begin a session, and how many sessions came
+    before), so a scan over a user's summaries gives every range its carry.
+    """
+    names = df.columns
+    d = in_order(df.withColumn("_gk", F.struct(F.col(user))), ["_gk", F.col(t), F.col(tie)])
+    w = Window.partitionBy("_gk", "_blk").orderBy(t, tie)
+    at = F.unix_micros(F.col(t).cast("timestamp"))
+    far = lambda a, b: F.coalesce(F.col(b) - F.col(a) > F.lit(gap_seconds * 1_000_000), F.lit(True))
+    d = d.withColumn("_t", at).withColumn("_i", F.row_number().over(w)).withColumn("_p", F.lag("_t").over(w))
+    begins = F.when((F.col("_i") > 1) & far("_p", "_t"), 1).otherwise(0)
+    d = d.withColumn("_inner", F.sum(begins).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # the summaries come from the numbered rows: first and last row of a range
+    ends = d.groupBy("_gk", "_blk").agg(
+        F.max(F.when(F.col("_i") == 1, F.col("_t"))).alias("_first"), F.max_by("_t", "_i").alias("_last"),
+        F.max("_inner").alias("_starts"))
+    wb = Window.partitionBy("_gk").orderBy("_blk")
+    ends = ends.withColumn("_before", F.lag("_last").over(wb))
+    ends = ends.withColumn("_head", F.when(far("_before", "_first"), 1).otherwise(0))
+    carry = ends.select("_gk", "_blk", (F.sum(F.col("_head") + F.col("_starts")).over(wb) - F.col("_starts")).alias("_carry"))
+    return d.join(carry, ["_gk", "_blk"]).select(*names, (F.col("_inner") + F.col("_carry")).alias("session_no"))
+
+
+#: bins of a histogram per open interval, and histograms before what is left
+#: of the intervals is put in order
+QUANTILE_BINS, QUANTILE_ROUNDS = 1024, 2
+
+
+def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict[str, float],
+                    bins: int = QUANTILE_BINS, rounds: int = QUANTILE_ROUNDS) -> DataFrame:
+    """Exact interpolated quantiles per group, ``probs`` being ``{column: p}``,
+    by distributed selection: no group's values have to fit one task.
+
+    The order statistics that a group's quantiles lie between are found by
+    rank. Each round counts the values of the interval that still holds a
+    rank in ``bins`` equal bins (combined before the shuffle, so a group
+    sends at most ``bins`` rows per task and interval) and keeps the one bin
+    with the rank; values outside it are not looked at again. An interval of
+    one value is decided. What is left after ``rounds`` (values of very
+    uneven spread) is counted by value and put in order by ranges, at any
+    size. NULL and NaN values count as missing; a group without a value has
+    no row; groups with NULL keys are groups.
     """
-    order = [t, tie]
-    blk = time_block(t, block_seconds)
-    prev = prefix_scan(df, [user], blk, order, lasts={"_prev_t": F.col(t)})
-    gap = F.unix_micros(F.col(t).cast("timestamp")) - F.unix_micros(F.col("_prev_t").cast("timestamp"))
-    flagged = prev.withColumn("_new", F.when(gap.isNull() | (gap > F.lit(gap_seconds * 1_000_000)), 1)
-                              .otherwise(0)).drop("_prev_t")
-    out = prefix_scan(flagged, [user], time_block(t, block_seconds), order,
-                      sums={"session_no": F.col("_new")}, inclusive=True)
-    return out.drop("_new")
+    gk = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(1).alias("all"))
+    x = F.col(value).cast("double")
+    d = written(df.select(gk.alias("_gk"), x.alias("_x")).where(~F.isnan("_x")), "quantile-values")
+    stats = d.groupBy("_gk").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs.values()]
+    ranks = F.array_distinct(F.array(*[f(c).cast("bigint") for c in at for f in (F.floor, F.ceil)]))
+    stats = written(stats, "quantile-groups")
+    zero = F.lit(0).cast("bigint")
+    open_ = stats.select("_gk", F.explode(ranks).alias("_r"), "_lo", "_hi", zero.alias("_base"))
+    open_, found = written(open_, "quantile-ranks"), None
+    iv = ["_gk", "_lo", "_hi"]
+
+    def within(targets: DataFrame) -> DataFrame:
+        """The values of the open intervals; an interval is listed once."""
+        return d.join(targets.select(*iv).distinct(), "_gk").where("_x between _lo and _hi")
+
+    def settle(targets: DataFrame) -> DataFrame:
+        done = targets.where("_lo = _hi").select("_gk", "_r", F.col("_lo").alias("_v"))
+        return done if found is None else found.unionByName(done)
+
+    def after(targets: DataFrame, counted: DataFrame, lo: str, hi: str) -> DataFrame:
+        """Each rank's place among consecutive counts ``_c`` that end at ``_sum``."""
+        rank = F.col("_r") - F.col("_base")
+        hit = targets.join(counted, iv).where((rank < F.col("_sum")) & (rank >= F.col("_sum") - F.col("_c")))
+        return hit.select("_gk", "_r", F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), (F.col("_base") + F.col("_sum") - F.col("_c")).alias("_base"))
+
+    for _ in range(rounds):
+        found, open_ = settle(open_), open_.where("_lo < _hi")
+        if open_.isEmpty():
+            break
+        part = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)   # halves cannot overflow
+        bin_ = F.least(F.floor(part * bins), F.lit(bins - 1))
+        hist = within(open_).groupBy(*iv, bin_.alias("_bin")).agg(F.count("*").alias("_c"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
+        hist = hist.withColumn("_sum", F.sum("_c").over(Window.partitionBy(*iv).orderBy("_bin")))
+        open_ = written(after(open_, hist, "_least", "_most"), "quantile-ranks")
+    else:
+        found, open_ = settle(open_), open_.where("_lo < _hi")
+        if not open_.isEmpty():
+            counted = within(open_).groupBy(*iv, "_x").agg(F.count("*").alias("_c"))
+            found = settle(after(open_, running_total(counted, iv, "_x", "_c", "_sum"), "_x", "_x"))
+    v = stats.select("_gk", "_n", F.explode(F.array(*[F.struct(F.lit(o).alias("o"), c.alias("at")) for o, c in zip(probs, at, strict=True)])).alias("q"))
+    lo, hi = F.floor("q.at").cast("bigint"), F.ceil("q.at").cast("bigint")
+    v = v.select("_gk", "q.o", (F.col("q.at") - lo).alias("part"), lo.alias("lo"), hi.alias("hi"))
+    low, high = found.toDF("_gk", "lo", "v_lo"), found.toDF("_gk", "hi", "v_hi")
+    v = v.join(low, ["_gk", "lo"]).join(high, ["_gk", "hi"])
+    mid = F.col("v_lo") * (1 - F.col("part")) + F.col("v_hi") * F.col("part")
+    out = v.groupBy("_gk").agg(*[F.max(F.when(F.col("o") == o, mid)).alias(o) for o in probs])
+    return out.select(*[F.col(f"_gk.{g}").alias(g) for g in group], *probs)
+
+
+def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str) -> DataFrame:
+    """``df`` with the running sum of ``value`` per group in ``order``, its
+    own row included, over ranges as in :func:`rank_in_groups`."""
+    d = in_order(df.withColumn("_rk", F.struct(*[F.col(k) for k in keys])), ["_rk", F.col(order)])
+    w = Window.partitionBy("_rk", "_blk").orderBy(order)
+    wb = Window.partitionBy("_rk").orderBy("_blk")
+    sums = d.groupBy("_rk", "_blk").agg(F.sum(value).alias("_all"))
+    carry = sums.select("_rk", "_blk", (F.sum("_all").over(wb) - F.col("_all")).alias("_carry"))
+    d = d.withColumn("_local", F.sum(value).over(w)).join(carry, ["_rk", "_blk"])
+    return d.select(*df.columns, (F.col("_local") + F.col("_carry")).alias(out))
 
 
 def topk(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -195,3 +289,45 @@ def reconcile(actual: DataFrame, control: DataFrame, keys: Sequence[str], measur
                      | (F.coalesce(rel, F.lit(0.0)) > tolerance), "mismatch")
                .otherwise("ok"))
     return j.withColumn("status", status)
+
+
+#: key buckets whose digests are compared before any row is
+DIFFERENCE_BUCKETS = 4096
+
+
+def row_difference(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
+                   buckets: int = DIFFERENCE_BUCKETS) -> DataFrame:
+    """Rows that the two sides do not hold equally often, with ``left_rows``
+    and ``right_rows``: ``exceptAll`` both ways in one frame.
+
+    Each side is reduced to a digest per bucket of keys that does not depend
+    on the order of rows: their number and the sums of two independent hashes
+    of each row. Only buckets whose digests differ are read again and
+    compared, row values being counted on both sides with one aggregation, so
+    two tables that agree but for a few keys cost two scans and a shuffle of
+    those keys' buckets. NULLs equal NULLs. ``columns`` (default: all of
+    ``left``) must be of types that can be grouped; the others are not
+    compared. Two buckets of different rows have equal digests with a
+    probability of about 2^-128.
+    """
+    names = list(columns or left.columns)
+    names += [k for k in keys if k not in names]
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).alias("_bucket")
+    cols = [F.col(f"`{c}`") for c in names]
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select(bucket, *cols)
+
+    def digest(df: DataFrame, side: str) -> DataFrame:
+        h = [F.sum(F.xxhash64(F.lit(seed), *cols).cast("decimal(20, 0)")).alias(f"_{side}{seed}") for seed in (1, 2)]
+        return rows(df).groupBy("_bucket").agg(F.count("*").alias(f"_{side}0"), *h)
+
+    both = digest(left, "l").join(digest(right, "r"), "_bucket", "full_outer")
+    same = F.lit(True)
+    for i in range(3):
+        same = same & F.col(f"_l{i}").eqNullSafe(F.col(f"_r{i}"))
+    # at most one row per bucket: a table of fixed size
+    differ = F.broadcast(written(both.where(~same).select("_bucket"), "differing-buckets"))
+    sides = [rows(d).join(differ, "_bucket", "left_semi").select(*cols, F.lit(a).alias("_l"), F.lit(1 - a).alias("_r")) for d, a in ((left, 1), (right, 0))]
+    counted = sides[0].unionByName(sides[1]).groupBy(*cols).agg(F.sum("_l").alias("left_rows"), F.sum("_r").alias("right_rows"))
+    return counted.where("left_rows <> right_rows")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from souk.operators import score as M
 from souk.plans.registry import query
+from souk.session import written
 from souk.sources import io
 
 # Component weights (and the second rule version).
@@ -39,9 +40,8 @@ def components(spark: SparkSession, sf: str, by_semester: bool = True) -> DataFr
         (F.count(F.when(F.col("o_orderstatus") == "F", 1)) / F.count("*")).alias("_outcomes"),
         F.count("*").alias("responses"))
     g = g.withColumn("outcomes", F.when(F.pmod("teacher", F.lit(9)) != 0, F.col("_outcomes"))).drop("_outcomes")
-    for z, raw in RAW.items():
-        g = M.normalise_component(g, raw, PEERS, out=z)
-    return g
+    # read for the peers' statistics and again for the scores
+    return M.normalise_components(written(g, "components"), RAW, PEERS)
 
 
 def _comp_sql(by_semester: bool = True) -> str:
@@ -155,7 +155,7 @@ FROM (
     f"AVG({raw}) OVER (PARTITION BY course, department) AS peer_mean FROM comp"
     for zc, w in WEIGHTS.items() for raw in [RAW[zc]]) + ")")
 def score_explain(spark: SparkSession, sf: str) -> DataFrame:
-    return M.score_explain(components(spark, sf), KEYS, WEIGHTS, RAW, PEERS)
+    return M.score_explain(written(components(spark, sf), "scores"), KEYS, WEIGHTS, RAW, PEERS)
 
 
 @query("score_history", f"""WITH {_comp_sql()},

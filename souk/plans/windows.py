@@ -97,6 +97,21 @@ def sessionize(spark: SparkSession, sf: str) -> DataFrame:
               .select("event_id", "user_id", "ts", F.col("session_no").cast("bigint")))
 
 
+BURST_SQL = SESSIONIZE_SQL.replace("FROM events", "FROM burst")
+
+
+@query("sessionize_burst", with_views(BURST_SQL.replace("30 MINUTE", "2 SECOND"), burst="""
+SELECT event_id, 1 AS user_id, TIMESTAMP '2024-01-01' + (ts - date_trunc('day', ts)) AS ts FROM events
+"""))
+def sessionize_burst(spark: SparkSession, sf: str) -> DataFrame:
+    """All events as those of one user within one day: the ranges of equal
+    row count that the scan works on do not depend on users or days."""
+    ev = io.load(spark, sf, "events")
+    since = F.col("ts") - F.date_trunc("day", "ts").cast("timestamp_ntz")
+    ev = ev.select("event_id", F.lit(1).alias("user_id"), (F.lit("2024-01-01").cast("timestamp_ntz") + since).alias("ts"))
+    return W.sessionize(ev, "user_id", "ts", "event_id", 2).select("event_id", "user_id", "ts", F.col("session_no").cast("bigint"))
+
+
 @query("session_window_agg", f"""
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS events
 FROM ({SESSIONIZE_SQL}) GROUP BY user_id, session_no
@@ -143,3 +158,28 @@ def reconcile(spark: SparkSession, sf: str) -> DataFrame:
     out = W.reconcile(prep(silver), prep(li), ["ship_year"], "m")
     return out.select("ship_year", "actual_rows", F.col("actual_sum").cast(DEC).alias("actual_sum"),
                       "control_rows", F.col("control_sum").cast(DEC).alias("control_sum"), "status")
+
+
+# The control side of the row-level difference: rows lost, rows delivered
+# twice, rows with another quantity.
+CONTROL_SQL = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 97 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_returnflag
+FROM lineitem WHERE l_orderkey % 89 <> 0
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem WHERE l_orderkey % 83 = 0
+"""
+
+
+@query("row_difference", with_views("""
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag,
+       CAST(SUM(a) AS BIGINT) AS left_rows, CAST(SUM(b) AS BIGINT) AS right_rows FROM (
+  SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, 1 AS a, 0 AS b FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, 0, 1 FROM control)
+GROUP BY 1, 2, 3, 4 HAVING SUM(a) <> SUM(b)
+""", control=CONTROL_SQL))
+def row_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines against a control copy that lost, doubled and changed some."""
+    li = io.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    at = lambda n: F.pmod("l_orderkey", F.lit(n)) == 0
+    control = (li.where(~at(89)).withColumn("l_quantity", F.when(at(97), F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+                 .unionByName(li.where(at(83))))
+    return W.row_difference(li, control, ["l_orderkey"])
