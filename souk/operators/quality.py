@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souk.functions.scalar import dedup_by_key
@@ -72,7 +72,8 @@ NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_date: str,
-                 quarantine_path: str | None = None, measures: Sequence[str] = ()) -> DataFrame:
+                 quarantine_path: str | None = None, measures: Sequence[str] = (),
+                 counts: dict[str, int] | None = None) -> DataFrame:
     """raw -> silver for one day: ``silver_path/dt=<day>``, one row per event.
 
     Rows are made canonical first (no bad value can stop the job) and then
@@ -83,16 +84,27 @@ def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_da
     them: the undated rows of one day's input never replace another's.
     ``quarantine_path`` defaults to ``<silver_path>_quarantine``. Each folder
     is overwritten as a whole, so a rerun (backfill) replaces exactly what
-    that day's run wrote, also when it has become empty.
+    that day's run wrote, also when it has become empty. ``counts`` is filled
+    with the rows read (``raw``) and written (``silver``, ``quarantine``,
+    ``undated``), observed by the writes at no further scan.
     """
     quarantine_path = quarantine_path or f"{silver_path.rstrip('/')}_quarantine"
-    events = canonical_events(raw, measures).withColumn("dt", F.col("ts").cast("date"))
-    clean, bad = silver_clean(events)
+    seen = {n: Observation(n) for n in ("raw", "silver", "quarantine", "undated")}
+    watch = lambda df, n: df.observe(seen[n], F.count(F.lit(1)).alias("rows"))
+
+    def dealt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return silver_clean(canonical_events(df, measures).withColumn("dt", F.col("ts").cast("date")))
+
+    clean, bad = dealt(raw)
     today = F.col("dt") == F.lit(event_date).cast("date")
     silver = dedup_events(clean.where(today), ["event_id"], ["ts", "payload"])
-    silver.drop("dt").write.mode("overwrite").parquet(f"{silver_path}/dt={event_date}")
-    bad.where(today).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={event_date}/run={event_date}")
-    bad.where(F.col("dt").isNull()).drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={NO_DAY}/run={event_date}")
+    watch(silver, "silver").drop("dt").write.mode("overwrite").parquet(f"{silver_path}/dt={event_date}")
+    watch(bad.where(today), "quarantine").drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={event_date}/run={event_date}")
+    # every raw row is looked at for its time here, so this write counts the input
+    lost = dealt(watch(raw, "raw"))[1].where(F.col("dt").isNull())
+    watch(lost, "undated").drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={NO_DAY}/run={event_date}")
+    if counts is not None:
+        counts.update({n: o.get["rows"] for n, o in seen.items()})
     # the partition column is given, so that a table whose days are all empty reads too
     return spark.read.schema(silver.schema).parquet(silver_path)
 
@@ -193,6 +205,13 @@ def with_gate_status(report: DataFrame) -> DataFrame:
     return report.withColumn("gate", F.when(ok == 1, "passed").otherwise("failed"))
 
 
+def append_lineage(spark: SparkSession, path: str, job: str, run: str, datasets: dict[str, tuple[str, int]]) -> None:
+    """Write ``{dataset: (role, rows)}`` of one run of a job as its lineage
+    rows; a rerun replaces them, so the folder is the log of all runs."""
+    rows = [(d, role, n) for d, (role, n) in datasets.items()]   # one row per dataset: small
+    spark.createDataFrame(rows, "dataset string, role string, rows bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/job={job}/run={run}")
+
+
 def lineage_rows(job: str, inputs: dict[str, DataFrame], outputs: dict[str, DataFrame],
                  version: str) -> DataFrame:
     """One row per (job run, dataset): role, name and row count. The counts

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souk.operators.windows import prefix_scan, time_block
+from souk.session import written
 
 # Line grammar of the session logs.
 DAY_RE = r"(\d{2})\.(\d{2})\.(\d{4})_"
@@ -306,26 +307,28 @@ def warning_sample(warnings: DataFrame, per_session: int = 3, total: int = 10) -
 
 
 def session_job(spark: SparkSession, input_path: str, out: str, doc: str = TARGET_DOC,
-                charset: str = "windows-1251", split_files: bool = False) -> dict:
-    """read -> parse -> metrics -> write ``metric1.txt`` and ``metric2/`` CSV.
+                charset: str = "windows-1251", split_files: bool = False, single_file: bool = False) -> dict:
+    """read -> parse -> metrics -> write ``metric1`` (one text line),
+    ``metric2`` (CSV with header), ``diagnostics`` (one JSON line: sessions,
+    events, warnings) and ``warnings`` (all of them, JSON lines).
 
     ``split_files`` reads lines split-parallel (:func:`read_session_lines`,
     for very large session files) instead of one decoded text per file.
-    The parsed events are persisted once (two metrics read them); metric 2
-    is computed once and written as one CSV file with a header.
+    Metric 2 is written as Spark partitions it, ``single_file`` asks for one
+    file. The lines and the parsed events, which several results read, are
+    written once below the checkpoint folder.
     """
-    lines = (read_session_lines(spark, input_path) if split_files
-             else session_lines(read_session_files(spark, input_path, charset)))
-    events = parse_sessions(lines).persist()
-    try:
-        m1 = card_search_count(events, doc)
-        m1.select(F.concat(F.lit(f"card searches for {doc}: "), F.col("card_searches").cast("string"))
-                  .alias("value")).coalesce(1).write.mode("overwrite").text(f"{out}/metric1")
-        m2 = quick_search_opens(events)
-        m2.coalesce(1).write.mode("overwrite").option("header", "true").csv(f"{out}/metric2")
-        return {"metric1": f"{out}/metric1", "metric2": f"{out}/metric2"}
-    finally:
-        events.unpersist()
+    lines = written(read_session_lines(spark, input_path) if split_files
+                    else session_lines(read_session_files(spark, input_path, charset)), "session-lines")
+    events = written(parse_sessions(lines), "session-events")
+    m1 = card_search_count(events, doc)
+    m1.select(F.concat(F.lit(f"card searches for {doc}: "), F.col("card_searches").cast("string"))
+              .alias("value")).coalesce(1).write.mode("overwrite").text(f"{out}/metric1")
+    m2 = quick_search_opens(events)
+    (m2.coalesce(1) if single_file else m2).write.mode("overwrite").option("header", "true").csv(f"{out}/metric2")
+    session_diagnostics(lines).write.mode("overwrite").json(f"{out}/diagnostics")
+    parse_warnings(lines).write.mode("overwrite").json(f"{out}/warnings")
+    return {name: f"{out}/{name}" for name in ("metric1", "metric2", "diagnostics", "warnings")}
 
 
 # ------------------------------------------------- logs derived from events

@@ -203,7 +203,7 @@ def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict
     """
     gk = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(1).alias("all"))
     x = F.col(value).cast("double")
-    d = written(df.select(gk.alias("_gk"), x.alias("_x")).where(~F.isnan("_x")), "quantile-values")
+    d = written(df.select(gk.alias("_gk"), x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")), "quantile-values")
     stats = d.groupBy("_gk").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs.values()]
     ranks = F.array_distinct(F.array(*[f(c).cast("bigint") for c in at for f in (F.floor, F.ceil)]))

@@ -3,8 +3,9 @@
 ``nightly``: raw events of one day -> silver (clean, deduplicated) and
 quarantine -> quality gate -> gold mart of sales by category, seller and hour.
 Every layer is written by day, so a rerun for a date (backfill) replaces
-exactly that day, also when the day has become empty. In strict mode a failed gate raises before gold is touched, so the last
-good gold partition stays published.
+exactly that day, also when the day has become empty. In strict mode a failed
+gate raises before gold is touched, so the last good gold partition stays
+published.
 
 usage:
   python -m souk.pipeline nightly --raw DIR --silver DIR --gold DIR --date YYYY-MM-DD [--soft]
@@ -36,9 +37,19 @@ def sales_measures(silver: DataFrame, amount: str = "value") -> DataFrame:
 def nightly(spark: SparkSession, raw: DataFrame, silver_path: str, gold_path: str, event_date: str,
             fail_on_error: bool = True, min_completeness: float = 0.99, amount: str = "value") -> dict:
     """Run one day; returns the gate status and the quality report rows.
-    ``amount`` is the raw column that holds a sale's money."""
-    silver = Q.build_silver(spark, raw, silver_path, event_date, measures=[amount])
+    ``amount`` is the raw column that holds a sale's money. The rows read and
+    written are appended to ``<silver_path>_lineage`` under the run's day,
+    counted by the writes themselves. A day without silver rows has nothing
+    to check: its status is 'empty' and its gold is cleared."""
+    counts: dict[str, int] = {}
+    silver = Q.build_silver(spark, raw, silver_path, event_date, measures=[amount], counts=counts)
+    Q.append_lineage(spark, f"{silver_path.rstrip('/')}_lineage", "nightly", event_date,
+                     {"raw": ("input", counts["raw"]), "silver": ("output", counts["silver"]),
+                      "quarantine": ("output", counts["quarantine"]), "undated": ("output", counts["undated"])})
     day = silver.where(F.col("dt") == F.lit(event_date).cast("date"))
+    if day.isEmpty():
+        _publish(day, amount, gold_path, event_date)
+        return {"status": "empty", "report": []}
     report = Q.check_completeness(day.withColumn("k", F.get_json_object("payload", "$.k")),
                                   ["event_id", "ts", "user_id", "k"], min_completeness)
     report = report.unionByName(Q.check_uniqueness(day, ["event_id"], "silver"))
@@ -49,11 +60,15 @@ def nightly(spark: SparkSession, raw: DataFrame, silver_path: str, gold_path: st
     finally:
         report.unpersist()
     if status == "passed":
-        gold = sales_mart(sales_measures(day, amount), F.col("ts"), "hour", ["category", "seller"], "amount", "qty")
-        gold.write.mode("overwrite").parquet(f"{gold_path}/dt={event_date}")
+        _publish(day, amount, gold_path, event_date)
     return {"status": status, "report": rows}
 
 
+def _publish(day: DataFrame, amount: str, gold_path: str, event_date: str) -> None:
+    gold = sales_mart(sales_measures(day, amount), F.col("ts"), "hour", ["category", "seller"], "amount", "qty")
+    gold.write.mode("overwrite").parquet(f"{gold_path}/dt={event_date}")
+
+
 def main(argv: list[str] | None = None) -> None:
     from souk.operators.sessions import session_job
     from souk.session import get_spark

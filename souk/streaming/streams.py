@@ -57,43 +57,45 @@ def write_topic(df: DataFrame, topic: str, key: str, ckpt: str, bootstrap: str |
     return run_to_end(start_available_now(df, ckpt, path=f"{root.rstrip('/')}/{topic}"))
 
 
-def stage_chunks(df: DataFrame, path: str, chunk: Column, chunks: int) -> str:
+def stage_chunks(df: DataFrame, path: str, chunk: Column, chunks: int, files: int = 1) -> str:
     """Write ``df`` as ordered appends, rows of ``chunk`` 0 first (NULL counts
-    as 0, so no row is lost), for a file stream with ``maxFilesPerTrigger``
-    to replay. The table is read once and written by chunk; each append then
-    reads its own chunk's folder only. Every append is one file, since the
-    replay's batches are files: staging for local runs, on a cluster the
-    input is a topic."""
+    as 0, so no row is lost), for a file stream to replay with
+    ``maxFilesPerTrigger = files``. The table is read once and written by
+    chunk; each append then reads its own chunk's folder only and is written
+    by ``files`` tasks, dealt round robin."""
     parts = scratch_path(df.sparkSession, "stream-chunks")
     df.withColumn("_chunk", F.coalesce(chunk, F.lit(0)).cast("int")).write.partitionBy("_chunk").parquet(parts)
     staged = df.sparkSession.read.parquet(parts)
     for i in range(chunks):
-        staged.where(F.col("_chunk") == i).select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+        staged.where(F.col("_chunk") == i).select(*df.columns).repartition(files).write.mode("append").parquet(path)
     return path
 
 
-def stage_stream_input(df: DataFrame, path: str, t: str, chunks: int) -> str:
+def stage_stream_input(df: DataFrame, path: str, t: str, chunks: int, files: int = 1) -> str:
     """:func:`stage_chunks` by time: ``chunks`` equal spans of days, rows
     without a time in the first."""
     day = F.col(t).cast("date")
     lo, hi = df.agg(F.min(day), F.max(day)).first()
     span = (hi - lo).days + 1 if lo else 1
-    return stage_chunks(df, path, F.floor(F.datediff(day, F.lit(lo).cast("date")) * chunks / span), chunks)
+    return stage_chunks(df, path, F.floor(F.datediff(day, F.lit(lo).cast("date")) * chunks / span), chunks, files)
 
 
 def close_stream_input(spark: SparkSession, path: str, schema, t: str, key: str, key_value,
-                       after: str, steps: int = 2) -> None:
+                       after: str, steps: int = 2, also: dict | None = None) -> None:
     """Append ``steps`` heartbeat rows (key ``key_value``) far after the data.
 
     In append mode a window or session is emitted only once the watermark
     has passed it, and the watermark is set from the previous batch; two
     heartbeat batches move it beyond every real event so all results are
-    final. Readers drop the heartbeat key."""
+    final. Readers drop the heartbeat key. ``also`` gives values of further
+    columns, which are NULL else: a join's key columns need one, since Spark
+    filters rows with a NULL key before it looks at their time."""
+    also = also or {}
     for i in range(1, steps + 1):
         row = spark.range(1).select(*[
             (F.lit(key_value) if f.name == key
              else (F.lit(after).cast(f.dataType) + F.expr(f"INTERVAL {i * 30} DAYS")) if f.name == t
-             else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+             else F.lit(also.get(f.name))).cast(f.dataType).alias(f.name) for f in schema.fields])
         row.write.mode("append").parquet(path)
 
 
@@ -302,6 +304,76 @@ def stream_order_join(left: DataFrame, right: DataFrame, key: str, lt: str, rt:
     return l.join(r, cond, "inner").drop("_rkey")
 
 
+def stream_lifecycle(purchases: DataFrame, deliveries: DataFrame, refunds: DataFrame, key: str, line: str,
+                     t: tuple[str, str, str], within_days: int, delay: str) -> DataFrame:
+    """Purchases with their delivered lines and each line's refund, as two
+    chained left outer stream-stream joins: purchase -> delivery on ``key``,
+    then -> refund on ``(key, line)``, each within ``within_days`` after the
+    purchase (``t``: the three streams' time columns).
+
+    A purchase without delivery and a delivered line without refund are held
+    in state and given out once, with NULLs, when the watermark has passed
+    the last time a partner could have; so the state of both joins is bounded
+    by the time bound, and every purchase leaves the chain. A line is
+    refunded at most once, so the joins do not multiply rows.
+    """
+    p = with_event_time(purchases, t[0], "p_time", delay)
+    d = with_event_time(deliveries.select(F.col(key).alias("_dkey"), F.col(line), F.col(t[1]).alias("delivery_ts"), "status"), "delivery_ts", "d_time", delay)
+    r = with_event_time(refunds.select(F.col(key).alias("_rkey"), F.col(line).alias("_rline"), F.col(t[2]).alias("refund_ts")), "refund_ts", "r_time", delay)
+    bound = F.col("p_time") + F.expr(f"INTERVAL {within_days} DAYS")
+    near = lambda x: (F.col(x) >= F.col("p_time")) & (F.col(x) <= bound)
+    first = p.join(d, (F.col(key) == F.col("_dkey")) & near("d_time"), "left_outer").drop("_dkey", "d_time")
+    both = first.join(r, (F.col(key) == F.col("_rkey")) & (F.col(line) == F.col("_rline")) & near("r_time"), "left_outer")
+    return both.drop("_rkey", "_rline", "r_time", "p_time")
+
+
+def stream_ledger(query: StreamingQuery, read: str = "rows_in") -> list[tuple]:
+    """``(batch_id, rows_in, late, duplicates)`` of every batch of a drained
+    query, from its progress: rows that were read (an observed metric named
+    ``read`` if the stream has one, else what the sources report), rows that
+    a stateful operator dropped behind the watermark, and duplicates dropped.
+
+    Counts are rows only for operators that see rows (dedup, joins);
+    aggregations combine rows before the state and report combined rows. The
+    session keeps ``spark.sql.streaming.numRecentProgressUpdates`` batches; a
+    query with more of them is an error here, not a short ledger.
+    """
+    progress = [p for p in query.recentProgress if p["numInputRows"] or p["stateOperators"]]
+    out: dict[int, list[int]] = {}
+    for p in progress:
+        seen = (p.get("observedMetrics") or {}).get(read)
+        row = out.setdefault(p["batchId"], [0, 0, 0])
+        row[0] += seen[0] if seen is not None else p["numInputRows"]
+        for op in p["stateOperators"]:
+            row[1] += op["numRowsDroppedByWatermark"]
+            row[2] += op["customMetrics"].get("numDroppedDuplicateRows", 0)
+    last = max(out, default=-1)
+    if len(out) != last + 1:
+        raise RuntimeError(f"progress of {last + 1 - len(out)} batches is gone; raise spark.sql.streaming.numRecentProgressUpdates")
+    return [(i, *out[i]) for i in sorted(out)]
+
+
+def stream_dedup_counted(stream: DataFrame, keys: Sequence[str], t: str, delay: str, path: str, ckpt: str,
+                         state_partitions: int | None = None) -> DataFrame:
+    """:func:`stream_dedup` into ``path/data`` whose lost rows are counted:
+    the ledger ``batch_id, rows_in, late, duplicates, rows_out`` is written to
+    ``path/ledger`` and returned, and per run rows_in = rows_out + late +
+    duplicates, or this raises. Rows out are counted from the data written."""
+    spark = stream.sparkSession
+    query = run_to_end(start_available_now(stream_dedup(stream, keys, t, delay), ckpt, sink=versioned_batch_sink(f"{path}/data"),
+                                           state_partitions=state_partitions))
+    schema = "batch_id bigint, rows_in bigint, late bigint, duplicates bigint"
+    counted = spark.createDataFrame(stream_ledger(query), schema)   # one row per batch: small
+    written = spark.read.parquet(f"{path}/data").groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(F.count("*").alias("rows_out"))
+    ledger = counted.join(written, "batch_id", "left").withColumn("rows_out", F.coalesce("rows_out", F.lit(0).cast("bigint")))
+    ledger.coalesce(1).write.mode("overwrite").parquet(f"{path}/ledger")
+    ledger = spark.read.parquet(f"{path}/ledger")
+    off = ledger.where("rows_in <> rows_out + late + duplicates")
+    if not off.isEmpty():
+        raise RuntimeError(f"rows unaccounted for: {off.first()}")
+    return ledger
+
+
 def co_viewed_pairs(df: DataFrame, session: Sequence[str], item: str, t: str, tie: str,
                     block_seconds: int = 86400) -> DataFrame:
     """Products viewed one right after the other in the same session,
