@@ -46,6 +46,7 @@ class Merges:
         self.special = {t["content"]: t["id"] for t in d["added_tokens"]}
         self.bytes_of = {i: bytes(names[c] for c in t) for t, i in vocab.items() if t not in self.special}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.spelled = pa.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)], pa.binary())
         self.byte_ids = [vocab[c] for c, _ in sorted(names.items(), key=lambda x: x[1])]
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, m in enumerate(d["model"]["merges"]):
@@ -215,11 +216,13 @@ class Decoder:
     bytes that are not UTF-8 become U+FFFD."""
 
     def __init__(self, merges: Merges):
-        self.get = merges.bytes_of.__getitem__
+        self.spelled = merges.spelled
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, ids: Iterable[int]) -> str:
-        return self.machine.decode(b"".join(map(self.get, ids)))
+    def feed(self, ids: np.ndarray) -> str:
+        # the tokens' bytes, taken from the vocabulary's one blob, lie end to end
+        _, ends, blob = self.spelled.take(pa.array(ids, pa.int32())).buffers()
+        return self.machine.decode(blob[:int(np.frombuffer(ends, np.int32)[len(ids)])] if len(ids) else b"")
 
     def finish(self) -> str:
         return self.machine.decode(b"", True)
@@ -233,7 +236,7 @@ def encode_ids(merges: Merges, text: str, known: Remembered | None = None, chunk
 
 def decode_ids(merges: Merges, ids: np.ndarray, chunk: int = CHUNK) -> str:
     d = Decoder(merges)
-    return "".join([*(d.feed(ids[i:i + chunk].tolist()) for i in range(0, len(ids), chunk)), d.finish()])
+    return "".join([*(d.feed(ids[i:i + chunk]) for i in range(0, len(ids), chunk)), d.finish()])
 
 
 _LOADED: dict[int, tuple[Merges, Remembered]] = {}

@@ -15,6 +15,8 @@ from souk.llm.common import map_texts, materialise, query, table, text_or_empty
 
 #: bound of the labelled sample: characters and texts per language
 SAMPLE_CHARS, SAMPLE_TEXTS = 60_000, 200
+#: texts that a language's sample is made of at least, if it has so many
+SAMPLE_SPREAD = 50
 #: letters that get a class of their own, by frequency in the sample
 ALPHABET = 120
 #: characters that are parsed on their own; longer texts are parsed in blocks
@@ -28,7 +30,10 @@ MARGIN, SOME = 1.25, 8
 def labelled_sample(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                     chars: int = SAMPLE_CHARS, texts: int = SAMPLE_TEXTS) -> list[tuple[str, str]]:
     """``(language, text)`` with at most ``chars`` characters per language, of
-    at most ``texts`` different texts, for the driver to broadcast.
+    at most ``texts`` different texts, for the driver to broadcast. A text
+    gives at most an equal share, a SAMPLE_SPREAD-th of ``chars`` (more only
+    where a language has fewer texts), from a hashed place: no long text is a
+    language's whole sample.
 
     The texts are those with the smallest hashes, so the sample is the same
     on every run, and copies of a text count once: texts are first reduced
@@ -49,7 +54,11 @@ def labelled_sample(df: DataFrame, text_col: str = "text", lang_col: str = "lang
     few = (hashes.join(sizes, "lang").where(share <= 2 * texts + 50).withColumn("n", F.row_number().over(w))
                  .where(F.col("n") <= texts).select("lang", "h"))
     few = materialise(few, "language-sample")
-    rows = (d.join(F.broadcast(few), ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.substring("text", 1, chars)).alias("text")))
+    spread = few.groupBy("lang").agg(F.floor(F.lit(chars) / F.least(F.count(F.lit(1)), F.lit(SAMPLE_SPREAD))).cast("int").alias("share"))
+    few = few.join(spread, "lang")
+    place = (F.pmod("h", F.greatest(F.length("text") - F.col("share"), F.lit(0)).cast("long") + 1) + 1).cast("int")
+    rows = d.join(F.broadcast(few), ["lang", "h"]).select("lang", "h", F.col("text").substr(place, F.col("share")).alias("text"))
+    rows = rows.groupBy("lang", "h").agg(F.min("text").alias("text"))
     upto = w.rowsBetween(Window.unboundedPreceding, -1)
     rows = (rows.withColumn("before", F.coalesce(F.sum(F.length("text")).over(upto), F.lit(0)))
                 .where(F.col("before") < chars)

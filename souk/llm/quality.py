@@ -19,6 +19,7 @@ SAMPLE_ROWS, SAMPLE_CHARS = 3000, 16_000_000
 #: vectors, their length, n-gram sizes, passes and first step size
 BUCKETS, DIM, GRAMS, EPOCHS, RATE = 1 << 16, 8, (2, 3, 4), 4, 0.6
 #: vectors of their own: the end of a text, and a word said twice running
+#: (a relation that no n-gram of words unseen in training carries: see README)
 END, TWICE = BUCKETS, BUCKETS + 1
 #: characters that are hashed at once; fixed odd multipliers of an n-gram's places
 PIECE = 1_000_000
@@ -136,11 +137,12 @@ def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     longer than that gives a piece of this length from a hashed place, so a
     long text takes no other's place. Rows without id, text or label are no examples; labels count
     as 1 if they are not 0; of repeated labels the greatest counts."""
-    few = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-                 .groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("_label"))
-                 .orderBy(F.xxhash64("_id"), "_id").limit(rows))
-    d = (df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).where("_text <> ''")
-           .join(F.broadcast(few), "_id").groupBy(F.xxhash64("_text").alias("_h")).agg(F.min(F.struct("_text", "_label")).alias("_x")))
+    marks = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+                   .groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("_label")))
+    d = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).where("_text <> ''")
+    # ids first: a label without a text takes no place in the sample
+    few = (d.select("_id").join(marks, "_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(rows))
+    d = (d.join(F.broadcast(few), "_id").groupBy(F.xxhash64("_text").alias("_h")).agg(F.min(F.struct("_text", "_label")).alias("_x")))
     # (over at most ``rows`` rows)
     every, n = Window.partitionBy(), F.length("_x._text")
     d = d.withColumn("_sum", F.sum(n).over(every)).withColumn("_share", F.floor(F.lit(chars) / F.count(F.lit(1)).over(every)).cast("int"))

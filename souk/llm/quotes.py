@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm.common import materialise, query, row_struct, table, text_or_empty, unpack
+from souk.llm.common import importable, materialise, query, row_struct, table, text_or_empty, unpack
 from souk.operators.windows import prefix_scan
 
 #: fixed value: the marks before a quoted line
 QUOTE = r"^((?:[ \t]*>)+)"
+BARE = re.compile(r"[ \t]*>[> \t]*\r?")
 #: turns that one task orders together
 BLOCK = 1024
 
@@ -20,19 +23,22 @@ def depth_of(line: Column) -> Column:
     return F.length(F.regexp_replace(marks, "[^>]", ""))
 
 
-def unquoted(text: Column) -> Column:
-    """The message's own lines, without blank lines around them."""
-    own = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~x.rlike(QUOTE)), "\n")
-    return F.regexp_replace(own, r"^\s+|\s+$", "")
+def _own(text: str, linked: list | None) -> str:
+    """A message without its linked lines (by number) and, if it has any,
+    the bare quote marks around them; without blank lines around it. Quoted
+    lines whose origin is not in the conversation stay."""
+    gone = set(linked or ())
+    lines = [x for i, x in enumerate(text.split("\n")) if i not in gone and not (gone and BARE.fullmatch(x))]
+    return "\n".join(lines).strip()
 
 
 def message_lines(df: DataFrame) -> DataFrame:
-    """``_c, _turn, line, depth, key``: the lines that say something. ``key``
+    """``_c, _turn, _mark, line, depth, key``: the lines that say something. ``key``
     hashes the line without marks, in lower case, white space as one space."""
-    d = df.select("_c", "_turn", F.posexplode(F.split("_text", "\n")).alias("line", "_line"))
+    d = df.select("_c", "_turn", F.xxhash64("_text").alias("_mark"), F.posexplode(F.split("_text", "\n")).alias("line", "_line"))
     said = F.trim(F.regexp_replace(F.lower(F.regexp_replace("_line", QUOTE, "")), r"\s+", " "))
-    return d.select("_c", "_turn", "line", depth_of(F.col("_line")).alias("depth"), said.alias("_said")).where("_said <> ''").select(
-        "_c", "_turn", "line", "depth", F.md5("_said").alias("key"))
+    return d.select("_c", "_turn", "_mark", "line", depth_of(F.col("_line")).alias("depth"), said.alias("_said")).where("_said <> ''").select(
+        "_c", "_turn", "_mark", "line", "depth", F.md5("_said").alias("key"))
 
 
 def _keyed(df: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
@@ -40,9 +46,9 @@ def _keyed(df: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFr
                      F.coalesce(F.col(turn_col).cast("long"), F.lit(-1)).alias("_turn"), text_or_empty(text_col).alias("_text"))
 
 
-def quotation_links(keyed: DataFrame) -> DataFrame:
-    """``_c, _turn, depth, origin, lines``: how many lines each message quotes
-    at each level from which earlier message.
+def linked_lines(keyed: DataFrame) -> DataFrame:
+    """``_c, _turn, _mark, line, depth, origin``: the quoted lines that an
+    earlier message of the conversation says.
 
     A quoted passage is hashed line by line, so that a part of a message
     still meets it. A line's original is the latest earlier message of the
@@ -55,8 +61,13 @@ def quotation_links(keyed: DataFrame) -> DataFrame:
                   .withColumn("_block", F.floor(F.col("_turn") / F.lit(BLOCK))))
     linked = prefix_scan(lines, ["_c", "key"], F.col("_block"), ["_turn", "_own", "line"],
                          lasts={"origin": F.when(F.col("_own") == 1, F.col("_turn"))})
-    return (linked.where((F.col("_own") == 0) & F.col("origin").isNotNull())
-                  .groupBy("_c", "_turn", "depth", "origin").agg(F.count(F.lit(1)).alias("lines")))
+    return linked.where((F.col("_own") == 0) & F.col("origin").isNotNull()).select("_c", "_turn", "_mark", "line", "depth", "origin")
+
+
+def quotation_links(linked: DataFrame) -> DataFrame:
+    """``_c, _turn, depth, origin, lines``: how many lines each message quotes
+    at each level from which earlier message."""
+    return linked.groupBy("_c", "_turn", "depth", "origin").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def roots(parents: DataFrame) -> DataFrame:
@@ -75,14 +86,16 @@ def roots(parents: DataFrame) -> DataFrame:
 
 
 def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
-    """Conversations in the order of replies, without quotes.
+    """Conversations in the order of replies, without linked quotes.
 
     Appends ``parent_turn`` (the message from which most lines of the first
     quote level come, of equal ones the latest; NULL if nothing earlier is
     quoted), ``root_turn`` (the first message of its thread), ``position``
     (from 0, in the conversation ordered by thread and turn, which puts every
     message after those it answers) and ``quoted`` (lines linked, all
-    levels), and replaces the text by the message's own lines.
+    levels), and replaces the text by the message without its linked lines. A
+    quoted line that no earlier message says (a prompt, an outside text) stays
+    where it is, marks included.
 
     NULL text is an empty message; a NULL turn counts as -1 and NULL
     conversations as one; rows sharing conversation and turn are one message
@@ -90,13 +103,18 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     result; input columns named like the results are replaced.
     """
     keyed = _keyed(df, conv_col, turn_col, text_col)
-    links = materialise(quotation_links(keyed), "quotation-links")
+    importable(df.sparkSession)
+    linked = materialise(linked_lines(keyed), "quoted-lines")
+    links = quotation_links(linked)
     first = links.where("depth = 1").groupBy("_c", "_turn").agg(F.max(F.struct("lines", "origin"))["origin"].alias("parent"))
     counts = links.groupBy("_c", "_turn").agg(F.sum("lines").alias("quoted"))
     messages = keyed.select("_c", "_turn").distinct().join(first, ["_c", "_turn"], "left")
     threads = roots(messages).join(counts, ["_c", "_turn"], "left")
-    d = keyed.join(threads, ["_c", "_turn"], "left").select(
-        "_row", "_c", "_turn", unquoted(F.col("_text")).alias("_clean"), F.col("parent").alias("parent_turn"),
+    # (a message's own line numbers: bounded by its text)
+    quoted = linked.groupBy("_c", "_turn", "_mark").agg(F.collect_set("line").alias("_lines"))
+    d = keyed.withColumn("_mark", F.xxhash64("_text")).join(quoted, ["_c", "_turn", "_mark"], "left")
+    d = d.join(threads, ["_c", "_turn"], "left").select(
+        "_row", "_c", "_turn", F.udf(_own, "string", useArrow=True)("_text", "_lines").alias("_clean"), F.col("parent").alias("parent_turn"),
         F.col("root").alias("root_turn"), F.coalesce("quoted", F.lit(0)).cast("long").alias("quoted"))
     d = prefix_scan(d, ["_c"], F.floor(F.col("root_turn") / F.lit(BLOCK)), ["root_turn", "_turn"], sums={"position": F.lit(1).cast("long")})
     d = d.withColumn("_row", F.col("_row").withField(f"`{text_col}`", F.col("_clean")))

@@ -5,7 +5,7 @@ from llm_helpers import SCHEMA, Groups, documents
 from pyspark.sql import functions as F
 
 from souk.llm.line_dedup import block_keys, document_lines, drop_lines, line_groups, simhashes
-from souk.llm.quotes import depth_of, link_quotes, op7_quotes, unquoted
+from souk.llm.quotes import _own, depth_of, link_quotes, op7_quotes
 
 
 def edit_distance(a, b):
@@ -118,8 +118,17 @@ def chat(spark, rows):
 def test_levels(spark):
     df = spark.createDataFrame([("a", 0), ("> a", 1), (">> a", 2), (" > > >a", 3), ("a > b", 0), ("", 0)], "line string, depth int")
     assert df.where(depth_of(F.col("line")) != F.col("depth")).count() == 0
-    got = spark.createDataFrame([("> q\n\nown\n> more\nlines\n",)], "t string").select(unquoted(F.col("t")).alias("t")).collect()[0].t
-    assert got == "own\nlines"
+    assert _own("> q\n>\n\nown\n> more\nlines\n", [0]) == "own\n> more\nlines"
+    assert _own(">\n> never\nx", None) == ">\n> never\nx"
+
+
+def test_quotes_of_nothing_in_the_conversation_stay(spark):
+    rows = [(1, 0, "u", "How?"), (1, 1, "a", "> How?\nType\n>>> import os\nas the manual says:\n> call it twice"),
+            (1, 2, "u", "> >>> import os\nfails"), (1, 1, "b", "second with the same turn\n> How?\n> kept")]
+    got = {(r.turn, r.role): r.text for r in link_quotes(chat(spark, rows)).collect()}
+    assert got[1, "a"] == "Type\n>>> import os\nas the manual says:\n> call it twice"
+    assert got[1, "b"] == "second with the same turn\n> kept" and got[0, "u"] == "How?"
+    assert got[2, "u"] == "> >>> import os\nfails"  # said nowhere without marks
 
 
 def test_threads(spark):

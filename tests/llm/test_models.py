@@ -144,3 +144,25 @@ def test_quality_sample_with_huge_texts(spark):
     texts, ys = quality.labelled_sample(documents(spark, small + huge), labels, chars=4800)
     assert len(texts) == len(ys) == 48 and {t for _, t in small} <= set(texts)
     assert sum(map(len, texts)) <= 4800 and sum(len(t) == 100 for t in texts) == 8
+
+
+def test_no_long_text_is_a_languages_whole_sample(spark):
+    from pyspark.sql import functions as F
+
+    from souk.llm.language_id import labelled_sample as sample
+    texts = [(i, f"ein kurzer deutscher Satz Nummer {i} mit einigen Worten darin " * 8, "de", "s") for i in range(300)]
+    texts += [(1000 + i, "zqx" * 40_000 + str(i), "de", "s") for i in range(5)]
+    df = documents(spark, [(i, t, la, s) for i, t, la, s in texts])
+    [(lang, text)] = sample(df)
+    assert lang == "de" and len(text) <= 61_000 and len(set(text.split("\n"))) >= 50
+    assert text.count("zqx") * 3 < 0.2 * len(text) and "deutscher" in text
+    [(_, few)] = sample(df.where(F.col("doc_id") >= 1002))   # three texts only: larger shares
+    assert len(few) > 59_000
+
+
+def test_labels_without_documents_take_no_place(spark):
+    from souk.llm.quality import labelled_sample as sample
+    docs = documents(spark, [(i, f"text {i}") for i in range(200)])
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    texts, marks = sample(docs, labels, rows=100)
+    assert len(texts) == len(marks) == 100
