@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk.llm.common import WORD, importable, map_texts, query, table
+from souk.llm.common import WORD, importable, map_texts, materialise, query, table
 
 #: the filters of the query, in bit order; the last one is the copy filter
 FILTERS = "ABCDE"
@@ -50,6 +50,7 @@ def copy_cells(facts: DataFrame, copy_bit: int) -> DataFrame:
     by = ids.groupBy(*group).agg(
         F.sum("k").alias("n"), F.sum(F.when(named, 0).otherwise(F.col("k"))).alias("nameless"),
         F.min("id").alias("least"), F.min_by("k", "id").alias("at_least"))
+    by = materialise(by, "audit-cells")  # the texts are read for it once
     first = by.groupBy("key").agg(F.min("least").alias("first"))
     # `first` has one row per key: a key in very many parts is split by adaptive execution
     by = by.join(first, "key", "left").withColumn(
