@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk.llm.common import map_texts, materialise, query, table, text_or_empty
+from souk.llm.common import map_texts, materialise, query, row_struct, table, text_or_empty
 from souk.llm.graph import components
 
 #: MinHash samples: BANDS bands of ROWS; at a similarity of 0.85 a pair
@@ -376,9 +376,13 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """``df`` with one document of each component; rows without id stay."""
+    """``df`` with one document of each component, all its columns as they
+    are, whatever their names. Rows without id, text or words stay; of rows
+    that share an id either all stay or none; the smallest id of a component
+    stays; an empty table gives an empty result."""
     gone = near_dedup(df, id_col, text_col, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    d = df.select(row_struct(df), F.col(id_col).cast("long").alias("_i"))
+    return d.join(gone, F.col("_i") == F.col("_gone"), "left_anti").select("_row.*")
 
 
 @query("op10_near_dedup")

@@ -126,3 +126,15 @@ def test_components(spark, seed):
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     assert {r.doc_id: r.component_id for r in op10_near_dedup(spark, SF001).collect()} == near_components(rows, 85)
+
+
+def test_dropping_keeps_columns_of_any_name(spark):
+    from souk.llm.line_dedup import drop_lines
+    from souk.llm.near_dedup import drop_near_copies
+    text = " ".join(f"word{i}" for i in range(40))
+    df = documents(spark, [(1, text), (2, text + " more"), (3, None)])
+    for name in ("_gone", "_id", "_row"):
+        d = df.withColumn(name, df.doc_id + 10)
+        assert sorted((r.doc_id, r[name]) for r in drop_near_copies(d).collect()) == [(1, 11), (3, 13)]
+        lines = drop_lines(d)
+        assert lines.columns == d.columns and sorted((r.doc_id, r[name]) for r in lines.collect()) == [(1, 11), (2, 12), (3, 13)]
