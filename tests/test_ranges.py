@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from helpers import plan_text
 from souk.operators import windows as W
-from souk.operators.incremental import latest_by_key
-from souk.operators.quality import dedup_colocated
 
 
 @pytest.fixture
@@ -101,13 +99,3 @@ def test_only_buckets_that_differ_are_compared(spark):
     b = a.withColumn("v", F.when(F.col("id") == 17, -1).otherwise(F.col("v")))
     rows = W.row_difference(a, b, ["id"], buckets=512)
     assert sorted((r.id, r.v, r.left_rows, r.right_rows) for r in rows.collect()) == [(17, -1, 0, 1), (17, 34, 1, 0)]
-
-
-def test_latest_per_key_sorts_no_whole_rows(spark):
-    rows = [(1, 1, "a", {"x": 1}), (1, 2, "b", {"x": 2}), (1, 2, "c", {"x": 3}), (None, 5, None, None), (None, 4, "z", {})]
-    df = spark.createDataFrame(rows, "k int, version int, s string, m map<string, int>")
-    got = sorted(((r.k, r.version, r.s, r.m) for r in latest_by_key(df, ["k"], "version").collect()), key=repr)
-    assert got == [(1, 2, "c", {"x": 3}), (None, 5, None, None)]
-    for out in (latest_by_key(df, ["k"], "version"), dedup_colocated(df, "k")):
-        text = plan_text(out)
-        assert "WindowGroupLimit" in text and "SortAggregate" not in text
