@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souk.functions.scalar import dedup_by_key
@@ -85,25 +85,22 @@ def build_silver(spark: SparkSession, raw: DataFrame, silver_path: str, event_da
     is overwritten as a whole, so a rerun (backfill) replaces exactly what
     that day's run wrote, also when it has become empty. ``counts`` is filled
     with the rows read (``raw``) and written (``silver``, ``quarantine``,
-    ``undated``), observed by the writes at no further scan.
+    ``undated``): counts without columns, which Parquet answers from its footers.
     """
     quarantine_path = quarantine_path or f"{silver_path.rstrip('/')}_quarantine"
-    seen = {n: Observation(n) for n in ("raw", "silver", "quarantine", "undated")}
-    watch = lambda df, n: df.observe(seen[n], F.count(F.lit(1)).alias("rows"))
-
-    def dealt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return silver_clean(canonical_events(df, measures).withColumn("dt", F.col("ts").cast("date")))
-
-    clean, bad = dealt(raw)
+    spark = raw.sparkSession
+    events = canonical_events(raw, measures).withColumn("dt", F.col("ts").cast("date"))
+    clean, bad = silver_clean(events)
     today = F.col("dt") == F.lit(event_date).cast("date")
     silver = dedup_events(clean.where(today), ["event_id"], ["ts", "payload"])
-    watch(silver, "silver").drop("dt").write.mode("overwrite").parquet(f"{silver_path}/dt={event_date}")
-    watch(bad.where(today), "quarantine").drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={event_date}/run={event_date}")
-    # every raw row is looked at for its time here, so this write counts the input
-    lost = dealt(watch(raw, "raw"))[1].where(F.col("dt").isNull())
-    watch(lost, "undated").drop("dt").write.mode("overwrite").parquet(f"{quarantine_path}/dt={NO_DAY}/run={event_date}")
+    parts = {"silver": (silver, f"{silver_path}/dt={event_date}"),
+             "quarantine": (bad.where(today), f"{quarantine_path}/dt={event_date}/run={event_date}"),
+             "undated": (bad.where(F.col("dt").isNull()), f"{quarantine_path}/dt={NO_DAY}/run={event_date}")}
+    for df, path in parts.values():
+        df.drop("dt").write.mode("overwrite").parquet(path)
     if counts is not None:
-        counts.update({n: o.get["rows"] for n, o in seen.items()})
+        counts["raw"] = raw.count()
+        counts.update({n: spark.read.schema(df.drop("dt").schema).parquet(path).count() for n, (df, path) in parts.items()})
     # the partition column is given, so that a table whose days are all empty reads too
     return spark.read.schema(silver.schema).parquet(silver_path)
 

@@ -38,8 +38,7 @@ def nightly(spark: SparkSession, raw: DataFrame, silver_path: str, gold_path: st
             fail_on_error: bool = True, min_completeness: float = 0.99, amount: str = "value") -> dict:
     """Run one day; returns the gate status and the quality report rows.
     ``amount`` is the raw column that holds a sale's money. The rows read and
-    written are appended to ``<silver_path>_lineage`` under the run's day,
-    counted by the writes themselves. A day without silver rows has nothing
+    written are kept in ``<silver_path>_lineage`` under the run's day. A day without silver rows has nothing
     to check: its status is 'empty' and its gold is cleared."""
     counts: dict[str, int] = {}
     silver = Q.build_silver(spark, raw, silver_path, event_date, measures=[amount], counts=counts)
