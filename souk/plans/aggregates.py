@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from souk.functions import scalar as S
 from souk.operators import aggregates as A
+from souk.operators import bitmaps, funnels
 from souk.plans.registry import query
 from souk.plans.tables import (DEC, NESTED_ORDERS_SQL, SALES_SQL, SKEWED_ORDERS_SQL, nested_orders, sales,
                                skewed_orders, with_views)
+from souk.session import written
 from souk.sources import io
 
 
@@ -173,7 +175,7 @@ def sales_mart_by_seller_hour(spark: SparkSession, sf: str) -> DataFrame:
 FUNNEL_STEPS = ["view", "click", "purchase"]
 
 
-@query("purchase_funnel", """
+FUNNEL_SQL = """
 WITH s1 AS (
   SELECT user_id, arg_min(struct_pack(ts := ts, id := event_id), struct_pack(ts := ts, id := event_id)) AS at
   FROM events WHERE event_type = 'view' GROUP BY user_id),
@@ -195,13 +197,22 @@ SELECT step, name, users,
        CASE WHEN LAG(users) OVER w > 0 THEN CAST(users AS DOUBLE) / LAG(users) OVER w END AS conv_from_prev,
        CASE WHEN FIRST_VALUE(users) OVER w > 0 THEN CAST(users AS DOUBLE) / FIRST_VALUE(users) OVER w END AS conv_from_first
 FROM c WINDOW w AS (ORDER BY step)
-""")
+"""
+
+
+@query("purchase_funnel", FUNNEL_SQL)
 def purchase_funnel(spark: SparkSession, sf: str) -> DataFrame:
     out = A.purchase_funnel(io.load(spark, sf, "events"), "user_id", "ts", "event_type", "event_id",
                             FUNNEL_STEPS)
     return out.withColumn("step", F.col("step").cast("int"))
 
 
+@query("funnel_one_pass", FUNNEL_SQL)
+def funnel_one_pass(spark: SparkSession, sf: str) -> DataFrame:
+    times = funnels.funnel_times(io.load(spark, sf, "events"), "user_id", "ts", "event_type", "event_id", FUNNEL_STEPS)
+    return funnels.funnel_counts(times, FUNNEL_STEPS)
+
+
 @query("ltv_by_cohort", with_views("""
 SELECT cohort_month, period, cohort_users, revenue,
        CAST(SUM(revenue) OVER (PARTITION BY cohort_month ORDER BY period) AS DECIMAL(22,2)) AS cum_revenue,
@@ -220,7 +231,7 @@ def ltv_by_cohort(spark: SparkSession, sf: str) -> DataFrame:
     return ltv(sales(spark, sf), "user_id", "order_dt", "amount")
 
 
-@query("cohort_retention", """
+RETENTION_SQL = """
 WITH act AS (SELECT DISTINCT o_custkey AS user_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders),
 coh AS (SELECT user_id, MIN(m) AS cohort_month FROM act GROUP BY user_id),
 size AS (SELECT cohort_month, COUNT(*) AS cohort_size FROM coh GROUP BY cohort_month)
@@ -229,13 +240,46 @@ SELECT coh.cohort_month, CAST(date_diff('month', coh.cohort_month, act.m) AS INT
        CAST(COUNT(*) AS DOUBLE) / ANY_VALUE(size.cohort_size) AS retention
 FROM act JOIN coh USING (user_id) JOIN size USING (cohort_month)
 GROUP BY 1, 2
-""")
+"""
+
+
+@query("cohort_retention", RETENTION_SQL)
 def cohort_retention(spark: SparkSession, sf: str) -> DataFrame:
     from souk.operators.marts import cohort_retention as ret
     o = io.load(spark, sf, "orders")
     return ret(o, "o_custkey", "o_orderdate")
 
 
+def _stored_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Each day's customers as bitmaps, written once."""
+    o = io.load(spark, sf, "orders")
+    return written(bitmaps.user_bitmaps(o, [F.col("o_orderdate").cast("date").alias("day")], "o_custkey"), "user-days")
+
+
+@query("distinct_users_rollup", """
+SELECT grain, CAST(date_trunc(grain, day) AS DATE) AS period, COUNT(DISTINCT o_custkey) AS users
+FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders), (SELECT unnest(['day', 'week', 'month', 'year']) AS grain)
+GROUP BY 1, 2
+""")
+def distinct_users_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers by day, week, month and year from the stored days."""
+    level = _stored_days(spark, sf)
+    out = bitmaps.distinct_users(level, ["day"]).select(F.lit("day").alias("grain"), F.col("day").alias("period"), "users")
+    # a year's bitmaps come from its months'; weeks lie across months
+    for grain in ("week", "month", "year"):
+        got = bitmaps.roll_up(level, [F.trunc(F.col("day"), grain).alias("day")])
+        if grain == "month":
+            level = got = written(got, "user-months")
+        out = out.unionByName(bitmaps.distinct_users(got, ["day"]).select(F.lit(grain).alias("grain"), F.col("day").alias("period"), "users"))
+    return out
+
+
+@query("retention_bitmaps", RETENTION_SQL)
+def retention_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    months = bitmaps.roll_up(_stored_days(spark, sf), [F.trunc(F.col("day"), "month").alias("month")])
+    return bitmaps.retention_from_bitmaps(written(months, "user-months"), "month")
+
+
 @query("seller_scorecard", """
 SELECT l_suppkey AS seller_id, s_nationkey AS nationkey,
        COUNT(DISTINCT l_orderkey) AS orders, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS revenue,

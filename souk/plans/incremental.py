@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from souk.operators import history as H
 from souk.operators import incremental as I
 from souk.plans.aggregates import VERSIONED_SQL, versioned_fact
 from souk.plans.registry import query
@@ -172,3 +173,91 @@ WHERE rn = 1 AND op <> 'd'
 """, log=CDC_LOG_SQL))
 def cdc_apply(spark: SparkSession, sf: str) -> DataFrame:
     return I.cdc_apply(cdc_log(spark, sf), ["o_orderkey"], "lsn", "op")
+
+
+# The CDC log again, with days for versions: an order comes on its date, is
+# updated 30 days and deleted 60 days later. It arrives in three batches.
+DAY_LOG_SQL = """
+SELECT o_orderkey, status, amount, op, CAST(CAST(o_orderdate AS DATE) + (lsn - 1) * 30 AS DATE) AS day
+FROM (SELECT l.*, o.o_orderdate FROM log l JOIN orders o ON l.o_orderkey = o.o_orderkey)
+"""
+# The first days of the second and third batch, and the days asked for.
+BATCH_DAYS = ["1994-01-01", "1997-01-01"]
+ASKED_DAYS = ["1993-06-30", "1996-01-15", "1998-12-31"]
+
+
+def _day_history(spark: SparkSession, sf: str) -> str:
+    days = io.load(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("_d"))
+    log = (cdc_log(spark, sf).join(days, "o_orderkey")
+           .select("o_orderkey", "status", "amount", F.upper("op").alias("op"), F.date_add("_d", (F.col("lsn") - 1) * 30).alias("day")))
+    root = scratch_path(spark, "history")
+    batch = F.lit(0)
+    for d in BATCH_DAYS:
+        batch = batch + F.when(F.col("day") >= F.lit(d).cast("date"), 1).otherwise(0)
+    for b in range(len(BATCH_DAYS) + 1):
+        H.extend_history(log.where(batch == b), root, ["o_orderkey"], "day", b)
+    return root
+
+
+@query("history_as_of_date", with_views("""
+SELECT a.as_of, o_orderkey, status, amount FROM (
+  SELECT a.as_of, d.*, ROW_NUMBER() OVER (PARTITION BY a.as_of, d.o_orderkey ORDER BY d.day DESC) AS rn
+  FROM (SELECT CAST(unnest([%s]) AS DATE) AS as_of) a JOIN days d ON d.day <= a.as_of) a
+WHERE rn = 1 AND op <> 'd'
+""" % ", ".join(f"'{d}'" for d in ASKED_DAYS), log=CDC_LOG_SQL, days=DAY_LOG_SQL))
+def history_as_of_date(spark: SparkSession, sf: str) -> DataFrame:
+    """The state on each of the asked days, from intervals built in three
+    batches; the log is not read again."""
+    root = _day_history(spark, sf)
+    out = None
+    for d in ASKED_DAYS:
+        day = F.lit(d).cast("date")
+        one = H.history_as_of(spark, root, day, len(BATCH_DAYS)).select(day.alias("as_of"), "o_orderkey", "status", "amount")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("history_intervals", with_views("""
+SELECT o_orderkey, status, amount, day AS valid_from, next AS valid_to
+FROM (SELECT *, LEAD(day) OVER (PARTITION BY o_orderkey ORDER BY day) AS next FROM days) WHERE op <> 'd'
+""", log=CDC_LOG_SQL, days=DAY_LOG_SQL))
+def history_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    return H.read_history(spark, _day_history(spark, sf), len(BATCH_DAYS)).drop("op")
+
+
+# Changes of one brand only: a third of its parts gets a new price, a third
+# moves to another brand, a third goes, and some come under a new brand.
+BRAND_CHANGES_SQL = """
+SELECT p_partkey AS partkey, CASE WHEN p_partkey % 3 = 1 THEN 'Brand#12' ELSE p_brand END AS brand,
+       CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 10 AS DECIMAL(12,2)) AS price, 1 AS version,
+       CASE WHEN p_partkey % 3 = 2 THEN 'D' ELSE 'U' END AS op
+FROM part WHERE p_brand = 'Brand#11'
+UNION ALL SELECT p_partkey + 1000000, 'Brand new', CAST(p_retailprice AS DECIMAL(12,2)), 1, 'I' FROM part WHERE p_brand = 'Brand#11' AND p_partkey % 3 = 0
+"""
+
+
+def _brand_table(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    p = io.load(spark, sf, "part")
+    price = F.col("p_retailprice").cast("decimal(12,2)")
+    root = scratch_path(spark, "by-brand")
+    io.write_partitioned(p.select(F.col("p_partkey").alias("partkey"), F.col("p_brand").alias("brand"), price.alias("price")), root, ["brand"])
+    mine = p.where("p_brand = 'Brand#11'")
+    third = F.col("p_partkey") % 3
+    changed = mine.select(F.col("p_partkey").alias("partkey"), F.when(third == 1, "Brand#12").otherwise(F.col("p_brand")).alias("brand"),
+                          (price + 10).cast("decimal(12,2)").alias("price"), F.lit(1).alias("version"),
+                          F.when(third == 2, "D").otherwise("U").alias("op"))
+    new = mine.where(third == 0).select((F.col("p_partkey") + 1000000).alias("partkey"), F.lit("Brand new").alias("brand"),
+                                        price.alias("price"), F.lit(1).alias("version"), F.lit("I").alias("op"))
+    return root, changed.unionByName(new)
+
+
+@query("rewrite_touched_partitions", with_views("""
+SELECT b.partkey, COALESCE(c.brand, b.brand) AS brand, COALESCE(c.price, b.price) AS price
+FROM base b LEFT JOIN changes c ON b.partkey = c.partkey WHERE c.op IS DISTINCT FROM 'D'
+UNION ALL SELECT partkey, brand, price FROM changes WHERE op = 'I'
+""", base="SELECT p_partkey AS partkey, p_brand AS brand, CAST(p_retailprice AS DECIMAL(12,2)) AS price FROM part",
+    changes=BRAND_CHANGES_SQL))
+def rewrite_touched_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    root, changes = _brand_table(spark, sf)
+    H.rewrite_touched(spark, root, changes, ["partkey"], ["brand", "price"], ["brand"])
+    return spark.read.parquet(root).select("partkey", "brand", "price")
