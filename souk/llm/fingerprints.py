@@ -158,15 +158,16 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = (rows.withColumn("_pos", F.row_number().over(order)).withColumn("_next", F.lead("_text").over(order))
                 .withColumn("_edited", F.when(~F.col("_extra"), edited)))
     keys = ["_block", "_pos", "_kind"]
-    both = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("_text").alias("text")),
+    kinds = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("_text").alias("text")),
                              F.struct(F.lit(1).alias("kind"), F.col("_edited").alias("text")))).alias("_v")
-    texts = rows.select("_block", "_pos", both).select("_block", "_pos", F.col("_v.kind").alias("_kind"), F.col("_v.text").alias("_t"))
+    texts = rows.select("_block", "_pos", kinds).select("_block", "_pos", F.col("_v.kind").alias("_kind"), F.col("_v.text").alias("_t"))
     got = sample_words(words_of(texts, keys, F.col("_t")), keys, samples, terms)
-    got = materialise(got, "samples")
-    own, other = (got.where(F.col("_kind") == k).select("_block", "_pos", F.col("_sample").alias(name))
-                  for k, name in ((0, "_own"), (1, "_changed")))
+    # rows of samples and rows of facts, united and not joined: a join would
+    # filter one branch, and only equal branches share the shuffled texts
     facts = rows.select("_block", "_pos", "_extra", "_id", n.cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"))
-    d = facts.join(own, ["_block", "_pos"], "left").join(other, ["_block", "_pos"], "left")
+    d = facts.unionByName(got, allowMissingColumns=True).repartition("_block").groupBy("_block", "_pos").agg(
+        *[F.max(c).alias(c) for c in ("_extra", "_id", "n_chars", "edited_sha256")],
+        *[F.max(F.when(F.col("_kind") == k, F.col("_sample"))).alias(name) for k, name in ((0, "_own"), (1, "_changed"))])
     d = (d.withColumn("_own", F.coalesce("_own", no_words(samples))).withColumn("_changed", F.coalesce("_changed", no_words(samples)))
           .withColumn("_after", F.lead("_own").over(Window.partitionBy("_block").orderBy("_pos"))))
     return d.where("NOT _extra").select(

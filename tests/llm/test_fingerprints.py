@@ -96,3 +96,13 @@ def test_query(spark):
     same = {}
     for r in rows:
         assert same.setdefault(r.text, got[r.doc_id].fingerprint) == got[r.doc_id].fingerprint
+
+
+def test_texts_cross_one_shuffle(spark):
+    """Samples and facts read the same shuffled texts."""
+    rows = [(i, f"w{i} " * (i % 7 + 1)) for i in range(300)]
+    df = edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), samples=8)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    texts = [line for line in final.splitlines() if "Exchange hashpartitioning(_block" in line]
+    assert ["ReusedExchange" in line for line in texts] == [False, True]
