@@ -57,7 +57,18 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy", free: boo
             spark.conf.unset(FREE)
         elif free:
             spark.conf.set(FREE, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of :func:`materialise` that nothing reads any more: all
+    that was derived from them must have been written."""
+    for df in written:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def importable(spark: SparkSession) -> None:
