@@ -74,13 +74,16 @@ def write_formats(df: DataFrame, outdir: str, formats: list[str], files: int | N
     its input; ``files`` narrows it to so many (a choice for small tables: the
     upstream work of a ``coalesce`` runs in as many tasks). Parquet/ORC use
     snappy, CSV is tab-separated with a header. Unavailable formats are skipped.
+    The source is computed once: with Parquet among several formats, that is
+    written first and the others are written from its files (not when adding
+    to a folder, whose older rows are not the source's).
     Returns ``{format: path}`` of what was written.
     """
     spark = df.sparkSession
-    written = {}
-    for fmt in formats:
-        if not format_available(spark, fmt):
-            continue
+    able = [fmt for fmt in formats if format_available(spark, fmt)]
+    once = len(able) > 1 and "parquet" in able and mode == "overwrite"
+    schema, written = df.schema, {}
+    for fmt in sorted(able, key=lambda f: f != "parquet") if once else able:
         path = f"{outdir.rstrip('/')}/{fmt}"
         w = (df if files is None else df.coalesce(files)).write.mode(mode).format(fmt)
         if fmt in {"parquet", "orc"}:
@@ -89,7 +92,9 @@ def write_formats(df: DataFrame, outdir: str, formats: list[str], files: int | N
             w = w.option("header", "true").option("sep", "\t")
         w.save(path)
         written[fmt] = path
-    return written
+        if once and fmt == "parquet":
+            df = spark.read.schema(schema).parquet(path)
+    return {fmt: written[fmt] for fmt in able}
 
 
 def storage_inventory(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
