@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.scalar import dedup_by_key
 from souk.operators.windows import prefix_scan
+from souk.session import written
 
 # Largest dimension we broadcast on request, by the plan's own size estimate.
 MAX_BROADCAST_BYTES = 256 << 20
@@ -103,8 +104,13 @@ def interval_join(points: DataFrame, ranges: DataFrame, point_key: Sequence[str]
     return joined.unionByName(alone, allowMissingColumns=True)
 
 
+#: rows of facts and changes that one task puts in order
+ASOF_ROWS = 500_000
+
+
 def asof_join(facts: DataFrame, changes: DataFrame, key: str, t: str, eff: str,
-              values: Sequence[str], bucket_days: int = 366, tie: Sequence[str] = ()) -> DataFrame:
+              values: Sequence[str], bucket_days: int = 366, tie: Sequence[str] = (),
+              rows_per_task: int = ASOF_ROWS) -> DataFrame:
     """Values of ``changes`` in effect at each fact's time: of the same key the
     change with the greatest ``eff <= t``, to the microsecond (left semantics:
     NULL if none). Of changes at the same time the one with the greatest
@@ -113,8 +119,10 @@ def asof_join(facts: DataFrame, changes: DataFrame, key: str, t: str, eff: str,
     Facts and changes are put into one sequence per key, by time, changes
     first, and the last change before each fact is carried forward by a
     blocked prefix scan: no interval table, no explode, facts are read once
-    and a hot key is spread over its time blocks. NULL keys and times match
-    nothing. Returns the fact's columns, ``values`` and ``eff``.
+    and a hot key is spread over its time blocks. The sequence is written and
+    counted first, and dealt to as many tasks as it has ``rows_per_task``, so
+    that a task's memory does not grow with the tables. NULL keys and times
+    match nothing. Returns the fact's columns, ``values`` and ``eff``.
     """
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     fact = F.struct(*[F.col(c) for c in facts.columns])
@@ -123,9 +131,10 @@ def asof_join(facts: DataFrame, changes: DataFrame, key: str, t: str, eff: str,
     c = changes.where(F.col(key).isNotNull() & F.col(eff).isNotNull()).select(
         F.col(key).alias("_k"), micros(eff).alias("_t"), F.lit(0).alias("_fact"), order.alias("_tie"), got.alias("_got"))
     f = facts.select(F.col(key).alias("_k"), micros(t).alias("_t"), F.lit(1).alias("_fact"), fact.alias("_row"))
-    both = c.unionByName(f, allowMissingColumns=True)
+    both = written(c.unionByName(f, allowMissingColumns=True), "asof-rows")
+    parts = max(1, -(-both.count() // rows_per_task))
     scanned = prefix_scan(both, ["_k"], F.floor(F.col("_t") / (bucket_days * 86_400_000_000)), ["_t", "_fact", "_tie"],
-                          lasts={"_now": F.col("_got")})
+                          lasts={"_now": F.col("_got")}, partitions=parts)
     return scanned.where("_fact = 1").select("_row.*", "_now.*")
 
 

@@ -47,7 +47,7 @@ def multi_window(df: DataFrame, by: Sequence[str], value: str, order: Sequence[C
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str],
                 sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None,
-                inclusive: bool = False) -> DataFrame:
+                inclusive: bool = False, partitions: int | None = None) -> DataFrame:
     """Running sums and last non-NULL values per key in ``order``, computed
     in bounded blocks so that no task has to sort a whole (possibly hot) key.
 
@@ -62,6 +62,8 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequen
        in-block window is partitioned by, so the big side is not reshuffled.
 
     ``inclusive`` includes the current row. Sums over no row are 0.
+    ``partitions`` deals the blocks to so many tasks, whatever the session's
+    number of shuffle partitions.
     """
     sums, lasts = sums or {}, lasts or {}
     b, gk = "_blk", "_gk"
@@ -69,6 +71,8 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], block: Column, order: Sequen
     # equal, so a NULL key is one group in the window, the summaries and the
     # join alike, and all three use the same (struct, block) partitioning
     d = df.withColumn(gk, F.struct(*[F.col(k) for k in keys])).withColumn(b, block)
+    if partitions:
+        d = d.repartition(partitions, gk, b)
     w = Window.partitionBy(gk, b).orderBy(*order).rowsBetween(Window.unboundedPreceding,
                                                                0 if inclusive else -1)
     for o, c in sums.items():

@@ -1,10 +1,12 @@
 """What a step costs must not depend on one task, one file or the number of
 its readers: the steps behind queries that grew faster than their input."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
 
+from souk.operators import joins as J
 from souk.sources import io
 
 
@@ -23,3 +25,14 @@ def test_adding_formats_adds_the_source_only(spark, tmp_path):
         paths = io.write_formats(spark.range(lo, lo + 10), str(tmp_path), ["parquet", "json"], mode="append")
     for f, p in paths.items():
         assert sorted(int(r["id"]) for r in io.read_table(spark, p, f, "id long").collect()) == list(range(20))
+
+
+def test_asof_tasks_grow_with_rows(spark):
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    facts = spark.createDataFrame([(k, day(n), n) for k in range(30) for n in range(5, 9)], "k int, t timestamp, n int")
+    changes = spark.createDataFrame([(k, day(n), k * 100 + n) for k in range(0, 30, 2) for n in (1, 6)], "k int, eff timestamp, v int")
+    few, many = (J.asof_join(facts, changes, "k", "t", "eff", ["v"], rows_per_task=r) for r in (10_000, 10))
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == 15
+    for got in (few, many):
+        for r in got.collect():
+            assert r["v"] == (None if r["k"] % 2 else r["k"] * 100 + (6 if r["n"] >= 6 else 1))
