@@ -98,7 +98,9 @@ def valid_responses(df: DataFrame, group: Sequence[str], student: str, value: st
 def score_ranking(df: DataFrame, peers: Sequence[str], score: str, share: str,
                   min_share: float = 0.8, tie: Sequence[str] = ()) -> DataFrame:
     """Rank by score inside the peer group; rows with too few valid
-    responses are flagged and get no rank."""
+    responses are flagged and get no rank. The rows are written once: the
+    ranked and the flagged ones are read from there."""
+    df = written(df, "scored")
     flagged = F.col(share) < min_share
     eligible = df.where(~flagged)
     ranked = rank_in_groups(eligible, peers, score, tie, "rank", fn="rank").withColumn("flagged", F.lit(False))

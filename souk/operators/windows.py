@@ -185,16 +185,20 @@ def sessionize(df: DataFrame, user: str, t: str, tie: str, gap_seconds: int = 18
     return d.join(carry, ["_gk", "_blk"]).select(*names, (F.col("_inner") + F.col("_carry")).alias("session_no"))
 
 
-#: bins of a histogram per open interval, and histograms before what is left
-#: of the intervals is put in order
-QUANTILE_BINS, QUANTILE_ROUNDS = 1024, 2
+#: values of a group that are put in order in one row; larger groups are
+#: counted: bins of a histogram per open interval, and histograms before what
+#: is left of the intervals is put in order
+QUANTILE_VALUES, QUANTILE_BINS, QUANTILE_ROUNDS = 4096, 1024, 2
 
 
 def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict[str, float],
-                    bins: int = QUANTILE_BINS, rounds: int = QUANTILE_ROUNDS) -> DataFrame:
+                    bins: int = QUANTILE_BINS, rounds: int = QUANTILE_ROUNDS, collected: int = QUANTILE_VALUES) -> DataFrame:
     """Exact interpolated quantiles per group, ``probs`` being ``{column: p}``,
     by distributed selection: no group's values have to fit one task.
 
+    Groups of at most ``collected`` values are sorted, each in its row; the
+    others, which are few for their rows, are selected from.
+
     The order statistics that a group's quantiles lie between are found by
     rank. Each round counts the values of the interval that still holds a
     rank in ``bins`` equal bins (combined before the shuffle, so a group
@@ -209,9 +213,21 @@ def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict
     x = F.col(value).cast("double")
     d = written(df.select(gk.alias("_gk"), x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")), "quantile-values")
     stats = d.groupBy("_gk").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    stats = written(stats.where(F.col("_n") > collected), "quantile-groups")
+    names = [F.col(f"_gk.{g}").alias(g) for g in group]
+    few = d.join(stats.select("_gk"), "_gk", "left_anti").groupBy("_gk").agg(F.sort_array(F.collect_list("_x")).alias("_v"))
+
+    def between(p: float) -> Column:
+        pos = F.lit(float(p)) * (F.size("_v") - 1)
+        low, high = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
+        return F.get("_v", low) * (1 - (pos - low)) + F.get("_v", high) * (pos - low)
+
+    few = few.select(*names, *[between(p).alias(o) for o, p in probs.items()])
+    if stats.isEmpty():
+        return few
+    d = d.join(stats.select("_gk"), "_gk", "left_semi")
     at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs.values()]
     ranks = F.array_distinct(F.array(*[f(c).cast("bigint") for c in at for f in (F.floor, F.ceil)]))
-    stats = written(stats, "quantile-groups")
     zero = F.lit(0).cast("bigint")
     open_ = stats.select("_gk", F.explode(ranks).alias("_r"), "_lo", "_hi", zero.alias("_base"))
     open_, found = written(open_, "quantile-ranks"), None
@@ -252,7 +268,7 @@ def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict
     v = v.join(low, ["_gk", "lo"]).join(high, ["_gk", "hi"])
     mid = F.col("v_lo") * (1 - F.col("part")) + F.col("v_hi") * F.col("part")
     out = v.groupBy("_gk").agg(*[F.max(F.when(F.col("o") == o, mid)).alias(o) for o in probs])
-    return out.select(*[F.col(f"_gk.{g}").alias(g) for g in group], *probs)
+    return few.unionByName(out.select(*names, *probs))
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str) -> DataFrame:

@@ -4,9 +4,12 @@ its readers: the steps behind queries that grew faster than their input."""
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from souk.operators import joins as J
+from souk.operators import score as M
+from souk.operators import windows as W
 from souk.sources import io
 
 
@@ -36,3 +39,30 @@ def test_asof_tasks_grow_with_rows(spark):
     for got in (few, many):
         for r in got.collect():
             assert r["v"] == (None if r["k"] % 2 else r["k"] * 100 + (6 if r["n"] >= 6 else 1))
+
+
+@pytest.mark.parametrize("collected", [0, 4, 4096])
+def test_quantiles_of_small_and_large_groups(spark, collected):
+    import numpy as np
+
+    rows = [(g, float((i * 7919) % 101) / 4) for g in range(6) for i in range(g * 3)] + [(None, 2.0), (1, None), (9, None), (9, float("nan"))]
+    got = W.group_quantiles(spark.createDataFrame(rows, "g int, x double"), ["g"], "x", {"a": 0.25, "b": 0.75}, collected=collected)
+    got = {r["g"]: (r["a"], r["b"]) for r in got.collect()}
+    assert set(got) == {None, 1, 2, 3, 4, 5}
+    for g, ab in got.items():
+        x = [v for k, v in rows if k == g and v is not None]
+        assert ab == pytest.approx((np.quantile(x, 0.25), np.quantile(x, 0.75)))
+
+
+def test_small_groups_are_not_written_as_intervals(spark, monkeypatch):
+    names, put = [], W.written
+    monkeypatch.setattr(W, "written", lambda df, name: (names.append(name), put(df, name))[1])
+    rows = [(i % 50, float(i)) for i in range(200)]
+    assert W.group_quantiles(spark.createDataFrame(rows, "g int, x double"), ["g"], "x", {"m": 0.5}).count() == 50
+    assert names == ["quantile-values", "quantile-groups"]
+
+
+def test_ranking_computes_its_rows_once(spark):
+    once = F.udf(lambda: float(os.urandom(1)[0]), "double").asNondeterministic()
+    df = spark.range(200).select("id", (F.col("id") % 3).alias("d"), F.lit(1.0).alias("s"), (once() / 255).alias("share"))
+    assert M.score_ranking(df, ["d"], "s", "share", 0.5, ["id"]).count() == 200
