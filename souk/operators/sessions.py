@@ -30,6 +30,8 @@ Rules (equivalent to the loop of the original job):
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,9 +70,9 @@ def read_session_files(spark: SparkSession, path: str, charset: str = "windows-1
     if charset.lower() not in standard:
         # Spark 4 only accepts the standard charsets unless this is enabled
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-           .select(F.col("path").alias("session"), F.decode("content", charset).alias("content")))
-    return raw
+    with few_listing_tasks(spark):
+        raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return raw.select(F.col("path").alias("session"), F.decode("content", charset).alias("content"))
 
 
 def read_session_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -85,10 +87,12 @@ def read_session_lines(spark: SparkSession, path: str) -> DataFrame:
     decoded as UTF-8; use :func:`read_session_files` for cp1251 values
     (the structure and the metrics are ASCII either way).
     """
-    raw = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
-           .select(F.col("_metadata.file_path").alias("session"),
-                   F.col("_metadata.file_block_start").alias("_split"),
-                   F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("raw")))
+    with few_listing_tasks(spark):
+        raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+    # the scan reads its rows twice; the files, which may be many, are read once
+    raw = written(raw.select(F.col("_metadata.file_path").alias("session"),
+                             F.col("_metadata.file_block_start").alias("_split"),
+                             F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("raw")), "raw-lines")
     numbered = prefix_scan(raw, ["session"], F.col("_split"), ["_split", "_pos"],
                            sums={"lineno": F.lit(1)}, inclusive=True)
     line = F.regexp_replace("raw", r"^[\x00-\x20]+|[\x00-\x20]+$", "")
@@ -99,9 +103,33 @@ def read_session_lines(spark: SparkSession, path: str) -> DataFrame:
 def write_session_files(lines: DataFrame, path: str) -> None:
     """Write ``(session, lineno, line)`` as one text file per session
     (``path/session=<id>/part-*``), lines in order: rows are clustered by
-    session and sorted by line number inside each task before the write."""
-    (lines.repartition("session").sortWithinPartitions("session", "lineno")
-          .select("session", "line").write.mode("overwrite").partitionBy("session").text(path))
+    session and sorted by line number inside each task before the write.
+
+    What costs is the number of files, not their bytes, so the sessions are
+    dealt to all shuffle partitions (adaptive execution would join them by
+    bytes), and every task commits its own files: the driver, which moves all
+    sessions' folders one by one otherwise, has none to move."""
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (lines.repartition(parts, "session").sortWithinPartitions("session", "lineno")
+          .select("session", "line").write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+          .partitionBy("session").text(path))
+
+
+#: folders are listed in so many tasks per core (Spark's own limit is a task
+#: per folder, up to 10,000)
+LISTING_TASKS = 4
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """Reads begun inside list many small folders in few tasks."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def session_lines(files: DataFrame, session: str = "session", content: str = "content") -> DataFrame:

@@ -2,6 +2,7 @@
 its readers: the steps behind queries that grew faster than their input."""
 
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from souk.operators import joins as J
 from souk.operators import score as M
+from souk.operators import sessions as SL
 from souk.operators import windows as W
 from souk.sources import io
 
@@ -66,3 +68,27 @@ def test_ranking_computes_its_rows_once(spark):
     once = F.udf(lambda: float(os.urandom(1)[0]), "double").asNondeterministic()
     df = spark.range(200).select("id", (F.col("id") % 3).alias("d"), F.lit(1.0).alias("s"), (once() / 255).alias("share"))
     assert M.score_ranking(df, ["d"], "s", "share", 0.5, ["id"]).count() == 200
+
+
+def test_sessions_are_dealt_to_all_tasks(spark, tmp_path):
+    lines = spark.createDataFrame([(f"s{s}", n, f"{s} LAW_{n}") for s in range(40) for n in (1, 2, 3)], "session string, lineno int, line string")
+    SL.write_session_files(lines, str(tmp_path / "logs"))
+    files = glob.glob(f"{tmp_path}/logs/session=*/part-*")
+    assert len(files) == 40 and len({os.path.basename(f)[:10] for f in files}) > 1
+    assert not glob.glob(f"{tmp_path}/logs/_temporary")
+    for f in files:
+        s = f.split("session=s")[1].split("/")[0]
+        assert open(f).read().split("\n") == [f"{s} LAW_1", f"{s} LAW_2", f"{s} LAW_3", ""]
+
+
+def test_session_folders_are_listed_in_few_tasks_and_read_once(spark, tmp_path, monkeypatch):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, names, put = spark.conf.get(key), [], SL.written
+    monkeypatch.setattr(SL, "written", lambda df, name: (names.append(name), put(df, name))[1])
+    with SL.few_listing_tasks(spark):
+        assert int(spark.conf.get(key)) <= SL.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == before
+    (tmp_path / "a.txt").write_text("x\n\n y \r\nz")
+    got = SL.read_session_lines(spark, str(tmp_path))
+    assert sorted((r["lineno"], r["line"]) for r in got.collect()) == [(1, "x"), (3, "y"), (4, "z")]
+    assert names == ["raw-lines"] and spark.conf.get(key) == before
