@@ -13,6 +13,7 @@ from souk.operators import score as M
 from souk.operators import sessions as SL
 from souk.operators import windows as W
 from souk.sources import io
+from souk.streaming import streams as K
 
 
 def test_formats_are_written_from_one_computation(spark, tmp_path):
@@ -92,3 +93,20 @@ def test_session_folders_are_listed_in_few_tasks_and_read_once(spark, tmp_path,
     got = SL.read_session_lines(spark, str(tmp_path))
     assert sorted((r["lineno"], r["line"]) for r in got.collect()) == [(1, "x"), (3, "y"), (4, "z")]
     assert names == ["raw-lines"] and spark.conf.get(key) == before
+
+
+def test_staged_chunks_have_files_by_their_rows(spark, tmp_path):
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    df = spark.createDataFrame([(i, day(i % 6)) for i in range(240)], "id int, t timestamp")
+    assert K.files_per_chunk(df, "t", 3, rows=1000) == 1
+    assert K.files_per_chunk(df, "t", 3, rows=20) == 4
+    # an empty chunk has one file only, so all have one
+    assert K.files_per_chunk(df.where("t < '2024-01-03' OR t >= '2024-01-06'"), "t", 3, rows=20) == 1
+    path = K.stage_stream_input(df, str(tmp_path / "in"), "t", 3, 4)
+    assert len(glob.glob(f"{path}/part-*.parquet")) == 12
+    seen = []
+
+    def sink(batch, n):
+        seen.append(sorted({r["t"].day for r in batch.collect()}))
+    K.run_to_end(K.start_available_now(K.file_stream(spark, path, df.schema, 4), str(tmp_path / "ck"), sink=sink))
+    assert seen == [[1, 2], [3, 4], [5, 6]]
