@@ -24,7 +24,7 @@ WORDS = 5
 #: members that one tile of a bucket has, and shingles that a task remembers
 TILE, HELD = 512, 4_000_000
 #: rows of samples hashed at once; words remembered per worker at most
-PIECE, KNOWN_WORDS = 8192, 1_000_000
+PIECE, KNOWN_WORDS = 8192, 1 << 17
 
 _U64, _U32 = np.uint64, np.uint32
 
