@@ -104,18 +104,21 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     """
     keyed = _keyed(df, conv_col, turn_col, text_col)
     importable(df.sparkSession)
-    linked = materialise(linked_lines(keyed), "quoted-lines")
+    linked = materialise(linked_lines(keyed), "quoted-lines", free=True)
     links = quotation_links(linked)
     first = links.where("depth = 1").groupBy("_c", "_turn").agg(F.max(F.struct("lines", "origin"))["origin"].alias("parent"))
     counts = links.groupBy("_c", "_turn").agg(F.sum("lines").alias("quoted"))
     messages = keyed.select("_c", "_turn").distinct().join(first, ["_c", "_turn"], "left")
-    threads = roots(messages).join(counts, ["_c", "_turn"], "left")
+    threads = materialise(roots(messages).join(counts, ["_c", "_turn"], "left"), "threads", free=True)
     # (a message's own line numbers: bounded by its text)
     quoted = linked.groupBy("_c", "_turn", "_mark").agg(F.collect_set("line").alias("_lines"))
     d = keyed.withColumn("_mark", F.xxhash64("_text")).join(quoted, ["_c", "_turn", "_mark"], "left")
     d = d.join(threads, ["_c", "_turn"], "left").select(
         "_row", "_c", "_turn", F.udf(_own, "string", useArrow=True)("_text", "_lines").alias("_clean"), F.col("parent").alias("parent_turn"),
         F.col("root").alias("root_turn"), F.coalesce("quoted", F.lit(0)).cast("long").alias("quoted"))
+    # the scan reads its rows twice; from a table of their own, its plan is that of
+    # the scan alone, which the driver keeps and plans anew at every stage
+    d = materialise(d, "clean-messages", free=True)
     d = prefix_scan(d, ["_c"], F.floor(F.col("root_turn") / F.lit(BLOCK)), ["root_turn", "_turn"], sums={"position": F.lit(1).cast("long")})
     d = d.withColumn("_row", F.col("_row").withField(f"`{text_col}`", F.col("_clean")))
     return unpack(d, ["parent_turn", "root_turn", "position", "quoted"])
