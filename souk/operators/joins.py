@@ -125,9 +125,9 @@ def asof_join(facts: DataFrame, changes: DataFrame, key: str, t: str, eff: str,
     match nothing. Returns the fact's columns, ``values`` and ``eff``.
     """
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    fact = F.struct(*[F.col(c) for c in facts.columns])
-    got = F.struct(*[F.col(c) for c in [*values, eff]])
-    order = F.struct(*[F.col(c) for c in [*tie, *values]])
+    # fields by number: a column may be wanted twice, names need not differ
+    numbered = lambda names: F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    fact, got, order = numbered(facts.columns), numbered([*values, eff]), numbered([*tie, *values])
     c = changes.where(F.col(key).isNotNull() & F.col(eff).isNotNull()).select(
         F.col(key).alias("_k"), micros(eff).alias("_t"), F.lit(0).alias("_fact"), order.alias("_tie"), got.alias("_got"))
     f = facts.select(F.col(key).alias("_k"), micros(t).alias("_t"), F.lit(1).alias("_fact"), fact.alias("_row"))
@@ -135,7 +135,8 @@ def asof_join(facts: DataFrame, changes: DataFrame, key: str, t: str, eff: str,
     parts = max(1, -(-both.count() // rows_per_task))
     scanned = prefix_scan(both, ["_k"], F.floor(F.col("_t") / (bucket_days * 86_400_000_000)), ["_t", "_fact", "_tie"],
                           lasts={"_now": F.col("_got")}, partitions=parts)
-    return scanned.where("_fact = 1").select("_row.*", "_now.*")
+    return scanned.where("_fact = 1").select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(facts.columns)],
+                                             *[F.col(f"_now.c{i}").alias(c) for i, c in enumerate([*values, eff])])
 
 
 def fk_violations(df: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column) -> DataFrame:

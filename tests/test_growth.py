@@ -44,6 +44,15 @@ def test_asof_tasks_grow_with_rows(spark):
             assert r["v"] == (None if r["k"] % 2 else r["k"] * 100 + (6 if r["n"] >= 6 else 1))
 
 
+def test_asof_tie_may_be_a_value(spark):
+    at = dt.datetime(2024, 1, 1)
+    facts = spark.createDataFrame([(1, at)], "k int, t timestamp")
+    changes = spark.createDataFrame([(1, at, 5, 1), (1, at, 4, 2)], "k int, eff timestamp, v int, i int")
+    got = J.asof_join(facts, changes, "k", "t", "eff", ["v", "i"], tie=["i"])
+    assert got.columns == ["k", "t", "v", "i", "eff"]
+    assert [tuple(r) for r in got.collect()] == [(1, at, 4, 2, at)]
+
+
 @pytest.mark.parametrize("collected", [0, 4, 4096])
 def test_quantiles_of_small_and_large_groups(spark, collected):
     import numpy as np
