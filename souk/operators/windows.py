@@ -185,7 +185,7 @@ def sessionize(df: DataFrame, user: str, t: str, tie: str, gap_seconds: int = 18
     return d.join(carry, ["_gk", "_blk"]).select(*names, (F.col("_inner") + F.col("_carry")).alias("session_no"))
 
 
-#: values of a group that are put in order in one row; larger groups are
+#: values of a group that a window puts in order; larger groups are
 #: counted: bins of a histogram per open interval, and histograms before what
 #: is left of the intervals is put in order
 QUANTILE_VALUES, QUANTILE_BINS, QUANTILE_ROUNDS = 4096, 1024, 2
@@ -196,7 +196,7 @@ def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict
     """Exact interpolated quantiles per group, ``probs`` being ``{column: p}``,
     by distributed selection: no group's values have to fit one task.
 
-    Groups of at most ``collected`` values are sorted, each in its row; the
+    Groups of at most ``collected`` values are sorted by a window; the
     others, which are few for their rows, are selected from.
 
     The order statistics that a group's quantiles lie between are found by
@@ -215,14 +215,15 @@ def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict
     stats = d.groupBy("_gk").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     stats = written(stats.where(F.col("_n") > collected), "quantile-groups")
     names = [F.col(f"_gk.{g}").alias(g) for g in group]
-    few = d.join(stats.select("_gk"), "_gk", "left_anti").groupBy("_gk").agg(F.sort_array(F.collect_list("_x")).alias("_v"))
-
-    def between(p: float) -> Column:
-        pos = F.lit(float(p)) * (F.size("_v") - 1)
-        low, high = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
-        return F.get("_v", low) * (1 - (pos - low)) + F.get("_v", high) * (pos - low)
-
-    few = few.select(*names, *[between(p).alias(o) for o, p in probs.items()])
+    # positions in groups of bounded size, so the window's buffer is bounded too
+    few = d.join(stats.select("_gk"), "_gk", "left_anti")
+    few = (few.withColumn("_i", F.row_number().over(Window.partitionBy("_gk").orderBy("_x")) - 1)
+              .withColumn("_n", F.count("*").over(Window.partitionBy("_gk"))))
+    place = {o: F.lit(float(p)) * (F.col("_n") - 1) for o, p in probs.items()}
+    value_at = lambda c: F.max(F.when(F.col("_i") == c, F.col("_x")))
+    few = few.groupBy("_gk", "_n").agg(*[value_at(f(c)).alias(f"{k}_{o}") for o, c in place.items() for k, f in (("_lo", F.floor), ("_hi", F.ceil))])
+    part = {o: c - F.floor(c) for o, c in place.items()}
+    few = few.select(*names, *[(F.col(f"_lo_{o}") * (1 - part[o]) + F.col(f"_hi_{o}") * part[o]).alias(o) for o in probs])
     if stats.isEmpty():
         return few
     d = d.join(stats.select("_gk"), "_gk", "left_semi")
