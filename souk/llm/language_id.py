@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk.llm.common import map_texts, materialise, query, table, text_or_empty
+from souk.llm.common import held, map_texts, materialise, query, table, text_or_empty
 
 #: bound of the labelled sample: characters and texts per language
 SAMPLE_CHARS, SAMPLE_TEXTS = 60_000, 200
@@ -247,16 +247,9 @@ def with_language(df: DataFrame, sample: list[tuple[str, str]], text_col: str =
     return map_texts(df, text_col, [T.StructField("told", T.BooleanType())], make, keep)
 
 
-_PARSERS: dict[int, Parser] = {}
-
-
 def _parser(sample: list[tuple[str, str]]) -> Parser:
-    """Built once per Python worker, not once per task."""
-    key = hash(tuple(sample))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(sample)
-    return _PARSERS[key]
+    """Built once per Python worker, not once per task, and kept until another operator runs there."""
+    return held(("parser", hash(tuple(sample))), lambda: Parser(sample))
 
 
 def predict_language(df: DataFrame, sample: list[tuple[str, str]], text_col: str = "text",

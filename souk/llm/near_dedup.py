@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk.llm.common import map_texts, materialise, query, row_struct, table, text_or_empty
+from souk.llm.common import map_texts, materialise, query, release, row_struct, table, text_or_empty
 from souk.llm.graph import components
 
 #: MinHash samples: BANDS bands of ROWS; at a similarity of 0.85 a pair
@@ -132,6 +132,8 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, n_shingles, set0, set1`` (a 128-bit digest of the set), ``bands``
     (array<long>) and the odd sketch's longs, one row per row of ``df``."""
     def make():
+        release()
+
         def run(texts):
             sets = [shingles(t) for t in texts]
             n = np.array([len(s) for s in sets], np.int64)

@@ -6,7 +6,7 @@ from conftest import SF01
 from llm_helpers import SCHEMA, documents
 from pyspark.sql import functions as F
 
-from souk.llm import language_id, quality
+from souk.llm import common, language_id, quality
 from souk.llm.language_id import Parser, op4_language_id, predict_language
 from souk.llm.quality import buckets, op3_quality, score_quality, train
 
@@ -166,3 +166,12 @@ def test_labels_without_documents_take_no_place(spark):
     labels = spark.range(20_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
     texts, marks = sample(docs, labels, rows=100)
     assert len(texts) == len(marks) == 100
+
+
+def test_a_worker_holds_one_model_at_a_time():
+    parser = language_id._parser(SAMPLE)
+    assert language_id._parser(list(SAMPLE)) is parser
+    other = language_id._parser(SAMPLE[:1])
+    assert list(common._HELD.values()) == [other]
+    common.release()
+    assert not common._HELD
