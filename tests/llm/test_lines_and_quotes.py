@@ -4,6 +4,7 @@ from itertools import combinations
 from llm_helpers import SCHEMA, Groups, documents
 from pyspark.sql import functions as F
 
+from souk.llm import line_dedup
 from souk.llm.line_dedup import block_keys, document_lines, drop_lines, line_groups, simhashes
 from souk.llm.quotes import _own, depth_of, link_quotes, op7_quotes
 
@@ -166,3 +167,20 @@ def test_query_gives_the_conversations_back(spark):
     for r in got:
         answers = r.turn - (2 if r.turn % 3 == 2 else 1)
         assert r.parent_turn == (answers if r.turn else None) and r.root_turn == 0 and r.position == r.turn
+
+
+def test_pairs_are_verified_in_parts(spark, monkeypatch):
+    rng = random.Random(5)
+    said = [" ".join(f"w{rng.randrange(400)}" for _ in range(20)) for _ in range(30)]
+    near = [" ".join("new" if k == i % 20 else w for k, w in enumerate(s.split())) for i, s in enumerate(said)]
+    df = documents(spark, [(i, t) for i, t in enumerate(said + near + said[:5])])
+    names, put = [], line_dedup.materialise
+    monkeypatch.setattr(line_dedup, "materialise", lambda df, name, *a, **k: (names.append(name), put(df, name, *a, **k))[1])
+    found = {}
+    for parts in (1, 4):
+        names.clear()
+        monkeypatch.setattr(line_dedup, "PARTS", parts)
+        found[parts] = sorted(map(tuple, line_groups(df, distance=None).drop("_mark").collect()))
+        assert names.count("line-links") == 2 * parts and names.count("line-pairs") == 2
+    assert found[1] == found[4]
+    assert sum(not r[-1] for r in found[4]) == 35
