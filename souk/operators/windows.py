@@ -192,7 +192,8 @@ QUANTILE_VALUES, QUANTILE_BINS, QUANTILE_ROUNDS = 4096, 1024, 2
 
 
 def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict[str, float],
-                    bins: int = QUANTILE_BINS, rounds: int = QUANTILE_ROUNDS, collected: int = QUANTILE_VALUES) -> DataFrame:
+                    bins: int = QUANTILE_BINS, rounds: int = QUANTILE_ROUNDS, collected: int = QUANTILE_VALUES,
+                    stored: bool = False) -> DataFrame:
     """Exact interpolated quantiles per group, ``probs`` being ``{column: p}``,
     by distributed selection: no group's values have to fit one task.
 
@@ -207,11 +208,13 @@ def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict
     one value is decided. What is left after ``rounds`` (values of very
     uneven spread) is counted by value and put in order by ranges, at any
     size. NULL and NaN values count as missing; a group without a value has
-    no row; groups with NULL keys are groups.
+    no row; groups with NULL keys are groups. ``df`` is written first, as it is
+    read several times, unless it is ``stored`` already.
     """
     gk = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(1).alias("all"))
     x = F.col(value).cast("double")
-    d = written(df.select(gk.alias("_gk"), x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")), "quantile-values")
+    d = df.select(gk.alias("_gk"), x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    d = d if stored else written(d, "quantile-values")
     stats = d.groupBy("_gk").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     stats = written(stats.where(F.col("_n") > collected), "quantile-groups")
     names = [F.col(f"_gk.{g}").alias(g) for g in group]

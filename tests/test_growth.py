@@ -119,3 +119,18 @@ def test_staged_chunks_have_files_by_their_rows(spark, tmp_path):
         seen.append(sorted({r["t"].day for r in batch.collect()}))
     K.run_to_end(K.start_available_now(K.file_stream(spark, path, df.schema, 4), str(tmp_path / "ck"), sink=sink))
     assert seen == [[1, 2], [3, 4], [5, 6]]
+
+
+def test_responses_are_written_once_and_sorted_after_the_shuffle(spark, monkeypatch):
+    names, put = [], W.written
+    plans = []
+    for module in (M, W):
+        monkeypatch.setattr(module, "written", lambda df, name: (names.append(name), plans.append(df), put(df, name))[2])
+    # two students respond twice (the least order counts, NULL first), one value is missing
+    rows = [("a", 1, 5.0, 2), ("a", 1, 9.0, 1), ("a", 2, 7.0, 1), ("a", 3, None, 1), ("a", 4, 99.0, 1), ("b", 1, 3.0, None), ("b", 1, 60.0, 4)]
+    df = spark.createDataFrame(rows, "g string, student int, x double, at int")
+    got = {r["g"]: r for r in M.valid_responses(df, ["g"], "student", "x", ["at"], 1, 50).collect()}
+    assert (got["a"]["responses"], got["a"]["valid"]) == (4, 2)
+    assert (got["b"]["responses"], got["b"]["valid"]) == (1, 1)
+    assert names == ["responses", "quantile-groups"]
+    assert "WindowGroupLimit" not in plans[0]._jdf.queryExecution().executedPlan().toString()
