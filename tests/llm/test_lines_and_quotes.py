@@ -184,3 +184,11 @@ def test_pairs_are_verified_in_parts(spark, monkeypatch):
         assert names.count("line-links") == 2 * parts and names.count("line-pairs") == 2
     assert found[1] == found[4]
     assert sum(not r[-1] for r in found[4]) == 35
+
+
+def test_the_table_of_word_classes_is_once_in_the_plan(spark):
+    table = bytes(range(1, 65)) * (line_dedup.SLOTS // 64)
+    lines = document_lines(documents(spark, [(0, "a b c d e f g"), (1, "one"), (2, "x y")]), "doc_id", "text")
+    known = simhashes(lines, F.lit(table), 1000)
+    assert sorted((r["size"], len(r["keys"])) for r in known.collect()) == [(1, 0), (2, 0), (7, 6)]
+    assert known._jdf.queryExecution().optimizedPlan().toString().count(table[:64].hex().upper() * 8) == table.hex().upper().count(table[:64].hex().upper() * 8)
