@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.operators.windows import group_quantiles, rank_in_groups
+from souk.operators.windows import beside_quantiles, rank_in_groups
 from souk.session import written
 
 
@@ -79,20 +79,23 @@ def valid_responses(df: DataFrame, group: Sequence[str], student: str, value: st
                     order: Sequence[str], lo: float, hi: float) -> DataFrame:
     """Per group: responses after one-per-student dedup, valid ones (inside
     ``[lo, hi]`` and inside quartiles +- 1.5 IQR of the group) and the share.
-    Quartiles are exact and found by :func:`group_quantiles`, so a group of
+    Quartiles are exact and found by :func:`beside_quantiles`, so a group of
     any size is counted, not gathered. The responses are written once: they
-    are read for the quartiles and again for the verdict."""
-    w = Window.partitionBy(*group, student).orderBy(*order)
+    are read for the groups' sizes and again for the verdict. Groups with a
+    NULL key or without a value have no row."""
+    order = list(order)
+    if value in order:      # what comes after the value decides between equal values only, and is not read
+        order = order[:order.index(value) + 1]
+    # sorted by student first, who tells most rows apart
+    w = Window.partitionBy(student, *group).orderBy(*order)
     # the first is the one without a row before it: a limit on a row number
     # would sort all rows before the shuffle too, and most students respond once
     one = df.withColumn("_before", F.lag(F.lit(True)).over(w)).where("_before IS NULL").select(*group, value)
-    one = written(one, "responses")
-    q = group_quantiles(one, group, value, {"_q1": 0.25, "_q3": 0.75}, stored=True)
+    one = beside_quantiles(written(one, "responses"), group, value, {"_q1": 0.25, "_q3": 0.75})
     iqr = F.col("_q3") - F.col("_q1")
     ok = (F.col(value).between(lo, hi) & (F.col(value) >= F.col("_q1") - 1.5 * iqr)
           & (F.col(value) <= F.col("_q3") + 1.5 * iqr))
-    return (one.join(q, list(group))
-               .groupBy(*group)
+    return (one.groupBy(*group)
                .agg(F.count("*").alias("responses"), F.count(F.when(ok, 1)).alias("valid"))
                .withColumn("share_valid", F.col("valid") / F.col("responses")))
 

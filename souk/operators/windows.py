@@ -191,6 +191,36 @@ def sessionize(df: DataFrame, user: str, t: str, tie: str, gap_seconds: int = 18
 QUANTILE_VALUES, QUANTILE_BINS, QUANTILE_ROUNDS = 4096, 1024, 2
 
 
+def beside_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict[str, float],
+                     collected: int = QUANTILE_VALUES) -> DataFrame:
+    """``df``, which is stored, with its group's exact quantiles (those of
+    :func:`group_quantiles`) in each row. Rows with a NULL key and groups
+    without a value are left out.
+
+    The rows of groups of at most ``collected`` rows are shuffled and sorted
+    once, by a window that also has the quantiles; what is then grouped by
+    ``group`` needs no further shuffle. The other groups are joined with
+    :func:`group_quantiles`."""
+    x = F.col(value).cast("double")
+    d = df.dropna(subset=list(group))
+    many = d.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > collected).select(*group)
+    many = written(many, "quantile-groups")
+    none = many.isEmpty()
+    w = Window.partitionBy(*group)
+    few = d if none else d.join(many, list(group), "left_anti")
+    few = few.withColumn("_x", F.when(~F.isnan(x), x))
+    few = few.withColumn("_i", F.row_number().over(w.orderBy(F.col("_x").asc_nulls_last())) - 1).withColumn("_n", F.count("_x").over(w))
+    place = {o: F.lit(float(p)) * (F.col("_n") - 1) for o, p in probs.items()}
+    value_at = lambda c: F.max(F.when(F.col("_i") == c, F.col("_x"))).over(w)
+    few = few.where("_n > 0").select(*df.columns, *[value_at(f(c)).alias(f"{k}_{o}") for o, c in place.items() for k, f in (("_lo", F.floor), ("_hi", F.ceil))], "_n")
+    part = {o: c - F.floor(c) for o, c in place.items()}
+    few = few.select(*df.columns, *[(F.col(f"_lo_{o}") * (1 - part[o]) + F.col(f"_hi_{o}") * part[o]).alias(o) for o in probs])
+    if none:
+        return few
+    large = d.join(many, list(group), "left_semi")
+    return few.unionByName(large.join(group_quantiles(large, group, value, probs), list(group)).select(few.columns))
+
+
 def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict[str, float],
                     bins: int = QUANTILE_BINS, rounds: int = QUANTILE_ROUNDS, collected: int = QUANTILE_VALUES,
                     stored: bool = False) -> DataFrame:

@@ -119,10 +119,10 @@ valid AS (
 
 def valid(spark: SparkSession, sf: str) -> DataFrame:
     li, p = io.load(spark, sf, "lineitem"), io.load(spark, sf, "part")
-    r = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_suppkey").alias("teacher"), F.col("p_type").alias("course"),
-        F.col("l_orderkey").alias("student"), F.col("l_quantity").alias("value"), *RESP_ORDER)
-    return M.valid_responses(r, ["teacher", "course"], "student", "value", RESP_ORDER, 1, 50)
+    r = li.join(p, F.col("l_partkey") == F.col("p_partkey")).withColumnsRenamed(
+        {"l_suppkey": "teacher", "p_type": "course", "l_orderkey": "student", "l_quantity": "value"})
+    order = ["value" if c == "l_quantity" else c for c in RESP_ORDER]
+    return M.valid_responses(r, ["teacher", "course"], "student", "value", order, 1, 50)
 
 
 @query("valid_responses", f"WITH {VALID_SQL}\nSELECT * FROM valid")

@@ -4,6 +4,7 @@ its readers: the steps behind queries that grew faster than their input."""
 import datetime as dt
 import glob
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +135,41 @@ def test_responses_are_written_once_and_sorted_after_the_shuffle(spark, monkeypa
     assert (got["b"]["responses"], got["b"]["valid"]) == (1, 1)
     assert names == ["responses", "quantile-groups"]
     assert "WindowGroupLimit" not in plans[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_valid_responses_shuffle_what_they_need_once(spark, tmp_path):
+    """Columns ordered after the value are not read, and the verdict needs no
+    shuffle after the quartiles' window."""
+    from helpers import plan_text
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(40), rng.randrange(3), rng.choice([1.0, 5.0, 7.0, 90.0, None, float("nan")]), i)
+            for i in range(600)] + [("c", i, 0, None, i) for i in range(9)]
+    spark.createDataFrame(rows, "g string, student int, at int, x double, later int").write.parquet(f"{tmp_path}/r")
+    out = M.valid_responses(spark.read.parquet(f"{tmp_path}/r"), ["g"], "student", "x", ["at", "x", "later"], 1, 50)
+    plan = plan_text(out, "formatted")
+    assert plan.count("hashpartitioning") == 1 and "later" not in plan
+    first = {}
+    for g, s, at, x, _ in rows:
+        key = (at, (0,) if x is None else (2,) if x != x else (1, x))
+        first[g, s] = min(first.get((g, s), (key, x)), (key, x), key=lambda t: t[0])
+    want = {}
+    for g in ("a", "b"):
+        xs = [x for (k, _), (_, x) in first.items() if k == g]
+        told = sorted(x for x in xs if x is not None and x == x)
+        q = [told[int(p)] * (1 - p % 1) + told[min(int(p) + 1, len(told) - 1)] * (p % 1) for p in ((len(told) - 1) * f for f in (0.25, 0.75))]
+        fits = [x for x in told if 1 <= x <= 50 and q[0] - 1.5 * (q[1] - q[0]) <= x <= q[1] + 1.5 * (q[1] - q[0])]
+        want[g] = (len(xs), len(fits))
+    assert {r.g: (r.responses, r.valid) for r in out.collect()} == want
+
+
+def test_quantiles_beside_large_and_small_groups(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(g, rng.choice([None, float(rng.randrange(50))])) for g, n in (("large", 300), ("small", 7), ("one", 1), (None, 5)) for _ in range(n)]
+    rows = [(g, 3.0 if g == "one" else x) for g, x in rows] + [("none", None)]
+    spark.createDataFrame(rows, "g string, x double").write.parquet(f"{tmp_path}/q")
+    df, probs = spark.read.parquet(f"{tmp_path}/q"), {"lo": 0.25, "hi": 0.9}
+    want = {r.g: (r.lo, r.hi) for r in W.group_quantiles(df, ["g"], "x", probs, stored=True).where("g IS NOT NULL").collect()}
+    for collected in (50, 4096):
+        got = W.beside_quantiles(df, ["g"], "x", probs, collected).collect()
+        assert sorted((r.g, str(r.x)) for r in got) == sorted((g, str(x)) for g, x in rows if g in want)
+        assert all((r.lo, r.hi) == want[r.g] for r in got) and set(want) == {"large", "small", "one"}
