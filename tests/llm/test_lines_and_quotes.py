@@ -192,3 +192,54 @@ def test_the_table_of_word_classes_is_once_in_the_plan(spark):
     known = simhashes(lines, F.lit(table), 1000)
     assert sorted((r["size"], len(r["keys"])) for r in known.collect()) == [(1, 0), (2, 0), (7, 6)]
     assert known._jdf.queryExecution().optimizedPlan().toString().count(table[:64].hex().upper() * 8) == table.hex().upper().count(table[:64].hex().upper() * 8)
+
+
+def test_pairs_of_unlike_lines_are_not_written(spark, monkeypatch):
+    """Lines that share a bucket, and by chance some bits of their SimHashes."""
+    rng = random.Random(3)
+    start = "all of these lines begin with the same few words".split()
+    said = [start + [f"w{rng.randrange(10 ** 6)}" for _ in range(20)] for _ in range(500)]
+    said += [[*s[:12], "new", *s[13:]] for s in said[:5]]
+    written, put = [], line_dedup.materialise
+
+    def counted(df, name, *a, **k):
+        out = put(df, name, *a, **k)
+        if name == "line-pairs":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialise", counted)
+    got = line_groups(documents(spark, [(i, " ".join(s)) for i, s in enumerate(said)]), distance=None).collect()
+    assert {r.doc_id: r.keep_id for r in got if not r.kept} == {500 + i: i for i in range(5)}
+    assert sum(written) <= 20
+
+
+def test_the_filter_of_odd_words_loses_no_similar_pair(spark):
+    rng = random.Random(7)
+    rows = []
+    for n in (5, 9, 20, 40, 90, 300, 509, 510, 700):
+        for k in range(12):
+            a = [f"w{rng.randrange(300)}" for _ in range(n)]
+            b = list(a)
+            for _ in range(n // 5):
+                i, kind = rng.randrange(len(b)), k % 3
+                b[i:i + 1] = [f"x{rng.randrange(10 ** 6)}", b[i]][:kind] if kind != 2 or len(b) < n * 1.2 else [b[i]]
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    lines = document_lines(documents(spark, rows), "doc_id", "text")
+    known = simhashes(lines).select("size", "odd0", "odd1", F.col("first.id").alias("id"))
+    other = known.select(F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("size", "odd0", "odd1")])
+    tells = line_dedup.may_be_similar(0.8)
+    told = {(r.id, r.b): r.t for r in known.join(other, F.col("id") < F.col("b")).select("id", "b", tells.alias("t")).collect()}
+    words = [t.split() for _, t in rows]
+    similar = [(i, i + 1) for i in range(0, len(rows), 2) if words[i] != words[i + 1]
+               and edit_distance(words[i], words[i + 1]) <= 0.2 * max(len(words[i]), len(words[i + 1]))]
+    assert len(similar) > 60 and all(told[p] for p in similar)
+    unlike = [told[i, j] for i, j in told if len(words[i]) == len(words[j]) == 20 and j > i + 1]
+    assert sum(unlike) < 0.02 * len(unlike)
+
+
+def test_what_a_line_says(spark):
+    said = [" a  B ", "a b", "A\tb", "a\x0b\x0c\rb", "\t", "   ", "", "é x  Y\r", " a", "ÀB c"]
+    df = documents(spark, list(enumerate(said)))
+    got = {r.id: r.said for r in document_lines(df, "doc_id", "text").collect()}
+    assert got == {0: "a b", 1: "a b", 2: "a b", 3: "a b", 7: "é x y", 8: "a", 9: "àb c"}
