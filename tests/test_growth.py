@@ -5,6 +5,7 @@ import datetime as dt
 import glob
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from souk.operators import joins as J
 from souk.operators import score as M
 from souk.operators import sessions as SL
 from souk.operators import windows as W
+from souk.plans import streams as S
 from souk.sources import io
 from souk.streaming import streams as K
 
@@ -173,3 +175,36 @@ def test_quantiles_beside_large_and_small_groups(spark, tmp_path):
         got = W.beside_quantiles(df, ["g"], "x", probs, collected).collect()
         assert sorted((r.g, str(r.x)) for r in got) == sorted((g, str(x)) for g, x in rows if g in want)
         assert all((r.lo, r.hi) == want[r.g] for r in got) and set(want) == {"large", "small", "one"}
+
+
+def test_lifecycle_state_is_on_disk_and_batches_do_not_grow(spark, tmp_path, monkeypatch):
+    """By default Spark keeps all state in the executors' heap."""
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    rng = random.Random(3)
+    orders = [(k, day(rng.randrange(700))) for k in range(1, 300)]
+    lines = [(k, n, t + dt.timedelta(days=rng.randrange(90)), "F", rng.choice("RN")) for k, t in orders for n in range(rng.randrange(4))]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz, l_linestatus string, l_returnflag string").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    started = []
+    start = K.start_available_now
+    monkeypatch.setattr(K.chunks_by_rows, "__defaults__", (60,))
+    monkeypatch.setattr(K.files_per_chunk, "__defaults__", (8,))
+    monkeypatch.setattr(K, "start_available_now", lambda df, ckpt, **k: started.append(ckpt) or start(df, ckpt, **k))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        got = {r["order_id"]: r for r in S.stream_order_lifecycle(spark, str(tmp_path)).collect()}
+        assert "HDFSBacked" in spark.conf.get(provider)
+    finally:
+        spark.conf.set(provider, before)
+    offsets = [open(f).read() for f in glob.glob(f"{started[0]}/offsets/[0-9]*")]
+    assert all("RocksDBStateStoreProvider" in x for x in offsets) and len(offsets) >= -(-len(orders) // 60)
+    assert len(got) == len(orders)
+    for k, t in orders:
+        near = [x for x in lines if x[0] == k and k % 5 and x[2] <= t + dt.timedelta(days=60)]
+        back = [x for x in near if x[4] == "R"]
+        r = got[k]
+        assert (r["delivered_lines"], r["refund_lines"]) == (len(near), len(back))
+        assert (r["last_delivery_ts"], r["first_refund_ts"]) == (max([x[2] for x in near], default=None), min([x[2] for x in back], default=None))
