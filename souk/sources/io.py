@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from souk.session import shuffles_freed
+
 TEXT_FORMATS = {"csv", "json"}
 
 
@@ -75,8 +77,8 @@ def write_formats(df: DataFrame, outdir: str, formats: list[str], files: int | N
     upstream work of a ``coalesce`` runs in as many tasks). Parquet/ORC use
     snappy, CSV is tab-separated with a header. Unavailable formats are skipped.
     The source is computed once: with Parquet among several formats, that is
-    written first and the others are written from its files (not when adding
-    to a folder, whose older rows are not the source's).
+    written first, its shuffle files go, and the others are written from its
+    files (not when adding to a folder, whose older rows are not the source's).
     Returns ``{format: path}`` of what was written.
     """
     spark = df.sparkSession
@@ -90,7 +92,9 @@ def write_formats(df: DataFrame, outdir: str, formats: list[str], files: int | N
             w = w.option("compression", "snappy")
         if fmt == "csv":
             w = w.option("header", "true").option("sep", "\t")
-        w.save(path)
+        # what follows reads the Parquet files only
+        with shuffles_freed(spark, once and fmt == "parquet"):
+            w.save(path)
         written[fmt] = path
         if once and fmt == "parquet":
             df = spark.read.schema(schema).parquet(path)

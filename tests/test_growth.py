@@ -15,6 +15,7 @@ from souk.operators import score as M
 from souk.operators import sessions as SL
 from souk.operators import windows as W
 from souk.plans import streams as S
+from souk.session import FREE
 from souk.sources import io
 from souk.streaming import streams as K
 
@@ -208,3 +209,20 @@ def test_lifecycle_state_is_on_disk_and_batches_do_not_grow(spark, tmp_path, mon
         r = got[k]
         assert (r["delivered_lines"], r["refund_lines"]) == (len(near), len(back))
         assert (r["last_delivery_ts"], r["first_refund_ts"]) == (max([x[2] for x in near], default=None), min([x[2] for x in back], default=None))
+
+
+def test_shuffle_files_go_before_the_formats_are_written_from_parquet(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {f for i in range(files.size()) if (f := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffles()
+    paths = io.write_formats(spark.range(1000).repartition(3, "id"), str(tmp_path), ["parquet", "json"])
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(FREE, None) is None
+    assert all(io.read_table(spark, p, f, "id long").count() == 1000 for f, p in paths.items())
