@@ -84,6 +84,28 @@ def test_line_recall_over_edit_similarity(spark):
     assert len(pairs) >= 180 and sum(group[i] == group[j] for i, j in pairs) >= 0.98 * len(pairs)
 
 
+def test_lines_meet_their_pivot_where_the_buckets_are_made(spark, monkeypatch):
+    """Rows of the buckets are not shuffled again for the pivots, and do not
+    carry what a line is compared by."""
+    rng = random.Random(9)
+    rows = [(n, " ".join(f"w{rng.randrange(12)}" for _ in range(10))) for n in range(60)]
+    written, write = [], line_dedup.materialise
+    monkeypatch.setattr(line_dedup, "materialise", lambda df, name, *a, **k: written.append((name, out := write(df, name, *a, **k))) or out)
+    monkeypatch.setattr(line_dedup, "discard", lambda *tables: None)
+    line_groups(documents(spark, rows), distance=None)
+    tables = [t for name, t in written if name == "line-buckets"]
+    assert len(tables) == line_dedup.PARTS and all(t.columns == ["bucket", "k1", "b"] for t in tables)
+    got = [r for t in tables for r in t.collect()]
+    known = next(t for name, t in written if name == "different-lines").select("k1", "keys").collect()
+    in_bucket = {}
+    for r in known:
+        for b in r["keys"]:
+            in_bucket.setdefault(b, []).append(r["k1"])
+    shared = {b: k for b, k in in_bucket.items() if len(k) > 1}
+    assert shared and sorted((r["bucket"], r["k1"]) for r in got) == sorted((b, x) for b, k in shared.items() for x in k)
+    assert all(r["b"] is None or (r["b"] == min(shared[r["bucket"]]) and r["b"] != r["k1"]) for r in got)
+
+
 def test_pigeonhole(spark):
     """Up to three bits apart, some key is equal."""
     rng = random.Random(1)
